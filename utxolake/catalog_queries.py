@@ -1,7 +1,7 @@
-"""Registered non-derivation queries (sources, sync, backfill, validation).
+"""Registered non-derivation queries (validation, sources, sync, backfill, stream).
 
-Filled in by the modules as operators land; each entry pairs a Spark callable
-``(spark, sf_dir) -> DataFrame`` with its DuckDB oracle text (if SQL can say it).
+Each entry pairs a Spark callable ``(spark, sf_dir) -> DataFrame`` with, where
+SQL can say it, the DuckDB text of the same result over the same tables.
 """
 
 from __future__ import annotations
@@ -10,13 +10,44 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+from .operators.derive import DERIVE
+from .operators.fingerprint import SPECS, fingerprint_table
+from .oracle import fingerprint_sql
+from .sources.standin import StandIn
 
+CLUSTER = 5  # test cluster size (FIXTURES.md)
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def derive_for_test(src, name: str, **kw) -> DataFrame:
+    if name in ("rel_addr_txout", "rel_stake_txout"):
+        kw.setdefault("cluster_size", CLUSTER)
+    return DERIVE[name](src, **kw)
+
+
+def _fp(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        src = StandIn(spark, sf_dir)
+        return fingerprint_table(name, derive_for_test(src, name), blocks=src["block"])
+    return run
+
+
+def validation() -> tuple[dict[str, Query], dict[str, str]]:
+    q = {f"v_fp_{n}": _fp(n) for n in SPECS}
+    o = {f"v_fp_{n}": fingerprint_sql(n, CLUSTER) for n in SPECS}
+    return q, o
+
+
+def queries() -> dict[str, Query]:
+    out: dict[str, Query] = {}
+    for part in (validation,):
+        out.update(part()[0])
+    return out
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    out: dict[str, str] = {}
+    for part in (validation,):
+        out.update(part()[1])
+    return out
