@@ -1,53 +1,737 @@
-"""Registered non-derivation queries (validation, sources, sync, backfill, stream).
+"""Registered non-derivation queries (validation, sources, planning, merges, jobs).
 
 Each entry pairs a Spark callable ``(spark, sf_dir) -> DataFrame`` with, where
-SQL can say it, the DuckDB text of the same result over the same tables.
+SQL can say it, the DuckDB text of the same result over the same tables. All of
+them run over the stand-ins that Spark derives from the whole ``sf`` tables;
+jobs write their targets below the session's checkpoint folder (shared storage
+on a cluster) and return what landed there.
+
+Test sizes (FIXTURES.md): cluster 5, list split 3, window cap 600, grace 3,
+delete 10, file chunk 500; the target of the merge tests is cut at slot 1500
+(epoch 50) or epoch 40.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .functions.lists import split_long_list
 from .operators.derive import DERIVE
-from .operators.fingerprint import SPECS, fingerprint_table
-from .oracle import fingerprint_sql
-from .sources.standin import StandIn
+from .operators.fingerprint import SPECS, fingerprint_compare, fingerprint_table, row_diff, row_hashes, row_text
+from .oracle import DOUBLE_COLUMNS, derived_sql, fingerprint_sql
+from .plans.registry import (BACKFILL_FULL, BACKFILL_START, EPOCH_CLOSED, EPOCH_ORDER, SLOT_APPEND, SLOT_EMPTY,
+                             SLOT_ORDER, TABLES)
+from .plans.sync import (SyncOptions, backfill_by_epoch, backfill_full, backfill_job, derive, epoch_sync_job,
+                         extract_append, extract_epoch, extract_replace, freshness, merge_append, merge_epoch,
+                         slot_sync_job, sync_table_slots)
+from .plans.windows import SlotWindowConfig, plan_epochs, plan_slot_windows, source_head
+from .session import ensure_checkpoint_dir
+from .sources.csv_stage import read_stage_csv, write_stage_csv
+from .sources.loader import export_source, load_source
+from .sources.schemas import enforce_schema
+from .sources.sinks import LAST_INDEX_SCHEMA, Warehouse, watermark_upsert
+from .sources.standin import StandIn, duck_with
 
-CLUSTER = 5  # test cluster size (FIXTURES.md)
+CLUSTER = 5
+TEST = SyncOptions(window=SlotWindowConfig(cap=600, grace=3, delete=10, rounds=3), cluster_size=CLUSTER)
+CUT_SLOT, CUT_EPOCH, RELOAD_EPOCH = 1500, 40, 50
+CHUNK = 500
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# --- helpers ------------------------------------------------------------------
+
 def derive_for_test(src, name: str, **kw) -> DataFrame:
     if name in ("rel_addr_txout", "rel_stake_txout"):
         kw.setdefault("cluster_size", CLUSTER)
     return DERIVE[name](src, **kw)
 
 
+def scratch(spark: SparkSession) -> Warehouse:
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/utxolake-q-{uuid.uuid4().hex[:12]}"
+    return Warehouse(spark, root, chunk_rows=CHUNK)
+
+
+def fixture_last_index() -> list[tuple[str, int, int]]:
+    """One row per target table: ``last_slot_no = 500 + 37 i``, ``last_epoch_no = 16 + i``."""
+    names = SLOT_ORDER + [t for t in EPOCH_ORDER if t not in SLOT_ORDER]
+    return [(t, 500 + 37 * i, 16 + i) for i, t in enumerate(names)]
+
+
+def _li(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(fixture_last_index(), LAST_INDEX_SCHEMA)
+
+
+def _duck_li() -> str:
+    rows = ", ".join(f"('{t}', CAST({s} AS BIGINT), CAST({e} AS BIGINT))" for t, s, e in fixture_last_index())
+    return f"(SELECT * FROM (VALUES {rows}) v(tablename, last_slot_no, last_epoch_no))"
+
+
+DUCK_HEAD = "(SELECT max(slot_no) AS head_slot_no, max(epoch_no) AS head_epoch_no FROM block)"
+
+
+def _body(name: str) -> tuple[tuple[str, ...], str]:
+    return derived_sql(CLUSTER)[name]
+
+
+def _windowed(name: str, cond: str) -> str:
+    """View body with its transaction blocks restricted to ``cond`` (before aggregation)."""
+    body = _body(name)[1]
+    key = "JOIN block b ON b.id = t.block_id"
+    assert key in body, name
+    return body.replace(key, f"JOIN (SELECT * FROM block WHERE {cond}) b ON b.id = t.block_id")
+
+
+def _with(names, extra: tuple[str, ...] = ()) -> str:
+    deps: list[str] = []
+    for n in names:
+        deps += _body(n)[0]
+    return duck_with(list(dict.fromkeys(deps + list(extra))))
+
+
+def _q(spark: SparkSession, sf_dir: str) -> StandIn:
+    return StandIn(spark, sf_dir)
+
+
+def _quote(names) -> str:
+    return ", ".join(f"'{n}'" for n in sorted(names))
+
+
+# --- V: validation --------------------------------------------------------------
+
 def _fp(name: str) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        src = StandIn(spark, sf_dir)
+    def run(spark, sf_dir):
+        src = _q(spark, sf_dir)
         return fingerprint_table(name, derive_for_test(src, name), blocks=src["block"])
     return run
 
 
+def _altered_tx(src) -> DataFrame:
+    """A copy of tx in which the rows of failed scripts carry a wrong fee."""
+    t = derive_for_test(src, "tx")
+    return t.withColumn("fee", F.when(~F.col("valid_script"), F.col("fee") + 1).otherwise(F.col("fee")))
+
+
+ALTERED_TX_SQL = ("SELECT * REPLACE (CASE WHEN NOT valid_script THEN fee + 1 ELSE fee END AS fee) FROM ("
+                  + _body("tx")[1] + ") a")
+
+
+def q_row_text(spark, sf_dir):
+    t = derive_for_test(_q(spark, sf_dir), "tx")
+    return t.select("epoch_no", "slot_no", "txidx", row_text(t, SPECS["tx"]).alias("row_text"))
+
+
+def q_row_hash(spark, sf_dir):
+    t = derive_for_test(_q(spark, sf_dir), "tx")
+    return row_hashes(t, SPECS["tx"]).select("epoch_no", "slot_no", "txidx", "row_hash")
+
+
+def q_single_row(spark, sf_dir):
+    p = derive_for_test(_q(spark, sf_dir), "param_proposal")
+    return row_hashes(p, SPECS["param_proposal"]).select(
+        "epoch_no", "registered_tx_slot_no", "registered_tx_index", "key", "row_hash")
+
+
+def q_normalize(spark, sf_dir):
+    from .operators.fingerprint import cell_text
+    e = derive_for_test(_q(spark, sf_dir), "epoch_param")
+    return e.select("epoch_no", cell_text(e, "decentralisation", SPECS["epoch_param"]).alias("decentralisation"))
+
+
+def q_canonical_json(spark, sf_dir):
+    from .functions.encoding import canonical_json
+    d = derive_for_test(_q(spark, sf_dir), "datum")
+    return d.select("datum_hash", canonical_json("value").alias("value"))
+
+
+def q_compare(spark, sf_dir):
+    src = _q(spark, sf_dir)
+    left = fingerprint_table("tx", derive_for_test(src, "tx"))
+    right = fingerprint_table("tx", _altered_tx(src))
+    return fingerprint_compare(left, right, ["epoch_no"])
+
+
+def q_row_diff(spark, sf_dir):
+    src = _q(spark, sf_dir)
+    return row_diff(derive_for_test(src, "tx"), _altered_tx(src))
+
+
+def q_audit(spark, sf_dir):
+    """V-10: audit rows (clock columns left out) of the tx comparison, appended to a log table."""
+    wh = scratch(spark)
+    cmp = q_compare(spark, sf_dir)
+    rows = cmp.select(
+        "epoch_no", F.lit("tx").alias("table_name"), F.current_timestamp().alias("start_time"),
+        F.current_timestamp().alias("end_time"), F.lit("derive(tx)").alias("pg_query"),
+        F.lit("altered copy of tx").alias("bq_query"),
+        F.coalesce("left_hash", F.lit("empty")).alias("pg_hash"),
+        F.coalesce("right_hash", F.lit("empty")).alias("bq_hash"))
+    wh.append("log_deep_comparison", rows, None)
+    return wh.read("log_deep_comparison").drop("start_time", "end_time")
+
+
+def q_freshness(spark, sf_dir):
+    src = _q(spark, sf_dir)
+    tables = [t for t in DERIVE if t not in ("meta", "schema_version")]
+    return freshness(lambda t: derive_for_test(src, t), source_head(src["block"]), tables)
+
+
+def q_deep_compare(spark, sf_dir):
+    """V-12: every table copied in full, then both sides fingerprinted and compared."""
+    src = _q(spark, sf_dir)
+    wh = scratch(spark)
+    out = None
+    for t in SPECS:
+        backfill_full(src, wh, t, TEST)
+        left = fingerprint_table(t, derive_for_test(src, t), blocks=src["block"])
+        right = fingerprint_table(t, wh.read(t), blocks=src["block"])
+        keys = [*SPECS[t].by, *(["shard"] if SPECS[t].shards else [])]
+        c = (fingerprint_compare(left, right, keys) if keys else
+             left.crossJoin(right.select(F.col("n_rows").alias("r_n"), F.col("hash_b64").alias("r_h")))
+             .select(F.when(F.col("hash_b64") == F.col("r_h"), "equal").otherwise("differ").alias("status")))
+        agg = c.agg(F.lit(t).alias("tablename"),
+                    *[F.count_if(F.col("status") == s).alias(f"n_{s}") for s in
+                      ("equal", "differ", "left_only", "right_only")])
+        out = agg if out is None else out.unionByName(agg)
+    return out
+
+
+def _duck_fp_groups(t: str) -> str:
+    return f"SELECT '{t}' AS tablename, count(*) AS n_equal FROM ({fingerprint_sql(t, CLUSTER)}) f"
+
+
 def validation() -> tuple[dict[str, Query], dict[str, str]]:
-    q = {f"v_fp_{n}": _fp(n) for n in SPECS}
-    o = {f"v_fp_{n}": fingerprint_sql(n, CLUSTER) for n in SPECS}
+    q: dict[str, Query] = {f"v_fp_{n}": _fp(n) for n in SPECS}
+    o: dict[str, str] = {f"v_fp_{n}": fingerprint_sql(n, CLUSTER) for n in SPECS}
+    tx_deps, tx_body = _body("tx")
+    parts = " || ',' || ".join(
+        f"coalesce(CAST(\"{c}\" AS VARCHAR), 'null')" for c in SPECS["tx"].columns)
+    text = f"'(' || {parts} || ')'"
+    q["v_row_text"] = q_row_text
+    o["v_row_text"] = _with(["tx"]) + f"SELECT epoch_no, slot_no, txidx, {text} AS row_text FROM ({tx_body}) v"
+    q["v_row_hash"] = q_row_hash
+    o["v_row_hash"] = (_with(["tx"]) + f"SELECT epoch_no, slot_no, txidx, to_base64(unhex(sha256({text}))) "
+                       f"AS row_hash FROM ({tx_body}) v")
+    pp = SPECS["param_proposal"]
+    pparts = " || ',' || ".join(
+        (f"coalesce(regexp_replace(regexp_replace(printf('%.9f', \"{c}\"), '(\\.\\d*?)0+$', '\\1'), '\\.$', ''), "
+         f"'null')" if c in DOUBLE_COLUMNS else f"coalesce(CAST(\"{c}\" AS VARCHAR), 'null')") for c in pp.columns)
+    q["v_single_row"] = q_single_row
+    o["v_single_row"] = (_with(["param_proposal"]) +
+                         "SELECT epoch_no, registered_tx_slot_no, registered_tx_index, \"key\", "
+                         f"to_base64(unhex(sha256('(' || {pparts} || ')'))) AS row_hash "
+                         f"FROM ({_body('param_proposal')[1]}) v")
+    q["v_normalize"] = q_normalize
+    o["v_normalize"] = (_with(["epoch_param"]) + "SELECT epoch_no, regexp_replace(regexp_replace("
+                        "printf('%.9f', decentralisation), '(\\.\\d*?)0+$', '\\1'), '\\.$', '') AS decentralisation "
+                        f"FROM ({_body('epoch_param')[1]}) v")
+    q["v_canonical_json"] = q_canonical_json
+    o["v_canonical_json"] = (_with(["datum"]) + "SELECT datum_hash, CAST(json_object('a', json_extract(value, '$.a'),"
+                             " 'int', json_extract(value, '$.int')) AS VARCHAR) AS value "
+                             f"FROM ({_body('datum')[1]}) v")
+    left_fp = fingerprint_sql("tx", CLUSTER)
+    right_fp = fingerprint_sql("tx", CLUSTER, source=ALTERED_TX_SQL, deps=tx_deps)
+    strip = len(_with(["tx"]))
+    cmp_sql = (_with(["tx"]) +
+               f"SELECT coalesce(l.epoch_no, r.epoch_no) AS epoch_no, l.n_rows AS left_rows, l.hash_b64 AS left_hash, "
+               f"r.n_rows AS right_rows, r.hash_b64 AS right_hash, "
+               "CASE WHEN l.hash_b64 IS NULL THEN 'right_only' WHEN r.hash_b64 IS NULL THEN 'left_only' "
+               "WHEN l.hash_b64 = r.hash_b64 THEN 'equal' ELSE 'differ' END AS status "
+               f"FROM ({left_fp[strip:]}) l FULL OUTER JOIN ({right_fp[strip:]}) r ON l.epoch_no = r.epoch_no")
+    q["v_compare"] = q_compare
+    o["v_compare"] = cmp_sql
+    q["v_row_diff"] = q_row_diff
+    o["v_row_diff"] = (_with(["tx"]) +
+                       f"SELECT *, 'left_only' AS side FROM (({tx_body}) EXCEPT ALL ({ALTERED_TX_SQL})) a "
+                       f"UNION ALL SELECT *, 'right_only' AS side FROM (({ALTERED_TX_SQL}) EXCEPT ALL ({tx_body})) b")
+    q["v_audit_log"] = q_audit
+    o["v_audit_log"] = (cmp_sql.replace(
+        "SELECT coalesce(l.epoch_no, r.epoch_no) AS epoch_no,",
+        "SELECT epoch_no, 'tx' AS table_name, 'derive(tx)' AS pg_query, 'altered copy of tx' AS bq_query, "
+        "coalesce(left_hash, 'empty') AS pg_hash, coalesce(right_hash, 'empty') AS bq_hash FROM ("
+        "SELECT coalesce(l.epoch_no, r.epoch_no) AS epoch_no,", 1) + ") c")
+    fresh_tables = [t for t in DERIVE if t not in ("meta", "schema_version")]
+    fparts = []
+    for t in fresh_tables:
+        cols = [c.strip() for c in SPECS[t].columns] if t in SPECS else []
+        slot = "consumed_in_slot_no" if t == "tx_consumed_output" else "slot_no"
+        has_slot = slot in cols or t in ("param_proposal",) and False
+        has_epoch = "epoch_no" in cols
+        fparts.append(f"SELECT '{t}' AS tablename, CAST({'max(' + slot + ')' if has_slot else 'NULL'} AS BIGINT) "
+                      f"AS max_slot_no, CAST({'max(epoch_no)' if has_epoch else 'NULL'} AS BIGINT) AS max_epoch_no "
+                      f"FROM ({_body(t)[1]}) v")
+    q["v_freshness"] = q_freshness
+    o["v_freshness"] = (_with(fresh_tables) + "SELECT f.*, h.*, h.head_slot_no - f.max_slot_no AS slot_lag, "
+                        "h.head_epoch_no - f.max_epoch_no AS epoch_lag FROM (" + " UNION ALL ".join(fparts) +
+                        f") f, {DUCK_HEAD} h")
+    q["v_deep_compare"] = q_deep_compare
+    o["v_deep_compare"] = ("SELECT tablename, n_equal, CAST(0 AS BIGINT) AS n_differ, CAST(0 AS BIGINT) AS n_left_only, "
+                           "CAST(0 AS BIGINT) AS n_right_only FROM (" +
+                           " UNION ALL ".join(f"({_duck_fp_groups(t)})" for t in SPECS) + ") x")
     return q, o
 
 
+# --- S: sources and sinks ---------------------------------------------------------
+
+def q_load_source(spark, sf_dir):
+    """S-01: stand-ins exported as a Parquet source, read back lazily, derived."""
+    src = _q(spark, sf_dir)
+    wh = scratch(spark)
+    export_source(src, f"{wh.root}/source", ["block", "tx"])
+    return DERIVE["tx_hash"](load_source(spark, f"{wh.root}/source"))
+
+
+def q_enforce(spark, sf_dir):
+    """S-02: violations of the tx schema when failed-script rows lose their fee."""
+    t = derive_for_test(_q(spark, sf_dir), "tx")
+    t = t.withColumn("fee", F.when(F.col("valid_script"), F.col("fee")))
+    return enforce_schema(t, "tx")[1]
+
+
+def q_csv_stage(spark, sf_dir):
+    """S-03 / S-04: datum rows with a line break inside ``bytes`` through staging CSV."""
+    d = derive_for_test(_q(spark, sf_dir), "datum")
+    d = d.withColumn("bytes", F.concat(F.substring("bytes", 1, 8), F.lit("\n"), F.expr("substring(bytes, 9)")))
+    wh = scratch(spark)
+    path = f"{wh.root}/stage_csv"
+    write_stage_csv(d, path, CHUNK)
+    back = read_stage_csv(spark, path, "epoch_no BIGINT, slot_no BIGINT, txidx BIGINT, datum_hash STRING, "
+                                       "bytes STRING, value STRING")
+    return back.select("epoch_no", "slot_no", "txidx", "datum_hash", F.sha2("bytes", 256).alias("bytes_sha"),
+                       "value")
+
+
+def q_stage_append(spark, sf_dir):
+    """S-05 / S-06 / S-07: epochs up to 41 replace the target via staging, later epochs are appended."""
+    src = _q(spark, sf_dir)
+    wh = scratch(spark)
+    th = DERIVE["tx_hash"](src)
+    wh.write_stage(th.where(F.col("epoch_no") <= 41), "tx_hash", part_col="epoch_no")
+    wh.overwrite("tx_hash", wh.read_stage("tx_hash"), "epoch_no")
+    wh.write_stage(th.where(F.col("epoch_no") > 41), "tx_hash", part_col="epoch_no")
+    wh.append("tx_hash", wh.read_stage("tx_hash"), "epoch_no")
+    return wh.read("tx_hash")
+
+
+def q_split(spark, sf_dir):
+    """S-09: each transaction's output indexes as one list, split into lists of at most 3."""
+    outs = _q(spark, sf_dir)["tx_out"].groupBy("tx_id").agg(F.array_sort(F.collect_list("index")).alias("outputs"))
+    s = split_long_list(outs, "outputs", 3)
+    return s.select("tx_id", F.col("part").cast("bigint").alias("part"), F.to_json("outputs").alias("outputs"))
+
+
+def q_watermark_upsert(spark, sf_dir):
+    src = _q(spark, sf_dir)
+    plan = plan_slot_windows(_li(spark), source_head(src["block"]), TEST.window)
+    updates = plan.where(F.col("round") == 1).select(
+        "tablename", F.col("max_slot_no").alias("last_slot_no"), F.lit(None).cast("bigint").alias("last_epoch_no"))
+    return watermark_upsert(_li(spark), updates)
+
+
+def _duck_plan() -> str:
+    step = TEST.window.cap - TEST.window.grace
+    return (f"SELECT tablename, r.\"round\", li.last_slot_no + (r.\"round\" - 1) * {step} AS last_k, "
+            f"li.last_slot_no AS last0, h.head_slot_no FROM {_duck_li()} li, {DUCK_HEAD} h, "
+            f"range(1, {TEST.window.rounds + 1}) r(\"round\")")
+
+
+def duck_plan_sql() -> str:
+    w = TEST.window
+    return (f"SELECT tablename, \"round\", last_k AS last_slot_no, head_slot_no, "
+            f"CASE WHEN tablename IN ({_quote(SLOT_APPEND)}) THEN last_k ELSE last_k - {w.delete} END AS clean_slot_no, "
+            f"least(head_slot_no, last_k + {w.cap}) - {w.grace} AS max_slot_no, head_slot_no < last0 AS error "
+            f"FROM ({_duck_plan()}) p WHERE last_k < head_slot_no - {w.grace}")
+
+
+def sources_sinks() -> tuple[dict[str, Query], dict[str, str]]:
+    q: dict[str, Query] = {}
+    o: dict[str, str] = {}
+    th_deps, th_body = _body("tx_hash")
+    q["s_load_source"] = q_load_source
+    o["s_load_source"] = duck_with(list(th_deps)) + th_body
+    q["s_schema_enforce"] = q_enforce
+    o["s_schema_enforce"] = (_with(["tx"]) + "SELECT 'tx' AS \"table\", 'fee' AS \"column\", 'null' AS kind, "
+                             f"count(*) AS n_bad FROM ({_body('tx')[1]}) v WHERE NOT valid_script HAVING count(*) > 0")
+    q["s_csv_stage"] = q_csv_stage
+    o["s_csv_stage"] = (_with(["datum"]) + "SELECT epoch_no, slot_no, txidx, datum_hash, sha256(substring(bytes, 1, 8) "
+                        "|| chr(10) || substring(bytes, 9)) AS bytes_sha, value FROM (" + _body("datum")[1] + ") v")
+    q["s_stage_append"] = q_stage_append
+    o["s_stage_append"] = duck_with(list(th_deps)) + th_body
+    q["s_split_long_list"] = q_split
+    o["s_split_long_list"] = (duck_with(["tx_out"]) +
+                              "SELECT tx_id, part, to_json(list_slice(l, part * 3 + 1, part * 3 + 3))::VARCHAR AS outputs "
+                              "FROM (SELECT tx_id, l, unnest(range(0, greatest((len(l) + 2) // 3, 1))) AS part FROM "
+                              "(SELECT tx_id, list(\"index\" ORDER BY \"index\") AS l FROM tx_out GROUP BY tx_id) x) y")
+    q["s_watermark_upsert"] = q_watermark_upsert
+    o["s_watermark_upsert"] = (duck_with(["block"]) +
+                               f"SELECT li.tablename, coalesce(p.max_slot_no, li.last_slot_no) AS last_slot_no, "
+                               f"li.last_epoch_no FROM {_duck_li()} li LEFT JOIN "
+                               f"(SELECT * FROM ({duck_plan_sql()}) pp WHERE \"round\" = 1) p USING (tablename)")
+    return q, o
+
+
+# --- W / P: planning, extraction, merges, jobs -------------------------------------
+
+def q_head(spark, sf_dir):
+    return source_head(_q(spark, sf_dir)["block"])
+
+
+def q_plan_slots(spark, sf_dir):
+    p = plan_slot_windows(_li(spark), source_head(_q(spark, sf_dir)["block"]), TEST.window)
+    return p.withColumn("round", F.col("round").cast("bigint"))
+
+
+def q_plan_epochs(spark, sf_dir):
+    li = _li(spark).where(F.col("tablename").isin(EPOCH_ORDER))
+    return plan_epochs(li, source_head(_q(spark, sf_dir)["block"]), sorted(EPOCH_CLOSED), True)
+
+
+def _duck_plan_epochs() -> str:
+    return (f"SELECT tablename, unnest(generate_series(lo, hi)) AS epoch_no, hi AS next_last_epoch_no FROM ("
+            f"SELECT tablename, last_epoch_no + 1 AS lo, CASE WHEN tablename IN ({_quote(EPOCH_CLOSED)}) "
+            f"THEN head_epoch_no - 1 ELSE last_epoch_no + 1 END AS hi FROM {_duck_li()} li, {DUCK_HEAD} h "
+            f"WHERE head_epoch_no > last_epoch_no AND tablename IN ({_quote(EPOCH_ORDER)})) x WHERE lo <= hi")
+
+
+def q_next_watermark(spark, sf_dir):
+    """W-07: rows staged per table in its first planned window and the watermark that follows."""
+    src = _q(spark, sf_dir)
+    plan = {r["tablename"]: r for r in q_plan_slots(spark, sf_dir).where("round = 1").collect()}  # 23 rows
+    parts = []
+    for t in SLOT_ORDER:
+        r = plan[t]
+        stage = (extract_replace(src, t, r["clean_slot_no"], r["max_slot_no"], TEST) if TABLES[t].slot_mode == "replace"
+                 else extract_append(src, t, r["last_slot_no"], r["max_slot_no"], TEST))
+        parts.append(stage.agg(F.lit(t).alias("tablename"), F.count(F.lit(1)).alias("rows")))
+    counts = parts[0]
+    for p in parts[1:]:
+        counts = counts.unionByName(p)
+    pol = spark.createDataFrame([(t, SLOT_EMPTY[t]) for t in SLOT_ORDER], "tablename STRING, policy STRING")
+    pl = q_plan_slots(spark, sf_dir).where("round = 1").select("tablename", "last_slot_no", "max_slot_no")
+    nxt = (F.when((F.col("rows") > 0) | (F.col("policy") != "fail"), F.col("max_slot_no")))
+    return counts.join(pol, "tablename").join(pl, "tablename").select(
+        "tablename", "rows", "policy", nxt.alias("next_last_slot_no"))
+
+
+def _duck_next_watermark() -> str:
+    parts = []
+    for t in SLOT_ORDER:
+        if TABLES[t].slot_mode == "replace":
+            col = TABLES[t].slot_col
+            parts.append(f"SELECT '{t}' AS tablename, count(*) AS rows FROM ({_body(t)[1]}) v, "
+                         f"(SELECT * FROM p WHERE tablename = '{t}') w WHERE v.{col} BETWEEN w.clean_slot_no AND "
+                         f"w.max_slot_no")
+        else:
+            body = _body(t)[1].replace(
+                "JOIN block b ON b.id = t.block_id",
+                f"JOIN (SELECT block.* FROM block, (SELECT * FROM p WHERE tablename = '{t}') w "
+                f"WHERE block.slot_no > w.last_slot_no AND block.slot_no <= w.max_slot_no) b ON b.id = t.block_id")
+            parts.append(f"SELECT '{t}' AS tablename, count(*) AS rows FROM ({body}) v")
+    pol = ", ".join(f"('{t}', '{SLOT_EMPTY[t]}')" for t in SLOT_ORDER)
+    return (_with(SLOT_ORDER) + f", p AS (SELECT * FROM ({duck_plan_sql()}) pp WHERE \"round\" = 1) "
+            f"SELECT c.tablename, c.rows, pol.policy, CASE WHEN c.rows > 0 OR pol.policy <> 'fail' THEN p.max_slot_no "
+            f"END AS next_last_slot_no FROM ({' UNION ALL '.join(parts)}) c "
+            f"JOIN (VALUES {pol}) pol(tablename, policy) USING (tablename) JOIN p USING (tablename)")
+
+
+def q_epoch_next_watermark(spark, sf_dir):
+    """P-05: rows of each epoch table in its first due epoch and the epoch watermark that follows."""
+    src = _q(spark, sf_dir)
+    first = {r["tablename"]: r["e"] for r in
+             q_plan_epochs(spark, sf_dir).groupBy("tablename").agg(F.min("epoch_no").alias("e")).collect()}
+    parts = [extract_epoch(src, t, first[t], TEST).agg(F.lit(t).alias("tablename"), F.lit(first[t]).cast("bigint")
+                                                       .alias("epoch_no"), F.count(F.lit(1)).alias("rows"))
+             for t in EPOCH_ORDER if t in first]
+    counts = parts[0]
+    for p in parts[1:]:
+        counts = counts.unionByName(p)
+    li = _li(spark).select("tablename", "last_epoch_no")
+    adv = F.col("tablename").isin([t for t in EPOCH_ORDER if TABLES[t].epoch_empty == "advance"])
+    return counts.join(li, "tablename").select(
+        "tablename", "epoch_no", "rows",
+        F.when((F.col("rows") > 0) | adv, F.col("epoch_no")).otherwise(F.col("last_epoch_no")).alias("next_last_epoch_no"))
+
+
+def _duck_epoch_filtered(t: str, cond: str) -> str:
+    if t in ("epoch_param", "ada_pots", "epoch_stake", "reward", "param_proposal"):
+        return f"SELECT * FROM ({_body(t)[1]}) v WHERE {cond.replace('block.', 'v.')}"
+    return _body(t)[1].replace("JOIN block b ON b.id = t.block_id",
+                               f"JOIN (SELECT * FROM block WHERE {cond}) b ON b.id = t.block_id")
+
+
+def _duck_epoch_next_watermark() -> str:
+    parts = []
+    for t in EPOCH_ORDER:
+        cond = f"block.epoch_no = (SELECT min(epoch_no) FROM pe WHERE tablename = '{t}')"
+        parts.append(f"SELECT '{t}' AS tablename, (SELECT min(epoch_no) FROM pe WHERE tablename = '{t}') AS epoch_no, "
+                     f"count(*) AS rows FROM ({_duck_epoch_filtered(t, cond)}) x")
+    adv = _quote([t for t in EPOCH_ORDER if TABLES[t].epoch_empty == "advance"])
+    return (_with(EPOCH_ORDER) + f", pe AS ({_duck_plan_epochs()}) SELECT c.tablename, c.epoch_no, c.rows, "
+            f"CASE WHEN c.rows > 0 OR c.tablename IN ({adv}) THEN c.epoch_no ELSE li.last_epoch_no END "
+            f"AS next_last_epoch_no FROM ({' UNION ALL '.join(parts)}) c JOIN {_duck_li()} li USING (tablename)")
+
+
+def _head_max(spark, src) -> int:
+    head = source_head(src["block"]).first()["head_slot_no"]
+    return min(head, CUT_SLOT + TEST.window.cap) - TEST.window.grace
+
+
+def q_extract_replace(spark, sf_dir):
+    src = _q(spark, sf_dir)
+    return extract_replace(src, "tx", CUT_SLOT - TEST.window.delete, _head_max(spark, src), TEST)
+
+
+def q_extract_append(spark, sf_dir):
+    src = _q(spark, sf_dir)
+    return extract_append(src, "rel_addr_txout", CUT_SLOT, _head_max(spark, src), TEST)
+
+
+def q_extract_epoch(spark, sf_dir):
+    return extract_epoch(_q(spark, sf_dir), "delegation", RELOAD_EPOCH, TEST)
+
+
+DUCK_MAX = (f"(SELECT least(max(slot_no), {CUT_SLOT + TEST.window.cap}) - {TEST.window.grace} FROM block)")
+
+
+def _cut_target(src, wh: Warehouse, table: str) -> None:
+    """A target as the last sync left it at ``CUT_SLOT``; the last 10 slots of
+    replace tables are stale (wrong values that the re-derivation must repair)."""
+    spec = TABLES[table]
+    if spec.slot_mode == "replace":
+        df = derive(src, table, opts=TEST).where(F.col(spec.slot_col) <= CUT_SLOT)
+        stale = F.col(spec.slot_col) > CUT_SLOT - TEST.window.delete
+        col = next(c for c in ("txidx", "announced_txidx", "block_size", "block_hash") if c in df.columns)
+        wrong = F.reverse(F.col(col)) if col == "block_hash" else F.col(col) + 1000
+        df = df.withColumn(col, F.when(stale, wrong).otherwise(F.col(col)))
+        wh.overwrite(table, df, spec.part_col)
+    else:
+        wh.write_stage(extract_append(src, table, -1, CUT_SLOT, TEST), table, part_col=spec.part_col)
+        merge_append(wh, table, CUT_SLOT)
+    wh.set_watermark(table, slot=CUT_SLOT, epoch=CUT_EPOCH)
+
+
+def q_replace_merge(spark, sf_dir):
+    """W-05: tx target cut at slot 1500 with 10 stale slots, after one window."""
+    src, wh = _q(spark, sf_dir), scratch(spark)
+    _cut_target(src, wh, "tx")
+    sync_table_slots(src, wh, "tx", CUT_SLOT, source_head(src["block"]).first()["head_slot_no"], TEST)
+    return wh.read("tx")
+
+
+def q_append_merge(spark, sf_dir):
+    """W-06: rel_addr_txout appended window by window."""
+    src, wh = _q(spark, sf_dir), scratch(spark)
+    _cut_target(src, wh, "rel_addr_txout")
+    sync_table_slots(src, wh, "rel_addr_txout", CUT_SLOT, source_head(src["block"]).first()["head_slot_no"], TEST)
+    return wh.read("rel_addr_txout")
+
+
+def q_epoch_replace(spark, sf_dir):
+    """P-03: delegation appended by two slot windows, then epoch 50 reloaded whole."""
+    src, wh = _q(spark, sf_dir), scratch(spark)
+    _cut_target(src, wh, "delegation")
+    sync_table_slots(src, wh, "delegation", CUT_SLOT, source_head(src["block"]).first()["head_slot_no"], TEST)
+    rows = wh.write_stage(extract_epoch(src, "delegation", RELOAD_EPOCH, TEST), "delegation", part_col="epoch_no")
+    if rows:
+        merge_epoch(wh, "delegation", RELOAD_EPOCH)
+    return wh.read("delegation")
+
+
+def q_epoch_append(spark, sf_dir):
+    """P-04: reward loaded up to epoch 40, then the next epoch."""
+    src, wh = _q(spark, sf_dir), scratch(spark)
+    wh.overwrite("reward", derive(src, "reward").where(F.col("epoch_no") <= CUT_EPOCH), "epoch_no")
+    rows = wh.write_stage(extract_epoch(src, "reward", CUT_EPOCH + 1), "reward", part_col="epoch_no")
+    if rows:
+        merge_epoch(wh, "reward", CUT_EPOCH + 1)
+    return wh.read("reward")
+
+
+def _counts(wh: Warehouse, tables: list[str]) -> DataFrame:
+    out = None
+    for t in tables:
+        c = wh.read(t).agg(F.lit(t).alias("tablename"), F.count(F.lit(1)).alias("n_rows"))
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+def q_slot_sync_job(spark, sf_dir):
+    """W-08: all 23 slot tables cut at slot 1500, synced to the head in capped rounds."""
+    src, wh = _q(spark, sf_dir), scratch(spark)
+    for t in SLOT_ORDER:
+        _cut_target(src, wh, t)
+    slot_sync_job(src, wh, TEST)
+    li = wh.last_index().select("tablename", "last_slot_no")
+    return _counts(wh, SLOT_ORDER).join(li, "tablename")
+
+
+def _duck_final_slot() -> str:
+    return f"(SELECT max(slot_no) - {TEST.window.grace} FROM block)"
+
+
+def _duck_slot_sync_job() -> str:
+    parts = []
+    for t in SLOT_ORDER:
+        if TABLES[t].slot_mode == "replace":
+            parts.append(f"SELECT '{t}' AS tablename, count(*) AS n_rows FROM ({_body(t)[1]}) v "
+                         f"WHERE {TABLES[t].slot_col} <= (SELECT last FROM fin)")
+        else:
+            wins = [f"slot_no <= {CUT_SLOT}"] + [
+                f"slot_no > (SELECT lo FROM r{k}) AND slot_no <= (SELECT hi FROM r{k})" for k in (1, 2, 3)]
+            cnt = " + ".join(f"(SELECT count(*) FROM ({_windowed(t, w)}) v)" for w in wins)
+            parts.append(f"SELECT '{t}' AS tablename, {cnt} AS n_rows")
+    w = TEST.window
+    rounds = []
+    lo = str(CUT_SLOT)
+    for k in (1, 2, 3):
+        rounds.append(f"r{k} AS (SELECT {lo} AS lo, CASE WHEN {lo} < h - {w.grace} THEN least(h, {lo} + {w.cap}) - "
+                      f"{w.grace} ELSE {lo} END AS hi FROM (SELECT max(slot_no) AS h FROM block) x)")
+        lo = f"(SELECT hi FROM r{k})"
+    return (_with(SLOT_ORDER) + ", " + ", ".join(rounds) + ", fin AS (SELECT hi AS last FROM r3) "
+            "SELECT c.tablename, c.n_rows, (SELECT last FROM fin) AS last_slot_no FROM (" +
+            " UNION ALL ".join(parts) + ") c")
+
+
+def q_epoch_sync_job(spark, sf_dir):
+    """P-06: the 11 epoch tables cut at epoch 40, then one epoch job."""
+    src, wh = _q(spark, sf_dir), scratch(spark)
+    head_slot = source_head(src["block"]).first()["head_slot_no"]
+    for t in EPOCH_ORDER:
+        spec = TABLES[t]
+        df = derive(src, t, opts=TEST).where(F.col("epoch_no") <= CUT_EPOCH)
+        if spec.slot_mode == "append":
+            df = df.withColumn("_batch", F.lit(None).cast("bigint"))
+        wh.overwrite(t, df, spec.part_col)
+        wh.set_watermark(t, slot=head_slot - TEST.window.grace if spec.slot_mode else None, epoch=CUT_EPOCH)
+    epoch_sync_job(src, wh, TEST)
+    return _counts(wh, EPOCH_ORDER)
+
+
+def _duck_epoch_sync_job() -> str:
+    parts = []
+    for t in EPOCH_ORDER:
+        hi = "(SELECT max(epoch_no) - 1 FROM block)" if t in EPOCH_CLOSED else str(CUT_EPOCH + 1)
+        parts.append(f"SELECT '{t}' AS tablename, count(*) AS n_rows "
+                     f"FROM ({_body(t)[1]}) v WHERE epoch_no <= {hi}")
+    return _with(EPOCH_ORDER) + " UNION ALL ".join(parts)
+
+
+GAP_EPOCH, BACKFILL_FROM = 40, 3
+
+
+def q_backfill_epoch(spark, sf_dir):
+    """B-01: tx_hash from epoch 3 over a source whose epoch 40 has no blocks."""
+    src, wh = _q(spark, sf_dir), scratch(spark)
+    gap = {k: src[k] for k in ("tx", "block")}
+    gap["block"] = src["block"].where(F.col("epoch_no") != GAP_EPOCH)
+    backfill_by_epoch(gap, wh, "tx_hash", BACKFILL_FROM, TEST)
+    return wh.read("tx_hash")
+
+
+def _duck_prefix(body: str, start: int, ecol: str = "epoch_no") -> str:
+    return (f"SELECT * FROM ({body}) v WHERE {ecol} IN (SELECT e FROM (SELECT e, e - row_number() OVER (ORDER BY e) "
+            f"AS isl FROM (SELECT DISTINCT {ecol} AS e FROM ({body}) d WHERE {ecol} >= {start}) u) g "
+            f"WHERE isl = {start - 1})")
+
+
+def test_starts() -> dict[str, int]:
+    """Backfill starts scaled to the stand-in's 84 epochs (reference start / 10)."""
+    return {t: s // 10 for t, s in BACKFILL_START.items()}
+
+
+def q_backfill_full(spark, sf_dir):
+    src, wh = _q(spark, sf_dir), scratch(spark)
+    backfill_full(src, wh, "pool_update", TEST)
+    return wh.read("pool_update")
+
+
+def q_backfill_job(spark, sf_dir):
+    """B-03: all 30 tables; rows landed per table."""
+    src, wh = _q(spark, sf_dir), scratch(spark)
+    return backfill_job(src, wh, test_starts(), TEST)
+
+
+def _duck_backfill_job() -> str:
+    parts = []
+    for t, s in test_starts().items():
+        body = _body(t)[1]
+        ecol = "epoch_no"
+        if t == "tx_consumed_output":
+            body = (f"SELECT v.*, eb.epoch_no AS consumed_in_epoch_no FROM ({body}) v JOIN (SELECT DISTINCT slot_no "
+                    f"AS s_, epoch_no FROM block) eb ON eb.s_ = v.consumed_in_slot_no")
+            ecol = "consumed_in_epoch_no"
+        parts.append(f"SELECT '{t}' AS tablename, count(*) AS rows FROM ({_duck_prefix(body, s, ecol)}) x")
+    for t in BACKFILL_FULL:
+        parts.append(f"SELECT '{t}' AS tablename, count(*) AS rows FROM ({_body(t)[1]}) x")
+    return _with(list(BACKFILL_START) + BACKFILL_FULL) + " UNION ALL ".join(parts)
+
+
+def sync_backfill() -> tuple[dict[str, Query], dict[str, str]]:
+    q: dict[str, Query] = {}
+    o: dict[str, str] = {}
+    q["w_source_head"] = q_head
+    o["w_source_head"] = duck_with(["block"]) + DUCK_HEAD[1:-1]
+    q["w_plan_slot_windows"] = q_plan_slots
+    o["w_plan_slot_windows"] = duck_with(["block"]) + duck_plan_sql()
+    q["p_plan_epochs"] = q_plan_epochs
+    o["p_plan_epochs"] = duck_with(["block"]) + _duck_plan_epochs()
+    q["w_empty_batch_policy"] = q_next_watermark
+    o["w_empty_batch_policy"] = _duck_next_watermark()
+    q["p_epoch_empty_policy"] = q_epoch_next_watermark
+    o["p_epoch_empty_policy"] = _duck_epoch_next_watermark()
+    q["w_extract_replace"] = q_extract_replace
+    o["w_extract_replace"] = (_with(["tx"]) + f"SELECT * FROM ({_body('tx')[1]}) v WHERE slot_no BETWEEN "
+                              f"{CUT_SLOT - TEST.window.delete} AND {DUCK_MAX}")
+    q["w_extract_append"] = q_extract_append
+    o["w_extract_append"] = _with(["rel_addr_txout"]) + _windowed(
+        "rel_addr_txout", f"slot_no > {CUT_SLOT} AND slot_no <= {DUCK_MAX}")
+    q["p_extract_epoch"] = q_extract_epoch
+    o["p_extract_epoch"] = _with(["delegation"]) + _windowed("delegation", f"epoch_no = {RELOAD_EPOCH}")
+    q["w_replace_merge"] = q_replace_merge
+    o["w_replace_merge"] = _with(["tx"]) + f"SELECT * FROM ({_body('tx')[1]}) v WHERE slot_no <= {DUCK_MAX}"
+    wins = [f"slot_no <= {CUT_SLOT}", f"slot_no > {CUT_SLOT} AND slot_no <= {DUCK_MAX}"]
+    q["w_append_merge"] = q_append_merge
+    o["w_append_merge"] = _with(["rel_addr_txout"]) + " UNION ALL ".join(
+        f"({_windowed('rel_addr_txout', w)})" for w in wins)
+    q["p_epoch_replace_merge"] = q_epoch_replace
+    o["p_epoch_replace_merge"] = _with(["delegation"]) + " UNION ALL ".join(
+        [f"SELECT * FROM ({_windowed('delegation', w)}) v WHERE epoch_no <> {RELOAD_EPOCH}" for w in wins]
+        + [f"SELECT * FROM ({_body('delegation')[1]}) v WHERE epoch_no = {RELOAD_EPOCH}"])
+    q["p_epoch_append_merge"] = q_epoch_append
+    o["p_epoch_append_merge"] = (_with(["reward"]) + f"SELECT * FROM ({_body('reward')[1]}) v "
+                                 f"WHERE epoch_no <= {CUT_EPOCH + 1}")
+    q["w_slot_sync_job"] = q_slot_sync_job
+    o["w_slot_sync_job"] = _duck_slot_sync_job()
+    q["p_epoch_sync_job"] = q_epoch_sync_job
+    o["p_epoch_sync_job"] = _duck_epoch_sync_job()
+    q["b_backfill_by_epoch"] = q_backfill_epoch
+    th = _body("tx_hash")[1].replace("JOIN block b ON b.id = t.block_id",
+                                     f"JOIN (SELECT * FROM block WHERE epoch_no <> {GAP_EPOCH}) b ON b.id = t.block_id")
+    o["b_backfill_by_epoch"] = _with(["tx_hash"]) + _duck_prefix(th, BACKFILL_FROM)
+    q["b_backfill_full"] = q_backfill_full
+    o["b_backfill_full"] = _with(["pool_update"]) + _body("pool_update")[1]
+    q["b_backfill_job"] = q_backfill_job
+    o["b_backfill_job"] = _duck_backfill_job()
+    return q, o
+
+
+PARTS = (validation, sources_sinks, sync_backfill)
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
-    for part in (validation,):
+    for part in PARTS:
         out.update(part()[0])
     return out
 
 
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
-    for part in (validation,):
+    for part in PARTS:
         out.update(part()[1])
     return out

@@ -115,17 +115,21 @@ def tx_in_out(src: Catalog, where: Column | None = None) -> DataFrame:
     )
 
 
-def tx_consumed_output(src: Catalog, where: Column | None = None) -> DataFrame:
-    """D-06: producer pointer -> consumer pointer. ``where`` selects consumer blocks."""
+def tx_consumed_output(src: Catalog, where: Column | None = None, with_epoch: bool = False) -> DataFrame:
+    """D-06: producer pointer -> consumer pointer. ``where`` selects consumer blocks.
+
+    ``with_epoch`` keeps the consumer's epoch (``consumed_in_epoch_no``), the
+    storage partition of this table, which has no epoch column of its own.
+    """
     producer = tx_pointer(src).select(
         F.col("tx_id").alias("tx_out_id"), "slot_no", "txidx")
     consumer = tx_pointer(src, where).select(
         F.col("tx_id").alias("tx_in_id"), F.col("slot_no").alias("consumed_in_slot_no"),
-        F.col("txidx").alias("consumed_in_txidx"))
+        F.col("txidx").alias("consumed_in_txidx"), F.col("epoch_no").alias("consumed_in_epoch_no"))
+    cols = ["slot_no", "txidx", F.col("tx_out_index").alias("index"), "consumed_in_slot_no", "consumed_in_txidx"]
     return (
         src["tx_in"].join(consumer, "tx_in_id").join(producer, "tx_out_id")
-        .select("slot_no", "txidx", F.col("tx_out_index").alias("index"),
-                "consumed_in_slot_no", "consumed_in_txidx")
+        .select(*cols, *(["consumed_in_epoch_no"] if with_epoch else []))
     )
 
 
