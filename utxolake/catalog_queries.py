@@ -505,8 +505,9 @@ def _cut_target(src, wh: Warehouse, table: str) -> None:
     if spec.slot_mode == "replace":
         df = derive(src, table, opts=TEST).where(F.col(spec.slot_col) <= CUT_SLOT)
         stale = F.col(spec.slot_col) > CUT_SLOT - TEST.window.delete
-        col = next(c for c in ("txidx", "announced_txidx", "block_size", "block_hash") if c in df.columns)
-        wrong = F.reverse(F.col(col)) if col == "block_hash" else F.col(col) + 1000
+        col = next(c for c in ("txidx", "announced_txidx", "block_size", "block_hash", "stake_addr_hash")
+                   if c in df.columns)
+        wrong = F.reverse(F.col(col)) if col.endswith("hash") else F.col(col) + 1000
         df = df.withColumn(col, F.when(stale, wrong).otherwise(F.col(col)))
         wh.overwrite(table, df, spec.part_col)
     else:
