@@ -721,7 +721,40 @@ def sync_backfill() -> tuple[dict[str, Query], dict[str, str]]:
     return q, o
 
 
-PARTS = (validation, sources_sinks, sync_backfill)
+# --- W-09: stream ------------------------------------------------------------------
+
+ROLLBACK_SLOTS = 10
+
+
+def q_stream(spark, sf_dir):
+    """W-09: blocks arrive as one file per epoch, then a late file rewrites the
+    last 10 slots (rollback: their time moves by an hour); tx after the stream."""
+    from .streaming.block_stream import stream_sync
+    src, wh = _q(spark, sf_dir), scratch(spark)
+    blocks = src["block"]
+    block_dir = f"{wh.root}/incoming_blocks"
+    epochs = [r[0] for r in blocks.select("epoch_no").distinct().orderBy("epoch_no").collect()]  # one per epoch
+    for e in epochs:
+        blocks.where(F.col("epoch_no") == e).coalesce(1).write.mode("append").parquet(block_dir)
+    top = blocks.agg(F.max("slot_no")).first()[0]
+    late = (blocks.where(F.col("slot_no") > top - ROLLBACK_SLOTS)
+            .withColumn("time", F.col("time") + F.expr("INTERVAL 1 HOUR")))
+    late.coalesce(1).write.mode("append").parquet(block_dir)
+    stream_sync(spark, src, block_dir, wh, ["tx"], TEST, files_per_batch=8, block_schema=blocks.schema)
+    return wh.read("tx")
+
+
+def streaming() -> tuple[dict[str, Query], dict[str, str]]:
+    body = _body("tx")[1].replace(
+        "JOIN block b ON b.id = t.block_id",
+        f"JOIN (SELECT * REPLACE (CASE WHEN slot_no > (SELECT max(slot_no) FROM block) - {ROLLBACK_SLOTS} "
+        f"THEN time + INTERVAL 1 HOUR ELSE time END AS time) FROM block) b ON b.id = t.block_id")
+    return ({"w_stream_sync": q_stream},
+            {"w_stream_sync": _with(["tx"]) + f"SELECT * FROM ({body}) v WHERE slot_no <= "
+                                              f"(SELECT max(slot_no) FROM block) - {TEST.window.grace}"})
+
+
+PARTS = (validation, sources_sinks, sync_backfill, streaming)
 
 
 def queries() -> dict[str, Query]:
