@@ -31,7 +31,7 @@ from .plans.sync import (SyncOptions, backfill_by_epoch, backfill_full, backfill
 from .plans.windows import SlotWindowConfig, plan_epochs, plan_slot_windows, source_head
 from .session import ensure_checkpoint_dir
 from .sources.csv_stage import read_stage_csv, write_stage_csv
-from .sources.loader import export_source, load_source
+from .sources.loader import MaterializedCatalog, export_source, load_source
 from .sources.schemas import enforce_schema
 from .sources.sinks import LAST_INDEX_SCHEMA, Warehouse, watermark_upsert
 from .sources.standin import StandIn, duck_with
@@ -98,6 +98,11 @@ def _q(spark: SparkSession, sf_dir: str) -> StandIn:
     return StandIn(spark, sf_dir)
 
 
+def _mat(spark: SparkSession, sf_dir: str, wh: Warehouse) -> MaterializedCatalog:
+    """The stand-in source written once to the job's shared folder (what a source export is)."""
+    return MaterializedCatalog(StandIn(spark, sf_dir), f"{wh.root}/source")
+
+
 def _quote(names) -> str:
     return ", ".join(f"'{n}'" for n in sorted(names))
 
@@ -183,8 +188,8 @@ def q_freshness(spark, sf_dir):
 
 def q_deep_compare(spark, sf_dir):
     """V-12: every table copied in full, then both sides fingerprinted and compared."""
-    src = _q(spark, sf_dir)
     wh = scratch(spark)
+    src = _mat(spark, sf_dir, wh)
     out = None
     for t in SPECS:
         backfill_full(src, wh, t, TEST)
@@ -518,7 +523,8 @@ def _cut_target(src, wh: Warehouse, table: str) -> None:
 
 def q_replace_merge(spark, sf_dir):
     """W-05: tx target cut at slot 1500 with 10 stale slots, after one window."""
-    src, wh = _q(spark, sf_dir), scratch(spark)
+    wh = scratch(spark)
+    src = _mat(spark, sf_dir, wh)
     _cut_target(src, wh, "tx")
     sync_table_slots(src, wh, "tx", CUT_SLOT, source_head(src["block"]).first()["head_slot_no"], TEST)
     return wh.read("tx")
@@ -526,7 +532,8 @@ def q_replace_merge(spark, sf_dir):
 
 def q_append_merge(spark, sf_dir):
     """W-06: rel_addr_txout appended window by window."""
-    src, wh = _q(spark, sf_dir), scratch(spark)
+    wh = scratch(spark)
+    src = _mat(spark, sf_dir, wh)
     _cut_target(src, wh, "rel_addr_txout")
     sync_table_slots(src, wh, "rel_addr_txout", CUT_SLOT, source_head(src["block"]).first()["head_slot_no"], TEST)
     return wh.read("rel_addr_txout")
@@ -534,7 +541,8 @@ def q_append_merge(spark, sf_dir):
 
 def q_epoch_replace(spark, sf_dir):
     """P-03: delegation appended by two slot windows, then epoch 50 reloaded whole."""
-    src, wh = _q(spark, sf_dir), scratch(spark)
+    wh = scratch(spark)
+    src = _mat(spark, sf_dir, wh)
     _cut_target(src, wh, "delegation")
     sync_table_slots(src, wh, "delegation", CUT_SLOT, source_head(src["block"]).first()["head_slot_no"], TEST)
     rows = wh.write_stage(extract_epoch(src, "delegation", RELOAD_EPOCH, TEST), "delegation", part_col="epoch_no")
@@ -545,7 +553,8 @@ def q_epoch_replace(spark, sf_dir):
 
 def q_epoch_append(spark, sf_dir):
     """P-04: reward loaded up to epoch 40, then the next epoch."""
-    src, wh = _q(spark, sf_dir), scratch(spark)
+    wh = scratch(spark)
+    src = _mat(spark, sf_dir, wh)
     wh.overwrite("reward", derive(src, "reward").where(F.col("epoch_no") <= CUT_EPOCH), "epoch_no")
     rows = wh.write_stage(extract_epoch(src, "reward", CUT_EPOCH + 1), "reward", part_col="epoch_no")
     if rows:
@@ -563,7 +572,8 @@ def _counts(wh: Warehouse, tables: list[str]) -> DataFrame:
 
 def q_slot_sync_job(spark, sf_dir):
     """W-08: all 23 slot tables cut at slot 1500, synced to the head in capped rounds."""
-    src, wh = _q(spark, sf_dir), scratch(spark)
+    wh = scratch(spark)
+    src = _mat(spark, sf_dir, wh)
     for t in SLOT_ORDER:
         _cut_target(src, wh, t)
     slot_sync_job(src, wh, TEST)
@@ -600,7 +610,8 @@ def _duck_slot_sync_job() -> str:
 
 def q_epoch_sync_job(spark, sf_dir):
     """P-06: the 11 epoch tables cut at epoch 40, then one epoch job."""
-    src, wh = _q(spark, sf_dir), scratch(spark)
+    wh = scratch(spark)
+    src = _mat(spark, sf_dir, wh)
     head_slot = source_head(src["block"]).first()["head_slot_no"]
     for t in EPOCH_ORDER:
         spec = TABLES[t]
@@ -627,7 +638,8 @@ GAP_EPOCH, BACKFILL_FROM = 40, 3
 
 def q_backfill_epoch(spark, sf_dir):
     """B-01: tx_hash from epoch 3 over a source whose epoch 40 has no blocks."""
-    src, wh = _q(spark, sf_dir), scratch(spark)
+    wh = scratch(spark)
+    src = _mat(spark, sf_dir, wh)
     gap = {k: src[k] for k in ("tx", "block")}
     gap["block"] = src["block"].where(F.col("epoch_no") != GAP_EPOCH)
     backfill_by_epoch(gap, wh, "tx_hash", BACKFILL_FROM, TEST)
@@ -646,14 +658,16 @@ def test_starts() -> dict[str, int]:
 
 
 def q_backfill_full(spark, sf_dir):
-    src, wh = _q(spark, sf_dir), scratch(spark)
+    wh = scratch(spark)
+    src = _mat(spark, sf_dir, wh)
     backfill_full(src, wh, "pool_update", TEST)
     return wh.read("pool_update")
 
 
 def q_backfill_job(spark, sf_dir):
     """B-03: all 30 tables; rows landed per table."""
-    src, wh = _q(spark, sf_dir), scratch(spark)
+    wh = scratch(spark)
+    src = _mat(spark, sf_dir, wh)
     return backfill_job(src, wh, test_starts(), TEST)
 
 
@@ -730,7 +744,8 @@ def q_stream(spark, sf_dir):
     """W-09: blocks arrive as one file per epoch, then a late file rewrites the
     last 10 slots (rollback: their time moves by an hour); tx after the stream."""
     from .streaming.block_stream import stream_sync
-    src, wh = _q(spark, sf_dir), scratch(spark)
+    wh = scratch(spark)
+    src = _mat(spark, sf_dir, wh)
     blocks = src["block"]
     block_dir = f"{wh.root}/incoming_blocks"
     epochs = [r[0] for r in blocks.select("epoch_no").distinct().orderBy("epoch_no").collect()]  # one per epoch

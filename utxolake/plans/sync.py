@@ -85,7 +85,7 @@ def merge_replace(wh: Warehouse, table: str, clean: int) -> int:
     spec = TABLES[table]
     part, slot = spec.part_col, spec.slot_col
     staged = wh.read_stage(table)
-    touched = _touched(staged, part)
+    touched = wh.partitions(wh.staging(table, "stage"), part)
     if wh.has(table):
         old = wh.read(table, hidden=True)
         touched |= _touched(old.where(F.col(slot) >= clean), part)
@@ -94,7 +94,7 @@ def merge_replace(wh: Warehouse, table: str, clean: int) -> int:
     else:
         merged = staged
     n = wh.write_stage(merged, table, "merged", part)
-    wh.replace_partitions(table, wh.read_stage(table, "merged"), part, touched)
+    wh.replace_partitions(table, wh.staging(table, "merged"), part, touched)
     return n
 
 
@@ -102,7 +102,7 @@ def merge_append(wh: Warehouse, table: str, batch: int) -> int:
     """W-06: add the staged rows, replacing an earlier attempt of the same batch."""
     part = TABLES[table].part_col
     staged = wh.read_stage(table).withColumn("_batch", F.lit(batch).cast("bigint"))
-    touched = _touched(staged, part)
+    touched = wh.partitions(wh.staging(table, "stage"), part)
     if wh.has(table):
         old = wh.read(table, hidden=True)
         keep = old.where(F.col(part).isin(sorted(touched)) & ~F.col("_batch").eqNullSafe(batch))
@@ -110,7 +110,7 @@ def merge_append(wh: Warehouse, table: str, batch: int) -> int:
     else:
         merged = staged
     n = wh.write_stage(merged, table, "merged", part)
-    wh.replace_partitions(table, wh.read_stage(table, "merged"), part, touched)
+    wh.replace_partitions(table, wh.staging(table, "merged"), part, touched)
     return n
 
 
@@ -127,7 +127,8 @@ def merge_epochs(wh: Warehouse, table: str, epochs: set) -> None:
         staged = staged.withColumn("_batch", F.lit(None).cast("bigint"))
     if wh.has(table):
         staged = staged.select(*wh.read(table, hidden=True).columns)
-    wh.replace_partitions(table, staged, part, epochs)
+    wh.write_stage(staged, table, "merged", part)
+    wh.replace_partitions(table, wh.staging(table, "merged"), part, epochs)
 
 
 def next_watermark(policy: str, rows: int, planned: int, current: int, stall_safe: bool = True) -> int:
@@ -217,7 +218,7 @@ def epoch_sync_job(src, wh: Warehouse, opts: SyncOptions | None = None, tables:
             continue
         stage = extract_epochs(src, table, epochs, opts)
         rows = wh.write_stage(stage, table, part_col=spec.part_col)
-        loaded = _touched(wh.read_stage(table), spec.part_col) if rows else set()
+        loaded = wh.partitions(wh.staging(table, "stage"), spec.part_col) if rows else set()
         if rows:
             merge_epochs(wh, table, set(epochs))
         # P-05: an empty epoch keeps the watermark unless the table advances on empty

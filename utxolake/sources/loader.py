@@ -64,3 +64,35 @@ def export_source(src: Mapping[str, DataFrame], path: str, names: list[str], par
         w = src[n].write.mode("overwrite").option("partitionOverwriteMode", "static")
         col = (part_col or {}).get(n)
         (w.partitionBy(col) if col else w).parquet(f"{path.rstrip('/')}/{n}")
+
+
+class MaterializedCatalog(Mapping):
+    """The relations of ``src``, each written once below ``root`` and read back.
+
+    Cuts the lineage of computed sources (a job that derives many windows reads
+    Parquet instead of recomputing the relation each time) and survives the
+    loss of executors: the files live on shared storage. ``block`` is written
+    sorted by slot so that slot windows skip row groups.
+    """
+
+    SORT = {"block": ["slot_no"], "tx": ["block_id"]}
+
+    def __init__(self, src: Mapping[str, DataFrame], root: str):
+        self.src, self.root = src, root.rstrip("/")
+        self._cache: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._cache:
+            df = self.src[name]
+            if name in self.SORT:
+                df = df.sortWithinPartitions(*self.SORT[name])
+            path = f"{self.root}/{name}"
+            df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+            self._cache[name] = df.sparkSession.read.parquet(path)
+        return self._cache[name]
+
+    def __iter__(self):
+        return iter(SOURCE_RELATIONS)
+
+    def __len__(self) -> int:
+        return len(SOURCE_RELATIONS)
