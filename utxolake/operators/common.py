@@ -24,11 +24,28 @@ def blocks(src: Catalog, where: Column | None = None) -> DataFrame:
     return b if where is None else b.where(where)
 
 
+def id_range(df: DataFrame, key: str, ids: DataFrame, ids_key: str) -> DataFrame:
+    """Add ``key BETWEEN min AND max`` of ``ids`` as a literal predicate.
+
+    Source ids grow with the chain, so a slot window maps to a narrow id range;
+    as a literal the range reaches the Parquet scan and skips row groups by
+    their min/max statistics (a join alone would read the whole relation). Only
+    the two bounds come to the driver.
+    """
+    lo, hi = ids.agg(F.min(ids_key), F.max(ids_key)).first()
+    if lo is None:
+        return df.where(F.lit(False))
+    return df.where(F.col(key).between(lo, hi))
+
+
 def tx_block(src: Catalog, where: Column | None = None) -> DataFrame:
     """Transactions with their block: ``tx_id, epoch_no, slot_no, block_time, txidx`` + tx columns."""
     b = blocks(src, where).select(
         F.col("id").alias("block_id"), "epoch_no", "slot_no", F.col("time").alias("block_time"))
-    return src["tx"].withColumnRenamed("id", "tx_id").join(b, "block_id").withColumnRenamed("block_index", "txidx")
+    t = src["tx"]
+    if where is not None:
+        t = id_range(t, "block_id", b, "block_id")
+    return t.withColumnRenamed("id", "tx_id").join(b, "block_id").withColumnRenamed("block_index", "txidx")
 
 
 def tx_pointer(src: Catalog, where: Column | None = None, prefix: str = "") -> DataFrame:
@@ -50,4 +67,4 @@ def restrict(df: DataFrame, key: str, ids: DataFrame | None, ids_key: str = "tx_
     """
     if ids is None:
         return df
-    return df.join(ids.select(F.col(ids_key).alias(key)), key, "left_semi")
+    return id_range(df, key, ids, ids_key).join(ids.select(F.col(ids_key).alias(key)), key, "left_semi")

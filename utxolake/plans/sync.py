@@ -88,7 +88,10 @@ def merge_replace(wh: Warehouse, table: str, clean: int) -> int:
     touched = wh.partitions(wh.staging(table, "stage"), part)
     if wh.has(table):
         old = wh.read(table, hidden=True)
-        touched |= _touched(old.where(F.col(slot) >= clean), part)
+        # rows with slot >= clean sit in the staged epochs or later ones (later
+        # ones exist only after a rollback shortened the chain): a listing, no scan
+        first = min(touched)
+        touched |= {p for p in wh.partitions(wh.path(table), part) if p >= first}
         keep = old.where(F.col(part).isin(sorted(touched)) & (F.col(slot) < clean))
         merged = keep.unionByName(staged.select(*old.columns))
     else:
@@ -167,9 +170,10 @@ def slot_sync_job(src, wh: Warehouse, opts: SyncOptions | None = None, tables: l
     opts = opts or SyncOptions()
     spark = wh.spark
     head = source_head(src["block"]).first()
+    marks = {r["tablename"]: r["last_slot_no"] for r in wh.last_index().collect()}  # one row per table
     report = []
     for table in tables or SLOT_ORDER:
-        last = wh.watermark(table)[0]
+        last = marks.get(table)
         for rnd in range(1, opts.window.rounds + 1):
             if last is None or last >= head["head_slot_no"] - opts.window.grace:
                 break
