@@ -326,6 +326,11 @@ class StandIn:
         # a.g = b.g + 7 over the global (tx_id, index) order, computed without a
         # single-partition window.
         out = global_ordinal(self["tx_out"].select("tx_id", "index"), ["tx_id", "index"])
+        # both join sides read one reliable checkpoint (shared checkpoint dir):
+        # the ordinal is computed once instead of once per side and branch
+        from ..session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(self.spark)
+        out = out.checkpoint(eager=True)
         a = out.alias("a")
         b = out.alias("b")
         return (
