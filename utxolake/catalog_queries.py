@@ -168,15 +168,10 @@ def q_row_diff(spark, sf_dir):
 
 def q_audit(spark, sf_dir):
     """V-10: audit rows (clock columns left out) of the tx comparison, appended to a log table."""
+    from .plans.validate import audit_rows
     wh = scratch(spark)
-    cmp = q_compare(spark, sf_dir)
-    rows = cmp.select(
-        "epoch_no", F.lit("tx").alias("table_name"), F.current_timestamp().alias("start_time"),
-        F.current_timestamp().alias("end_time"), F.lit("derive(tx)").alias("pg_query"),
-        F.lit("altered copy of tx").alias("bq_query"),
-        F.coalesce("left_hash", F.lit("empty")).alias("pg_hash"),
-        F.coalesce("right_hash", F.lit("empty")).alias("bq_hash"))
-    wh.append("log_deep_comparison", rows, None)
+    cmp = q_compare(spark, sf_dir).withColumn("tablename", F.lit("tx"))
+    wh.append("log_deep_comparison", audit_rows(cmp, "derive(tx)", "altered copy of tx"), None)
     return wh.read("log_deep_comparison").drop("start_time", "end_time")
 
 
@@ -188,22 +183,15 @@ def q_freshness(spark, sf_dir):
 
 def q_deep_compare(spark, sf_dir):
     """V-12: every table copied in full, then both sides fingerprinted and compared."""
+    from .plans.validate import deep_compare_job
     wh = scratch(spark)
     src = _mat(spark, sf_dir, wh)
-    out = None
     for t in SPECS:
         backfill_full(src, wh, t, TEST)
-        left = fingerprint_table(t, derive_for_test(src, t), blocks=src["block"])
-        right = fingerprint_table(t, wh.read(t), blocks=src["block"])
-        keys = [*SPECS[t].by, *(["shard"] if SPECS[t].shards else [])]
-        c = (fingerprint_compare(left, right, keys) if keys else
-             left.crossJoin(right.select(F.col("n_rows").alias("r_n"), F.col("hash_b64").alias("r_h")))
-             .select(F.when(F.col("hash_b64") == F.col("r_h"), "equal").otherwise("differ").alias("status")))
-        agg = c.agg(F.lit(t).alias("tablename"),
-                    *[F.count_if(F.col("status") == s).alias(f"n_{s}") for s in
-                      ("equal", "differ", "left_only", "right_only")])
-        out = agg if out is None else out.unionByName(agg)
-    return out
+    kw = {t: {"cluster_size": CLUSTER} for t in ("rel_addr_txout", "rel_stake_txout")}
+    cmp = deep_compare_job(src, wh, list(SPECS), derive_kw=kw)
+    return cmp.groupBy("tablename").agg(
+        *[F.count_if(F.col("status") == s).alias(f"n_{s}") for s in ("equal", "differ", "left_only", "right_only")])
 
 
 def _duck_fp_groups(t: str) -> str:
