@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -562,8 +563,8 @@ def q_slot_sync_job(spark, sf_dir):
     """W-08: all 23 slot tables cut at slot 1500, synced to the head in capped rounds."""
     wh = scratch(spark)
     src = _mat(spark, sf_dir, wh)
-    for t in SLOT_ORDER:
-        _cut_target(src, wh, t)
+    with ThreadPoolExecutor(max_workers=TEST.parallel_tables) as pool:
+        list(pool.map(lambda t: _cut_target(src, wh, t), SLOT_ORDER))
     slot_sync_job(src, wh, TEST)
     li = wh.last_index().select("tablename", "last_slot_no")
     return _counts(wh, SLOT_ORDER).join(li, "tablename")

@@ -17,6 +17,7 @@ round, one value per touched epoch.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -38,6 +39,7 @@ class SyncOptions:
     cluster_size: int = 1000
     stall_safe: bool = True  # Q6: "keep" on an empty capped window would stall; advance instead
     catch_up: bool = True  # P-01 mode closed_all
+    parallel_tables: int = 4  # independent tables run as concurrent Spark jobs
 
 
 def derive(src, table: str, where: Column | None = None, opts: SyncOptions | None = None) -> DataFrame:
@@ -171,17 +173,21 @@ def slot_sync_job(src, wh: Warehouse, opts: SyncOptions | None = None, tables: l
     spark = wh.spark
     head = source_head(src["block"]).first()
     marks = {r["tablename"]: r["last_slot_no"] for r in wh.last_index().collect()}  # one row per table
-    report = []
-    for table in tables or SLOT_ORDER:
-        last = marks.get(table)
+
+    def one_table(table: str) -> list[tuple]:
+        out, last = [], marks.get(table)
         for rnd in range(1, opts.window.rounds + 1):
             if last is None or last >= head["head_slot_no"] - opts.window.grace:
                 break
             rows, new = sync_table_slots(src, wh, table, last, head["head_slot_no"], opts)
-            report.append((table, rnd, last, new, rows))
+            out.append((table, rnd, last, new, rows))
             if new == last:
                 break
             last = new
+        return out
+
+    with ThreadPoolExecutor(max_workers=max(1, opts.parallel_tables)) as pool:
+        report = [row for rows in pool.map(one_table, tables or SLOT_ORDER) for row in rows]
     wh.set_watermark("source", slot=head["head_slot_no"], epoch=head["head_epoch_no"])
     return spark.createDataFrame(report, "tablename STRING, round INT, from_slot_no BIGINT, "
                                          "last_slot_no BIGINT, rows BIGINT")
@@ -207,11 +213,11 @@ def epoch_sync_job(src, wh: Warehouse, opts: SyncOptions | None = None, tables:
         due.setdefault(r["tablename"], []).append(r["epoch_no"])
     epoch_end = ({r[0]: r[1] for r in src["block"].groupBy("epoch_no").agg(F.max("slot_no")).collect()}
                  if any(TABLES[t].epoch_mode == "closed" for t in due) else {})  # one row per epoch
-    report = []
-    for table in tables:
+    def one_table(table: str) -> list[tuple]:
+        report: list[tuple] = []
         epochs = sorted(due.get(table, []))
         if not epochs:
-            continue
+            return report
         spec = TABLES[table]
         if spec.epoch_mode == "closed":
             last_slot = wh.watermark(table)[0]
@@ -219,7 +225,7 @@ def epoch_sync_job(src, wh: Warehouse, opts: SyncOptions | None = None, tables:
             report += [(table, e, 0, "waiting_for_slot_sync") for e in epochs if e not in ready]
             epochs = ready
         if not epochs:
-            continue
+            return report
         stage = extract_epochs(src, table, epochs, opts)
         rows = wh.write_stage(stage, table, part_col=spec.part_col)
         loaded = wh.partitions(wh.staging(table, "stage"), spec.part_col) if rows else set()
@@ -235,6 +241,10 @@ def epoch_sync_job(src, wh: Warehouse, opts: SyncOptions | None = None, tables:
         if upto is not None:
             wh.set_watermark(table, epoch=upto)
         report += [(table, e, None, "loaded" if e in loaded else "empty") for e in epochs]
+        return report
+
+    with ThreadPoolExecutor(max_workers=max(1, opts.parallel_tables)) as pool:
+        report = [row for rows in pool.map(one_table, tables) for row in rows]
     return spark.createDataFrame(report, "tablename STRING, epoch_no BIGINT, rows BIGINT, status STRING")
 
 
@@ -267,11 +277,14 @@ def backfill_job(src, wh: Warehouse, starts: dict[str, int] | None = None, opts:
     """
     starts = BACKFILL_START if starts is None else starts
     tables = tables or (list(starts) + BACKFILL_FULL)
-    report = []
-    for table in tables:
-        n = (backfill_by_epoch(src, wh, table, starts[table], opts) if table in starts
-             else backfill_full(src, wh, table, opts))
-        report.append((table, n))
+    opts = opts or SyncOptions()
+
+    def one_table(table: str) -> tuple[str, int]:
+        return table, (backfill_by_epoch(src, wh, table, starts[table], opts) if table in starts
+                       else backfill_full(src, wh, table, opts))
+
+    with ThreadPoolExecutor(max_workers=max(1, opts.parallel_tables)) as pool:
+        report = list(pool.map(one_table, tables))
     loaded = [t for t in tables if TABLES[t].part_col and wh.has(t)]
     if loaded:
         ends = src["block"].groupBy("epoch_no").agg(F.max("slot_no").alias("last_slot_no"))

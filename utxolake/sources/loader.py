@@ -9,6 +9,7 @@ whole relation.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -80,8 +81,13 @@ class MaterializedCatalog(Mapping):
     def __init__(self, src: Mapping[str, DataFrame], root: str):
         self.src, self.root = src, root.rstrip("/")
         self._cache: dict[str, DataFrame] = {}
+        self._lock = threading.RLock()  # parallel table jobs ask for the same relations
 
     def __getitem__(self, name: str) -> DataFrame:
+        with self._lock:
+            return self._get(name)
+
+    def _get(self, name: str) -> DataFrame:
         if name not in self._cache:
             df = self.src[name]
             if name in self.SORT:

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import itertools
 import re
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -293,14 +294,16 @@ class StandIn:
         self._cache: dict[str, DataFrame] = {}
         self.builders: dict[str, Callable[[], DataFrame]] = {"tx_in": self._tx_in}
         self._tag = f"_standin{next(_SEQ)}"
+        self._lock = threading.RLock()
 
     def base(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._cache:
-            self._cache[name] = self._build(name)
-        return self._cache[name]
+        with self._lock:
+            if name not in self._cache:
+                self._cache[name] = self._build(name)
+            return self._cache[name]
 
     def __contains__(self, name: str) -> bool:
         return name in self._rules
