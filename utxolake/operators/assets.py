@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 
 from ..functions.encoding import b64_text, hex_text, json_text
 from ..functions.lists import ordered_list
-from .common import Catalog, tx_pointer
+from .common import Catalog, in_window, tx_pointer
 
 
 def ma_minting(src: Catalog, where: Column | None = None) -> DataFrame:
     """D-15: mints per (epoch, asset) as ``[{quantity, slot_no, txidx}]`` ordered by
     slot, txidx, then the asset columns. Aggregated before the asset join."""
+    ptr = tx_pointer(src, where)
     per_asset = (
-        src["ma_tx_mint"].select("id", "ident", "quantity", "tx_id")
-        .join(tx_pointer(src, where), "tx_id")
+        in_window(src["ma_tx_mint"], "tx_id", ptr, where).select("id", "ident", "quantity", "tx_id")
+        .join(ptr, "tx_id")
         .groupBy("epoch_no", "ident")
         .agg(ordered_list([F.col("slot_no"), F.col("txidx"), F.col("id")],
                           F.struct("quantity", "slot_no", "txidx")).alias("minting"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.encoding import canonical_json, hex_text, json_text
 from ..functions.lists import ordered_list
-from .common import Catalog, blocks, restrict, tx_block, tx_pointer
+from .common import Catalog, blocks, in_window, restrict, tx_block, tx_pointer
 
 
 def block(src: Catalog, where: Column | None = None) -> DataFrame:
@@ -128,7 +128,8 @@ def tx_consumed_output(src: Catalog, where: Column | None = None, with_epoch: bo
         F.col("txidx").alias("consumed_in_txidx"), F.col("epoch_no").alias("consumed_in_epoch_no"))
     cols = ["slot_no", "txidx", F.col("tx_out_index").alias("index"), "consumed_in_slot_no", "consumed_in_txidx"]
     return (
-        src["tx_in"].join(consumer, "tx_in_id").join(producer, "tx_out_id")
+        in_window(src["tx_in"], "tx_in_id", consumer, where, "tx_in_id").join(consumer, "tx_in_id")
+        .join(producer, "tx_out_id")
         .select(*cols, *(["consumed_in_epoch_no"] if with_epoch else []))
     )
 
@@ -156,7 +157,8 @@ def collateral(src: Catalog, where: Column | None = None) -> DataFrame:
     spender = tx_pointer(src, where).withColumnRenamed("tx_id", "tx_in_id")
     spent = tx_pointer(src, prefix="o_").withColumnRenamed("o_tx_id", "tx_out_id")
     return (
-        src["collateral_tx_in"].join(spender, "tx_in_id").join(spent, "tx_out_id")
+        in_window(src["collateral_tx_in"], "tx_in_id", spender, where, "tx_in_id").join(spender, "tx_in_id")
+        .join(spent, "tx_out_id")
         .select("epoch_no", "slot_no", "txidx", F.col("o_epoch_no").alias("epoch_no_out"),
                 F.col("o_slot_no").alias("slot_no_out"), F.col("o_txidx").alias("txidx_out"), "tx_out_index")
     )

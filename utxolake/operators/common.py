@@ -68,3 +68,12 @@ def restrict(df: DataFrame, key: str, ids: DataFrame | None, ids_key: str = "tx_
     if ids is None:
         return df
     return id_range(df, key, ids, ids_key).join(ids.select(F.col(ids_key).alias(key)), key, "left_semi")
+
+
+def in_window(df: DataFrame, key: str, ptr: DataFrame, where: Column | None, ptr_key: str = "tx_id") -> DataFrame:
+    """``df`` limited to the id range of the windowed pointer (no-op without a window).
+
+    The join with ``ptr`` that follows keeps the result exact; the literal range
+    lets the scan of ``df`` skip row groups outside the window.
+    """
+    return df if where is None else id_range(df, key, ptr, ptr_key)

@@ -7,7 +7,7 @@ a hot address into one task. Here the rank is split in two:
 
 * ``off``: outputs of the same (epoch, address) in earlier slots - a running
   sum over per-slot counts, one row per (epoch, address, slot), so at most the
-  number of slots of an epoch per key;
+  number of slots (blocks) of an epoch per key;
 * the rank inside (epoch, address, slot) - one block's outputs at most.
 
 The final grouping is by cluster, so no list and no task holds more than
@@ -21,15 +21,21 @@ from pyspark.sql import functions as F
 
 from ..functions.encoding import hex_text, json_text
 from ..functions.lists import ordered_list
-from .common import Catalog, tx_pointer
+from .common import Catalog, in_window, tx_pointer
 
 CLUSTER_SIZE = 1000
 
 
-def clustered(rows: DataFrame, keys: list[str], cluster_size: int) -> DataFrame:
-    """Add ``cluster_no`` to rows carrying ``epoch_no, *keys, slot_no, txidx, idx``."""
+def clustered(rows: DataFrame, keys: list[str], cluster_size: int, base: DataFrame | None = None) -> DataFrame:
+    """Add ``cluster_no`` to rows carrying ``epoch_no, *keys, slot_no, txidx, idx``.
+
+    The per-slot counts are an aggregate with map-side combine (only one row
+    per key, slot and map task is shuffled). ``base`` may give the same rows
+    before lookups that do not change their number (left joins on unique
+    keys), so that those lookups run once.
+    """
     part = ["epoch_no", *keys]
-    per_slot = rows.groupBy(*part, "slot_no").agg(F.count(F.lit(1)).alias("_n"))
+    per_slot = (base if base is not None else rows).groupBy(*part, "slot_no").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*part).orderBy("slot_no").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_slot.select(*part, "slot_no", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     in_slot = Window.partitionBy(*part, "slot_no").orderBy("txidx", "idx")
@@ -47,7 +53,8 @@ def _output_list() -> Column:
 
 
 def _outputs(src: Catalog, where: Column | None) -> DataFrame:
-    return src["tx_out"].join(tx_pointer(src, where), "tx_id").withColumnRenamed("index", "idx")
+    ptr = tx_pointer(src, where)
+    return in_window(src["tx_out"], "tx_id", ptr, where).join(ptr, "tx_id").withColumnRenamed("index", "idx")
 
 
 def rel_addr_txout(src: Catalog, where: Column | None = None, cluster_size: int = CLUSTER_SIZE) -> DataFrame:
@@ -55,8 +62,9 @@ def rel_addr_txout(src: Catalog, where: Column | None = None, cluster_size: int
     datums = src["datum"].select(F.col("id").alias("inline_datum_id"), hex_text("hash").alias("inline_datum"))
     scripts = src["script"].select(F.col("id").alias("reference_script_id"),
                                    hex_text("hash").alias("reference_script"))
+    outs = _outputs(src, where)
     rows = (
-        _outputs(src, where)
+        outs
         .join(datums, "inline_datum_id", "left")
         .join(scripts, "reference_script_id", "left")
         .select("epoch_no", "address", "address_has_script", hex_text("payment_cred").alias("payment_cred"),
@@ -65,7 +73,7 @@ def rel_addr_txout(src: Catalog, where: Column | None = None, cluster_size: int
     )
     attrs = ["address_has_script", "payment_cred", "data_hash", "inline_datum", "reference_script"]
     return (
-        clustered(rows, ["address"], cluster_size)
+        clustered(rows, ["address"], cluster_size, base=outs.select("epoch_no", "address", "slot_no"))
         .groupBy("epoch_no", "address", *attrs, "cluster_no")
         .agg(_output_list().alias("outputs"))
         .select("epoch_no", "address", *attrs, json_text("outputs").alias("outputs"))

@@ -7,19 +7,21 @@ from pyspark.sql import functions as F
 
 from ..functions.encoding import b64_text, hex_text, json_text
 from ..functions.lists import ordered_list
-from .common import Catalog, tx_pointer
+from .common import Catalog, in_window, tx_pointer
 
 
 def datum(src: Catalog, where: Column | None = None) -> DataFrame:
     """D-09."""
-    return src["datum"].join(tx_pointer(src, where), "tx_id").select(
+    ptr = tx_pointer(src, where)
+    return in_window(src["datum"], "tx_id", ptr, where).join(ptr, "tx_id").select(
         "epoch_no", "slot_no", "txidx", hex_text("hash").alias("datum_hash"), b64_text("bytes").alias("bytes"),
         "value")
 
 
 def script(src: Catalog, where: Column | None = None) -> DataFrame:
     """D-10."""
-    return src["script"].join(tx_pointer(src, where), "tx_id").select(
+    ptr = tx_pointer(src, where)
+    return in_window(src["script"], "tx_id", ptr, where).join(ptr, "tx_id").select(
         "epoch_no", "slot_no", "txidx", hex_text("hash").alias("script_hash"), F.col("type").cast("string"),
         "json", b64_text("bytes").alias("bytes"), "serialised_size")
 
@@ -36,9 +38,10 @@ def redeemer(src: Catalog, where: Column | None = None) -> DataFrame:
     # elements are serialized before sorting: a variant field is not orderable
     item = json_text(F.struct("byte", "fee", "index", "purpose", "redeemer_data_value", "redeemer_hash",
                               hex_text("script_hash").alias("script_hash"), "unit_mem", "unit_steps"))
+    ptr = tx_pointer(src, where)
     per_tx = (
-        src["redeemer"].join(rd, "redeemer_data_id")
-        .join(tx_pointer(src, where), "tx_id")
+        in_window(src["redeemer"], "tx_id", ptr, where).join(ptr, "tx_id")
+        .join(rd, "redeemer_data_id")
         .groupBy("tx_id", "epoch_no", "slot_no", "txidx")
         .agg(F.count(F.lit(1)).alias("count"),
              ordered_list([F.col("purpose"), F.col("index"), F.col("id")], item).alias("items"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.encoding import hex_text, json_text
 from ..functions.lists import ordered_list
-from .common import Catalog, tx_pointer
+from .common import Catalog, in_window, tx_pointer
 
 
 def _stake(src: Catalog) -> DataFrame:
@@ -21,9 +21,10 @@ def _pools(src: Catalog, key: str) -> DataFrame:
 
 def rel_stake_hash(src: Catalog, where: Column | None = None) -> DataFrame:
     """D-14: stake address text <-> hash, one row per registration."""
+    ptr = tx_pointer(src, where)
     return (
-        src["stake_registration"].select("addr_id", "tx_id")
-        .join(_stake(src), "addr_id").join(tx_pointer(src, where), "tx_id")
+        in_window(src["stake_registration"], "tx_id", ptr, where).select("addr_id", "tx_id")
+        .join(ptr, "tx_id").join(_stake(src), "addr_id")
         .select("epoch_no", "slot_no", "stake_address", hex_text("stake_raw").alias("stake_addr_hash"))
     )
 
@@ -32,12 +33,13 @@ def delegation(src: Catalog, where: Column | None = None) -> DataFrame:
     """D-16: per (epoch, stake address) the delegation certificates, ordered by
     active epoch, slot, txidx (cert_index and id break ties)."""
     item = F.struct("active_epoch_no", "cert_index", "pool_hash", "slot_no", "txidx")
+    ptr = tx_pointer(src, where).drop("slot_no")
     return (
-        src["delegation"].select("id", "addr_id", "pool_hash_id", "tx_id", "active_epoch_no", "cert_index",
-                                 "slot_no")
+        in_window(src["delegation"], "tx_id", ptr, where)
+        .select("id", "addr_id", "pool_hash_id", "tx_id", "active_epoch_no", "cert_index", "slot_no")
+        .join(ptr, "tx_id")
         .join(_stake(src), "addr_id")
         .join(_pools(src, "pool_hash_id"), "pool_hash_id")
-        .join(tx_pointer(src, where).drop("slot_no"), "tx_id")
         # group on the raw hash; its hex text is a 1:1 function of it
         .groupBy("epoch_no", "stake_raw")
         .agg(ordered_list([F.col("active_epoch_no"), F.col("slot_no"), F.col("txidx"), F.col("cert_index"),
@@ -48,10 +50,12 @@ def delegation(src: Catalog, where: Column | None = None) -> DataFrame:
 
 
 def _certificates(src: Catalog, table: str, where: Column | None) -> DataFrame:
+    ptr = tx_pointer(src, where)
     return (
-        src[table].select(F.col("epoch_no").alias("cert_epoch_no"), "addr_id", "cert_index", "tx_id")
+        in_window(src[table], "tx_id", ptr, where)
+        .select(F.col("epoch_no").alias("cert_epoch_no"), "addr_id", "cert_index", "tx_id")
+        .join(ptr, "tx_id")
         .join(_stake(src), "addr_id")
-        .join(tx_pointer(src, where), "tx_id")
         .select(F.col("cert_epoch_no").alias("epoch_no"), hex_text("stake_raw").alias("stake_addr_hash"),
                 "cert_index", "slot_no", "txidx")
     )
@@ -83,9 +87,10 @@ def reward(src: Catalog, where: Column | None = None) -> DataFrame:
 
 def withdrawal(src: Catalog, where: Column | None = None) -> DataFrame:
     """D-20."""
+    ptr = tx_pointer(src, where)
     return (
-        src["withdrawal"].select("addr_id", "amount", "tx_id")
-        .join(_stake(src), "addr_id").join(tx_pointer(src, where), "tx_id")
+        in_window(src["withdrawal"], "tx_id", ptr, where).select("addr_id", "amount", "tx_id")
+        .join(ptr, "tx_id").join(_stake(src), "addr_id")
         .select("epoch_no", hex_text("stake_raw").alias("stake_addr_hash"), F.col("amount").cast("bigint"),
                 "slot_no", "txidx")
     )
