@@ -179,8 +179,12 @@ def slot_sync_job(src, wh: Warehouse, opts: SyncOptions | None = None, tables: l
         for rnd in range(1, opts.window.rounds + 1):
             if last is None or last >= head["head_slot_no"] - opts.window.grace:
                 break
-            rows, new = sync_table_slots(src, wh, table, last, head["head_slot_no"], opts)
-            out.append((table, rnd, last, new, rows))
+            try:
+                rows, new = sync_table_slots(src, wh, table, last, head["head_slot_no"], opts)
+            except EmptyBatchError:  # W-07 "fail": this table stops, its watermark stays
+                out.append((table, rnd, last, last, 0, "failed_empty"))
+                break
+            out.append((table, rnd, last, new, rows, "loaded" if rows else "empty"))
             if new == last:
                 break
             last = new
@@ -190,7 +194,7 @@ def slot_sync_job(src, wh: Warehouse, opts: SyncOptions | None = None, tables: l
         report = [row for rows in pool.map(one_table, tables or SLOT_ORDER) for row in rows]
     wh.set_watermark("source", slot=head["head_slot_no"], epoch=head["head_epoch_no"])
     return spark.createDataFrame(report, "tablename STRING, round INT, from_slot_no BIGINT, "
-                                         "last_slot_no BIGINT, rows BIGINT")
+                                         "last_slot_no BIGINT, rows BIGINT, status STRING")
 
 
 def epoch_sync_job(src, wh: Warehouse, opts: SyncOptions | None = None, tables: list[str] | None = None
