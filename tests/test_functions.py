@@ -46,3 +46,22 @@ def test_ordered_list(spark):
     df = spark.createDataFrame([(1, 3, "c"), (1, 1, "a"), (1, 2, "b"), (2, 1, "z")], "k INT, o INT, v STRING")
     got = {r["k"]: r["l"] for r in df.groupBy("k").agg(ordered_list([F.col("o")], F.col("v")).alias("l")).collect()}
     assert got == {1: ["a", "b", "c"], 2: ["z"]}
+
+
+def test_bounded_lists_concatenate_to_the_whole_list(spark, src):
+    import json
+
+    from utxolake.operators.assets import ma_minting
+    from utxolake.operators.staking import delegation
+
+    for fn, key, col in ((delegation, "stake_addr_hash", "delegations"), (ma_minting, "fingerprint", "minting")):
+        whole = {(r["epoch_no"], r[key]): json.loads(r[col]) for r in fn(src).collect()}
+        parts: dict = {}
+        for r in fn(src, max_list=2).collect():
+            items = json.loads(r[col])
+            assert 1 <= len(items) <= 2
+            parts.setdefault((r["epoch_no"], r[key]), []).append(items)
+        assert set(parts) == set(whole)
+        for k, lists in parts.items():
+            lists.sort(key=lambda l: (l[0].get("active_epoch_no", 0), l[0]["slot_no"], l[0]["txidx"]))
+            assert [x for l in lists for x in l] == whole[k]

@@ -39,6 +39,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--rounds", type=int, default=3)
     p.add_argument("--cluster-size", type=int, default=1000)
     p.add_argument("--parallel-tables", type=int, default=4)
+    p.add_argument("--max-list", type=int, help="split delegation / minting lists into rows of at most N")
     p.add_argument("--buckets", type=int, help="two-level fingerprints (deep-compare)")
     a = p.parse_args(argv)
 
@@ -47,7 +48,7 @@ def main(argv: list[str] | None = None) -> None:
     src = (load_source(spark, fmt="jdbc", jdbc_url=a.jdbc_url) if a.jdbc_url else load_source(spark, a.source))
     wh = Warehouse(spark, a.target)
     opts = SyncOptions(window=SlotWindowConfig(a.cap, a.grace, a.delete, a.rounds), cluster_size=a.cluster_size,
-                       parallel_tables=a.parallel_tables)
+                       parallel_tables=a.parallel_tables, max_list=a.max_list)
     tables = a.tables.split(",") if a.tables else None
     if a.job == "slot-sync":
         report = slot_sync_job(src, wh, opts, tables)

@@ -10,14 +10,25 @@ from ..functions.lists import ordered_list
 from .common import Catalog, in_window, tx_pointer
 
 
-def ma_minting(src: Catalog, where: Column | None = None) -> DataFrame:
+def ma_minting(src: Catalog, where: Column | None = None, max_list: int | None = None) -> DataFrame:
     """D-15: mints per (epoch, asset) as ``[{quantity, slot_no, txidx}]`` ordered by
-    slot, txidx, then the asset columns. Aggregated before the asset join."""
+    slot, txidx (mint id breaks ties). Aggregated before the asset join.
+
+    ``max_list`` (off by default, as upstream) splits a longer list into
+    consecutive rows of at most that many items (skew-safe, see ``clustered``).
+    """
+    from .outputs import clustered
+
     ptr = tx_pointer(src, where)
+    rows = (in_window(src["ma_tx_mint"], "tx_id", ptr, where).select("id", "ident", "quantity", "tx_id")
+            .join(ptr, "tx_id"))
+    keys = ["epoch_no", "ident"]
+    if max_list:
+        rows = clustered(rows, ["ident"], max_list, bucket=("slot_no",), within=("txidx", "id"))
+        keys.append("cluster_no")
     per_asset = (
-        in_window(src["ma_tx_mint"], "tx_id", ptr, where).select("id", "ident", "quantity", "tx_id")
-        .join(ptr, "tx_id")
-        .groupBy("epoch_no", "ident")
+        rows
+        .groupBy(*keys)
         .agg(ordered_list([F.col("slot_no"), F.col("txidx"), F.col("id")],
                           F.struct("quantity", "slot_no", "txidx")).alias("minting"))
     )

@@ -26,22 +26,25 @@ from .common import Catalog, in_window, tx_pointer
 CLUSTER_SIZE = 1000
 
 
-def clustered(rows: DataFrame, keys: list[str], cluster_size: int, base: DataFrame | None = None) -> DataFrame:
-    """Add ``cluster_no`` to rows carrying ``epoch_no, *keys, slot_no, txidx, idx``.
-
-    The per-slot counts are an aggregate with map-side combine (only one row
-    per key, slot and map task is shuffled). ``base`` may give the same rows
-    before lookups that do not change their number (left joins on unique
-    keys), so that those lookups run once.
+def clustered(rows: DataFrame, keys: list[str], cluster_size: int, base: DataFrame | None = None,
+              bucket: tuple[str, ...] = ("slot_no",), within: tuple[str, ...] = ("txidx", "idx")) -> DataFrame:
+    """Add ``cluster_no`` to rows carrying ``epoch_no, *keys, *bucket, *within``.
+
+    The list order is (``bucket``, ``within``). The per-bucket counts are an
+    aggregate with map-side combine (only one row per key, bucket and map task is
+    shuffled); their running sum gives each bucket's offset; the rank inside a
+    bucket is a window over one bucket (one block for slot buckets). ``base``
+    may give the same rows before lookups that do not change their number
+    (left joins on unique keys), so that those lookups run once.
     """
     part = ["epoch_no", *keys]
-    per_slot = (base if base is not None else rows).groupBy(*part, "slot_no").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*part).orderBy("slot_no").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_slot.select(*part, "slot_no", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    in_slot = Window.partitionBy(*part, "slot_no").orderBy("txidx", "idx")
+    per_bucket = (base if base is not None else rows).groupBy(*part, *bucket).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*part).orderBy(*bucket).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_bucket.select(*part, *bucket, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    in_bucket = Window.partitionBy(*part, *bucket).orderBy(*within)
     return (
-        rows.withColumn("_r", F.row_number().over(in_slot))
-        .join(offsets, [*part, "slot_no"])
+        rows.withColumn("_r", F.row_number().over(in_bucket))
+        .join(offsets, [*part, *bucket])
         .withColumn("cluster_no", F.floor((F.col("_off") + F.col("_r") - 1) / F.lit(cluster_size)).cast("bigint"))
         .drop("_r", "_off")
     )

@@ -29,19 +29,32 @@ def rel_stake_hash(src: Catalog, where: Column | None = None) -> DataFrame:
     )
 
 
-def delegation(src: Catalog, where: Column | None = None) -> DataFrame:
+def delegation(src: Catalog, where: Column | None = None, max_list: int | None = None) -> DataFrame:
     """D-16: per (epoch, stake address) the delegation certificates, ordered by
-    active epoch, slot, txidx (cert_index and id break ties)."""
+    active epoch, slot, txidx (cert_index and id break ties).
+
+    ``max_list`` (off by default, as upstream) splits a longer list into
+    consecutive rows of at most that many items, without ever ranking a whole
+    (epoch, address) group in one task.
+    """
+    from .outputs import clustered
+
     item = F.struct("active_epoch_no", "cert_index", "pool_hash", "slot_no", "txidx")
     ptr = tx_pointer(src, where).drop("slot_no")
-    return (
+    rows = (
         in_window(src["delegation"], "tx_id", ptr, where)
         .select("id", "addr_id", "pool_hash_id", "tx_id", "active_epoch_no", "cert_index", "slot_no")
         .join(ptr, "tx_id")
         .join(_stake(src), "addr_id")
         .join(_pools(src, "pool_hash_id"), "pool_hash_id")
-        # group on the raw hash; its hex text is a 1:1 function of it
-        .groupBy("epoch_no", "stake_raw")
+    )
+    keys = ["epoch_no", "stake_raw"]  # group on the raw hash; its hex text is a 1:1 function of it
+    if max_list:
+        rows = clustered(rows, ["stake_raw"], max_list, bucket=("active_epoch_no", "slot_no"),
+                         within=("txidx", "cert_index", "id"))
+        keys.append("cluster_no")
+    return (
+        rows.groupBy(*keys)
         .agg(ordered_list([F.col("active_epoch_no"), F.col("slot_no"), F.col("txidx"), F.col("cert_index"),
                            F.col("id")], item).alias("delegations"))
         .select("epoch_no", hex_text("stake_raw").alias("stake_addr_hash"),

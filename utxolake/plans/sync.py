@@ -40,6 +40,7 @@ class SyncOptions:
     stall_safe: bool = True  # Q6: "keep" on an empty capped window would stall; advance instead
     catch_up: bool = True  # P-01 mode closed_all
     parallel_tables: int = 4  # independent tables run as concurrent Spark jobs
+    max_list: int | None = None  # split delegation / minting lists longer than this into rows (off: as upstream)
 
 
 def derive(src, table: str, where: Column | None = None, opts: SyncOptions | None = None) -> DataFrame:
@@ -49,6 +50,8 @@ def derive(src, table: str, where: Column | None = None, opts: SyncOptions | Non
         kw["cluster_size"] = (opts or SyncOptions()).cluster_size
     if table == "tx_consumed_output":
         kw["with_epoch"] = True
+    if table in ("delegation", "ma_minting") and opts is not None and opts.max_list:
+        kw["max_list"] = opts.max_list
     return DERIVE[table](src, where, **kw) if where is not None else DERIVE[table](src, **kw)
 
 
