@@ -570,10 +570,6 @@ def q_slot_sync_job(spark, sf_dir):
     return _counts(wh, SLOT_ORDER).join(li, "tablename")
 
 
-def _duck_final_slot() -> str:
-    return f"(SELECT max(slot_no) - {TEST.window.grace} FROM block)"
-
-
 def _duck_slot_sync_job() -> str:
     parts = []
     for t in SLOT_ORDER:

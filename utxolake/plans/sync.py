@@ -24,9 +24,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.derive import DERIVE
-from ..sources.sinks import LAST_INDEX_SCHEMA, Warehouse
+from ..sources.sinks import Warehouse
 from .registry import BACKFILL_FULL, BACKFILL_START, EPOCH_CLOSED, EPOCH_ORDER, OWN_EPOCH, SLOT_ORDER, TABLES
-from .windows import SlotWindowConfig, contiguous_epochs, plan_epochs, plan_slot_windows, source_head
+from .windows import SlotWindowConfig, contiguous_epochs, plan_epochs, source_head
 
 
 class EmptyBatchError(RuntimeError):
@@ -81,10 +81,6 @@ def extract_epochs(src, table: str, epochs: list[int], opts: SyncOptions | None
     return derive(src, table, cond, opts)
 
 
-def _touched(df: DataFrame, part: str) -> set:
-    return {r[0] for r in df.select(part).distinct().collect()}  # bounded: epochs of one window
-
-
 def merge_replace(wh: Warehouse, table: str, clean: int) -> int:
     """W-05: target rows with ``slot >= clean`` give way to the staged rows."""
     spec = TABLES[table]
@@ -321,7 +317,3 @@ def freshness(wh_or_tables, head: DataFrame, tables: list[str]) -> DataFrame:
     return (out.crossJoin(F.broadcast(head))  # head: one row
             .withColumn("slot_lag", F.col("head_slot_no") - F.col("max_slot_no"))
             .withColumn("epoch_lag", F.col("head_epoch_no") - F.col("max_epoch_no")))
-
-
-def empty_last_index(spark) -> DataFrame:
-    return spark.createDataFrame([], LAST_INDEX_SCHEMA)
