@@ -60,14 +60,14 @@ def tx_pointer(src: Catalog, where: Column | None = None, prefix: str = "") -> D
 
 
 def restrict(df: DataFrame, key: str, ids: DataFrame | None, ids_key: str = "tx_id") -> DataFrame:
-    """Keep rows whose ``key`` is in ``ids`` (semi join), or all rows if ``ids`` is None.
+    """Rows of ``df`` whose ``key`` lies in the id range of ``ids`` (all rows if None).
 
-    Used before an eager aggregate so that a windowed run aggregates only the
-    rows of the window instead of the whole relation.
+    Used before an eager aggregate so that a windowed run aggregates the rows of
+    the window instead of the whole relation. Every caller joins the aggregate
+    back to the window's own rows, which drops the (few) ids that the range lets
+    through without being in the window, so no semi join is needed.
     """
-    if ids is None:
-        return df
-    return id_range(df, key, ids, ids_key).join(ids.select(F.col(ids_key).alias(key)), key, "left_semi")
+    return df if ids is None else id_range(df, key, ids, ids_key)
 
 
 def in_window(df: DataFrame, key: str, ptr: DataFrame, where: Column | None, ptr_key: str = "tx_id") -> DataFrame:
