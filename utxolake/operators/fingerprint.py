@@ -154,17 +154,23 @@ def row_text(df: DataFrame, spec: FingerprintSpec, compat: bool = False) -> Colu
 
 
 def row_hashes(df: DataFrame, spec: FingerprintSpec, compat: bool = False) -> DataFrame:
-    """V-02 / V-04: one ``row_hash`` per row, with the grouping and sort columns kept."""
-    keep = list(dict.fromkeys([*spec.by, *spec.sort] + ([spec.shards[0]] if spec.shards else [])
-                              + ([spec.first_output] if spec.first_output else [])))
-    return df.select(*keep, sha256_b64(row_text(df, spec, compat)).alias("row_hash"))
+    """V-02 / V-04: one ``row_hash`` per row, with the grouping and sort columns kept.
+
+    The first list element's keys (``_fo_*``) are read from the same parsed JSON
+    as the canonical text, in one projection, so each list is parsed once.
+    """
+    keep = list(dict.fromkeys([*spec.by, *spec.sort] + ([spec.shards[0]] if spec.shards else [])))
+    extra = []
+    if spec.first_output:
+        v = F.parse_json(spec.first_output)
+        extra = [F.try_variant_get(v, f"$[0].{f}", "bigint").alias(f"_fo_{f}") for f in ("slot_no", "txidx", "idx")]
+    return df.select(*keep, sha256_b64(row_text(df, spec, compat)).alias("row_hash"), *extra)
 
 
 def _sort_exprs(spec: FingerprintSpec) -> list[str]:
     keys = [f"upper({k})" if k in spec.upper else k for k in spec.sort]
     if spec.first_output:
-        fo = spec.first_output
-        keys += [f"cast(get_json_object({fo}, '$[0].{f}') as bigint)" for f in ("slot_no", "txidx", "idx")]
+        keys += [f"_fo_{f}" for f in ("slot_no", "txidx", "idx")]
     return keys + ["row_hash"]
 
 
