@@ -6,7 +6,8 @@ counted in the total). Then, over that source, every query runs in full with
 the ``noop`` sink (nothing is collected to the driver):
 
 * ``d_*``    the 30 table derivations,
-* ``v_fp_*`` their per-epoch fingerprints (the deep-compare workload),
+* ``v_fp_*`` their per-epoch fingerprints, exact mode (the reference digest),
+* ``fingerprint_multiset_30_tables`` the same in multiset mode (the deep-compare default),
 * ``backfill_30_tables``  B-03: all 30 target tables written (staging, partitions),
 * ``slot_sync_23_tables`` W-08: the 23 slot tables cut at slot 1500 (10 stale slots),
   then synced to the head in 600-slot windows.
@@ -70,6 +71,12 @@ def main() -> None:
     for n in SPECS:
         timed(f"v_fp_{n}", lambda n=n: noop(fingerprint_table(n, derive(n), blocks=src["block"])))
 
+    def multiset_all():
+        for n in SPECS:
+            noop(fingerprint_table(n, derive(n), blocks=src["block"], mode="multiset"))
+
+    timed("fingerprint_multiset_30_tables", multiset_all)
+
     def backfill():
         backfill_job(src, Warehouse(spark, f"{root}/backfill", chunk_rows=50_000), cq.test_starts(), cq.TEST)
 
@@ -93,6 +100,7 @@ def main() -> None:
             "source_export": times.get("source_export"),
             "derive": round(sum(v for k, v in times.items() if k.startswith("d_")), 3),
             "fingerprint": round(sum(v for k, v in times.items() if k.startswith("v_fp_")), 3),
+            "fingerprint_multiset": times.get("fingerprint_multiset_30_tables"),
             "backfill_30_tables": times.get("backfill_30_tables"),
             "slot_sync_23_tables": times.get("slot_sync_23_tables"),
         },

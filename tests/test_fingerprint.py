@@ -40,3 +40,18 @@ def test_compat_mode_drops_null_rows(spark, src):
 
 def test_every_table_has_a_spec():
     assert set(SPECS) == set(DERIVE)
+
+
+def test_multiset_fingerprint(spark, src):
+    tx = DERIVE["tx"](src)
+    a = fingerprint_table("tx", tx.repartition(5), mode="multiset").orderBy("epoch_no").collect()
+    b = fingerprint_table("tx", tx.repartition(2, "slot_no"), mode="multiset").orderBy("epoch_no").collect()
+    assert a == b and sum(r["n_rows"] for r in a) == tx.count()
+    epoch = a[0]["epoch_no"]
+    changed = tx.withColumn("fee", F.when((F.col("epoch_no") == epoch) & (F.col("txidx") == 0),
+                                          F.col("fee") + 1).otherwise(F.col("fee")))
+    c = {r["epoch_no"]: r["hash_b64"] for r in fingerprint_table("tx", changed, mode="multiset").collect()}
+    assert c[epoch] != a[0]["hash_b64"]
+    assert all(c[r["epoch_no"]] == r["hash_b64"] for r in a[1:])
+    one = fingerprint_table("meta", DERIVE["meta"](src), mode="multiset").collect()
+    assert len(one) == 1 and len(one[0]["hash_b64"]) == 44

@@ -40,7 +40,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--cluster-size", type=int, default=1000)
     p.add_argument("--parallel-tables", type=int, default=4)
     p.add_argument("--max-list", type=int, help="split delegation / minting lists into rows of at most N")
-    p.add_argument("--buckets", type=int, help="two-level fingerprints (deep-compare)")
+    p.add_argument("--buckets", type=int, help="two-level exact fingerprints (deep-compare)")
+    p.add_argument("--fingerprint", choices=["multiset", "exact"], default="multiset")
     a = p.parse_args(argv)
 
     spark = apply_defaults(SparkSession.builder.getOrCreate())
@@ -59,7 +60,8 @@ def main(argv: list[str] | None = None) -> None:
     else:
         epochs = [int(e) for e in a.epochs.split(",")] if a.epochs else None
         kw = {t: {"cluster_size": a.cluster_size} for t in ("rel_addr_txout", "rel_stake_txout")}
-        report = deep_compare_job(src, wh, tables, epochs, derive_kw=kw, buckets=a.buckets)
+        report = deep_compare_job(src, wh, tables, epochs, derive_kw=kw, buckets=a.buckets,
+                                  mode="exact" if a.buckets else a.fingerprint)
     report.show(200, truncate=False)
 
 

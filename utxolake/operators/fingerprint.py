@@ -14,6 +14,13 @@ as fixed-point decimals (trailing zeros trimmed), never in float notation.
 task: rows go to ``n`` buckets by their hash, each bucket is digested in hash
 order, the epoch digest is the hash over the bucket digests. Both copies must
 use the same ``n``; the result is then independent of partitioning.
+
+``mode="multiset"`` needs no list at all: each row's sha256 is read as eight
+32-bit limbs and the limbs are summed per group modulo 2^32 (an additive
+multiset hash). It is a plain ``sum`` with map-side combine, so no task holds
+more than one partial sum per group, whatever the skew; any changed, missing or
+extra row changes it except with negligible probability. Both copies must use
+the same mode.
 """
 
 from __future__ import annotations
@@ -174,15 +181,36 @@ def _sort_exprs(spec: FingerprintSpec) -> list[str]:
     return keys + ["row_hash"]
 
 
+_LIMBS = 8
+
+
+def _multiset(h: DataFrame, by: list[str]) -> DataFrame:
+    hexh = F.hex(F.unbase64("row_hash"))  # 64 hex digits
+    limbs = [F.conv(F.substring(hexh, 8 * i + 1, 8), 16, 10).cast("decimal(38,0)") for i in range(_LIMBS)]
+    sums = [F.sum(c).alias(f"_s{i}") for i, c in enumerate(limbs)]
+    agg = (h.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), *sums) if by
+           else h.agg(F.count(F.lit(1)).alias("n_rows"), *sums))
+    mod = F.lit(2 ** 32).cast("decimal(38,0)")
+    digest = F.concat(*[F.lpad(F.lower(F.conv(F.pmod(F.col(f"_s{i}"), mod).cast("string"), 10, 16)), 8, "0")
+                        for i in range(_LIMBS)])
+    return agg.select(*by, "n_rows", F.base64(F.unhex(digest)).alias("hash_b64"))
+
+
 def table_fingerprint(df: DataFrame, spec: FingerprintSpec, compat: bool = False,
-                      buckets: int | None = None) -> DataFrame:
-    """V-03 (+V-05 when the spec is sharded): ``by..., [shard], n_rows, hash_b64`` per group."""
+                      buckets: int | None = None, mode: str = "exact") -> DataFrame:
+    """V-03 (+V-05 when the spec is sharded): ``by..., [shard], n_rows, hash_b64`` per group.
+
+    ``mode``: ``exact`` (the reference digest), ``multiset`` (sum of row hashes,
+    skew-proof); ``buckets`` selects the two-level exact variant.
+    """
     h = row_hashes(df, spec, compat).where(F.col("row_hash").isNotNull())
     by = list(spec.by)
     if spec.shards:
         col, n = spec.shards
         h = h.withColumn("shard", F.pmod(F.col(col), F.lit(n)))
         by = [*by, "shard"]
+    if mode == "multiset":
+        return _multiset(h, by)
     if buckets:
         # level 1: one digest per (group, bucket), rows in hash order
         part = (h.withColumn("_bucket", F.pmod(F.xxhash64("row_hash"), F.lit(buckets)))
@@ -228,11 +256,11 @@ def row_diff(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def fingerprint_table(name: str, df: DataFrame, blocks: DataFrame | None = None, compat: bool = False,
-                      buckets: int | None = None) -> DataFrame:
+                      buckets: int | None = None, mode: str = "exact") -> DataFrame:
     """Fingerprint one derived / target table by its configuration in ``SPECS``."""
     spec = SPECS[name]
     if spec.shards and "epoch_no" not in df.columns:
         if blocks is None:
             raise ValueError(f"{name}: block relation needed to find the consumer epoch")
         df = consumed_output_epochs(df, blocks)
-    return table_fingerprint(df, spec, compat=compat, buckets=buckets)
+    return table_fingerprint(df, spec, compat=compat, buckets=buckets, mode=mode)

@@ -19,11 +19,12 @@ COMPARED = list(SPECS)
 
 
 def compare_table(table: str, left: DataFrame, right: DataFrame, blocks: DataFrame,
-                  epochs: list[int] | None = None, buckets: int | None = None) -> DataFrame:
+                  epochs: list[int] | None = None, buckets: int | None = None, mode: str = "multiset"
+                  ) -> DataFrame:
     """V-08 for one table: ``tablename, <group keys>, left/right rows and hash, status``."""
     spec = SPECS[table]
-    lf = fingerprint_table(table, left, blocks=blocks, buckets=buckets)
-    rf = fingerprint_table(table, right, blocks=blocks, buckets=buckets)
+    lf = fingerprint_table(table, left, blocks=blocks, buckets=buckets, mode=mode)
+    rf = fingerprint_table(table, right, blocks=blocks, buckets=buckets, mode=mode)
     keys = [*spec.by, *(["shard"] if spec.shards else [])]
     if epochs is not None and "epoch_no" in keys:
         lf, rf = lf.where(F.col("epoch_no").isin(epochs)), rf.where(F.col("epoch_no").isin(epochs))
@@ -47,16 +48,19 @@ def audit_rows(cmp: DataFrame, left_desc: str, right_desc: str) -> DataFrame:
 
 
 def deep_compare_job(src, wh: Warehouse, tables: list[str] | None = None, epochs: list[int] | None = None,
-                     derive_kw: dict | None = None, buckets: int | None = None, audit: bool = True) -> DataFrame:
+                     derive_kw: dict | None = None, buckets: int | None = None, audit: bool = True,
+                     mode: str = "multiset") -> DataFrame:
     """V-12: compare every table of the target with the source derivation.
 
     ``epochs`` defaults to all; the reference's default, the last complete
-    epoch, is ``[head_epoch - 1]``. Returns the per-group comparison.
+    epoch, is ``[head_epoch - 1]``. ``mode`` is the fingerprint of both sides:
+    ``multiset`` (default: a partial-aggregated sum, skew-proof) or ``exact``
+    (the reference digest, one task per epoch). Returns the per-group comparison.
     """
     out = None
     for t in tables or COMPARED:
         kw = dict((derive_kw or {}).get(t, {}))
-        cmp = compare_table(t, DERIVE[t](src, **kw), wh.read(t), src["block"], epochs, buckets)
+        cmp = compare_table(t, DERIVE[t](src, **kw), wh.read(t), src["block"], epochs, buckets, mode)
         if "shard" not in cmp.columns:
             cmp = cmp.withColumn("shard", F.lit(None).cast("int"))
         cmp = cmp.select("tablename", "epoch_no", "shard", "left_rows", "left_hash", "right_rows", "right_hash",
