@@ -124,7 +124,9 @@ def test_sync_equals_batch_property(spark, src, cut, cap, delete):
     head = source_head(src["block"]).first()["head_slot_no"]
     for t in ("tx_hash", "withdrawal"):
         mx = wh.watermark(t)[0]
-        assert mx == head - 3
+        # the head is reached, or the table stopped at an empty window (policy "fail")
+        nxt = derive(src, t).where((F.col("slot_no") > mx) & (F.col("slot_no") <= min(head, mx + cap) - 3))
+        assert mx == head - 3 or nxt.count() == 0
         want = derive(src, t).where(F.col("slot_no") <= mx)
         got = wh.read(t)
         assert got.exceptAll(want.select(*got.columns)).count() == 0
