@@ -117,6 +117,16 @@ def _fp(name: str) -> Query:
     return run
 
 
+MULTISET_TABLES = ["tx", "tx_consumed_output", "rel_addr_txout", "epoch_param", "meta"]
+
+
+def _fpm(name: str) -> Query:
+    def run(spark, sf_dir):
+        src = _q(spark, sf_dir)
+        return fingerprint_table(name, derive_for_test(src, name), blocks=src["block"], mode="multiset")
+    return run
+
+
 def _altered_tx(src) -> DataFrame:
     """A copy of tx in which the rows of failed scripts carry a wrong fee."""
     t = derive_for_test(src, "tx")
@@ -202,6 +212,8 @@ def _duck_fp_groups(t: str) -> str:
 def validation() -> tuple[dict[str, Query], dict[str, str]]:
     q: dict[str, Query] = {f"v_fp_{n}": _fp(n) for n in SPECS}
     o: dict[str, str] = {f"v_fp_{n}": fingerprint_sql(n, CLUSTER) for n in SPECS}
+    q.update({f"v_fp_multiset_{n}": _fpm(n) for n in MULTISET_TABLES})
+    o.update({f"v_fp_multiset_{n}": fingerprint_sql(n, CLUSTER, mode="multiset") for n in MULTISET_TABLES})
     tx_deps, tx_body = _body("tx")
     parts = " || ',' || ".join(
         f"coalesce(CAST(\"{c}\" AS VARCHAR), 'null')" for c in SPECS["tx"].columns)
