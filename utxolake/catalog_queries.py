@@ -264,10 +264,9 @@ def validation() -> tuple[dict[str, Query], dict[str, str]]:
     fresh_tables = [t for t in DERIVE if t not in ("meta", "schema_version")]
     fparts = []
     for t in fresh_tables:
-        cols = [c.strip() for c in SPECS[t].columns] if t in SPECS else []
+        cols = SPECS[t].columns
         slot = "consumed_in_slot_no" if t == "tx_consumed_output" else "slot_no"
-        has_slot = slot in cols or t in ("param_proposal",) and False
-        has_epoch = "epoch_no" in cols
+        has_slot, has_epoch = slot in cols, "epoch_no" in cols
         fparts.append(f"SELECT '{t}' AS tablename, CAST({'max(' + slot + ')' if has_slot else 'NULL'} AS BIGINT) "
                       f"AS max_slot_no, CAST({'max(epoch_no)' if has_epoch else 'NULL'} AS BIGINT) AS max_epoch_no "
                       f"FROM ({_body(t)[1]}) v")
