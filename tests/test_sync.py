@@ -92,6 +92,7 @@ def test_csv_roundtrip_multiline(spark):
     assert write_stage_csv(df, f"{wh.root}/csv", 1) == 2
     back = read_stage_csv(spark, f"{wh.root}/csv", "id BIGINT, t STRING, j STRING").orderBy("id").collect()
     assert back[0]["t"] == "a\nb" and back[0]["j"] == '{"k": [1, 2]}'
+    assert back[1]["t"] == "" and back[1]["j"] is None  # empty string and NULL stay apart
 
 
 def test_append_batch_guard(spark, src):

@@ -7,7 +7,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CSV_OPTS = {"header": "false", "quote": '"', "escape": '"', "multiLine": "true", "quoteAll": "true"}
+# PostgreSQL CSV: NULL is an unquoted empty field, an empty string is a quoted "".
+# Writing: Spark quotes empty strings and leaves NULL unquoted; fields with
+# quotes or line breaks are quoted. Reading: a nullValue sentinel that never
+# occurs keeps a quoted "" as an empty string, an unquoted empty field is NULL.
+CSV_OPTS = {"header": "false", "quote": '"', "escape": '"', "multiLine": "true"}
+READ_OPTS = {**CSV_OPTS, "nullValue": "\\N", "emptyValue": ""}
 
 
 def write_stage_csv(df: DataFrame, path: str, chunk_rows: int = 50_000) -> int:
@@ -20,4 +25,4 @@ def write_stage_csv(df: DataFrame, path: str, chunk_rows: int = 50_000) -> int:
 
 def read_stage_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """S-03: read staging CSV with the declared schema (unknown columns refused by the schema)."""
-    return spark.read.schema(schema).options(**CSV_OPTS).option("mode", "FAILFAST").csv(path)
+    return spark.read.schema(schema).options(**READ_OPTS).option("mode", "FAILFAST").csv(path)
