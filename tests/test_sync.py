@@ -132,3 +132,12 @@ def test_sync_equals_batch_property(spark, src, cut, cap, delete):
         got = wh.read(t)
         assert got.exceptAll(want.select(*got.columns)).count() == 0
         assert want.select(*got.columns).exceptAll(got).count() == 0
+
+
+def test_watermark_versions_are_pruned(spark):
+    wh = cq.scratch(spark)
+    for i in range(14):
+        wh.set_watermark("tx", slot=i, epoch=0)
+    versions = wh.partitions(f"{wh.root}/_last_index", "v")
+    assert len(versions) == wh.WATERMARK_VERSIONS_KEPT and max(versions) == 13
+    assert wh.watermark("tx") == (13, 0)
