@@ -141,3 +141,18 @@ def test_watermark_versions_are_pruned(spark):
     versions = wh.partitions(f"{wh.root}/_last_index", "v")
     assert len(versions) == wh.WATERMARK_VERSIONS_KEPT and max(versions) == 13
     assert wh.watermark("tx") == (13, 0)
+
+
+def test_reload_open_epoch(spark, src):
+    """Q17 option: a next-mode table reloads its last epoch, which may have grown since."""
+    from utxolake.plans.sync import SyncOptions, epoch_sync_job
+    wh = cq.scratch(spark)
+    partial = derive(src, "reward").where((F.col("epoch_no") < 40) | ((F.col("epoch_no") == 40) & (F.col("amount") % 2 == 0)))
+    wh.overwrite("reward", partial, "epoch_no")  # epoch 40 was loaded while still open
+    wh.set_watermark("reward", epoch=40)
+    epoch_sync_job(src, wh, SyncOptions(reload_open=("reward",)), ["reward"])
+    want = derive(src, "reward").where(F.col("epoch_no") <= 41)
+    got = wh.read("reward")
+    assert got.exceptAll(want.select(*got.columns)).count() == 0
+    assert want.select(*got.columns).exceptAll(got).count() == 0
+    assert wh.watermark("reward")[1] == 41

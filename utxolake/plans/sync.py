@@ -41,6 +41,7 @@ class SyncOptions:
     catch_up: bool = True  # P-01 mode closed_all
     parallel_tables: int = 4  # independent tables run as concurrent Spark jobs
     max_list: int | None = None  # split delegation / minting lists longer than this into rows (off: as upstream)
+    reload_open: tuple[str, ...] = ()  # Q17: next-mode tables whose last loaded epoch is reloaded too
 
 
 def derive(src, table: str, where: Column | None = None, opts: SyncOptions | None = None) -> DataFrame:
@@ -214,6 +215,10 @@ def epoch_sync_job(src, wh: Warehouse, opts: SyncOptions | None = None, tables:
     due: dict[str, list[int]] = {}
     for r in plan:
         due.setdefault(r["tablename"], []).append(r["epoch_no"])
+    if opts.reload_open:  # Q17: the previously loaded epoch may have been open; replace it again
+        for r in li.where(F.col("tablename").isin(list(opts.reload_open))).collect():  # one row per table
+            if r["tablename"] in due and r["last_epoch_no"] is not None and r["last_epoch_no"] >= 0:
+                due[r["tablename"]].append(r["last_epoch_no"])
     epoch_end = ({r[0]: r[1] for r in src["block"].groupBy("epoch_no").agg(F.max("slot_no")).collect()}
                  if any(TABLES[t].epoch_mode == "closed" for t in due) else {})  # one row per epoch
     def one_table(table: str) -> list[tuple]:
