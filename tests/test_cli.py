@@ -16,9 +16,10 @@ def test_cli_backfill_sync_compare(spark, src, capsys):
     cli.main(["slot-sync", *common, "--cap", "600", "--grace", "3", "--delete", "10", "--tables", "tx,delegation"])
     cli.main(["epoch-sync", *common, "--tables", "delegation"])
     cli.main(["deep-compare", *common, "--tables", "tx,block,meta"])
+    cli.main(["freshness", *common])
     out = capsys.readouterr().out
     assert "differ" not in out and "left_only" not in out and "right_only" not in out
-    assert "equal" in out
+    assert "equal" in out and "slot_lag" in out
     wh = Warehouse(spark, f"{root}/target")
     marks = {r["tablename"]: r for r in wh.last_index().collect()}
     assert {"tx", "block", "delegation", "source"} <= set(marks)

@@ -4,6 +4,7 @@
     spark-submit -m utxolake.cli epoch-sync   --source ... --target ...
     spark-submit -m utxolake.cli backfill     --source ... --target ... [--tables tx,block]
     spark-submit -m utxolake.cli deep-compare --source ... --target ... [--epochs 450,451]
+    spark-submit -m utxolake.cli freshness    --source ... --target ...
 
 ``--source`` is a folder of Parquet source relations (or ``--jdbc-url`` for a
 database read in parallel id ranges); ``--target`` the folder of the target
@@ -27,7 +28,7 @@ from .sources.sinks import Warehouse
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="utxolake")
-    p.add_argument("job", choices=["slot-sync", "epoch-sync", "backfill", "deep-compare"])
+    p.add_argument("job", choices=["slot-sync", "epoch-sync", "backfill", "deep-compare", "freshness"])
     p.add_argument("--source", required=False)
     p.add_argument("--jdbc-url")
     p.add_argument("--target", required=True)
@@ -59,6 +60,12 @@ def main(argv: list[str] | None = None) -> None:
         report = epoch_sync_job(src, wh, opts, tables)
     elif a.job == "backfill":
         report = backfill_job(src, wh, opts=opts, tables=tables)
+    elif a.job == "freshness":
+        from .plans.registry import ALL_TABLES
+        from .plans.sync import freshness
+        from .plans.windows import source_head
+        present = [t for t in (tables or ALL_TABLES) if t not in ("meta", "schema_version") and wh.has(t)]
+        report = freshness(wh.read, source_head(src["block"]), present)
     else:
         epochs = [int(e) for e in a.epochs.split(",")] if a.epochs else None
         kw = {t: {"cluster_size": a.cluster_size} for t in ("rel_addr_txout", "rel_stake_txout")}
