@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from utxolake.llm import decontaminate, packing, repair_ids
+from utxolake.llm import decontaminate, packing, repair_ids, simhash
 from utxolake.llm.common import table
 
 
@@ -22,8 +22,12 @@ def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_ids.token_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op4_decontamination, op6_packing, op7_token_ids)}
+    return {f.__name__: f for f in (op4_decontamination, op6_packing, op7_token_ids, op8_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
