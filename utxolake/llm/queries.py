@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from utxolake.llm import decontaminate, language_id, packing, quality_cnn, repair_ids, simhash, topk_search
+from utxolake.llm import decontaminate, language_id, packing, quality_cnn, repair_ids, simhash, suffix_dedup, topk_search
 from utxolake.llm.common import table
 
 
@@ -23,6 +23,10 @@ FROM s QUALIFY rank <= 20
 """
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language_id.identify(docs, language_id.train(docs), with_spans=False).drop("spans")
@@ -55,7 +59,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_language_id, op4_decontamination, op5_topk, op6_packing, op7_token_ids, op8_simhash, op10_quality)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_language_id, op4_decontamination, op5_topk, op6_packing, op7_token_ids, op8_simhash, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
