@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from utxolake.llm import decontaminate, language_id, packing, quality_cnn, repair_ids, simhash, suffix_dedup, topk_search
+from utxolake.llm import decontaminate, language_id, packing, pii, quality_cnn, repair_ids, simhash, suffix_dedup, topk_search
 from utxolake.llm.common import table
 
 
@@ -53,13 +53,18 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, count_col="n_entities")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_cnn.classify(docs, quality_cnn.train(docs, table(spark, sf_dir, "labels")))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_language_id, op4_decontamination, op5_topk, op6_packing, op7_token_ids, op8_simhash, op10_quality)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_language_id, op4_decontamination, op5_topk, op6_packing, op7_token_ids, op8_simhash, op9_pii, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
