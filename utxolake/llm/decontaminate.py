@@ -19,6 +19,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -172,3 +173,29 @@ def is_contaminated(text: str, tables: list[Tables]) -> bool:
     """Whether any window occurs in one text."""
     flat, starts, ends = split_words((text or "").encode("utf-8", "surrogatepass"))
     return bool(search(flat, starts, ends, tables)[1])
+
+
+def _clean(built):
+    """A column function: whether no window of the broadcast tables occurs."""
+
+    @F.pandas_udf(T.BooleanType())
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([not is_contaminated(t, built.value) for t in texts], dtype=bool)
+
+    return clean
+
+
+def without_contaminated(
+    docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """``docs`` without the rows whose text holds a window of an item. All columns are kept."""
+    spark = docs.sparkSession
+    kept = docs
+    blocks = _blocks(benchmark, item_col, "text", block_bytes)
+    for i, block in enumerate(blocks):
+        built = spark.sparkContext.broadcast(build([(r["name"], r["text"]) for r in block.collect()], window)[1])
+        kept = kept.where(_clean(built)(text_or_empty(F.col(f"`{text_col}`"))))
+        if i < len(blocks) - 1:
+            kept = stored(kept, "decontaminate")
+    return kept

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from utxolake.llm import decontaminate, language_id, packing, pii, quality_cnn, repair_ids, simhash, suffix_dedup, topk_search
+from utxolake.llm import decontaminate, language_id, license_scan, packing, pii, quality_cnn, repair_ids, simhash, suffix_dedup, topk_search
 from utxolake.llm.common import table
 
 
@@ -32,6 +32,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, language_id.train(docs), with_spans=False).drop("spans")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"), license_scan.known_licenses(spark))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("hit_spans", "items")
@@ -64,8 +68,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_language_id, op4_decontamination, op5_topk, op6_packing, op7_token_ids, op8_simhash, op9_pii, op10_quality)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_language_id, op3_license_scan, op4_decontamination, op5_topk, op6_packing, op7_token_ids, op8_simhash, op9_pii, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_topk": TOPK_SQL}
+    return {"op3_license_scan": license_scan.scan_sql(), "op5_topk": TOPK_SQL}
