@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from utxolake.llm import decontaminate, language_id, license_scan, packing, pii, quality_cnn, repair_ids, simhash, suffix_dedup, topk_search
-from utxolake.llm.common import table
+from utxolake.llm.common import ship_code, table
 
 
 TOPK_SQL = """
@@ -67,8 +67,16 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cnn.classify(docs, quality_cnn.train(docs, table(spark, sf_dir, "labels")))
 
 
+def _shipped(query):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_code(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_language_id, op3_license_scan, op4_decontamination, op5_topk, op6_packing, op7_token_ids, op8_simhash, op9_pii, op10_quality)}
+    return {f.__name__: _shipped(f) for f in (op1_suffix_dedup, op2_language_id, op3_license_scan, op4_decontamination, op5_topk, op6_packing, op7_token_ids, op8_simhash, op9_pii, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
