@@ -181,8 +181,9 @@ def _found(text: Column) -> Column:
     return F.transform(entities, lambda e, i: F.struct(F.when(_kind(e) == "name", gender(i)).otherwise(_kind(e)).alias("kind"), e.alias("entity")))
 
 
-def pseudonymise(docs: DataFrame, *, text_col: str = "text", key: str = KEY, count_col: str | None = None) -> DataFrame:
-    """``docs`` with every entity in ``text_col`` replaced; ``count_col`` names a column for their number.
+def pseudonymise(docs: DataFrame, *, text_col: str = "text", key: str = KEY, count_col: str | None = None, length_col: str | None = None) -> DataFrame:
+    """``docs`` with every entity in ``text_col`` replaced; ``count_col`` names a column for their number,
+    ``length_col`` a column of ``docs`` that holds the text's characters and follows it where it changes.
 
     Rows without an entity, with empty or null texts among them, stay as they are. All columns are
     kept, ids play no part. A ``key`` of one's own makes the surrogates one's own.
@@ -200,7 +201,11 @@ def pseudonymise(docs: DataFrame, *, text_col: str = "text", key: str = KEY, cou
     new = new.groupBy("t1", "t2").agg(F.transform(F.sort_array(F.collect_list("new")), lambda x: x["new"]).alias("new"))
     pieces = F.split(F.col("text"), ENTITY, -1)
     replaced = F.array_join(F.zip_with(pieces, F.col("new"), lambda p, n: F.concat(p, F.coalesce(n, F.lit("")))), "")
-    changed = keyed.where("has").join(new, ["t1", "t2"]).select(F.col("row").withField(f"`{text_col}`", replaced).alias("row"), F.size("new").cast("long").alias("n"))
+    changed = keyed.where("has").join(new, ["t1", "t2"]).select("row", replaced.alias("text"), F.size("new").cast("long").alias("n"))
+    row = F.col("row").withField(f"`{text_col}`", F.col("text"))
+    if length_col:
+        row = row.withField(f"`{length_col}`", F.length("text").cast(docs.schema[length_col].dataType))
+    changed = changed.select(row.alias("row"), "n")
     same = keyed.where("not has").select("row", F.lit(0).cast("long").alias("n"))
     out = changed.unionByName(same)
     return out.select("row.*", F.col("n").alias(count_col)) if count_col else out.select("row.*")
