@@ -1,12 +1,19 @@
 """Every registered query equals its DuckDB oracle on the sf0.001 tables."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as E
 from helpers import same_as_oracle
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+def _own(names: dict) -> dict:
+    """Without the queries of the training-data subpackage, which have tests of their own."""
+    return {k: v for k, v in names.items() if not re.match(r"op\d+_|pipeline$", k)}
+
+
+QUERIES = _own(E.queries())
+ORACLE = _own(E.oracle_sql())
 SF = "/root/testdata/sf0.001"
 
 

@@ -99,10 +99,10 @@ def test_append_batch_guard(spark, src):
     wh = cq.scratch(spark)
     stage = extract_append(src, "ma_minting", -1, 900, cq.TEST)
     wh.write_stage(stage, "ma_minting", part_col="epoch_no")
-    merge_append(wh, "ma_minting", 900)
+    merge_append(wh, "ma_minting", 900, -1)
     n = wh.read("ma_minting").count()
     wh.write_stage(stage, "ma_minting", part_col="epoch_no")
-    merge_append(wh, "ma_minting", 900)  # retry of the same batch
+    merge_append(wh, "ma_minting", 900, -1)  # retry of the same batch
     assert wh.read("ma_minting").count() == n
 
 

@@ -26,9 +26,9 @@ from .operators.fingerprint import SPECS, fingerprint_compare, fingerprint_table
 from .oracle import DOUBLE_COLUMNS, derived_sql, fingerprint_sql
 from .plans.registry import (BACKFILL_FULL, BACKFILL_START, EPOCH_CLOSED, EPOCH_ORDER, SLOT_APPEND, SLOT_EMPTY,
                              SLOT_ORDER, TABLES)
-from .plans.sync import (SyncOptions, backfill_by_epoch, backfill_full, backfill_job, derive, epoch_sync_job,
-                         extract_append, extract_epoch, extract_replace, freshness, merge_append, merge_epoch,
-                         slot_sync_job, sync_table_slots)
+from .plans.sync import (EmptyBatchError, SyncOptions, backfill_by_epoch, backfill_full, backfill_job, derive,
+                         epoch_sync_job, epochs_done, extract_append, extract_epoch, extract_replace, freshness,
+                         load_window, merge_append, merge_epoch, next_watermark, slot_sync_job, sync_table_slots)
 from .plans.windows import SlotWindowConfig, plan_epochs, plan_slot_windows, source_head
 from .session import ensure_checkpoint_dir
 from .sources.csv_stage import read_stage_csv, write_stage_csv
@@ -416,11 +416,17 @@ def q_next_watermark(spark, sf_dir):
     counts = parts[0]
     for p in parts[1:]:
         counts = counts.unionByName(p)
-    pol = spark.createDataFrame([(t, SLOT_EMPTY[t]) for t in SLOT_ORDER], "tablename STRING, policy STRING")
-    pl = q_plan_slots(spark, sf_dir).where("round = 1").select("tablename", "last_slot_no", "max_slot_no")
-    nxt = (F.when((F.col("rows") > 0) | (F.col("policy") != "fail"), F.col("max_slot_no")))
-    return counts.join(pol, "tablename").join(pl, "tablename").select(
-        "tablename", "rows", "policy", nxt.alias("next_last_slot_no"))
+    out = []  # 23 counts, each with and without an empty window, with and without stall_safe
+    for r in counts.collect():
+        t, p = r["tablename"], plan[r["tablename"]]
+        for rows in (r["rows"], 0):
+            for stall_safe in (True, False):
+                try:
+                    nxt = next_watermark(SLOT_EMPTY[t], rows, p["max_slot_no"], p["last_slot_no"], stall_safe)
+                except EmptyBatchError:
+                    nxt = None
+                out.append((t, rows, SLOT_EMPTY[t], stall_safe, nxt))
+    return spark.createDataFrame(out, "tablename STRING, rows BIGINT, policy STRING, stall_safe BOOLEAN, next_last_slot_no BIGINT")
 
 
 def _duck_next_watermark() -> str:
@@ -439,9 +445,11 @@ def _duck_next_watermark() -> str:
             parts.append(f"SELECT '{t}' AS tablename, count(*) AS rows FROM ({body}) v")
     pol = ", ".join(f"('{t}', '{SLOT_EMPTY[t]}')" for t in SLOT_ORDER)
     return (_with(SLOT_ORDER) + f", p AS (SELECT * FROM ({duck_plan_sql()}) pp WHERE \"round\" = 1) "
-            f"SELECT c.tablename, c.rows, pol.policy, CASE WHEN c.rows > 0 OR pol.policy <> 'fail' THEN p.max_slot_no "
-            f"END AS next_last_slot_no FROM ({' UNION ALL '.join(parts)}) c "
-            f"JOIN (VALUES {pol}) pol(tablename, policy) USING (tablename) JOIN p USING (tablename)")
+            f"SELECT c.tablename, n.rows, pol.policy, s.stall_safe, CASE WHEN n.rows > 0 OR pol.policy = 'advance' "
+            f"OR (pol.policy = 'keep' AND s.stall_safe) THEN p.max_slot_no WHEN pol.policy = 'keep' THEN p.last_slot_no "
+            f"END AS next_last_slot_no FROM ({' UNION ALL '.join(parts)}) c, LATERAL (VALUES (c.rows), (0)) n(rows) "
+            f"CROSS JOIN (VALUES (true), (false)) s(stall_safe) "
+            f"JOIN (VALUES {pol}) pol(tablename, policy) ON pol.tablename = c.tablename JOIN p ON p.tablename = c.tablename")
 
 
 def q_epoch_next_watermark(spark, sf_dir):
@@ -455,11 +463,14 @@ def q_epoch_next_watermark(spark, sf_dir):
     counts = parts[0]
     for p in parts[1:]:
         counts = counts.unionByName(p)
-    li = _li(spark).select("tablename", "last_epoch_no")
-    adv = F.col("tablename").isin([t for t in EPOCH_ORDER if TABLES[t].epoch_empty == "advance"])
-    return counts.join(li, "tablename").select(
-        "tablename", "epoch_no", "rows",
-        F.when((F.col("rows") > 0) | adv, F.col("epoch_no")).otherwise(F.col("last_epoch_no")).alias("next_last_epoch_no"))
+    marks = {r["tablename"]: r["last_epoch_no"] for r in _li(spark).collect()}  # one row per table
+    out = []
+    for r in counts.collect():
+        t, e = r["tablename"], r["epoch_no"]
+        for rows in (r["rows"], 0):  # as found, and as if nothing had been found
+            done = epochs_done(TABLES[t], [e], {e} if rows else set())
+            out.append((t, e, rows, done[-1] if done else marks[t]))
+    return spark.createDataFrame(out, "tablename STRING, epoch_no BIGINT, rows BIGINT, next_last_epoch_no BIGINT")
 
 
 def _duck_epoch_filtered(t: str, cond: str) -> str:
@@ -475,10 +486,11 @@ def _duck_epoch_next_watermark() -> str:
         cond = f"block.epoch_no = (SELECT min(epoch_no) FROM pe WHERE tablename = '{t}')"
         parts.append(f"SELECT '{t}' AS tablename, (SELECT min(epoch_no) FROM pe WHERE tablename = '{t}') AS epoch_no, "
                      f"count(*) AS rows FROM ({_duck_epoch_filtered(t, cond)}) x")
-    adv = _quote([t for t in EPOCH_ORDER if TABLES[t].epoch_empty == "advance"])
-    return (_with(EPOCH_ORDER) + f", pe AS ({_duck_plan_epochs()}) SELECT c.tablename, c.epoch_no, c.rows, "
-            f"CASE WHEN c.rows > 0 OR c.tablename IN ({adv}) THEN c.epoch_no ELSE li.last_epoch_no END "
-            f"AS next_last_epoch_no FROM ({' UNION ALL '.join(parts)}) c JOIN {_duck_li()} li USING (tablename)")
+    adv = _quote([t for t in EPOCH_ORDER if TABLES[t].epoch_empty == "advance" or t in EPOCH_CLOSED])
+    return (_with(EPOCH_ORDER) + f", pe AS ({_duck_plan_epochs()}) SELECT c.tablename, c.epoch_no, n.rows, "
+            f"CASE WHEN n.rows > 0 OR c.tablename IN ({adv}) THEN c.epoch_no ELSE li.last_epoch_no END "
+            f"AS next_last_epoch_no FROM ({' UNION ALL '.join(parts)}) c, LATERAL (VALUES (c.rows), (0)) n(rows) "
+            f"JOIN {_duck_li()} li ON li.tablename = c.tablename WHERE c.epoch_no IS NOT NULL")
 
 
 def _head_max(spark, src) -> int:
@@ -517,7 +529,7 @@ def _cut_target(src, wh: Warehouse, table: str) -> None:
         wh.overwrite(table, df, spec.part_col)
     else:
         wh.write_stage(extract_append(src, table, -1, CUT_SLOT, TEST), table, part_col=spec.part_col)
-        merge_append(wh, table, CUT_SLOT)
+        merge_append(wh, table, CUT_SLOT, -1)
     wh.set_watermark(table, slot=CUT_SLOT, epoch=CUT_EPOCH)
 
 
@@ -539,6 +551,34 @@ def q_append_merge(spark, sf_dir):
     return wh.read("rel_addr_txout")
 
 
+RETRY_END, MOVED_END = 1997, 2097
+
+
+def q_append_retry(spark, sf_dir):
+    """W-06: an attempt to slot 1997 swapped its rows in but set no watermark; the retry ends at 2097."""
+    wh = scratch(spark)
+    src = _mat(spark, sf_dir, wh)
+    _cut_target(src, wh, "pool_update")
+    load_window(src, wh, "pool_update", CUT_SLOT, CUT_SLOT, RETRY_END, TEST)
+    wh.set_watermark("pool_update", slot=CUT_SLOT)
+    load_window(src, wh, "pool_update", CUT_SLOT, CUT_SLOT, MOVED_END, TEST)
+    return wh.read("pool_update")
+
+
+ROLLED_FROM = 1485
+
+
+def q_replace_rollback(spark, sf_dir):
+    """W-05: blocks 1485 to 1500 were rolled back, also those of an epoch edge; no block replaces them."""
+    wh = scratch(spark)
+    src = _mat(spark, sf_dir, wh)
+    wh.overwrite("tx_hash", derive(src, "tx_hash", opts=TEST).where(F.col("slot_no") <= CUT_SLOT), "epoch_no")
+    wh.set_watermark("tx_hash", slot=CUT_SLOT, epoch=CUT_EPOCH)
+    rolled = {"tx": src["tx"], "block": src["block"].where(~F.col("slot_no").between(ROLLED_FROM, CUT_SLOT))}
+    load_window(rolled, wh, "tx_hash", CUT_SLOT, ROLLED_FROM, source_head(src["block"]).first()["head_slot_no"], TEST)
+    return wh.read("tx_hash")
+
+
 def q_epoch_replace(spark, sf_dir):
     """P-03: delegation appended by two slot windows, then epoch 50 reloaded whole."""
     wh = scratch(spark)
@@ -562,14 +602,25 @@ def q_epoch_append(spark, sf_dir):
     return wh.read("reward")
 
 
-def _counts(wh: Warehouse, tables: list[str]) -> DataFrame:
+def _contents(read, tables: list[str]) -> DataFrame:
+    """Rows of each table and the sum of 48-bit row hashes: equal only if the same rows are there."""
     out = None
     for t in tables:
-        c = wh.read(t).agg(F.lit(t).alias("tablename"), F.count(F.lit(1)).alias("n_rows"))
+        df = read(t)
+        digits = F.substring(F.sha2(row_text(df, SPECS[t]), 256), 1, 12)
+        c = df.select(digits.alias("digits")).agg(
+            F.lit(t).alias("tablename"), F.count(F.lit(1)).alias("n_rows"),
+            F.sum(F.conv("digits", 16, 10).cast("decimal(38,0)")).cast("string").alias("checksum"))
         out = c if out is None else out.unionByName(c)
     return out
 
 
+def _duck_contents(t: str, source: str) -> str:
+    from .oracle import row_text_sql
+    return (f"SELECT '{t}' AS tablename, count(*) AS n_rows, CAST(sum(CAST('0x' || substr(sha256({row_text_sql(t)}), 1, 12) "
+            f"AS BIGINT)) AS VARCHAR) AS checksum FROM ({source}) v")
+
+
 def q_slot_sync_job(spark, sf_dir):
     """W-08: all 23 slot tables cut at slot 1500, synced to the head in capped rounds."""
     wh = scratch(spark)
@@ -578,20 +629,19 @@ def q_slot_sync_job(spark, sf_dir):
         list(pool.map(lambda t: _cut_target(src, wh, t), SLOT_ORDER))
     slot_sync_job(src, wh, TEST)
     li = wh.last_index().select("tablename", "last_slot_no")
-    return _counts(wh, SLOT_ORDER).join(li, "tablename")
+    return _contents(wh.read, SLOT_ORDER).join(li, "tablename")
 
 
 def _duck_slot_sync_job() -> str:
     parts = []
     for t in SLOT_ORDER:
         if TABLES[t].slot_mode == "replace":
-            parts.append(f"SELECT '{t}' AS tablename, count(*) AS n_rows FROM ({_body(t)[1]}) v "
-                         f"WHERE {TABLES[t].slot_col} <= (SELECT last FROM fin)")
+            parts.append(_duck_contents(t, f"SELECT * FROM ({_body(t)[1]}) w "
+                                           f"WHERE {TABLES[t].slot_col} <= (SELECT last FROM fin)"))
         else:
             wins = [f"slot_no <= {CUT_SLOT}"] + [
                 f"slot_no > (SELECT lo FROM r{k}) AND slot_no <= (SELECT hi FROM r{k})" for k in (1, 2, 3)]
-            cnt = " + ".join(f"(SELECT count(*) FROM ({_windowed(t, w)}) v)" for w in wins)
-            parts.append(f"SELECT '{t}' AS tablename, {cnt} AS n_rows")
+            parts.append(_duck_contents(t, " UNION ALL ".join(f"(SELECT * FROM ({_windowed(t, w)}) w)" for w in wins)))
     w = TEST.window
     rounds = []
     lo = str(CUT_SLOT)
@@ -600,7 +650,7 @@ def _duck_slot_sync_job() -> str:
                       f"{w.grace} ELSE {lo} END AS hi FROM (SELECT max(slot_no) AS h FROM block) x)")
         lo = f"(SELECT hi FROM r{k})"
     return (_with(SLOT_ORDER) + ", " + ", ".join(rounds) + ", fin AS (SELECT hi AS last FROM r3) "
-            "SELECT c.tablename, c.n_rows, (SELECT last FROM fin) AS last_slot_no FROM (" +
+            "SELECT c.tablename, c.n_rows, c.checksum, (SELECT last FROM fin) AS last_slot_no FROM (" +
             " UNION ALL ".join(parts) + ") c")
 
 
@@ -617,15 +667,19 @@ def q_epoch_sync_job(spark, sf_dir):
         wh.overwrite(t, df, spec.part_col)
         wh.set_watermark(t, slot=head_slot - TEST.window.grace if spec.slot_mode else None, epoch=CUT_EPOCH)
     epoch_sync_job(src, wh, TEST)
-    return _counts(wh, EPOCH_ORDER)
+    li = wh.last_index().select("tablename", "last_epoch_no")
+    return _contents(wh.read, EPOCH_ORDER).join(li, "tablename")
 
 
 def _duck_epoch_sync_job() -> str:
     parts = []
     for t in EPOCH_ORDER:
         hi = "(SELECT max(epoch_no) - 1 FROM block)" if t in EPOCH_CLOSED else str(CUT_EPOCH + 1)
-        parts.append(f"SELECT '{t}' AS tablename, count(*) AS n_rows "
-                     f"FROM ({_body(t)[1]}) v WHERE epoch_no <= {hi}")
+        # a closed epoch counts as done even without rows; an empty next epoch only where the table advances
+        done = hi if t in EPOCH_CLOSED or TABLES[t].epoch_empty == "advance" else (
+            f"(SELECT CASE WHEN count(*) > 0 THEN {hi} ELSE {CUT_EPOCH} END FROM ({_body(t)[1]}) d WHERE epoch_no = {hi})")
+        rows = _duck_contents(t, f"SELECT * FROM ({_body(t)[1]}) w WHERE epoch_no <= {hi}")
+        parts.append(f"SELECT r.*, {done} AS last_epoch_no FROM ({rows}) r")
     return _with(EPOCH_ORDER) + " UNION ALL ".join(parts)
 
 
@@ -633,12 +687,21 @@ GAP_EPOCH, BACKFILL_FROM = 40, 3
 
 
 def q_backfill_epoch(spark, sf_dir):
-    """B-01: tx_hash from epoch 3 over a source whose epoch 40 has no blocks."""
+    """B-01: tx_hash from epoch 3 over a source whose epoch 40 has no blocks: all other epochs."""
+    return _gap_backfill(spark, sf_dir, False)
+
+
+def q_backfill_stop_at_gap(spark, sf_dir):
+    """B-01 with the reference deployment's stop: the epochs before the gap."""
+    return _gap_backfill(spark, sf_dir, True)
+
+
+def _gap_backfill(spark, sf_dir, stop_at_gap: bool):
     wh = scratch(spark)
     src = _mat(spark, sf_dir, wh)
     gap = {k: src[k] for k in ("tx", "block")}
     gap["block"] = src["block"].where(F.col("epoch_no") != GAP_EPOCH)
-    backfill_by_epoch(gap, wh, "tx_hash", BACKFILL_FROM, TEST)
+    backfill_by_epoch(gap, wh, "tx_hash", BACKFILL_FROM, TEST, stop_at_gap)
     return wh.read("tx_hash")
 
 
@@ -661,24 +724,25 @@ def q_backfill_full(spark, sf_dir):
 
 
 def q_backfill_job(spark, sf_dir):
-    """B-03: all 30 tables; rows landed per table."""
+    """B-03: all 30 tables in full, with their contents and watermarks."""
     wh = scratch(spark)
     src = _mat(spark, sf_dir, wh)
-    return backfill_job(src, wh, test_starts(), TEST)
+    report = backfill_job(src, wh, opts=TEST)
+    li = wh.last_index().select("tablename", "last_epoch_no")
+    landed = _contents(wh.read, list(BACKFILL_START) + BACKFILL_FULL).join(report.select("tablename", "rows"), "tablename")
+    return landed.where("rows = n_rows").drop("rows").join(li, "tablename", "left")
 
 
 def _duck_backfill_job() -> str:
     parts = []
-    for t, s in test_starts().items():
+    for t in list(BACKFILL_START) + BACKFILL_FULL:
         body = _body(t)[1]
-        ecol = "epoch_no"
+        last = f"(SELECT max(epoch_no) FROM ({body}) l)"
         if t == "tx_consumed_output":
-            body = (f"SELECT v.*, eb.epoch_no AS consumed_in_epoch_no FROM ({body}) v JOIN (SELECT DISTINCT slot_no "
-                    f"AS s_, epoch_no FROM block) eb ON eb.s_ = v.consumed_in_slot_no")
-            ecol = "consumed_in_epoch_no"
-        parts.append(f"SELECT '{t}' AS tablename, count(*) AS rows FROM ({_duck_prefix(body, s, ecol)}) x")
-    for t in BACKFILL_FULL:
-        parts.append(f"SELECT '{t}' AS tablename, count(*) AS rows FROM ({_body(t)[1]}) x")
+            last = f"(SELECT max(epoch_no) FROM block JOIN ({body}) l ON block.slot_no = l.consumed_in_slot_no)"
+        if TABLES[t].part_col is None:
+            last = "CAST(NULL AS BIGINT)"
+        parts.append(f"SELECT r.*, CAST({last} AS BIGINT) AS last_epoch_no FROM ({_duck_contents(t, body)}) r")
     return _with(list(BACKFILL_START) + BACKFILL_FULL) + " UNION ALL ".join(parts)
 
 
@@ -709,6 +773,11 @@ def sync_backfill() -> tuple[dict[str, Query], dict[str, str]]:
     q["w_append_merge"] = q_append_merge
     o["w_append_merge"] = _with(["rel_addr_txout"]) + " UNION ALL ".join(
         f"({_windowed('rel_addr_txout', w)})" for w in wins)
+    q["w_append_retry"] = q_append_retry
+    o["w_append_retry"] = _with(["pool_update"]) + " UNION ALL ".join(
+        f"({_windowed('pool_update', w)})" for w in (f"slot_no <= {CUT_SLOT}", f"slot_no > {CUT_SLOT} AND slot_no <= {MOVED_END}"))
+    q["w_replace_rollback"] = q_replace_rollback
+    o["w_replace_rollback"] = _with(["tx_hash"]) + _windowed("tx_hash", f"slot_no NOT BETWEEN {ROLLED_FROM} AND {CUT_SLOT}")
     q["p_epoch_replace_merge"] = q_epoch_replace
     o["p_epoch_replace_merge"] = _with(["delegation"]) + " UNION ALL ".join(
         [f"SELECT * FROM ({_windowed('delegation', w)}) v WHERE epoch_no <> {RELOAD_EPOCH}" for w in wins]
@@ -723,7 +792,9 @@ def sync_backfill() -> tuple[dict[str, Query], dict[str, str]]:
     q["b_backfill_by_epoch"] = q_backfill_epoch
     th = _body("tx_hash")[1].replace("JOIN block b ON b.id = t.block_id",
                                      f"JOIN (SELECT * FROM block WHERE epoch_no <> {GAP_EPOCH}) b ON b.id = t.block_id")
-    o["b_backfill_by_epoch"] = _with(["tx_hash"]) + _duck_prefix(th, BACKFILL_FROM)
+    o["b_backfill_by_epoch"] = _with(["tx_hash"]) + f"SELECT * FROM ({th}) v WHERE epoch_no >= {BACKFILL_FROM}"
+    q["b_backfill_stop_at_gap"] = q_backfill_stop_at_gap
+    o["b_backfill_stop_at_gap"] = _with(["tx_hash"]) + _duck_prefix(th, BACKFILL_FROM)
     q["b_backfill_full"] = q_backfill_full
     o["b_backfill_full"] = _with(["pool_update"]) + _body("pool_update")[1]
     q["b_backfill_job"] = q_backfill_job
@@ -736,33 +807,50 @@ def sync_backfill() -> tuple[dict[str, Query], dict[str, str]]:
 ROLLBACK_SLOTS = 10
 
 
-def q_stream(spark, sf_dir):
-    """W-09: blocks arrive as one file per epoch, then a late file rewrites the
-    last 10 slots (rollback: their time moves by an hour); tx after the stream."""
+STREAM_APPEND = ["pool_update", "delegation"]
+
+
+def _streamed(spark, sf_dir, tables: list[str]) -> Warehouse:
+    """Blocks arrive as one file per ten epochs, two files a batch; a late file rewrites the last 10 slots (their
+    time moves by an hour)."""
     from .streaming.block_stream import stream_sync
     wh = scratch(spark)
     src = _mat(spark, sf_dir, wh)
     blocks = src["block"]
     block_dir = f"{wh.root}/incoming_blocks"
-    epochs = [r[0] for r in blocks.select("epoch_no").distinct().orderBy("epoch_no").collect()]  # one per epoch
-    for e in epochs:
-        blocks.where(F.col("epoch_no") == e).coalesce(1).write.mode("append").parquet(block_dir)
-    top = blocks.agg(F.max("slot_no")).first()[0]
-    late = (blocks.where(F.col("slot_no") > top - ROLLBACK_SLOTS)
+    top = blocks.agg(F.max("slot_no"), F.max("epoch_no")).first()
+    for e in range(0, top[1] + 1, 10):
+        blocks.where(F.col("epoch_no").between(e, e + 9)).coalesce(1).write.mode("append").parquet(block_dir)
+    late = (blocks.where(F.col("slot_no") > top[0] - ROLLBACK_SLOTS)
             .withColumn("time", F.col("time") + F.expr("INTERVAL 1 HOUR")))
     late.coalesce(1).write.mode("append").parquet(block_dir)
-    stream_sync(spark, src, block_dir, wh, ["tx"], TEST, files_per_batch=8, block_schema=blocks.schema)
-    return wh.read("tx")
+    stream_sync(spark, src, block_dir, wh, tables, TEST, files_per_batch=2, block_schema=blocks.schema)
+    return wh
+
+
+def q_stream(spark, sf_dir):
+    """W-09: tx after the stream."""
+    return _streamed(spark, sf_dir, ["tx"]).read("tx")
+
+
+def q_stream_append(spark, sf_dir):
+    """W-09: what append tables hold after a backlog of several batches and a rollback, each entry once."""
+    wh = _streamed(spark, sf_dir, STREAM_APPEND)
+    entries = F.sum(F.size(F.from_json("delegations", "array<struct<slot_no BIGINT>>"))).cast("bigint")
+    return (wh.read("pool_update").agg(F.lit("pool_update").alias("tablename"), F.count("*").alias("entries"))
+            .unionByName(wh.read("delegation").agg(F.lit("delegation").alias("tablename"), entries.alias("entries"))))
 
 
 def streaming() -> tuple[dict[str, Query], dict[str, str]]:
-    body = _body("tx")[1].replace(
-        "JOIN block b ON b.id = t.block_id",
-        f"JOIN (SELECT * REPLACE (CASE WHEN slot_no > (SELECT max(slot_no) FROM block) - {ROLLBACK_SLOTS} "
-        f"THEN time + INTERVAL 1 HOUR ELSE time END AS time) FROM block) b ON b.id = t.block_id")
-    return ({"w_stream_sync": q_stream},
-            {"w_stream_sync": _with(["tx"]) + f"SELECT * FROM ({body}) v WHERE slot_no <= "
-                                              f"(SELECT max(slot_no) FROM block) - {TEST.window.grace}"})
+    moved = (f"(SELECT * REPLACE (CASE WHEN slot_no > (SELECT max(slot_no) FROM block) - {ROLLBACK_SLOTS} "
+             f"THEN time + INTERVAL 1 HOUR ELSE time END AS time) FROM block)")
+    body = _body("tx")[1].replace("JOIN block b ON b.id = t.block_id", f"JOIN {moved} b ON b.id = t.block_id")
+    end = f"(SELECT max(slot_no) FROM block) - {TEST.window.grace}"
+    entries = (f"SELECT 'pool_update' AS tablename, count(*) AS entries FROM ({_windowed('pool_update', f'slot_no <= {end}')}) v UNION ALL "
+               f"SELECT 'delegation', CAST(sum(json_array_length(delegations)) AS BIGINT) FROM ({_windowed('delegation', f'slot_no <= {end}')}) v")
+    return ({"w_stream_sync": q_stream, "w_stream_append": q_stream_append},
+            {"w_stream_sync": _with(["tx"]) + f"SELECT * FROM ({body}) v WHERE slot_no <= {end}",
+             "w_stream_append": _with(STREAM_APPEND) + entries})
 
 
 PARTS = (validation, sources_sinks, sync_backfill, streaming)

@@ -26,13 +26,14 @@ def pool_update(src: Catalog, where: Column | None = None) -> DataFrame:
     pmr = src["pool_metadata_ref"].select(
         F.col("id").alias("meta_id"), F.col("url").alias("metadata_url"), hex_text("hash").alias("metadata_hash"),
         F.col("registered_tx_id").alias("meta_tx_id"))
+    meta_tx = src["tx"].select(F.col("id").alias("meta_tx_id"), hex_text("hash").alias("m_tx_hash"))  # only its hash: no block
     return (
         src["pool_update"]
         .join(stake, "reward_addr_id")
         .join(_pools(src, "hash_id"), "hash_id")
         .join(pmr, "meta_id")
         .join(_tx(src, "registered_tx_id", where), "registered_tx_id")
-        .join(_tx(src, "meta_tx_id", prefix="m_"), "meta_tx_id")
+        .join(meta_tx, "meta_tx_id")
         .select("active_epoch_no", "pool_hash", "cert_index", hex_text("vrf_key_hash").alias("vrf_key_hash"),
                 F.col("pledge").cast("decimal(20,0)").alias("pledge"), "reward_addr",
                 F.col("margin").cast("decimal(30,9)").alias("margin"),

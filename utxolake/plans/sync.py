@@ -6,9 +6,9 @@ write it to staging (S-05, row count S-04), apply the empty-batch policy
 W-06, P-03, P-04) and set the watermark last (S-08). A rerun after a failure
 repeats the same window and gives the same partitions, because
 
-* replace tables rebuild ``slot >= clean`` of the touched partitions,
-* append tables carry ``_batch`` (the window end) and a rerun replaces the rows
-  of its own batch instead of adding them twice,
+* replace tables rebuild ``slot >= clean`` wherever the target holds such rows,
+* append tables carry ``_batch`` (the window end); rows of a batch beyond the
+  watermark stem from a failed attempt and give way,
 * epoch loads replace whole epoch partitions.
 
 The driver only handles plans and partition lists: one row per table and
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ..operators.derive import DERIVE
 from ..sources.sinks import Warehouse
 from .registry import BACKFILL_FULL, BACKFILL_START, EPOCH_CLOSED, EPOCH_ORDER, OWN_EPOCH, SLOT_ORDER, TABLES
-from .windows import SlotWindowConfig, contiguous_epochs, plan_epochs, source_head
+from .windows import SlotWindowConfig, plan_epochs, plan_slot_windows, source_head
 
 
 class EmptyBatchError(RuntimeError):
@@ -82,41 +82,50 @@ def extract_epochs(src, table: str, epochs: list[int], opts: SyncOptions | None
     return derive(src, table, cond, opts)
 
 
-def merge_replace(wh: Warehouse, table: str, clean: int) -> int:
-    """W-05: target rows with ``slot >= clean`` give way to the staged rows."""
-    spec = TABLES[table]
-    part, slot = spec.part_col, spec.slot_col
-    staged = wh.read_stage(table)
-    touched = wh.partitions(wh.staging(table, "stage"), part)
-    if wh.has(table):
-        old = wh.read(table, hidden=True)
-        # rows with slot >= clean sit in the staged epochs or later ones (later
-        # ones exist only after a rollback shortened the chain): a listing, no scan
-        first = min(touched)
-        touched |= {p for p in wh.partitions(wh.path(table), part) if p >= first}
-        keep = old.where(F.col(part).isin(sorted(touched)) & (F.col(slot) < clean))
-        merged = keep.unionByName(staged.select(*old.columns))
-    else:
-        merged = staged
-    n = wh.write_stage(merged, table, "merged", part)
-    wh.replace_partitions(table, wh.staging(table, "merged"), part, touched)
-    return n
+def epoch_before(src, slot: int) -> int | None:
+    """The epoch of the last block below ``slot`` (epochs grow with slots; None: no such block)."""
+    return src["block"].where(F.col("slot_no") < slot).agg(F.max("epoch_no")).first()[0]
 
 
-def merge_append(wh: Warehouse, table: str, batch: int) -> int:
-    """W-06: add the staged rows, replacing an earlier attempt of the same batch."""
+def _swap(wh: Warehouse, table: str, give_way: Column, staged: DataFrame, since: int | None) -> int:
+    """Rows that ``give_way`` leave the target, ``staged`` come in; only the partitions concerned are rewritten.
+
+    ``since`` bounds the partitions that can hold such rows (None: all may).
+    """
     part = TABLES[table].part_col
+    arriving = wh.partitions(wh.staging(table, "stage"), part)
+    if not wh.has(table):
+        return wh.overwrite(table, staged, part)
+    old = wh.read(table, hidden=True)
+    staged = staged.select(*old.columns)
+    seen = {p for p in wh.partitions(wh.path(table), part) if since is None or p >= since}
+    old = old.where(F.col(part).isin(sorted(seen)))
+    # one narrow scan: which partitions have rows to lose, and which keep some
+    found = old.groupBy(part).agg(F.bool_or(give_way).alias("loses"), F.bool_or(~give_way).alias("keeps")).collect()
+    touched = arriving | {r[part] for r in found if r["loses"]}
+    keeping = {r[part] for r in found if r["keeps"]}
+    if not touched:
+        return 0
+    merged = old.where(F.col(part).isin(sorted(touched)) & ~give_way).unionByName(staged)
+    return wh.merge_partitions(table, merged, part, gone=touched - arriving - keeping)
+
+
+def merge_replace(wh: Warehouse, table: str, clean: int, since: int | None = None) -> int:
+    """W-05: target rows with ``slot >= clean`` give way to the staged rows, also if none were staged.
+
+    ``since`` is the epoch of the last block below ``clean``: no partition before it holds such rows
+    (tables with an epoch of their own are looked up whole).
+    """
+    give_way = F.col(TABLES[table].slot_col) >= clean
+    return _swap(wh, table, give_way, wh.read_stage(table), None if table in OWN_EPOCH else since)
+
+
+def merge_append(wh: Warehouse, table: str, batch: int, last: int, since: int | None = None) -> int:
+    """W-06: add the staged rows as batch ``batch``. Rows of batches beyond the watermark ``last`` come from an
+    attempt that did not set it; they give way, whatever end that attempt had."""
     staged = wh.read_stage(table).withColumn("_batch", F.lit(batch).cast("bigint"))
-    touched = wh.partitions(wh.staging(table, "stage"), part)
-    if wh.has(table):
-        old = wh.read(table, hidden=True)
-        keep = old.where(F.col(part).isin(sorted(touched)) & ~F.col("_batch").eqNullSafe(batch))
-        merged = keep.unionByName(staged.select(*old.columns))
-    else:
-        merged = staged
-    n = wh.write_stage(merged, table, "merged", part)
-    wh.replace_partitions(table, wh.staging(table, "merged"), part, touched)
-    return n
+    give_way = F.coalesce(F.col("_batch") > last, F.lit(False))
+    return _swap(wh, table, give_way, staged, since)
 
 
 def merge_epoch(wh: Warehouse, table: str, epoch: int) -> None:
@@ -127,13 +136,11 @@ def merge_epoch(wh: Warehouse, table: str, epoch: int) -> None:
 def merge_epochs(wh: Warehouse, table: str, epochs: set) -> None:
     """P-03 / P-04 for several epochs: each becomes exactly its staged rows."""
     part = TABLES[table].part_col
-    staged = wh.read_stage(table)
-    if "_batch" not in staged.columns and TABLES[table].slot_mode == "append":
-        staged = staged.withColumn("_batch", F.lit(None).cast("bigint"))
+    staged = _with_batch(wh.read_stage(table), table)
     if wh.has(table):
         staged = staged.select(*wh.read(table, hidden=True).columns)
-    wh.write_stage(staged, table, "merged", part)
-    wh.replace_partitions(table, wh.staging(table, "merged"), part, epochs)
+    arriving = wh.partitions(wh.staging(table, "stage"), part)
+    wh.merge_partitions(table, staged, part, gone=set(epochs) - arriving)
 
 
 def next_watermark(policy: str, rows: int, planned: int, current: int, stall_safe: bool = True) -> int:
@@ -151,17 +158,23 @@ def sync_table_slots(src, wh: Warehouse, table: str, last: int, head: int, opts:
     if head < last:
         raise RuntimeError(f"{table}: source head {head} behind watermark {last}")
     mx = min(head, last + cfg.cap) - cfg.grace
+    return load_window(src, wh, table, last, last - cfg.delete, mx, opts)
+
+
+def load_window(src, wh: Warehouse, table: str, last: int, clean: int, mx: int, opts: SyncOptions) -> tuple[int, int]:
+    """W-05 / W-06 for one planned window. An empty window still clears what its range held,
+    unless the table's policy leaves the watermark behind it."""
+    spec = TABLES[table]
     if spec.slot_mode == "replace":
-        clean = last - cfg.delete
         rows = wh.write_stage(extract_replace(src, table, clean, mx, opts), table, part_col=spec.part_col)
         new = next_watermark(spec.slot_empty, rows, mx, last, opts.stall_safe)
-        if rows:
-            merge_replace(wh, table, clean)
+        if rows or new != last:
+            merge_replace(wh, table, clean, epoch_before(src, clean))
     else:
         rows = wh.write_stage(extract_append(src, table, last, mx, opts), table, part_col=spec.part_col)
         new = next_watermark(spec.slot_empty, rows, mx, last, opts.stall_safe)
-        if rows:
-            merge_append(wh, table, mx)
+        if rows or new != last:
+            merge_append(wh, table, mx, last, epoch_before(src, last + 1))
     wh.set_watermark(table, slot=new)
     return rows, new
 
@@ -171,32 +184,52 @@ def slot_sync_job(src, wh: Warehouse, opts: SyncOptions | None = None, tables: l
     """W-08: every due table, up to ``rounds`` rounds, then the source-head row."""
     opts = opts or SyncOptions()
     spark = wh.spark
-    head = source_head(src["block"]).first()
+    tables = tables or SLOT_ORDER
+    head_row = source_head(src["block"])
+    head = head_row.first()
     marks = {r["tablename"]: r["last_slot_no"] for r in wh.last_index().collect()}  # one row per table
+    planned: dict[str, list] = {}
+    due = wh.last_index().where(F.col("tablename").isin(tables) & F.col("last_slot_no").isNotNull())
+    for r in plan_slot_windows(due, head_row, opts.window).collect():  # tables x rounds
+        planned.setdefault(r["tablename"], []).append(r)
 
     def one_table(table: str) -> list[tuple]:
-        out, last = [], marks.get(table)
-        for rnd in range(1, opts.window.rounds + 1):
-            if last is None or last >= head["head_slot_no"] - opts.window.grace:
+        last = marks.get(table)
+        if last is None:
+            return [(table, 0, None, None, 0, "no_watermark")]
+        if head["head_slot_no"] < last:
+            return [(table, 0, last, last, 0, "head_behind")]
+        out = []
+        for r in sorted(planned.get(table, []), key=lambda r: r["round"]):
+            if r["last_slot_no"] != last:  # the round before did not move the watermark
                 break
             try:
-                rows, new = sync_table_slots(src, wh, table, last, head["head_slot_no"], opts)
+                rows, new = load_window(src, wh, table, last, r["clean_slot_no"], r["max_slot_no"], opts)
             except EmptyBatchError:  # W-07 "fail": this table stops, its watermark stays
-                out.append((table, rnd, last, last, 0, "failed_empty"))
-                break
-            out.append((table, rnd, last, new, rows, "loaded" if rows else "empty"))
-            if new == last:
+                out.append((table, r["round"], last, last, 0, "failed_empty"))
                 break
+            out.append((table, r["round"], last, new, rows, "loaded" if rows else "empty"))
             last = new
         return out
 
     with ThreadPoolExecutor(max_workers=max(1, opts.parallel_tables)) as pool:
-        report = [row for rows in pool.map(one_table, tables or SLOT_ORDER) for row in rows]
+        report = [row for rows in pool.map(one_table, tables) for row in rows]
     wh.set_watermark("source", slot=head["head_slot_no"], epoch=head["head_epoch_no"])
     return spark.createDataFrame(report, "tablename STRING, round INT, from_slot_no BIGINT, "
                                          "last_slot_no BIGINT, rows BIGINT, status STRING")
 
 
+def epochs_done(spec, epochs: list[int], loaded: set[int]) -> list[int]:
+    """P-05: the epochs, in order, that the watermark may pass: loaded ones, and empty ones if the epoch is
+    closed (it cannot change any more) or the table advances on empty. It stops at the first other."""
+    done = []
+    for e in sorted(epochs):
+        if e not in loaded and spec.epoch_empty != "advance" and spec.epoch_mode != "closed":
+            break
+        done.append(e)
+    return done
+
+
 def epoch_sync_job(src, wh: Warehouse, opts: SyncOptions | None = None, tables: list[str] | None = None
                    ) -> DataFrame:
     """P-06: load the due epochs of the epoch tables (P-01 plan, P-03 / P-04 merges).
@@ -237,17 +270,10 @@ def epoch_sync_job(src, wh: Warehouse, opts: SyncOptions | None = None, tables:
         stage = extract_epochs(src, table, epochs, opts)
         rows = wh.write_stage(stage, table, part_col=spec.part_col)
         loaded = wh.partitions(wh.staging(table, "stage"), spec.part_col) if rows else set()
-        if rows:
-            merge_epochs(wh, table, set(epochs))
-        # P-05: an empty epoch keeps the watermark unless the table advances on empty
-        done = [e for e in epochs if e in loaded or spec.epoch_empty == "advance"]
-        upto = None
-        for e in epochs:  # the watermark moves over a gap-free run of done epochs only
-            if e not in done:
-                break
-            upto = e
-        if upto is not None:
-            wh.set_watermark(table, epoch=upto)
+        done = epochs_done(spec, epochs, loaded)
+        merge_epochs(wh, table, loaded | set(done))  # a done epoch without rows loses what it held
+        if done:
+            wh.set_watermark(table, epoch=done[-1])
         report += [(table, e, None, "loaded" if e in loaded else "empty") for e in epochs]
         return report
 
@@ -262,13 +288,29 @@ def _with_batch(df: DataFrame, table: str) -> DataFrame:
     return df
 
 
-def backfill_by_epoch(src, wh: Warehouse, table: str, start: int, opts: SyncOptions | None = None) -> int:
-    """B-01: the table from ``start`` up to the first epoch without rows, one pass."""
+def backfill_by_epoch(src, wh: Warehouse, table: str, start: int | None = None, opts: SyncOptions | None = None,
+                      stop_at_gap: bool = False) -> tuple[int, list[int]]:
+    """B-01: all epochs of the table from ``start`` (None: the first); returns the rows and the epochs left out.
+
+    Target epochs before ``start`` stay. ``stop_at_gap`` ends at the first epoch without rows, as the
+    reference deployment does; target epochs beyond it stay too.
+    """
     spec = TABLES[table]
-    rows = derive(src, table, opts=opts)
-    ecol = spec.part_col
-    prefix = contiguous_epochs(rows, start, ecol).withColumnRenamed("epoch_no", ecol)
-    return wh.overwrite(table, _with_batch(rows.join(prefix, ecol, "left_semi"), table), spec.part_col)
+    rows = _with_batch(derive(src, table, opts=opts), table)
+    if start is None and not stop_at_gap:
+        return wh.overwrite(table, rows, spec.part_col), []
+    if start is not None:
+        rows = rows.where(F.col(spec.part_col) >= start)
+    wh.write_stage(rows, table, part_col=spec.part_col)
+    present = sorted(wh.partitions(wh.staging(table, "stage"), spec.part_col))
+    epochs = present
+    if stop_at_gap:
+        first = start if start is not None else min(present, default=0)
+        epochs = [e for i, e in enumerate(present) if e == first + i]
+    staged = wh.read_stage(table).where(F.col(spec.part_col).isin(epochs)) if present else rows.where(F.lit(False))
+    gone = {p for p in wh.partitions(wh.path(table), spec.part_col) if start is None or p >= start} - set(present)
+    n = wh.merge_partitions(table, staged, spec.part_col, gone=set() if stop_at_gap else gone)
+    return n, [e for e in present if e not in epochs]
 
 
 def backfill_full(src, wh: Warehouse, table: str, opts: SyncOptions | None = None) -> int:
@@ -277,19 +319,22 @@ def backfill_full(src, wh: Warehouse, table: str, opts: SyncOptions | None = Non
 
 
 def backfill_job(src, wh: Warehouse, starts: dict[str, int] | None = None, opts: SyncOptions | None = None,
-                 tables: list[str] | None = None) -> DataFrame:
-    """B-03: every table, by epoch from its start or in full.
+                 tables: list[str] | None = None, stop_at_gap: bool = False) -> DataFrame:
+    """B-03: every table in full, or from the epoch that ``starts`` gives it (``registry.BACKFILL_START`` lists the
+    reference deployment's resume points; they presuppose that earlier epochs are loaded). The report names the
+    epochs that ``stop_at_gap`` left out.
 
     The watermarks become the last loaded epoch and the last slot of that epoch
     in the source, so that the sync jobs continue where the backfill stopped.
     """
-    starts = BACKFILL_START if starts is None else starts
-    tables = tables or (list(starts) + BACKFILL_FULL)
+    starts = starts or {}
+    tables = tables or (list(BACKFILL_START) + BACKFILL_FULL)
     opts = opts or SyncOptions()
 
-    def one_table(table: str) -> tuple[str, int]:
-        return table, (backfill_by_epoch(src, wh, table, starts[table], opts) if table in starts
-                       else backfill_full(src, wh, table, opts))
+    def one_table(table: str) -> tuple[str, int, list[int]]:
+        if table in starts or (stop_at_gap and TABLES[table].part_col and table in BACKFILL_START):
+            return table, *backfill_by_epoch(src, wh, table, starts.get(table), opts, stop_at_gap)
+        return table, backfill_full(src, wh, table, opts), []
 
     with ThreadPoolExecutor(max_workers=max(1, opts.parallel_tables)) as pool:
         report = list(pool.map(one_table, tables))
@@ -297,13 +342,16 @@ def backfill_job(src, wh: Warehouse, starts: dict[str, int] | None = None, opts:
     if loaded:
         ends = src["block"].groupBy("epoch_no").agg(F.max("slot_no").alias("last_slot_no"))
         marks = None
+        skipped = {t: min(e) for t, _, e in report if e}
         for t in loaded:
-            m = wh.read(t, hidden=True).agg(F.max(TABLES[t].part_col).alias("last_epoch_no")) \
-                .select(F.lit(t).alias("tablename"), "last_epoch_no")
+            rows, part = wh.read(t, hidden=True), TABLES[t].part_col
+            if t in skipped:  # what lies beyond a gap was not loaded now
+                rows = rows.where(F.col(part) < skipped[t])
+            m = rows.agg(F.max(part).alias("last_epoch_no")).select(F.lit(t).alias("tablename"), "last_epoch_no")
             marks = m if marks is None else marks.unionByName(m)
         marks = marks.join(ends.withColumnRenamed("epoch_no", "last_epoch_no"), "last_epoch_no", "left")
         wh.set_watermarks(marks.select("tablename", "last_slot_no", "last_epoch_no"))
-    return wh.spark.createDataFrame(report, "tablename STRING, rows BIGINT")
+    return wh.spark.createDataFrame(report, "tablename STRING, rows BIGINT, skipped_epochs ARRAY<BIGINT>")
 
 
 def freshness(wh_or_tables, head: DataFrame, tables: list[str]) -> DataFrame:

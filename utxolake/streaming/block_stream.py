@@ -1,37 +1,45 @@
 """W-09: slot sync fed by a stream of arriving block files.
 
 ``readStream`` watches the folder that receives block exports. Each micro-batch
-(``foreachBatch``) only tells which slots arrived; the tables are then synced
-with the same window merges as the batch job (W-05 / W-06) against a static
-read of every block received so far, in which a later file replaces the blocks
-of the slots it repeats (a chain rollback). When a batch brings slots at or
-below a table's watermark, the table is re-derived from just below the first
-such slot (the re-derivation range ``delete`` reaches further back).
+(``foreachBatch``) stores its blocks under ``_stream_blocks/batch=<id>`` of the
+warehouse (a replayed batch overwrites its own folder), and the tables are synced
+with the window loads of the batch job (W-05 / W-06) against the blocks stored so
+far, never against files that have not been delivered yet. Of several versions of a
+slot the one of the latest batch counts, within a batch that of the newest file.
+
+A rollback is a slot at or below the head so far whose stored version differs from
+the arriving one. Replace tables are then re-derived from just below the first such
+slot (the re-derivation range ``delete`` reaches further back). Append tables have no
+slot in their rows; their epochs from that slot's on are rebuilt up to the
+watermark before the sync goes on.
 
 ``trigger(availableNow=True)`` drains what is there and stops, so the same
 code runs as a scheduled job or, with a processing-time trigger, continuously.
-The stream checkpoint and the target live on shared storage; a restarted query
-replays its last batch, which the replace merges absorb.
+The stream checkpoint and the target live on shared storage. Other relations than
+``block`` come from ``relations``, called for every micro-batch, so that rows that
+were added since the stream began are seen; without it from ``src`` as given.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.sync import SyncOptions, sync_table_slots
+from ..plans.registry import TABLES
+from ..plans.sync import EmptyBatchError, SyncOptions, derive, epoch_before, merge_epochs, sync_table_slots
 from ..plans.windows import source_head
 from ..sources.sinks import Warehouse
 
 
-def latest_blocks(spark: SparkSession, block_dir: str, schema) -> DataFrame:
-    """All received blocks; of several versions of a slot the newest file wins."""
-    raw = spark.read.schema(schema).parquet(block_dir).select(
-        "*", F.col("_metadata.file_modification_time").alias("_mtime"), F.col("_metadata.file_name").alias("_file"))
-    newest = Window.partitionBy("slot_no").orderBy(F.col("_mtime").desc(), F.col("_file").desc())
-    return raw.withColumn("_rn", F.row_number().over(newest)).where("_rn = 1").drop("_rn", "_mtime", "_file")
+def latest_blocks(stored: DataFrame) -> DataFrame:
+    """All received blocks; of several versions of a slot the latest batch wins."""
+    version = F.struct("batch", "_mtime", "_file")  # within a batch the newest file
+    rest = F.struct(*[c for c in stored.columns if c not in ("batch", "_mtime", "_file", "slot_no")])
+    newest = stored.groupBy("slot_no").agg(F.max_by(rest, version).alias("b"))  # combined map-side; slots are many, versions few
+    columns = [F.col("slot_no") if c == "slot_no" else F.col(f"b.{c}") for c in stored.columns if c not in ("batch", "_mtime", "_file")]
+    return newest.select(*columns)
 
 
 class _Overlay(Mapping):
@@ -50,31 +58,66 @@ class _Overlay(Mapping):
         return len(list(iter(self)))
 
 
+def rebuild_append(src, wh: Warehouse, table: str, epoch: int | None, last: int, opts: SyncOptions) -> None:
+    """Make the epochs from ``epoch`` (None: all) of an append table what the blocks up to slot ``last`` say."""
+    part = TABLES[table].part_col
+    blocks = F.col("slot_no") <= last
+    wh.write_stage(derive(src, table, blocks if epoch is None else blocks & (F.col("epoch_no") >= epoch), opts), table, part_col=part)
+    arriving = wh.partitions(wh.staging(table, "stage"), part)
+    held = {p for p in wh.partitions(wh.path(table), part) if epoch is None or p >= epoch}
+    merge_epochs(wh, table, arriving | held)
+
+
 def stream_sync(spark: SparkSession, src, block_dir: str, wh: Warehouse, tables: list[str],
                 opts: SyncOptions | None = None, checkpoint: str | None = None, files_per_batch: int = 8,
-                block_schema=None):
+                block_schema=None, relations: Callable[[], Mapping] | None = None):
     """Run the stream until the folder is drained; returns the finished ``StreamingQuery``."""
     opts = opts or SyncOptions()
     schema = block_schema or src["block"].schema
     checkpoint = checkpoint or f"{wh.root}/_stream_checkpoint"
+    store = f"{wh.root}/_stream_blocks"
+
+    def first_changed(arrived: DataFrame, before: DataFrame) -> int | None:
+        """The lowest arriving slot whose version so far differs, or that lies below the head so far without one."""
+        top = before.agg(F.max("slot_no")).first()[0]
+        if top is None:
+            return None
+        cols = [c for c in before.columns if c != "slot_no"]
+        old = before.select("slot_no", F.xxhash64(*cols).alias("_old"))
+        new = arrived.where(F.col("slot_no") <= top).select("slot_no", F.xxhash64(*cols).alias("_new"))
+        return new.join(old, "slot_no", "left").where(~F.col("_new").eqNullSafe(F.col("_old"))).agg(F.min("slot_no")).first()[0]
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        arrived = batch.agg(F.min("slot_no").alias("lo"), F.max("slot_no").alias("hi")).first()
-        if arrived["hi"] is None:
+        batch.write.mode("overwrite").parquet(f"{store}/batch={batch_id}")
+        stored = spark.read.schema(batch.schema).option("basePath", store).parquet(store)
+        stored = stored.withColumn("batch", F.regexp_extract(F.input_file_name(), "batch=([0-9]+)/", 1).cast("bigint"))
+        stored = stored.where(F.col("batch") <= batch_id)
+        blocks = latest_blocks(stored)
+        head = source_head(blocks).first()["head_slot_no"]
+        if head is None:
             return
-        cat = _Overlay(src, block=latest_blocks(spark, block_dir, schema))
-        head = source_head(cat["block"]).first()["head_slot_no"]
+        changed = first_changed(latest_blocks(stored.where(F.col("batch") == batch_id)), latest_blocks(stored.where(F.col("batch") < batch_id)))
+        cat = _Overlay(relations() if relations else src, block=blocks)
         for t in tables:
             last = wh.watermark(t)[0]
-            last = arrived["lo"] - 1 if last is None else min(last, arrived["lo"] - 1)
+            if last is None:
+                last = -1
+            elif changed is not None and changed <= last:
+                if TABLES[t].slot_mode == "append":
+                    rebuild_append(cat, wh, t, epoch_before(cat, changed), last, opts)
+                else:
+                    last = changed - 1
             while last < head - opts.window.grace:
-                _, new = sync_table_slots(cat, wh, t, last, head, opts)
+                try:
+                    _, new = sync_table_slots(cat, wh, t, last, head, opts)
+                except EmptyBatchError:  # W-07 "fail": the table waits for the next batch
+                    break
                 if new == last:
                     break
                 last = new
 
     query = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(block_dir)
-             .select("slot_no")
+             .select("*", F.col("_metadata.file_modification_time").alias("_mtime"), F.col("_metadata.file_name").alias("_file"))
              .writeStream.foreachBatch(on_batch)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
