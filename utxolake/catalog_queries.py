@@ -117,7 +117,7 @@ def _fp(name: str) -> Query:
     return run
 
 
-MULTISET_TABLES = ["tx", "tx_consumed_output", "rel_addr_txout", "epoch_param", "meta"]
+MULTISET_TABLES = list(SPECS)
 
 
 def _fpm(name: str) -> Query:
@@ -200,7 +200,7 @@ def q_deep_compare(spark, sf_dir):
     for t in SPECS:
         backfill_full(src, wh, t, TEST)
     kw = {t: {"cluster_size": CLUSTER} for t in ("rel_addr_txout", "rel_stake_txout")}
-    cmp = deep_compare_job(src, wh, list(SPECS), derive_kw=kw)
+    cmp = deep_compare_job(src, wh, list(SPECS), epochs="all", derive_kw=kw)
     return cmp.groupBy("tablename").agg(
         *[F.count_if(F.col("status") == s).alias(f"n_{s}") for s in ("equal", "differ", "left_only", "right_only")])
 
@@ -225,7 +225,7 @@ def validation() -> tuple[dict[str, Query], dict[str, str]]:
                        f"AS row_hash FROM ({tx_body}) v")
     pp = SPECS["param_proposal"]
     pparts = " || ',' || ".join(
-        (f"coalesce(regexp_replace(regexp_replace(printf('%.9f', \"{c}\"), '(\\.\\d*?)0+$', '\\1'), '\\.$', ''), "
+        (f"coalesce(regexp_replace(regexp_replace(CAST(CAST(CAST(\"{c}\" AS VARCHAR) AS DECIMAL(38,20)) AS VARCHAR), '(\\.\\d*?)0+$', '\\1'), '\\.$', ''), "
          f"'null')" if c in DOUBLE_COLUMNS else f"coalesce(CAST(\"{c}\" AS VARCHAR), 'null')") for c in pp.columns)
     q["v_single_row"] = q_single_row
     o["v_single_row"] = (_with(["param_proposal"]) +
@@ -234,7 +234,7 @@ def validation() -> tuple[dict[str, Query], dict[str, str]]:
                          f"FROM ({_body('param_proposal')[1]}) v")
     q["v_normalize"] = q_normalize
     o["v_normalize"] = (_with(["epoch_param"]) + "SELECT epoch_no, regexp_replace(regexp_replace("
-                        "printf('%.9f', decentralisation), '(\\.\\d*?)0+$', '\\1'), '\\.$', '') AS decentralisation "
+                        "CAST(CAST(CAST(decentralisation AS VARCHAR) AS DECIMAL(38,20)) AS VARCHAR), '(\\.\\d*?)0+$', '\\1'), '\\.$', '') AS decentralisation "
                         f"FROM ({_body('epoch_param')[1]}) v")
     q["v_canonical_json"] = q_canonical_json
     o["v_canonical_json"] = (_with(["datum"]) + "SELECT datum_hash, CAST(json_object('a', json_extract(value, '$.a'),"

@@ -21,7 +21,7 @@ from pyspark.sql import SparkSession
 from .plans.sync import SyncOptions, backfill_job, epoch_sync_job, slot_sync_job
 from .plans.validate import deep_compare_job
 from .plans.windows import SlotWindowConfig
-from .session import apply_defaults, ensure_checkpoint_dir
+from .session import apply_defaults
 from .sources.loader import load_source
 from .sources.sinks import Warehouse
 
@@ -33,7 +33,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--jdbc-url")
     p.add_argument("--target", required=True)
     p.add_argument("--tables", help="comma separated subset")
-    p.add_argument("--epochs", help="comma separated epochs (deep-compare)")
+    p.add_argument("--epochs", help="comma separated epochs, or all (deep-compare; default: the last complete one)")
+    p.add_argument("--stop-at-gap", action="store_true", help="backfill by epoch ends at the first epoch without rows")
     p.add_argument("--cap", type=int, default=10_000)
     p.add_argument("--grace", type=int, default=60)
     p.add_argument("--delete", type=int, default=200)
@@ -47,7 +48,6 @@ def main(argv: list[str] | None = None) -> None:
     a = p.parse_args(argv)
 
     spark = apply_defaults(SparkSession.builder.getOrCreate())
-    ensure_checkpoint_dir(spark)
     src = (load_source(spark, fmt="jdbc", jdbc_url=a.jdbc_url) if a.jdbc_url else load_source(spark, a.source))
     wh = Warehouse(spark, a.target)
     opts = SyncOptions(window=SlotWindowConfig(a.cap, a.grace, a.delete, a.rounds), cluster_size=a.cluster_size,
@@ -59,7 +59,7 @@ def main(argv: list[str] | None = None) -> None:
     elif a.job == "epoch-sync":
         report = epoch_sync_job(src, wh, opts, tables)
     elif a.job == "backfill":
-        report = backfill_job(src, wh, opts=opts, tables=tables)
+        report = backfill_job(src, wh, opts=opts, tables=tables, stop_at_gap=a.stop_at_gap)
     elif a.job == "freshness":
         from .plans.registry import ALL_TABLES
         from .plans.sync import freshness
@@ -67,7 +67,7 @@ def main(argv: list[str] | None = None) -> None:
         present = [t for t in (tables or ALL_TABLES) if t not in ("meta", "schema_version") and wh.has(t)]
         report = freshness(wh.read, source_head(src["block"]), present)
     else:
-        epochs = [int(e) for e in a.epochs.split(",")] if a.epochs else None
+        epochs = "all" if a.epochs == "all" else [int(e) for e in a.epochs.split(",")] if a.epochs else None
         kw = {t: {"cluster_size": a.cluster_size} for t in ("rel_addr_txout", "rel_stake_txout")}
         report = deep_compare_job(src, wh, tables, epochs, derive_kw=kw, buckets=a.buckets,
                                   mode="exact" if a.buckets else a.fingerprint)

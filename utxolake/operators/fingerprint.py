@@ -130,8 +130,12 @@ SPECS: dict[str, FingerprintSpec] = {
 
 
 def _fixed_point(c: Column) -> Column:
-    s = F.format_string("%.9f", c)
-    return F.regexp_replace(F.regexp_replace(s, r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    """The shortest decimal text that names the double, without exponent or trailing zeros; beyond
+    38 digits, the text with its exponent."""
+    shortest = c.cast("string")
+    plain = shortest.try_cast("decimal(38,20)").cast("string")
+    plain = F.regexp_replace(F.regexp_replace(plain, r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    return F.when(c == 0, "0").when((F.abs(c) < 1e17) & (F.abs(c) >= 1e-4), plain).otherwise(shortest)
 
 
 def cell_text(df: DataFrame, name: str, spec: FingerprintSpec) -> Column:
@@ -160,7 +164,7 @@ def row_text(df: DataFrame, spec: FingerprintSpec, compat: bool = False) -> Colu
     return F.concat(F.lit("("), *parts, F.lit(")"))
 
 
-def row_hashes(df: DataFrame, spec: FingerprintSpec, compat: bool = False) -> DataFrame:
+def row_hashes(df: DataFrame, spec: FingerprintSpec, compat: bool = False, digest: bool = False) -> DataFrame:
     """V-02 / V-04: one ``row_hash`` per row, with the grouping and sort columns kept.
 
     The first list element's keys (``_fo_*``) are read from the same parsed JSON
@@ -171,6 +175,8 @@ def row_hashes(df: DataFrame, spec: FingerprintSpec, compat: bool = False) -> Da
     if spec.first_output:
         v = F.parse_json(spec.first_output)
         extra = [F.try_variant_get(v, f"$[0].{f}", "bigint").alias(f"_fo_{f}") for f in ("slot_no", "txidx", "idx")]
+    if digest:  # the hexadecimal digest, for sums of its parts
+        return df.select(*keep, F.sha2(row_text(df, spec, compat), 256).alias("row_sha"))
     return df.select(*keep, sha256_b64(row_text(df, spec, compat)).alias("row_hash"), *extra)
 
 
@@ -181,18 +187,16 @@ def _sort_exprs(spec: FingerprintSpec) -> list[str]:
     return keys + ["row_hash"]
 
 
-_LIMBS = 8
+# 24-bit parts of a row's sha256: their BIGINT sums cannot overflow below 2^39 rows
+_PARTS = 10
 
 
 def _multiset(h: DataFrame, by: list[str]) -> DataFrame:
-    hexh = F.hex(F.unbase64("row_hash"))  # 64 hex digits
-    limbs = [F.conv(F.substring(hexh, 8 * i + 1, 8), 16, 10).cast("decimal(38,0)") for i in range(_LIMBS)]
-    sums = [F.sum(c).alias(f"_s{i}") for i, c in enumerate(limbs)]
+    parts = [F.conv(F.substring("row_sha", 6 * i + 1, 6), 16, 10).cast("bigint") for i in range(_PARTS)]
+    sums = [F.sum(c).alias(f"_s{i}") for i, c in enumerate(parts)]
     agg = (h.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), *sums) if by
            else h.agg(F.count(F.lit(1)).alias("n_rows"), *sums))
-    mod = F.lit(2 ** 32).cast("decimal(38,0)")
-    digest = F.concat(*[F.lpad(F.lower(F.conv(F.pmod(F.col(f"_s{i}"), mod).cast("string"), 10, 16)), 8, "0")
-                        for i in range(_LIMBS)])
+    digest = F.concat(*[F.lpad(F.lower(F.hex(F.pmod(F.col(f"_s{i}"), F.lit(1 << 24)))), 6, "0") for i in range(_PARTS)])
     return agg.select(*by, "n_rows", F.base64(F.unhex(digest)).alias("hash_b64"))
 
 
@@ -203,7 +207,8 @@ def table_fingerprint(df: DataFrame, spec: FingerprintSpec, compat: bool = False
     ``mode``: ``exact`` (the reference digest), ``multiset`` (sum of row hashes,
     skew-proof); ``buckets`` selects the two-level exact variant.
     """
-    h = row_hashes(df, spec, compat).where(F.col("row_hash").isNotNull())
+    name = "row_sha" if mode == "multiset" else "row_hash"
+    h = row_hashes(df, spec, compat, mode == "multiset").where(F.col(name).isNotNull())
     by = list(spec.by)
     if spec.shards:
         col, n = spec.shards
@@ -248,11 +253,17 @@ def fingerprint_compare(left: DataFrame, right: DataFrame, keys: list[str]) -> D
 
 
 def row_diff(left: DataFrame, right: DataFrame) -> DataFrame:
-    """V-09: the rows of one side that the other lacks (multiset difference), labelled by side."""
+    """V-09: the rows of one side that the other lacks (multiset difference), labelled by side.
+
+    Each side is read once: rows count +1 and -1, and what doesn't cancel out differs.
+    """
     cols = left.columns
-    right = right.select(*cols)
-    return (left.exceptAll(right).withColumn("side", F.lit("left_only"))
-            .unionByName(right.exceptAll(left).withColumn("side", F.lit("right_only"))))
+    both = (left.withColumn("_n", F.lit(1).cast("bigint"))
+            .unionByName(right.select(*cols).withColumn("_n", F.lit(-1).cast("bigint"))))
+    rest = both.groupBy(*cols).agg(F.sum("_n").alias("_n")).where("_n <> 0")
+    side = F.when(F.col("_n") > 0, F.lit("left_only")).otherwise(F.lit("right_only"))
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.abs("_n")))
+    return rest.select(*cols, side.alias("side"), copies.alias("_copy")).drop("_copy")
 
 
 def fingerprint_table(name: str, df: DataFrame, blocks: DataFrame | None = None, compat: bool = False,

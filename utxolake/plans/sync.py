@@ -17,6 +17,7 @@ round, one value per touched epoch.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -41,6 +42,7 @@ class SyncOptions:
     catch_up: bool = True  # P-01 mode closed_all
     parallel_tables: int = 4  # independent tables run as concurrent Spark jobs
     max_list: int | None = None  # split delegation / minting lists longer than this into rows (off: as upstream)
+    transforms: dict[str, Callable[[DataFrame], DataFrame]] = field(default_factory=dict)  # per table, on what is loaded
     reload_open: tuple[str, ...] = ()  # Q17: next-mode tables whose last loaded epoch is reloaded too
 
 
@@ -53,7 +55,8 @@ def derive(src, table: str, where: Column | None = None, opts: SyncOptions | Non
         kw["with_epoch"] = True
     if table in ("delegation", "ma_minting") and opts is not None and opts.max_list:
         kw["max_list"] = opts.max_list
-    return DERIVE[table](src, where, **kw) if where is not None else DERIVE[table](src, **kw)
+    out = DERIVE[table](src, where, **kw) if where is not None else DERIVE[table](src, **kw)
+    return opts.transforms[table](out) if opts is not None and table in opts.transforms else out
 
 
 def extract_replace(src, table: str, clean: int, mx: int, opts: SyncOptions | None = None) -> DataFrame:

@@ -7,12 +7,16 @@ All epochs of a table are fingerprinted in one aggregation per side and joined
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.derive import DERIVE
 from ..operators.fingerprint import SPECS, fingerprint_compare, fingerprint_table
-from ..sources.sinks import Warehouse
+from ..sources.sinks import HIDDEN, Warehouse
+from .registry import OWN_EPOCH, TABLES
+from .windows import source_head
 
 # The tables the reference compares (datum added, cost_model has no producer).
 COMPARED = list(SPECS)
@@ -37,30 +41,47 @@ def compare_table(table: str, left: DataFrame, right: DataFrame, blocks: DataFra
     return out.withColumn("tablename", F.lit(table))
 
 
-def audit_rows(cmp: DataFrame, left_desc: str, right_desc: str) -> DataFrame:
-    """V-10: the audit log row of each compared group (``'empty'`` for a missing side)."""
-    now = F.current_timestamp()
+def audit_rows(cmp: DataFrame, left_desc: str, right_desc: str, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
+    """V-10: the audit log row of each compared group (``'empty'`` for a missing side).
+
+    ``{table}`` in a description stands for the table's name; ``start`` and ``end`` are the times of the comparison.
+    """
+    times = [F.lit(t).cast("timestamp") if t else F.current_timestamp() for t in (start, end)]
+    desc = [F.replace(F.lit(d), F.lit("{table}"), F.col("tablename")) for d in (left_desc, right_desc)]
     return cmp.select(
-        "epoch_no", F.col("tablename").alias("table_name"), now.alias("start_time"), now.alias("end_time"),
-        F.lit(left_desc).alias("pg_query"), F.lit(right_desc).alias("bq_query"),
+        "epoch_no", F.col("tablename").alias("table_name"), times[0].alias("start_time"), times[1].alias("end_time"),
+        desc[0].alias("pg_query"), desc[1].alias("bq_query"),
         F.coalesce("left_hash", F.lit("empty")).alias("pg_hash"),
         F.coalesce("right_hash", F.lit("empty")).alias("bq_hash"))
 
 
-def deep_compare_job(src, wh: Warehouse, tables: list[str] | None = None, epochs: list[int] | None = None,
+def deep_compare_job(src, wh: Warehouse, tables: list[str] | None = None, epochs: list[int] | str | None = None,
                      derive_kw: dict | None = None, buckets: int | None = None, audit: bool = True,
                      mode: str = "multiset") -> DataFrame:
     """V-12: compare every table of the target with the source derivation.
 
-    ``epochs`` defaults to all; the reference's default, the last complete
-    epoch, is ``[head_epoch - 1]``. ``mode`` is the fingerprint of both sides:
-    ``multiset`` (default: a partial-aggregated sum, skew-proof) or ``exact``
-    (the reference digest, one task per epoch). Returns the per-group comparison.
+    ``epochs`` defaults to the last complete one; ``"all"`` compares the whole tables (the open epoch, which the
+    targets trail, then differs). Only the epochs asked for are derived and read. ``mode`` is the fingerprint of
+    both sides: ``multiset`` (default: a partial-aggregated sum, skew-proof) or ``exact`` (the reference digest, one
+    task per epoch). Returns the per-group comparison.
     """
+    start = datetime.now(timezone.utc)
+    if epochs is None:
+        epochs = [source_head(src["block"]).first()["head_epoch_no"] - 1]
+    chosen = None if epochs == "all" else list(epochs)
     out = None
     for t in tables or COMPARED:
         kw = dict((derive_kw or {}).get(t, {}))
-        cmp = compare_table(t, DERIVE[t](src, **kw), wh.read(t), src["block"], epochs, buckets, mode)
+        part = TABLES[t].part_col if t in TABLES else None
+        left, right = DERIVE[t](src, **kw), wh.read(t, hidden=True)
+        if chosen is not None and part:
+            if t not in OWN_EPOCH:
+                left = DERIVE[t](src, F.col("epoch_no").isin(chosen), **kw)
+            elif "epoch_no" in left.columns:
+                left = left.where(F.col("epoch_no").isin(chosen))
+            right = right.where(F.col(part).isin(chosen))
+        right = right.drop(*[c for c in HIDDEN if c in right.columns])
+        cmp = compare_table(t, left, right, src["block"], chosen, buckets, mode)
         if "shard" not in cmp.columns:
             cmp = cmp.withColumn("shard", F.lit(None).cast("int"))
         cmp = cmp.select("tablename", "epoch_no", "shard", "left_rows", "left_hash", "right_rows", "right_hash",
@@ -69,5 +90,8 @@ def deep_compare_job(src, wh: Warehouse, tables: list[str] | None = None, epochs
     if audit:
         wh.write_stage(out, "deep_compare", "result")
         out = wh.read_stage("deep_compare", "result")  # compared once; log and result read the same rows
-        wh.append("log_deep_comparison", audit_rows(out, "source derivation", "target table"), None)
+        which = "" if chosen is None else f" WHERE epoch_no IN ({', '.join(map(str, chosen))})"
+        wh.append("log_deep_comparison", audit_rows(
+            out, f"derive({{table}}){which}", f"SELECT * FROM parquet.`{wh.root}/{{table}}`{which}",
+            start, datetime.now(timezone.utc)), None)
     return out

@@ -55,7 +55,8 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "utxol
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests) a fresh scratch folder is set.
+    Only a session with a local master may lack one; it gets a fresh scratch folder. Executors on
+    other machines would not see that, so there the setting is required.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -63,6 +64,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="utxolake-ckpt-")
     sc.setCheckpointDir(path)
     return path

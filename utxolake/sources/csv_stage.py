@@ -9,10 +9,12 @@ from pyspark.sql import types as T
 
 # PostgreSQL CSV: NULL is an unquoted empty field, an empty string is a quoted "".
 # Writing: Spark quotes empty strings and leaves NULL unquoted; fields with
-# quotes or line breaks are quoted. Reading: a nullValue sentinel that never
-# occurs keeps a quoted "" as an empty string, an unquoted empty field is NULL.
-CSV_OPTS = {"header": "false", "quote": '"', "escape": '"', "multiLine": "true"}
-READ_OPTS = {**CSV_OPTS, "nullValue": "\\N", "emptyValue": ""}
+# quotes or line breaks are quoted. Reading: a nullValue that no field can hold
+# (PostgreSQL text has no U+0000) keeps a quoted "" as an empty string, an unquoted
+# empty field is NULL. Blanks around a value belong to it.
+CSV_OPTS = {"header": "false", "quote": '"', "escape": '"', "multiLine": "true",
+            "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+READ_OPTS = {**CSV_OPTS, "nullValue": "\u0000", "emptyValue": ""}
 
 
 def write_stage_csv(df: DataFrame, path: str, chunk_rows: int = 50_000) -> int:
