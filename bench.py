@@ -78,7 +78,7 @@ def main() -> None:
     timed("fingerprint_multiset_30_tables", multiset_all)
 
     def backfill():
-        backfill_job(src, Warehouse(spark, f"{root}/backfill", chunk_rows=50_000), cq.test_starts(), cq.TEST)
+        backfill_job(src, Warehouse(spark, f"{root}/backfill", chunk_rows=50_000), opts=cq.TEST)
 
     def slot_sync():
         wh = Warehouse(spark, f"{root}/sync", chunk_rows=50_000)
