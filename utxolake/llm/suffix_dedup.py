@@ -10,8 +10,8 @@ context is the bytes that they cover.
    is repeated.
 3. Of the others, one copy of each context goes, by gram, into shards. A suffix array of the shard's
    contexts, built by induced sorting, and its permuted common prefixes show which strings
-   start more than once. Grams of more than ``HOT_RUNS`` runs, which could fill a shard, have their
-   strings counted by 128-bit hash instead, with map-side aggregation.
+   start more than once. Grams of more than ``HOT_RUNS`` runs, which could fill a shard, first have
+   their runs cut into parts with longer keys (``_refined``).
 4. The removed bytes of a text are the union of its repeated strings.
 
 Texts are known by two 64-bit hashes in the joins; copies of a text share all results.
@@ -35,6 +35,7 @@ from utxolake.llm.suffix_array import permuted_common_prefixes, suffix_array
 
 LENGTH, GRAM = 200, 48
 HOT_RUNS = 2000
+PART = 16
 SHARD_BYTES = 1 << 20
 #: Bits of the filter that keeps unrepeated grams out of the join; a fixed size, and only a filter.
 FILTER_BITS = 1 << 28
@@ -55,8 +56,8 @@ def _gram_hashes(raw: np.ndarray, gram: int) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def _segment_runs(raw: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First string, number of strings and gram hash of each run."""
+def _segment_runs(raw: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First string, number of strings, gram hash and the gram's place of each run."""
     width = length - gram + 1  # grams in a string
     h = _gram_hashes(raw, gram)
     place = np.uint64((1 << 18) - 1)
@@ -67,7 +68,7 @@ def _segment_runs(raw: np.ndarray, length: int, gram: int) -> tuple[np.ndarray,
     n = len(h) - width + 1
     at = (np.minimum(right[:n], left[width - 1 : width - 1 + n]) & place).astype(np.int64)
     first = np.concatenate([[0], np.flatnonzero(np.diff(at)) + 1])
-    return first, np.diff(np.append(first, n)), h[at[first]]
+    return first, np.diff(np.append(first, n)), h[at[first]], at[first]
 
 
 def runs(text: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -78,7 +79,7 @@ def runs(text: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarra
     raw = np.frombuffer(text, np.uint8)
     parts = []
     for at in range(0, n, SEGMENT):
-        first, count, h = _segment_runs(raw[at : min(at + SEGMENT, n) + length - 1], length, gram)
+        first, count, h, _ = _segment_runs(raw[at : min(at + SEGMENT, n) + length - 1], length, gram)
         parts.append((first + at, count, h))
     return tuple(np.concatenate(p) for p in zip(*parts, strict=True))
 
@@ -178,27 +179,63 @@ def _sharded(contexts: DataFrame, length: int) -> DataFrame:
     return contexts.groupBy(F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard")).applyInArrow(lambda table: shard(table), _RESULT)
 
 
+def _one_of_each(contexts: DataFrame) -> DataFrame:
+    return contexts.groupBy("key", "ctx").agg(F.sum("n").alias("n"), F.first("bytes").alias("bytes"))
+
+
+def _refined(contexts: DataFrame, length: int, gram: int, hot_runs: int) -> DataFrame:
+    """The same for grams of very many contexts. Their runs are cut into parts of ``PART`` strings at most, by
+    the gram's place in a string; all strings of a part share a core of nearly ``length`` bytes, whose hash
+    is the part's new key. Few keys repeat, and fewer are mixed; these go into shards, or, if one is
+    still too frequent, their strings are counted."""
+    part = min(PART, length)
+    schema = T.StructType([T.StructField(n, T.LongType()) for n in ("of_key", "of_ctx", "n", "at", "key", "ctx")] + [T.StructField("bytes", T.BinaryType())])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh3_64_intdigest
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 5000):
+                rows = []
+                for key, ctx, n, text in zip(*(batch.column(c).slice(lo, 5000).to_pylist() for c in range(4)), strict=True):
+                    anchor = int(_segment_runs(np.frombuffer(text, np.uint8), length, gram)[3][0])
+                    last = len(text) - length
+                    for j in range(max(0, anchor - last) // part, anchor // part + 1):
+                        a, b = max(0, anchor - part * j - part + 1), min(last, anchor - part * j)
+                        core = text[anchor - part * j : anchor - part * j - part + 1 + length]
+                        own = text[a : b + length]
+                        rows.append((key, ctx, n, a, digest(core, j) - (1 << 63), digest(own) - (1 << 63), own))
+                yield _batch(rows, schema)
+
+    parts = stored(contexts.select("key", "ctx", "n", "bytes").mapInArrow(task, schema), "parts")
+    counts = parts.groupBy("key").agg(F.sum("n").alias("total"), F.count("*").alias("rows"), F.min("ctx").alias("a"), F.max("ctx").alias("b")).where("total > 1")
+    kept = stored(parts.join(counts.select("key", (F.col("a") != F.col("b")).alias("mixed"), (F.col("rows") > hot_runs).alias("hot")), "key"), "parts")
+    found = _sharded(_one_of_each(kept.where("mixed and not hot")), length).unionByName(_counted(_one_of_each(kept.where("mixed and hot")), length))
+    equal = kept.where("not mixed").select("of_key", "of_ctx", F.array("at", F.col("at") + F.length("bytes") - F.lit(length - 1)).alias("ranges"))
+    mixed = kept.where("mixed").drop("n").join(found, ["key", "ctx"]).select("of_key", "of_ctx", F.transform("ranges", lambda x: x + F.col("at")).alias("ranges"))
+    both = equal.unionByName(mixed).groupBy("of_key", "of_ctx").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+    return both.select(F.col("of_key").alias("key"), F.col("of_ctx").alias("ctx"), "ranges")
+
+
 def _counted(contexts: DataFrame, length: int) -> DataFrame:
-    """The same for grams of very many contexts: their strings are counted by hash."""
+    """The same by counting each string's 128-bit hash."""
     schema = T.StructType([T.StructField(n, T.LongType()) for n in ("key", "ctx", "n", "at", "h1", "h2")])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_128_digest
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
-                texts = part.column(3).to_pylist()
+                rows = batch.slice(lo, 500)
+                texts = rows.column(3).to_pylist()
                 n = np.array([len(t) - length + 1 for t in texts])
                 row = np.repeat(np.arange(len(texts)), n)
                 hashes = np.frombuffer(b"".join(digest(t[a : a + length]) for t, m in zip(texts, n, strict=True) for a in range(m)), np.int64).reshape(-1, 2)
                 at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-                yield pa.RecordBatch.from_arrays([*(part.column(c).take(pa.array(row)) for c in range(3)), pa.array(at), pa.array(hashes[:, 0].copy()), pa.array(hashes[:, 1].copy())], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*(rows.column(c).take(pa.array(row)) for c in range(3)), pa.array(at), pa.array(hashes[:, 0].copy()), pa.array(hashes[:, 1].copy())], names=schema.names)
 
     strings = stored(contexts.select("key", "ctx", "n", "bytes").mapInArrow(task, schema), "strings")
     twice = strings.groupBy("h1", "h2").agg(F.sum("n").alias("n")).where("n > 1").select("h1", "h2")
-    at = strings.join(twice, ["h1", "h2"]).groupBy("key", "ctx").agg(F.sort_array(F.collect_list("at")).alias("at"))
-    edges = "transform(at, (x, i) -> if(i = 0 or at[i - 1] <> x - 1, x, null))", "transform(at, (x, i) -> if(i = size(at) - 1 or at[i + 1] <> x + 1, x + 1, null))"
-    return at.select("key", "ctx", F.sort_array(F.concat(*(F.filter(F.expr(e), lambda x: x.isNotNull()) for e in edges))).alias("ranges"))
+    at = strings.join(twice, ["h1", "h2"]).groupBy("key", "ctx").agg(F.collect_list("at").alias("at"))
+    return at.select("key", "ctx", F.flatten(F.transform("at", lambda x: F.array(x, x + 1))).alias("ranges"))
 
 
 def _contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -255,7 +292,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_
     place = F.struct("t1", "t2", "first")
     wanted = kept.where("mixed").groupBy("key", "ctx", "hot", "count").agg(F.count("*").alias("n"), F.min(place).alias("place"))
     contexts = stored(_contexts(docs, wanted, length), "contexts")
-    found = _sharded(contexts.where("not hot"), length).unionByName(_counted(contexts.where("hot"), length))
+    found = _sharded(contexts.where("not hot"), length).unionByName(_refined(contexts.where("hot"), length, gram, hot_runs))
     found = stored(found.where(F.size("ranges") > 0), "found")
     end = F.lit(length - 1)
     equal = kept.where("not mixed").select("t1", "t2", F.array(F.struct(F.col("first").cast("long").alias("a"), (F.col("first") + F.col("count") + end).cast("long").alias("b"))).alias("s"))
