@@ -88,20 +88,37 @@ _COPYRIGHT = r"(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*"
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F\x{A0}\x{A9}\x{AE}\x{2010}-\x{2026}]+"
 
 
-def canonical(text: Column) -> Column:
-    """The form that equal licences share; ``canonical_sql`` states it for DuckDB."""
+#: First words of known licences that are kept at the driver to pass over other texts.
+MOST_HEADS = 10_000
+
+
+def _plain(text: Column) -> Column:
+    """Lower-case words with single blanks between, without copyright lines."""
     out = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ\r", "abcdefghijklmnopqrstuvwxyz\n")
-    out = F.trim(F.regexp_replace(F.regexp_replace(out, _COPYRIGHT, "\n"), _SEPARATORS, " "))
-    out = F.concat(F.lit(" "), F.replace(out, F.lit(" "), F.lit("  ")), F.lit(" "))  # each word between blanks of its own
+    return F.trim(F.regexp_replace(F.regexp_replace(out, _COPYRIGHT, "\n"), _SEPARATORS, " "))
+
+
+def _equalised(plain: Column) -> Column:
+    out = F.concat(F.lit(" "), F.replace(plain, F.lit(" "), F.lit("  ")), F.lit(" "))  # each word between blanks of its own
     for a, b in EQUIVALENT:
         out = F.replace(out, F.lit(f" {a.replace(' ', '  ')} "), F.lit(f" {b.replace(' ', '  ')} "))
     return out
 
 
+def canonical(text: Column) -> Column:
+    """The form that equal licences share; ``canonical_sql`` states it for DuckDB."""
+    return _equalised(_plain(text))
+
+
 def digest(text: Column) -> Column:
     return F.sha2(canonical(text).cast("binary"), 256)
 
 
+def _head(plain: Column) -> Column:
+    """The canonical form's first word: spellings of two words at most count as the same, so two words tell it."""
+    return F.substring_index(F.trim(_equalised(F.substring_index(plain, " ", 2))), " ", 1)
+
+
 def known_licenses(spark: SparkSession, known: tuple = KNOWN) -> DataFrame:
     """(license_id, text) of the licences listed here."""
     rows = F.array(*[F.struct(F.lit(i).alias("license_id"), F.lit(t).alias("text")) for i, t in known])
@@ -109,24 +126,30 @@ def known_licenses(spark: SparkSession, known: tuple = KNOWN) -> DataFrame:
 
 
 def scan(docs: DataFrame, licenses: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, text_digest, license_id (of the entire text; null if unknown), n_notices (known
-    licences among the text's lines) and notices (their ids, sorted, joined by commas).
+    """Per row: id, license_id (of the entire text; null if unknown), n_notices (known licences among the
+    text's lines) and notices (their ids, sorted, joined by commas).
 
     ``licenses`` has license_id and text; of licences with one digest the smallest id counts, and a canonical form without
-    words is no licence. Null texts count as empty. Rows with equal or null ids are judged each on its own; extra
-    columns are ignored; an empty table gives no rows.
+    words is no licence. Texts and lines that begin with no known licence's first word aren't hashed. Null texts count as
+    empty. Rows with equal or null ids are judged each on its own; extra columns are ignored; an empty table gives no rows.
     """
-    known = licenses.where(F.length(F.trim(canonical(text_or_empty(F.col("text"))))) > 0)
-    known = known.groupBy(digest(text_or_empty(F.col("text"))).alias("digest")).agg(F.min(F.col("license_id").cast("string")).alias("license_id"))
+    known = licenses.select(F.col("license_id").cast("string").alias("license_id"), _plain(text_or_empty(F.col("text"))).alias("plain")).where("plain <> ''")
+    heads = [r[0] for r in known.select(_head(F.col("plain"))).distinct().limit(MOST_HEADS + 1).collect()]
+    likely = _head(F.col("plain")).isin(heads) if len(heads) <= MOST_HEADS else F.lit(True)
+    hashed = F.sha2(_equalised(F.col("plain")).cast("binary"), 256).alias("digest")
+    known = known.groupBy(hashed).agg(F.min("license_id").alias("license_id"))
     text = text_or_empty(F.col(text_col))
-    # joined on digests, whose rows are few a text; the texts themselves are not shuffled
-    rows = docs.select(F.col(id_col).alias("id"), digest(text).alias("text_digest"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit("second"), text).alias("t2"))
-    lines = docs.select(F.xxhash64(text).alias("t1"), F.xxhash64(F.lit("second"), text).alias("t2"), F.explode(F.split(F.translate(text, "\r", "\n"), "\n")).alias("line"))
-    found = lines.where(F.length("line") > 0).select("t1", "t2", digest(F.col("line")).alias("digest")).join(known, "digest")
-    found = found.groupBy("t1", "t2").agg(F.sort_array(F.collect_set("license_id")).alias("ids"))
-    out = rows.join(found, ["t1", "t2"], "left").join(known.withColumnRenamed("digest", "text_digest"), "text_digest", "left")
+    key = [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit("second"), text).alias("t2")]
+    whole = docs.select(*key, F.lit(True).alias("whole"), _plain(text).alias("plain"))
+    lines = docs.select(*key, F.lit(False).alias("whole"), F.explode(F.split(F.translate(text, "\r", "\n"), "\n")).alias("line"))
+    lines = lines.select("t1", "t2", "whole", _plain(F.col("line")).alias("plain"))
+    units = whole.unionByName(lines).where(likely).select("t1", "t2", "whole", hashed)  # joined on digests: no text is shuffled
+    found = units.join(known, "digest").groupBy("t1", "t2").agg(
+        F.min(F.when(F.col("whole"), F.col("license_id"))).alias("license_id"),
+        F.sort_array(F.collect_set(F.when(~F.col("whole"), F.col("license_id")))).alias("ids"))
+    out = docs.select(F.col(id_col).alias("id"), *key).join(found, ["t1", "t2"], "left")
     return out.select(
-        F.col("id").alias(id_col), "text_digest", "license_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_notices"),
+        F.col("id").alias(id_col), "license_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_notices"),
         F.coalesce(F.array_join("ids", ","), F.lit("")).alias("notices"),
     )
 
@@ -157,6 +180,6 @@ found AS (
   SELECT r, list_sort(list_distinct(list(license_id))) AS ids
   FROM (SELECT r, sha256({canonical_sql("line")}) AS digest FROM lines WHERE line <> '') JOIN known USING (digest) GROUP BY r
 ), whole AS (SELECT r, doc_id, sha256({canonical_sql("text")}) AS text_digest FROM docs)
-SELECT w.doc_id, w.text_digest, k.license_id, CAST(coalesce(len(f.ids), 0) AS BIGINT) AS n_notices, coalesce(array_to_string(f.ids, ','), '') AS notices
+SELECT w.doc_id, k.license_id, CAST(coalesce(len(f.ids), 0) AS BIGINT) AS n_notices, coalesce(array_to_string(f.ids, ','), '') AS notices
 FROM whole w LEFT JOIN found f USING (r) LEFT JOIN known k ON k.digest = w.text_digest
 """
