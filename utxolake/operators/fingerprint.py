@@ -187,16 +187,17 @@ def _sort_exprs(spec: FingerprintSpec) -> list[str]:
     return keys + ["row_hash"]
 
 
-# 24-bit parts of a row's sha256: their BIGINT sums cannot overflow below 2^39 rows
-_PARTS = 10
+# Parts of a row's sha256, in hexadecimal digits (ten of 24 bits and one of 16): their BIGINT sums cannot overflow
+# below 2^39 rows
+_PARTS = [6] * 10 + [4]
 
 
 def _multiset(h: DataFrame, by: list[str]) -> DataFrame:
-    parts = [F.conv(F.substring("row_sha", 6 * i + 1, 6), 16, 10).cast("bigint") for i in range(_PARTS)]
+    parts = [F.conv(F.substring("row_sha", 6 * i + 1, n), 16, 10).cast("bigint") for i, n in enumerate(_PARTS)]
     sums = [F.sum(c).alias(f"_s{i}") for i, c in enumerate(parts)]
     agg = (h.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), *sums) if by
            else h.agg(F.count(F.lit(1)).alias("n_rows"), *sums))
-    digest = F.concat(*[F.lpad(F.lower(F.hex(F.pmod(F.col(f"_s{i}"), F.lit(1 << 24)))), 6, "0") for i in range(_PARTS)])
+    digest = F.concat(*[F.lpad(F.lower(F.hex(F.pmod(F.col(f"_s{i}"), F.lit(16**n)))), n, "0") for i, n in enumerate(_PARTS)])
     return agg.select(*by, "n_rows", F.base64(F.unhex(digest)).alias("hash_b64"))
 
 
