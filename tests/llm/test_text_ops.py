@@ -306,6 +306,22 @@ def test_colliding_surrogates_are_drawn_anew(llm, monkeypatch):
     assert len(got) == 12 == len({r["surrogate"] for r in got}) and not {r["surrogate"] for r in got} & set("012")
 
 
+def test_surrogates_get_longer_where_they_run_out(llm, make_docs):
+    mails = [f"{c}@example.com" for c in "abcdefghijklmnopqrstuvwxyz"] + ["a@example.org"]
+    phones = [f"+1 {i // 100:02d} {i % 100:02d}" for i in range(6000)]  # of 10,000 with this first digit
+    text = pii.pseudonymise(make_docs([(1, "\n".join(mails)), (2, "\n".join(phones))])).collect()
+    got = {r["doc_id"]: r["text"].split("\n") for r in text}
+    assert len(set(got[1])) == 27 and all(re.fullmatch(r"[a-z]+@[a-z]+\.example", m) for m in got[1])
+    assert len({m.split("@")[1] for m in got[1]}) == 2
+    assert len(set(got[2])) == 6000 and not set(got[2]) & set(phones) and all(re.fullmatch(r"\+1 \d\d \d\d+", p) for p in got[2])
+    full = [("ssn", f"9{i:02d}") for i in range(100)] + [("secret", f"-------{i}") for i in range(10)] + [("card", f"{i:02d}") for i in range(100)]
+    full += [("ip", f"{i}") for i in range(1, 255)] + [("key", f"AKIA{c}") for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"]
+    new = pii.surrogates(llm.createDataFrame(full, "kind string, value string")).collect()
+    assert {(r["kind"], r["value"]) for r in new} == set(full) and len({(r["kind"], r["surrogate"]) for r in new}) == len(full)
+    assert not {r["surrogate"] for r in new} & {v for _, v in full}
+    assert all(luhn(r["value"]) == luhn(r["surrogate"]) for r in new if r["kind"] == "card")
+
+
 # -- licences
 
 

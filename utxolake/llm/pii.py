@@ -8,7 +8,10 @@ domain, names follow the gender of their title. So mentions of one entity stay o
 in any document and any spelling.
 
 Surrogates are checked over the whole corpus: one that another entity of the type holds, or that is an
-entity found in the texts, is drawn anew until all are distinct.
+entity found in the texts, is drawn anew until all are distinct. Where the surrogates of an entity's own
+length run short, they get longer by one character (two digits of a card number, one octet, one name) with
+every further draw. Domains with one name and different endings have surrogates of their own; two
+domains can draw the same one, two addresses can't.
 
 A text's replacement depends on the text alone. Texts with entities are joined to their
 replacements by two 64-bit hashes; the others are passed on where they were read.
@@ -22,8 +25,8 @@ from pyspark.sql import functions as F
 from utxolake.llm.common import stored
 
 KEY = "surrogates"
-#: Draws after which a type whose surrogates have run out is reported.
-MOST_DRAWS = 64
+#: Draws in the entity's own length; each later one is longer.
+OWN_LENGTH_DRAWS = 4
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _NAME = r"\p{Lu}[\p{L}'\-]{1,40}"
@@ -70,14 +73,16 @@ def _canonical(kind: Column, entity: Column) -> Column:
 
 
 def _stream(*parts: Column) -> Column:
-    """1,024 keyed hexadecimal characters for each value."""
+    """1,024 keyed hexadecimal characters for each value: 256 draws. ``_draw`` makes any later one from the first 128."""
     text = F.concat_ws("\x1f", *parts)
     return F.concat(*(F.sha2(F.concat(text, F.lit(f"\x1f{i}")).cast("binary"), 512) for i in range(8)))
 
 
 def _draw(stream: Column, at: Column, of: int) -> Column:
-    """A number below ``of`` from four characters of the stream."""
-    return (F.conv(F.substring(stream, (F.pmod(at, F.lit(256)) * 4 + 1).cast("int"), F.lit(4)), 16, 10).cast("int") % of).cast("int")
+    """A number below ``of`` from four characters of the stream, or of a hash of it past its end."""
+    further = F.substring(F.sha2(F.concat_ws("\x1f", F.substring(stream, 1, 128), at.cast("string")).cast("binary"), 256), 1, 4)
+    four = F.when(at < 256, F.substring(stream, (at * 4 + 1).cast("int"), F.lit(4))).otherwise(further)
+    return (F.conv(four, 16, 10).cast("int") % of).cast("int")
 
 
 def _pick(alphabet: str, n: Column) -> Column:
@@ -116,16 +121,16 @@ def _surrogate(key: str, kind: Column, value: Column, stream: Column) -> Column:
     """The surrogate's canonical form, drawn from a stream."""
     classed = _by_class(value, stream)
     hexadecimal = F.array_join(F.transform(F.split(value, "(?<=.)(?=.)"), lambda c, i: _pick("0123456789abcdef", _draw(stream, i, 16))), "")
-    octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (_draw(stream, i, 254) + 1).cast("string")), ".")
+    octets = F.array_join(F.transform(F.split(value, "[.]"), lambda _, i: (_draw(stream, i, 254) + 1).cast("string")), ".")
     drawn = F.concat(F.substring(classed, F.lit(1), F.length(value) - 1), F.lit("0"))
     check = (10 - _luhn(drawn)) % 10  # an invalid number gets another last digit
     last = F.when(_luhn(value) == 0, check).otherwise((check + 1 + _draw(stream, F.lit(200), 9)) % 10)
     card = F.concat(F.substring(drawn, F.lit(1), F.length(value) - 1), last.cast("string"))
-    domain = F.regexp_extract(value, "@(.*)[.][^.]*$", 1)
-    mail = F.concat(_by_class(F.regexp_extract(value, "^([^@]*)@", 1), stream), F.lit("@"), _by_class(domain, _stream(F.lit(key), F.lit("domain"), domain)), F.lit(".example"))
+    domain = _stream(F.lit(key), F.lit("domain"), F.regexp_extract(value, "@(.*)$", 1))
+    mail = F.concat(_by_class(F.regexp_extract(value, "^([^@]*)@", 1), stream), F.lit("@"), _by_class(F.regexp_extract(value, "@(.*)[.][^.]*$", 1), domain), F.lit(".example"))
     phone = F.concat(F.substring(value, 1, 1), F.substring(classed, F.lit(2), F.length(value)))
     out = F.when(kind == "email", mail).when(kind == "ip", octets).when(kind == "card", card).when(kind == "phone", phone)
-    out = out.when(kind == "ssn", F.concat(F.lit("9"), F.substring(classed, 2, 8))).when(kind == "key", F.concat(F.lit("AKIA"), F.substring(classed, 5, 16)))
+    out = out.when(kind == "ssn", F.concat(F.lit("9"), F.substring(classed, F.lit(2), F.length(value)))).when(kind == "key", F.concat(F.lit("AKIA"), F.substring(classed, F.lit(5), F.length(value))))
     out = out.when(kind == "iban", F.concat(F.substring(value, 1, 2), F.substring(classed, F.lit(3), F.length(value))))
     out = out.when((kind == "secret") & value.rlike("^[0-9a-f]+$"), hexadecimal)
     for (gender, script), ending in _ENDINGS.items():
@@ -136,11 +141,18 @@ def _surrogate(key: str, kind: Column, value: Column, stream: Column) -> Column:
     return out.otherwise(classed)
 
 
+def _longer(kind: Column, value: Column, by: int) -> Column:
+    """A value in whose form there are more surrogates: ``by`` characters, pairs of digits of a card, octets or names longer."""
+    out = F.when(kind == "email", F.regexp_replace(value, "@", "a" * by + "@")).when(kind == "ip", F.concat(value, F.lit(".0" * by)))
+    out = out.when(kind == "card", F.concat(value, F.lit("00" * by))).when(kind.isin(*_NAMES), F.concat(value, F.lit(" a" * by)))  # Luhn's sum stays
+    return out.when(kind == "key", F.concat(value, F.lit("A" * by))).otherwise(F.concat(value, F.lit("0" * by)))
+
+
 def _written(kind: Column, entity: Column, surrogate: Column) -> Column:
-    """The surrogate in the entity's spelling."""
+    """The surrogate in the entity's spelling; what it is longer by ends it."""
     gaps = F.split(entity, r"\d", -1)
-    digits = F.array_join(F.zip_with(gaps, F.split(surrogate, "(?<=.)(?=.)"), lambda g, d: F.concat(g, F.coalesce(d, F.lit("")))), "")
-    spaced = F.array_join(F.zip_with(F.split(entity, "[A-Z0-9]", -1), F.split(surrogate, "(?<=.)(?=.)"), lambda g, d: F.concat(g, F.coalesce(d, F.lit("")))), "")
+    digits = F.array_join(F.zip_with(gaps, F.split(surrogate, "(?<=.)(?=.)"), lambda g, d: F.concat(F.coalesce(g, F.lit("")), F.coalesce(d, F.lit("")))), "")
+    spaced = F.array_join(F.zip_with(F.split(entity, "[A-Z0-9]", -1), F.split(surrogate, "(?<=.)(?=.)"), lambda g, d: F.concat(F.coalesce(g, F.lit("")), F.coalesce(d, F.lit("")))), "")
     shout = (F.upper(entity) == entity) & (F.lower(entity) != entity)
     out = F.when(kind.isin(*_DIGITS), digits).when(kind == "iban", spaced).when(kind == "key", surrogate)
     out = out.when((kind == "secret") & ~entity.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), surrogate).when(shout, F.upper(surrogate))
@@ -155,7 +167,8 @@ def surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
     left = values
     while True:
         drawn = left.select("kind", "value", _stream(F.lit(key), F.col("kind"), F.col("value"), F.lit(str(draw))).alias("stream"))
-        drawn = drawn.select("kind", "value", _surrogate(key, F.col("kind"), F.col("value"), F.col("stream")).alias("surrogate"))
+        form = _longer(F.col("kind"), F.col("value"), draw - OWN_LENGTH_DRAWS + 1) if draw >= OWN_LENGTH_DRAWS else F.col("value")
+        drawn = drawn.select("kind", "value", _surrogate(key, F.col("kind"), form, F.col("stream")).alias("surrogate"))
         # among values that drew the same surrogate the smallest keeps it, unless it is given out or occurs in the texts
         first = drawn.groupBy("kind", "surrogate").agg(F.min("value").alias("value"))
         first = first.join(taken, "surrogate", "left_anti")
@@ -167,9 +180,6 @@ def surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
         draw += 1
         if left.isEmpty():
             return settled
-        if draw == MOST_DRAWS:
-            kinds = sorted(r["kind"] for r in left.select("kind").distinct().collect())
-            raise ValueError(f"no distinct surrogates are left for {kinds}")
 
 
 def _found(text: Column) -> Column:
