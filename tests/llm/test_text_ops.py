@@ -322,6 +322,15 @@ def test_surrogates_get_longer_where_they_run_out(llm, make_docs):
     assert all(luhn(r["value"]) == luhn(r["surrogate"]) for r in new if r["kind"] == "card")
 
 
+def test_long_secrets(make_docs):
+    values = ["0123456789abcdef" * 13, "Zz9_-" * 60, "g" * 300 + "7", "x" * 400]  # the last has no digit and is no secret
+    got = {r["doc_id"]: r for r in pii.pseudonymise(make_docs([(i, f"token={v}.") for i, v in enumerate(values)]), count_col="n").collect()}
+    new = [re.fullmatch(r"token=([\w-]+)\.", got[i]["text"])[1] for i in range(4)]
+    assert [got[i]["n"] for i in range(4)] == [1, 1, 1, 0] and new[3] == values[3]
+    assert re.fullmatch("[0-9a-f]{208}", new[0]) and re.fullmatch(r"([A-Z][a-z]\d_-){60}", new[1]) and re.fullmatch(r"[a-z]{300}\d", new[2])
+    assert len({*new, *values}) == 7 and new[1][:20] != new[1][256:276] and new[2][:44] != new[2][256:300]
+
+
 # -- licences
 
 

@@ -34,7 +34,7 @@ _FEMALE = "Mrs|Ms|Miss|Frau|Mme|Madame|Señora|Sra|Госпожа"
 _MALE = "Mr|Herr|Monsieur|Señor|Sr|Господин"
 # Kinds of entities and their patterns, tried in this order at each place.
 PATTERNS = (
-    ("secret", r"(?<=(?i:password|passwd|pwd|secret|token|api_key|apikey)[ \t]{0,3}[=:][ \t]{0,3}[\"']{0,1})(?=[A-Za-z_\-]{0,127}\d)[A-Za-z0-9_\-]{8,128}(?![A-Za-z0-9_\-])"),
+    ("secret", r"(?<=(?i:password|passwd|pwd|secret|token|api_key|apikey)[ \t]{0,3}[=:][ \t]{0,3}[\"']{0,1})(?=[A-Za-z_\-]*+\d)[A-Za-z0-9_\-]{8,}+"),
     ("key", r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])"),
     ("email", r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]{1,64}@[A-Za-z0-9\-]{1,63}(?:\.[A-Za-z0-9\-]{1,63}){0,8}\.[A-Za-z]{2,24}(?![A-Za-z0-9])"),
     ("ip", rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)"),
