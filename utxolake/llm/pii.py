@@ -47,7 +47,7 @@ PATTERNS = (
 )
 ENTITY = "|".join(f"(?:{p})" for _, p in PATTERNS)
 #: Without one of these a text holds no entity.
-HINT = rf"[0-9@]|{_FEMALE}|{_MALE}"
+HINT = rf"[0-9@]|AKIA|{_FEMALE}|{_MALE}"
 _DIGITS = ("ssn", "card", "phone")
 _NAMES = ("female", "male")
 _SYLLABLES = {
