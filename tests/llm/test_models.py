@@ -155,6 +155,20 @@ def test_top_k(llm, block, start, k):
     assert topk_search.top_k(data.limit(0), lambda i: i % 20 == 0).count() == 0
 
 
+@pytest.mark.parametrize("start", [8192, 5])
+def test_top_k_of_a_repeated_query_id(llm, start):
+    gen = np.random.default_rng(9)
+    hot = gen.normal(0, 0.2, 8)
+    rows = [(i, gen.normal(0, 0.2, 8).tolist()) for i in range(1, 300)]
+    own = [(0, (hot * f).tolist()) for f in [9.0] * 48 + [7.0, 8.0]]
+    data = llm.createDataFrame(own + rows, "vec_id long, embedding array<double>").coalesce(1)
+    got = topk_search.top_k(data, lambda i: i % 20 == 0, start_rows=start).collect()
+    least = min(v for _, v in own)
+    want = brute_top([(0, least), *rows], lambda i: i == 0)
+    others = brute_top(own + rows, lambda i: i % 20 == 0 and i > 0)
+    assert len(want) == 20 and Counter(map(tuple, got)) == want + others
+
+
 def test_top_k_of_large_components_is_exact():
     a, b = np.array([[2.0**40, 3.0]]), np.array([[2.0**20, 1.0], [2.0**10, 7.0]])
     assert topk_search.products(a, b).tolist() == [[2**60 + 3, 2**50 + 21]]

@@ -67,6 +67,7 @@ class Search:
 
     def __init__(self, ids: np.ndarray, queries: np.ndarray, k: int, low: np.ndarray, width: np.ndarray, start: np.ndarray):
         self.ids, self.queries, self.k, self.low, self.width = ids, queries, k, low, width
+        self.order = np.argsort(ids, kind="stable")
         self.least = start.copy()  # no row below it can be in the result
         self.best: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in ids]
         # half a cell beside its middle, in every dimension; and what rounding may add
@@ -77,9 +78,13 @@ class Search:
     def add(self, ids: np.ndarray, cells: np.ndarray, exact: np.ndarray) -> None:
         middle = self.low + (cells + 0.5) * self.width
         bound = self.queries @ middle.T + self.slack[:, None]
+        # rows with a query's id are no candidates for it, however many there are
+        place = np.minimum(np.searchsorted(self.ids, ids, sorter=self.order), len(self.ids) - 1)
+        own = np.flatnonzero(self.ids[self.order[place]] == ids)
+        bound[self.order[place[own]], own] = -np.inf
         # a row's bound from below lies two slacks lower: the kth of these is a floor for the kth score
-        if len(ids) > self.k:
-            kth = np.partition(bound, len(ids) - self.k - 1, axis=1)[:, len(ids) - self.k - 1]  # one more: the query's own row
+        if len(ids) >= self.k:
+            kth = np.partition(bound, len(ids) - self.k, axis=1)[:, len(ids) - self.k]
             self.least = np.maximum(self.least, np.floor(kth - 2 * self.slack))
         for q in np.flatnonzero(bound.max(axis=1) >= self.least).tolist():
             at = np.flatnonzero(bound[q] >= self.least[q])
@@ -146,7 +151,8 @@ def top_k(
     """query_id, rank (from 1), id, score of each query's k best other rows.
 
     ``is_query`` is a condition on ``id``. Ties go to the smaller id. Rows that share a query's id
-    are its own and no candidates for it; repeated ids otherwise are rows of their own. Null ids,
+    are its own and no candidates for it; repeated ids otherwise are rows of their own. Of a repeated query id
+    the smallest vector, by its first component that differs, is the query. Null ids,
     null vectors and vectors with null or non-finite components take no part; shorter vectors count
     as filled up with zeros. Extra columns are ignored; an empty table gives no rows.
     """
@@ -158,7 +164,7 @@ def top_k(
     if not vectors.isEmpty():
         file, low, width = approximation_file(vectors, dims)
         some = _vectors(file.limit(start_rows), dims)
-        queries = file.where(is_query(F.col("id"))).dropDuplicates(["id"])
+        queries = file.where(is_query(F.col("id"))).groupBy("id").agg(F.min("v").alias("v"))
         n_blocks = -(-queries.count() // query_block)
         for b in range(n_blocks):
             ids, own = _vectors(queries.where(F.pmod(F.xxhash64("id"), F.lit(n_blocks)) == b) if n_blocks > 1 else queries, dims)
