@@ -13,7 +13,7 @@ import xxhash
 from tokenizers import Tokenizer
 
 from utxolake.llm import decontaminate, license_scan, packing, pii, repair_ids, simhash, suffix_dedup
-from utxolake.llm.pretokens import Encoder
+from utxolake.llm.pretokens import Encoder, encoder
 from utxolake.llm.suffix_array import permuted_common_prefixes, suffix_array
 
 rng = random.Random(5)
@@ -137,6 +137,22 @@ def test_encoder_equals_the_library(name):
         assert np.frombuffer(enc.encode(t), enc.dtype).tolist() == whole.encode(t, add_special_tokens=False).ids, t[:50]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_special_tokens_in_texts(make_docs, name):
+    path, whole = public_tokenizers.path(name), Tokenizer.from_file(public_tokenizers.path(name))
+    texts = ["see <|endoftext|> here", "<|startoftext|>a<|endoftext|><|endoftext|>", "a <|EndOfText|> B", "Über <|endoftext|>日", "<|endoftext|", "", "after"]
+    enc = encoder(path)
+    for t in texts + [t or "" for t in TEXTS]:
+        assert np.frombuffer(enc.encode(t), enc.dtype).tolist() == whole.encode(t, add_special_tokens=False).ids, t[:50]
+    docs = make_docs(list(enumerate(texts)))
+    want = [ids_of(name, t, 1) for t in texts]
+    starts = [0, *np.cumsum(list(map(len, want)))[:-1].tolist()]
+    got = sorted(repair_ids.token_ids(docs, path).collect(), key=lambda r: r["doc_id"])
+    assert [(r["start"], r["n_tokens"], r["ids_crc32"]) for r in got] == [(s, len(x), zlib.crc32(x.tobytes())) for s, x in zip(starts, want, strict=True)]
+    pieces = packing.pack(docs, path, with_ids=True).toPandas().sort_values("start")
+    assert [b"".join(pieces[pieces.doc_id == i].ids) for i in range(len(texts))] == [ids_of(name, t, 0).tobytes() for t in texts]
+
+
 def ids_of(name, text, end):
     t = Tokenizer.from_file(public_tokenizers.path(name))
     return np.array(t.encode(text or "", add_special_tokens=False).ids + [end], "<u4")

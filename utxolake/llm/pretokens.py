@@ -4,9 +4,10 @@ A BPE model encodes every pre-token on its own, so the ids of a text are the
 concatenated ids of its pre-tokens. ``Encoder`` splits a text with the
 tokenizer's own pattern, restricted to Latin-1 where its classes are plain
 ranges, and asks the library's model for each pre-token that the worker has
-not seen lately. Texts with any other character, and tokenizers of another
-shape, go whole to the library. Strings of special tokens inside a text are
-ordinary text on both ways.
+not seen lately. Texts with any other character, texts that hold an added token's
+string, and tokenizers of another shape, go whole to the library. So the
+operators' ids are those of ``encode(text, add_special_tokens=False)``, where
+the string of a special token inside a text is that token.
 """
 
 from __future__ import annotations
@@ -56,11 +57,13 @@ class _Known(dict):
 
 
 class Encoder:
-    def __init__(self, path: str):
+    """Of one vocabulary file. With ``special_as_text`` strings of special tokens are ordinary text; ``encoder``, which the operators use, goes without."""
+
+    def __init__(self, path: str, special_as_text: bool = True):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        self.whole.encode_special_tokens = special_as_text
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         size = self.whole.get_vocab_size(with_added_tokens=True)
@@ -69,6 +72,8 @@ class Encoder:
         self.lower = False
         self.split = self._pattern(spec)
         self.odd = re.compile("[^\x00-\xff]")
+        # whether a token is looked for before or after the normalizer is the library's business: any letter case goes there
+        self.added = [] if special_as_text else [t["content"].lower() if self.lower else t["content"] for t in spec["added_tokens"]]
         self.known = _Known(self.whole.model, self.dtype)
 
     def _pattern(self, spec: dict) -> re.Pattern | None:
@@ -92,9 +97,10 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian integers of ``dtype``."""
-        if self.split is None or self.odd.search(text):
+        plain = text.lower() if self.lower else text
+        if self.split is None or self.odd.search(text) or any(t in plain for t in self.added):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
-        return b"".join(map(self.known.__getitem__, self.split.findall(text.lower() if self.lower else text)))
+        return b"".join(map(self.known.__getitem__, self.split.findall(plain)))
 
 
 _encoders: dict[str, Encoder] = {}
@@ -104,5 +110,5 @@ def encoder(path: str) -> Encoder:
     """The worker's encoder of a vocabulary file; it outlives a task."""
     if path not in _encoders:
         _encoders.clear()
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(path, special_as_text=False)
     return _encoders[path]
