@@ -213,6 +213,16 @@ def test_repair_blocks_decode_anywhere():
     assert len(repair_ids.Block(repair_ids.compress(np.tile(np.arange(16, dtype=np.uint32), 400))).seq) < 800
 
 
+def test_repair_goes_on_until_no_pair_is_frequent():
+    gen = np.random.default_rng(4)
+    passage, other = np.arange(1000), np.arange(1000, 6000)
+    ids = np.concatenate([np.concatenate([passage, gen.permutation(other)[:50]]) for _ in range(20)]).astype(np.uint32)
+    block = repair_ids.Block(repair_ids.compress(ids))
+    assert (block.read_tokens(0, len(ids)) == ids).all()
+    pairs = Counter(zip(block.seq[:-1].tolist(), block.seq[1:].tolist(), strict=True))
+    assert max(pairs.values()) < repair_ids.MIN_COUNT and len(block.seq) <= 20 * 51
+
+
 # -- near-duplicates
 
 

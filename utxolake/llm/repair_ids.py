@@ -82,8 +82,8 @@ def compress(ids: np.ndarray, min_count: int = MIN_COUNT) -> bytes:
             seq[keep] = (n_symbols + rule_of).astype(np.uint32)
             n_symbols += len(chosen)
             seq = np.delete(seq, keep + 1)
-        if least == min_count:
-            break  # every pair that still reaches it overlaps with one replaced
+        elif least == min_count:
+            break  # pairs with new nonterminals have been looked at too
     flat = np.concatenate(rules) if rules else np.zeros(0, np.uint64)
     left, right = (flat >> np.uint64(32)).astype("<u4"), (flat & np.uint64(0xFFFFFFFF)).astype("<u4")
     length = np.ones(n_symbols, dtype=np.int64)
