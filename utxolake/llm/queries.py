@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from utxolake.llm import decontaminate, language_id, license_scan, packing, pii, quality_cnn, repair_ids, simhash, suffix_dedup, topk_search
+from utxolake.llm import bpe_codec, conversation_repair, decontaminate, language_id, license_scan, packing, pii, quality_cnn, repair_ids, simhash, suffix_dedup, topk_search
 from utxolake.llm.common import ship_code, table
 
 
@@ -67,6 +68,20 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cnn.classify(docs, quality_cnn.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    ids = bpe_codec.encode(table(spark, sf_dir, "documents"), path)
+    return ids.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2(bpe_codec.decode(F.col("ids"), path), 256).alias("decoded_sha256"),
+    )
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversation_repair.damage(table(spark, sf_dir, "conversations"))
+    return conversation_repair.repair(damaged, copies_col="copies").conversations
+
+
 def _shipped(query):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_code(spark)
@@ -76,7 +91,7 @@ def _shipped(query):
 
 
 def queries() -> dict:
-    return {f.__name__: _shipped(f) for f in (op1_suffix_dedup, op2_language_id, op3_license_scan, op4_decontamination, op5_topk, op6_packing, op7_token_ids, op8_simhash, op9_pii, op10_quality)}
+    return {f.__name__: _shipped(f) for f in (op1_suffix_dedup, op2_language_id, op3_license_scan, op4_decontamination, op5_topk, op6_packing, op7_token_ids, op8_simhash, op9_pii, op10_quality, op11_bpe_codec, op12_conversation_repair)}
 
 
 def oracle_sql() -> dict[str, str]:
