@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from utxolake.llm import bpe_codec, conversation_repair
+from utxolake.llm import bpe_codec, conversation_repair, spelling_variants
 
 rng = random.Random(11)
 
@@ -199,8 +199,84 @@ def test_long_conversation_in_blocks(llm):
     assert whole == parts and len(whole) == 1
 
 
+# -- spelling variants
+
+
+def brute_words(rows, misspell=True, min_length=5, min_count=3):
+    count = Counter()
+    for doc, text in rows:
+        for run in re.findall("[A-Za-z\u00c0-\u00ff]+", text or ""):
+            run = re.sub("[A-Z]", lambda m: m[0].lower(), run)
+            h = zlib.crc32(f"{'' if doc is None else doc}:{run}".encode())
+            if misspell and h % 97 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            count[run] += 1
+    return {w: n for w, n in count.items() if len(w) >= min_length and n >= min_count}
+
+
+def one_edit(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) == len(a) + 1 and any(b[:k] + b[k + 1 :] == a for k in range(len(b)))
+
+
+def brute_variants(count):
+    near = {w: [v for v in count if abs(len(v) - len(w)) <= 1 and one_edit(v, w)] for w in count}
+    form = {}
+    for w, found in near.items():
+        best = min(found, key=lambda v: (-count[v], v), default=None)
+        form[w] = best if best is not None and count[best] >= 2 * count[w] else None
+    out = {}
+    for w in count:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out[w] = (form[w], root, count[w], len(near[w]), count.get(form[w]))
+    return out
+
+
+def some_words(n):
+    gen, count = random.Random(9), {}
+    while len(count) < n:
+        word = "".join(gen.choice(["an", "en", "éa", "st", "t", "ä", "ch"]) for _ in range(gen.randint(2, 4)))
+        for _ in range(gen.randint(1, 4)):
+            count[word] = gen.choice([3, 6, 7, 12, 24, 50, 1000])
+            k = gen.randrange(len(word) + 1)
+            word = gen.choice([word[:k] + word[k + 1 :], word[:k] + gen.choice("aeöz日") + word[k:], word[:k] + gen.choice("aeöz😀") + word[k + 1 :]])
+    return count
+
+
+@pytest.mark.parametrize("block_words, tile_words", [(32_768, 32), (40, 4), (7, 1)])
+def test_variants_grouped(llm, block_words, tile_words):
+    count = {w: n for w, n in some_words(300).items() if w}
+    count |= {"a" * 60: 5, "a" * 61: 50, "a" * 59 + "b": 500, "b" + "a" * 60: 5, "abcde": 3, "bacde": 30, "x": 9, "": 2, "yx": 1}
+    rows = [(w, n - 1, "r") for w, n in count.items()] + [(w, 1, "s") for w in count] + [(None, 5, "t"), ("nocount", None, "u")]
+    table = llm.createDataFrame(rows, "word string, n long, root string").selectExpr("*", "'q' as best", "'q' as form").repartition(3)
+    got = spelling_variants.group_variants(table, block_words=block_words, tile_words=tile_words).collect()
+    assert {r["word"]: (r["form"], r["root"], r["n"], r["n_near"], r["form_n"]) for r in got} == brute_variants(count)
+    assert len(got) == len(count)
+
+
+def test_words_counted(make_docs):
+    gen = random.Random(3)
+    stems = ["Haus", "Häuser", "forêts", "STRASSE", "straße", "running", "xy", "ÉTÉ", "été", "a\u00d7b\u00f7cde"]
+    rows = [(i, " ".join(gen.choice(stems) for _ in range(60)) + "x1y_z-İstanbul") for i in range(300)] + [(None, "running running running"), (7, None), (8, ""), (9, "y" * 30_000)] * 2
+    for misspell in (True, False):
+        got = {r["word"]: r["n"] for r in spelling_variants.word_counts(make_docs(rows, extra=True), misspell=misspell).collect()}
+        assert got == brute_words(rows, misspell)
+    assert spelling_variants.group_variants(spelling_variants.word_counts(make_docs([]))).count() == 0
+
+
+def test_forms_followed_to_the_last(llm):
+    words = [("abcdef"[: 6 - k % 2] + "z" * (k // 2), 4**k * 3) for k in range(8)]
+    chain = {w: n for w, n in words}
+    got = spelling_variants.group_variants(llm.createDataFrame(list(chain.items()), "word string, n long")).collect()
+    assert {r["word"]: (r["form"], r["root"], r["n"], r["n_near"], r["form_n"]) for r in got} == brute_variants(chain)
+
+
 def test_registered_queries(llm, tmp_path):
-    """op11 and op12 as registered, over small whole tables, against the library and brute force."""
+    """op11 to op13 as registered, over small whole tables, against the library and brute force."""
     from utxolake.llm import queries
 
     docs = [(i, t) for i, t in enumerate(TEXTS[:13])]
@@ -212,6 +288,10 @@ def test_registered_queries(llm, tmp_path):
         want[i] = (len(ids), *(hashlib.sha256(x.encode()).hexdigest() for x in (" ".join(map(str, ids)), library.decode(ids, skip_special_tokens=False))))
     got = {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in queries.queries()["op11_bpe_codec"](llm, str(tmp_path)).collect()}
     assert got == want
+    many = [(i, " ".join(random.Random(i).choice(["Kinder", "Rinder", "Kindern", "forests", "forêts", "running"]) for _ in range(40))) for i in range(400)]
+    llm.createDataFrame(many, "doc_id long, text string").write.parquet(f"{tmp_path}/words/documents.parquet")
+    got = queries.queries()["op13_spelling_variants"](llm, f"{tmp_path}/words").collect()
+    assert {r["word"]: (r["form"], r["root"], r["n"], r["n_near"], r["form_n"]) for r in got} == brute_variants(brute_words(many))
     rows = some_conversations(40)
     llm.createDataFrame(rows, CONVERSATIONS).write.parquet(f"{tmp_path}/conversations.parquet")
     by_conv = {r[0]: [] for r in rows}

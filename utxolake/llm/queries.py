@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from utxolake.llm import bpe_codec, conversation_repair, decontaminate, language_id, license_scan, packing, pii, quality_cnn, repair_ids, simhash, suffix_dedup, topk_search
+from utxolake.llm import bpe_codec, conversation_repair, decontaminate, language_id, license_scan, packing, pii, quality_cnn, repair_ids, simhash, spelling_variants, suffix_dedup, topk_search
 from utxolake.llm.common import ship_code, table
 
 
@@ -82,6 +82,11 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair(damaged, copies_col="copies").conversations
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling_variants.word_counts(table(spark, sf_dir, "documents"), misspell=True)
+    return spelling_variants.group_variants(words)
+
+
 def _shipped(query):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_code(spark)
@@ -91,7 +96,7 @@ def _shipped(query):
 
 
 def queries() -> dict:
-    return {f.__name__: _shipped(f) for f in (op1_suffix_dedup, op2_language_id, op3_license_scan, op4_decontamination, op5_topk, op6_packing, op7_token_ids, op8_simhash, op9_pii, op10_quality, op11_bpe_codec, op12_conversation_repair)}
+    return {f.__name__: _shipped(f) for f in (op1_suffix_dedup, op2_language_id, op3_license_scan, op4_decontamination, op5_topk, op6_packing, op7_token_ids, op8_simhash, op9_pii, op10_quality, op11_bpe_codec, op12_conversation_repair, op13_spelling_variants)}
 
 
 def oracle_sql() -> dict[str, str]:
