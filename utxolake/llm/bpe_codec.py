@@ -29,7 +29,7 @@ from utxolake.llm.common import text_or_empty
 from utxolake.llm.pretokens import Encoder, _byte_symbols, _latin1_symbols
 
 #: Pairs and words a worker remembers at most; past it the memory is dropped and filled anew.
-REMEMBERED_PAIRS, REMEMBERED_WORDS = 1 << 19, 1 << 19
+REMEMBERED_PAIRS, REMEMBERED_WORDS = 1 << 18, 1 << 18
 #: Longer words are encoded but not remembered.
 LONGEST = 48
 #: Ids per batch handed back to Spark, or one document.
@@ -135,14 +135,15 @@ class BacktrackingEncoder:
         self.automaton.make_automaton()
         by_string = {s: t for t, s in self.merges.strings.items()}
         self.shorter = {t: next((by_string[s[:n]] for n in range(len(s) - 1, 0, -1) if s[:n] in by_string), None) for s, t in by_string.items()}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
 
     def compatible(self, a: int, b: int) -> bool:
-        known = self.pairs.get((a, b))
+        pair = a << 32 | b
+        known = self.pairs.get(pair)
         if known is None:
             if len(self.pairs) >= REMEMBERED_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[a, b] = self.merges.seam_holds(a, b)
+            known = self.pairs[pair] = self.merges.seam_holds(a, b)
         return known
 
     def word_ids(self, word: str) -> list[int]:
