@@ -29,11 +29,11 @@ from utxolake.llm.common import text_or_empty
 from utxolake.llm.pretokens import Encoder, _byte_symbols, _latin1_symbols
 
 #: Pairs and words a worker remembers at most; past it the memory is dropped and filled anew.
-REMEMBERED_PAIRS, REMEMBERED_WORDS = 1 << 18, 1 << 18
+REMEMBERED_PAIRS, REMEMBERED_WORDS = 1 << 17, 1 << 17
 #: Longer words are encoded but not remembered.
 LONGEST = 48
 #: Ids per batch handed back to Spark, or one document.
-BATCH_IDS = 1 << 20
+BATCH_IDS = 1 << 18
 #: A word's last symbol stands this far up in the automaton's alphabet where the vocabulary marks word ends.
 END = 0x10000
 
@@ -245,16 +245,17 @@ def _kept(kept: dict, make, path: str):
     return kept[path]
 
 
-def encode(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", with_decoded: bool = False) -> DataFrame:
     """Per row: id and ``ids`` (array of int), those of ``encode(text, add_special_tokens=False)`` without truncation or padding.
 
-    A null text counts as empty, which has no ids. Null and repeated ids keep their rows; extra columns are
+    ``with_decoded`` adds ``decoded``, the text that ``decode`` gives for the ids, without a second pass through Python. A null text counts as empty, which has no ids. Null and repeated ids keep their rows; extra columns are
     ignored; an empty table gives no rows. Vocabulary files whose model isn't plain BPE over byte symbols are refused.
     """
-    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)])
+    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)] + [T.StructField("decoded", T.StringType())] * with_decoded)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _kept(_encoders, BacktrackingEncoder, tokenizer)
+        table = _kept(_tables, OffsetTable, tokenizer) if with_decoded else None
         kind = pa.list_(pa.field("element", pa.int32(), False))
         for batch in batches:
             first, parts, held = 0, [], 0
@@ -265,7 +266,8 @@ def encode(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col:
                     ends = np.cumsum([0, *(len(p) // enc.dtype.itemsize for p in parts)]).astype(np.int32)
                     flat = pa.array(np.frombuffer(b"".join(parts), enc.dtype).astype(np.int32))
                     lists = pa.ListArray.from_arrays(pa.array(ends), flat, type=kind)
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, i + 1 - first), lists], names=schema.names)
+                    decoded = [] if table is None else [pa.array(table.decode(flat, ends[1:]), pa.string())]
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, i + 1 - first), lists, *decoded], names=schema.names)
                     first, parts, held = i + 1, [], 0
 
     return docs.select(F.col(id_col), text_or_empty(F.col(text_col)).alias("text")).mapInArrow(task, schema)
