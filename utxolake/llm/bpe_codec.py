@@ -29,7 +29,7 @@ from utxolake.llm.common import text_or_empty
 from utxolake.llm.pretokens import Encoder, _byte_symbols, _latin1_symbols
 
 #: Pairs and words a worker remembers at most; past it the memory is dropped and filled anew.
-REMEMBERED_PAIRS, REMEMBERED_WORDS = 1 << 17, 1 << 17
+REMEMBERED_PAIRS, REMEMBERED_WORDS = 1 << 18, 1 << 19
 #: Longer words are encoded but not remembered.
 LONGEST = 48
 #: Ids per batch handed back to Spark, or one document.
