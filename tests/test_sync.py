@@ -69,9 +69,10 @@ def test_sync_equals_batch_with_rollback(spark, src):
 
 
 def test_chunked_files(spark, src):
+    """S-07: exports and stages keep to the upload's row limit; the files of a table don't."""
     wh = cq.scratch(spark)
-    wh.overwrite("tx_out_copy", src["tx_out"], None)
-    files = glob.glob(os.path.join(wh.path("tx_out_copy").replace("file:", ""), "*.parquet"))
+    wh.write_stage(src["tx_out"], "tx_out_copy")
+    files = glob.glob(os.path.join(wh.staging("tx_out_copy", "stage").replace("file:", ""), "*.parquet"))
     assert files and max(pq.ParquetFile(f).metadata.num_rows for f in files) <= cq.CHUNK
 
 
@@ -134,15 +135,6 @@ def test_sync_equals_batch_property(spark, src, cut, cap, delete):
         assert want.select(*got.columns).exceptAll(got).count() == 0
 
 
-def test_watermark_versions_are_pruned(spark):
-    wh = cq.scratch(spark)
-    for i in range(14):
-        wh.set_watermark("tx", slot=i, epoch=0)
-    versions = wh.partitions(f"{wh.root}/_last_index", "v")
-    assert len(versions) == wh.WATERMARK_VERSIONS_KEPT and max(versions) == 13
-    assert wh.watermark("tx") == (13, 0)
-
-
 def test_reload_open_epoch(spark, src):
     """Q17 option: a next-mode table reloads its last epoch, which may have grown since."""
     from utxolake.plans.sync import SyncOptions, epoch_sync_job

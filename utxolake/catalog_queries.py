@@ -841,6 +841,123 @@ def q_stream_append(spark, sf_dir):
             .unionByName(wh.read("delegation").agg(F.lit("delegation").alias("tablename"), entries.alias("entries"))))
 
 
+# A fork from FORK_SLOT on: its blocks (a later time, the same ids) lie at every third slot, so most slots become empty.
+FORK_SLOT, FORK_STEP, FIRST_PART = 2100, 3, 1200
+STREAM = SyncOptions(window=SlotWindowConfig(cap=2000, grace=3, delete=10, rounds=3), cluster_size=CLUSTER, parallel_tables=8)
+FORK_TABLES = ["block_hash", "tx", "pool_update"]
+#: The column by which a source relation hangs on a transaction; the others are delivered whole.
+TX_LINK = {"tx_out": "tx_id", "tx_in": "tx_in_id", "collateral_tx_in": "tx_in_id", "delegation": "tx_id", "ma_tx_mint": "tx_id",
+           "tx_metadata": "tx_id", "datum": "tx_id", "script": "tx_id", "redeemer": "tx_id", "stake_registration": "tx_id",
+           "stake_deregistration": "tx_id", "withdrawal": "tx_id", "pool_metadata_ref": "registered_tx_id",
+           "pool_update": "registered_tx_id", "pool_retire": "announced_tx_id"}
+DELIVERED = ["tx", *TX_LINK, "stake_address", "pool_hash", "slot_leader", "multi_asset", "ma_tx_out", "redeemer_data", "pool_owner", "pool_offline_data"]
+#: The list column of tables whose rows depend on the windows; their entries don't.
+ENTRIES = {"delegation": "delegations", "ma_minting": "minting", "rel_addr_txout": "outputs", "rel_stake_txout": "outputs"}
+
+
+def _fork(blocks: DataFrame) -> DataFrame:
+    return (blocks.where((F.col("slot_no") >= FORK_SLOT) & ((F.col("slot_no") - FORK_SLOT) % FORK_STEP == 0))
+            .withColumn("time", F.col("time") + F.expr("INTERVAL 1 HOUR")))
+
+
+def q_stream_fork(spark, sf_dir):
+    """W-09: blocks arrive as one file per ten epochs, two files a batch; then a fork that leaves slots empty."""
+    from .streaming.block_stream import stream_sync
+    wh = scratch(spark)
+    src = _mat(spark, sf_dir, wh)
+    blocks, block_dir = src["block"], f"{wh.root}/incoming_blocks"
+    for e in range(0, blocks.agg(F.max("epoch_no")).first()[0] + 1, 10):
+        blocks.where(F.col("epoch_no").between(e, e + 9)).coalesce(1).write.mode("append").parquet(block_dir)
+    stream_sync(spark, src, block_dir, wh, FORK_TABLES, STREAM, files_per_batch=2, block_schema=blocks.schema)
+    _fork(blocks).coalesce(1).write.mode("append").parquet(block_dir)
+    stream_sync(spark, src, block_dir, wh, FORK_TABLES, STREAM, files_per_batch=2, block_schema=blocks.schema)
+    return _contents(wh.read, FORK_TABLES)
+
+
+def _causal(src) -> dict[str, DataFrame]:
+    """The stand-ins of inputs, without those that spend an output of the same or a later block."""
+    tx = src["tx"].select("id", "block_id")
+    made, spent = tx.toDF("tx_out_id", "_made"), tx.toDF("tx_in_id", "_spent")
+    return {n: src[n].join(made, "tx_out_id").join(spent, "tx_in_id").where("_made < _spent").select(*src[n].columns) for n in ("tx_in", "collateral_tx_in")}
+
+
+def _deliver(src, root: str, top: int, name: str, number: int) -> None:
+    """Write delivery 1 (to FIRST_PART), 2 (the rest) or 3 (the fork's) of one relation."""
+    df, slots = src[name], src["block"].select(F.col("id").alias("block_id"), "slot_no")
+    if name in TX_LINK:
+        tx = src["tx"].select(F.col("id").alias(TX_LINK[name]), "block_id").join(slots, "block_id").drop("block_id")
+        df = df.join(tx.withColumnRenamed("slot_no", "_slot"), TX_LINK[name], "left").withColumn("_slot", F.coalesce("_slot", F.lit(0)))
+    elif name == "tx":
+        df = df.join(slots.withColumnRenamed("slot_no", "_slot"), "block_id")
+    else:
+        df = df.withColumn("_slot", F.col("slot_no") if name == "block" else F.lit(0))
+    part = {1: F.col("_slot") <= FIRST_PART, 2: F.col("_slot") > FIRST_PART, 3: (F.col("_slot") >= FORK_SLOT) & ((F.col("_slot") - FORK_SLOT) % FORK_STEP == 0)}[number]
+    rows = df.where(part).select(*src[name].columns)
+    if name == "block" and number == 3:
+        rows = _fork(rows)
+    rows.coalesce(1).write.parquet(f"{root}/{name}/delivery={number}/upto_slot={FIRST_PART if number == 1 else top}")
+
+
+def _entries(read, table: str) -> DataFrame:
+    df, lists = read(table), ENTRIES[table]
+    return df.select(*[c for c in df.columns if c != lists], F.explode(F.from_json(lists, "array<string>")).alias("entry"))
+
+
+def _entry_contents(read, table: str) -> DataFrame:
+    df = _entries(read, table)
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in sorted(df.columns)])
+    digits = F.conv(F.substring(F.sha2(text, 256), 1, 12), 16, 10).cast("decimal(38,0)")
+    return df.agg(F.lit(table).alias("tablename"), F.count(F.lit(1)).alias("n_rows"), F.sum(digits).cast("string").alias("checksum"))
+
+
+def q_stream_relations(spark, sf_dir):
+    """W-09: all relations arrive in deliveries of their own. First blocks run ahead of outputs, so that windows wait; then the
+    outputs come; then a fork of blocks, which takes the tables back; then the other relations of the fork. Contents of all 23
+    slot tables (entries of lists where rows depend on the windows)."""
+    from .streaming.block_stream import stream_sync
+    wh = scratch(spark)
+    src = _mat(spark, sf_dir, wh)
+    src = {n: src[n] for n in ["block", *DELIVERED]}
+    src |= {n: MaterializedCatalog(_causal(src), f"{wh.root}/causal")[n] for n in ("tx_in", "collateral_tx_in")}
+    top, root, schema = src["block"].agg(F.max("slot_no")).first()[0], f"{wh.root}/incoming", src["block"].schema
+
+    def deliver(names, numbers):
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            list(pool.map(lambda x: _deliver(src, root, top, *x), [(n, k) for n in names for k in numbers]))
+
+    def run():
+        stream_sync(spark, None, f"{root}/block", wh, SLOT_ORDER, STREAM, files_per_batch=1, block_schema=schema, delivered=root, delivered_names=DELIVERED)
+
+    deliver(["block", *[n for n in DELIVERED if n != "tx_out"]], (1, 2))
+    deliver(["tx_out"], (1,))
+    run()
+    deliver(["tx_out"], (2,))
+    run()
+    deliver(["block"], (3,))
+    run()
+    deliver(DELIVERED, (3,))
+    run()
+    plain = [t for t in SLOT_ORDER if t not in ENTRIES]
+    out = _contents(wh.read, plain)
+    for t in ENTRIES:
+        out = out.unionByName(_entry_contents(wh.read, t))
+    marks = wh.last_index().select("tablename", "last_slot_no")
+    return out.join(marks, "tablename")
+
+
+def _with_fork(names: list[str], causal: bool) -> str:
+    """The stand-ins over the winning chain."""
+    text = _with(names, ("block", "tx", "tx_in")).rstrip().replace("block AS (", "block0 AS (", 1)
+    if causal:  # names that end in 0 are the stand-ins as they come
+        text = text.replace("collateral_tx_in AS (", "collateral_tx_in0 AS (", 1).replace("\ntx_in AS (", "\ntx_in0 AS (", 1)
+        text = text.replace("FROM tx_in WHERE", "FROM tx_in0 WHERE", 1)
+        for n in ("tx_in", "collateral_tx_in"):
+            text += (f", {n} AS (SELECT i.* FROM {n}0 i JOIN tx p ON p.id = i.tx_out_id JOIN tx c ON c.id = i.tx_in_id "
+                     "WHERE p.block_id < c.block_id)")
+    return text + (f", block AS (SELECT * REPLACE (CASE WHEN slot_no >= {FORK_SLOT} THEN time + INTERVAL 1 HOUR ELSE time END AS time) "
+                   f"FROM block0 WHERE slot_no < {FORK_SLOT} OR (slot_no - {FORK_SLOT}) % {FORK_STEP} = 0) ")
+
+
 def streaming() -> tuple[dict[str, Query], dict[str, str]]:
     moved = (f"(SELECT * REPLACE (CASE WHEN slot_no > (SELECT max(slot_no) FROM block) - {ROLLBACK_SLOTS} "
              f"THEN time + INTERVAL 1 HOUR ELSE time END AS time) FROM block)")
@@ -848,9 +965,36 @@ def streaming() -> tuple[dict[str, Query], dict[str, str]]:
     end = f"(SELECT max(slot_no) FROM block) - {TEST.window.grace}"
     entries = (f"SELECT 'pool_update' AS tablename, count(*) AS entries FROM ({_windowed('pool_update', f'slot_no <= {end}')}) v UNION ALL "
                f"SELECT 'delegation', CAST(sum(json_array_length(delegations)) AS BIGINT) FROM ({_windowed('delegation', f'slot_no <= {end}')}) v")
-    return ({"w_stream_sync": q_stream, "w_stream_append": q_stream_append},
+    return ({"w_stream_sync": q_stream, "w_stream_append": q_stream_append, "w_stream_fork": q_stream_fork, "w_stream_relations": q_stream_relations},
             {"w_stream_sync": _with(["tx"]) + f"SELECT * FROM ({body}) v WHERE slot_no <= {end}",
-             "w_stream_append": _with(STREAM_APPEND) + entries})
+             "w_stream_append": _with(STREAM_APPEND) + entries,
+             "w_stream_fork": _with_fork(FORK_TABLES, False) + " UNION ALL ".join(_duck_contents(t, _to_end(t)) for t in FORK_TABLES),
+             "w_stream_relations": _duck_stream_relations()})
+
+
+def _to_end(t: str) -> str:
+    """Rows up to where the stream's last window ends."""
+    end = f"(SELECT max(slot_no) FROM block) - {STREAM.window.grace}"
+    if TABLES[t].slot_mode == "replace":
+        return f"SELECT * FROM ({_body(t)[1]}) w WHERE {TABLES[t].slot_col} <= {end}"
+    return _windowed(t, f"slot_no <= {end}")
+
+
+def _duck_stream_relations() -> str:
+    parts = []
+    for t in SLOT_ORDER:
+        if t not in ENTRIES:
+            parts.append(_duck_contents(t, _to_end(t)))
+            continue
+        columns = {"delegation": ["epoch_no", "stake_addr_hash"], "ma_minting": ["fingerprint", "policyid", "name_bytes", "epoch_no"],
+                   "rel_addr_txout": ["epoch_no", "address", "address_has_script", "payment_cred", "data_hash", "inline_datum", "reference_script"],
+                   "rel_stake_txout": ["epoch_no", "address"]}[t]
+        text = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), 'null')" for c in sorted([*columns, "entry"]))
+        rows = f"SELECT {', '.join(columns)}, unnest(json_extract_string({ENTRIES[t]}, '$[*]')) AS entry FROM ({_to_end(t)}) e"
+        parts.append(f"SELECT '{t}' AS tablename, count(*) AS n_rows, CAST(sum(CAST('0x' || substr(sha256({text}), 1, 12) AS BIGINT)) AS VARCHAR) "
+                     f"AS checksum FROM ({rows}) v")
+    end = f"(SELECT max(slot_no) FROM block) - {STREAM.window.grace}"
+    return _with_fork(SLOT_ORDER, True) + f"SELECT c.*, {end} AS last_slot_no FROM (" + " UNION ALL ".join(parts) + ") c"
 
 
 PARTS = (validation, sources_sinks, sync_backfill, streaming)

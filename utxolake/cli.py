@@ -35,6 +35,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--tables", help="comma separated subset")
     p.add_argument("--epochs", help="comma separated epochs, or all (deep-compare; default: the last complete one)")
     p.add_argument("--stop-at-gap", action="store_true", help="backfill by epoch ends at the first epoch without rows")
+    p.add_argument("--epochs-per-load", type=int, help="backfill: one table version per so many epochs (a rerun skips finished ones)")
     p.add_argument("--cap", type=int, default=10_000)
     p.add_argument("--grace", type=int, default=60)
     p.add_argument("--delete", type=int, default=200)
@@ -59,13 +60,13 @@ def main(argv: list[str] | None = None) -> None:
     elif a.job == "epoch-sync":
         report = epoch_sync_job(src, wh, opts, tables)
     elif a.job == "backfill":
-        report = backfill_job(src, wh, opts=opts, tables=tables, stop_at_gap=a.stop_at_gap)
+        report = backfill_job(src, wh, opts=opts, tables=tables, stop_at_gap=a.stop_at_gap, epochs_per_load=a.epochs_per_load)
     elif a.job == "freshness":
         from .plans.registry import ALL_TABLES
         from .plans.sync import freshness
         from .plans.windows import source_head
         present = [t for t in (tables or ALL_TABLES) if t not in ("meta", "schema_version") and wh.has(t)]
-        report = freshness(wh.read, source_head(src["block"]), present)
+        report = freshness(wh, source_head(src["block"]), present)
     else:
         epochs = "all" if a.epochs == "all" else [int(e) for e in a.epochs.split(",")] if a.epochs else None
         kw = {t: {"cluster_size": a.cluster_size} for t in ("rel_addr_txout", "rel_stake_txout")}

@@ -1,31 +1,32 @@
 """Slot sync, epoch sync and backfill jobs (W-03 ... W-08, P-02 ... P-06, B-01 ... B-03).
 
-Every table load is: derive the window / epoch (a lazy plan over the source),
-write it to staging (S-05, row count S-04), apply the empty-batch policy
-(W-07 / P-05), merge into the touched epoch partitions of the target (W-05,
-W-06, P-03, P-04) and set the watermark last (S-08). A rerun after a failure
-repeats the same window and gives the same partitions, because
-
-* replace tables rebuild ``slot >= clean`` wherever the target holds such rows,
-* append tables carry ``_batch`` (the window end); rows of a batch beyond the
-  watermark stem from a failed attempt and give way,
-* epoch loads replace whole epoch partitions.
-
-The driver only handles plans and partition lists: one row per table and
-round, one value per touched epoch.
+Every table load is: derive the window / epoch (a lazy plan over the source), write it
+as a load of the target (row count S-04), apply the empty-batch policy (W-07 / P-05), and
+publish a version of the table that has the new rows, lacks those they replace (W-05, W-06, P-03,
+P-04) and carries the new watermark (S-08). A failure before that leaves the table as it was.
+
+* Replace tables give up the slot buckets from ``clean`` on; of the one that ``clean`` lies in, the
+  rows before it are carried over. So what a window writes doesn't depend on the epoch's size.
+* Append tables carry ``_batch`` (the window end) and have a bucket per batch; batches beyond the
+  watermark give way.
+* Epoch loads replace whole epochs.
+
+The driver only handles plans and folder names: one row per table and round, one name per
+epoch and bucket.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.derive import DERIVE
-from ..sources.sinks import Warehouse
+from ..sources.sinks import CommitConflict, Leaf, Load, TableState, Warehouse
 from .registry import BACKFILL_FULL, BACKFILL_START, EPOCH_CLOSED, EPOCH_ORDER, OWN_EPOCH, SLOT_ORDER, TABLES
 from .windows import SlotWindowConfig, plan_epochs, plan_slot_windows, source_head
 
@@ -85,65 +86,57 @@ def extract_epochs(src, table: str, epochs: list[int], opts: SyncOptions | None
     return derive(src, table, cond, opts)
 
 
-def epoch_before(src, slot: int) -> int | None:
-    """The epoch of the last block below ``slot`` (epochs grow with slots; None: no such block)."""
-    return src["block"].where(F.col("slot_no") < slot).agg(F.max("epoch_no")).first()[0]
+def _replaced(wh: Warehouse, table: str, base: TableState, clean: int) -> tuple[list[Leaf], DataFrame | None]:
+    """W-05: the leaves that can hold rows with ``slot >= clean``, and their rows below it (None: they have none)."""
+    first = clean // wh.bucket_slots
+    leaves = [leaf for leaf in base.leaves if leaf.bucket >= first]
+    edge = [leaf for leaf in leaves if leaf.bucket == first]
+    if not edge or clean % wh.bucket_slots == 0:
+        return leaves, None
+    return leaves, wh.read_leaves(table, base, edge).where(F.col(TABLES[table].slot_col) < clean)
 
 
-def _swap(wh: Warehouse, table: str, give_way: Column, staged: DataFrame, since: int | None) -> int:
-    """Rows that ``give_way`` leave the target, ``staged`` come in; only the partitions concerned are rewritten.
+def _appended(base: TableState, last: int) -> list[Leaf]:
+    """W-06: leaves of batches beyond the watermark ``last``, but for those that stayed when the watermark went back."""
+    return [leaf for leaf in base.leaves if leaf.bucket > last and leaf.load not in base.extra.get("settled", ())]
 
-    ``since`` bounds the partitions that can hold such rows (None: all may).
-    """
-    part = TABLES[table].part_col
-    arriving = wh.partitions(wh.staging(table, "stage"), part)
-    if not wh.has(table):
-        return wh.overwrite(table, staged, part)
-    old = wh.read(table, hidden=True)
-    staged = staged.select(*old.columns)
-    seen = {p for p in wh.partitions(wh.path(table), part) if since is None or p >= since}
-    old = old.where(F.col(part).isin(sorted(seen)))
-    # one narrow scan: which partitions have rows to lose, and which keep some
-    found = old.groupBy(part).agg(F.bool_or(give_way).alias("loses"), F.bool_or(~give_way).alias("keeps")).collect()
-    touched = arriving | {r[part] for r in found if r["loses"]}
-    keeping = {r[part] for r in found if r["keeps"]}
-    if not touched:
-        return 0
-    merged = old.where(F.col(part).isin(sorted(touched)) & ~give_way).unionByName(staged)
-    return wh.merge_partitions(table, merged, part, gone=touched - arriving - keeping)
-
-
-def merge_replace(wh: Warehouse, table: str, clean: int, since: int | None = None) -> int:
-    """W-05: target rows with ``slot >= clean`` give way to the staged rows, also if none were staged.
-
-    ``since`` is the epoch of the last block below ``clean``: no partition before it holds such rows
-    (tables with an epoch of their own are looked up whole).
-    """
-    give_way = F.col(TABLES[table].slot_col) >= clean
-    return _swap(wh, table, give_way, wh.read_stage(table), None if table in OWN_EPOCH else since)
+
+def merge_replace(wh: Warehouse, table: str, clean: int, slot: int | None = None) -> int:
+    """W-05: target rows with ``slot >= clean`` give way to the staged rows, also if none were staged."""
+    return _merge_replace(wh, table, wh.state(table), wh.read_stage(table), clean, slot)
+
+
+def _merge_replace(wh: Warehouse, table: str, base: TableState, rows: DataFrame, clean: int, slot: int | None) -> int:
+    drop, carried = _replaced(wh, table, base, clean)
+    load = wh.write_load(table, rows, TABLES[table].part_col, carried, wh.columns(base), window=True)
+    wh.publish(table, base, load, drop, slot)
+    return load.rows
 
 
-def merge_append(wh: Warehouse, table: str, batch: int, last: int, since: int | None = None) -> int:
-    """W-06: add the staged rows as batch ``batch``. Rows of batches beyond the watermark ``last`` come from an
-    attempt that did not set it; they give way, whatever end that attempt had."""
+def merge_append(wh: Warehouse, table: str, batch: int, last: int, slot: int | None = None) -> int:
+    """W-06: add the staged rows as batch ``batch``. Batches beyond the watermark ``last`` give way."""
+    base = wh.state(table)
     staged = wh.read_stage(table).withColumn("_batch", F.lit(batch).cast("bigint"))
-    give_way = F.coalesce(F.col("_batch") > last, F.lit(False))
-    return _swap(wh, table, give_way, staged, since)
+    load = wh.write_load(table, staged, TABLES[table].part_col, columns=wh.columns(base), window=True)
+    wh.publish(table, base, load, _appended(base, last), slot)
+    return load.rows
 
 
 def merge_epoch(wh: Warehouse, table: str, epoch: int) -> None:
-    """P-03 / P-04: the epoch partition becomes exactly the staged rows."""
+    """P-03 / P-04: the epoch becomes exactly the staged rows."""
     merge_epochs(wh, table, {epoch})
 
 
 def merge_epochs(wh: Warehouse, table: str, epochs: set) -> None:
     """P-03 / P-04 for several epochs: each becomes exactly its staged rows."""
-    part = TABLES[table].part_col
-    staged = _with_batch(wh.read_stage(table), table)
-    if wh.has(table):
-        staged = staged.select(*wh.read(table, hidden=True).columns)
-    arriving = wh.partitions(wh.staging(table, "stage"), part)
-    wh.merge_partitions(table, staged, part, gone=set(epochs) - arriving)
+    base = wh.state(table)
+    load = wh.write_load(table, _with_batch(wh.read_stage(table), table), TABLES[table].part_col, columns=wh.columns(base))
+    wh.publish(table, base, load, _of_epochs(base, set(epochs) | load.epochs()))
+
+
+def _of_epochs(base: TableState, epochs: set) -> list[Leaf]:
+    names = {str(e) for e in epochs}
+    return [leaf for leaf in base.leaves if leaf.part in names]
 
 
 def next_watermark(policy: str, rows: int, planned: int, current: int, stall_safe: bool = True) -> int:
@@ -164,22 +157,28 @@ def sync_table_slots(src, wh: Warehouse, table: str, last: int, head: int, opts:
     return load_window(src, wh, table, last, last - cfg.delete, mx, opts)
 
 
-def load_window(src, wh: Warehouse, table: str, last: int, clean: int, mx: int, opts: SyncOptions) -> tuple[int, int]:
-    """W-05 / W-06 for one planned window. An empty window still clears what its range held,
-    unless the table's policy leaves the watermark behind it."""
-    spec = TABLES[table]
+def load_window(src, wh: Warehouse, table: str, last: int, clean: int, mx: int, opts: SyncOptions, extra: dict | None = None) -> tuple[int, int]:
+    """W-05 / W-06 for one planned window: derived rows are written once, and become part of the table together with
+    the watermark. An empty window still clears what its range held, unless the table's policy leaves the watermark
+    behind it."""
+    spec, base = TABLES[table], wh.state(table)
     if spec.slot_mode == "replace":
-        rows = wh.write_stage(extract_replace(src, table, clean, mx, opts), table, part_col=spec.part_col)
-        new = next_watermark(spec.slot_empty, rows, mx, last, opts.stall_safe)
-        if rows or new != last:
-            merge_replace(wh, table, clean, epoch_before(src, clean))
+        rows = extract_replace(src, table, clean, mx, opts)
+        drop, carried = _replaced(wh, table, base, clean)
     else:
-        rows = wh.write_stage(extract_append(src, table, last, mx, opts), table, part_col=spec.part_col)
-        new = next_watermark(spec.slot_empty, rows, mx, last, opts.stall_safe)
-        if rows or new != last:
-            merge_append(wh, table, mx, last, epoch_before(src, last + 1))
-    wh.set_watermark(table, slot=new)
-    return rows, new
+        rows = extract_append(src, table, last, mx, opts).withColumn("_batch", F.lit(mx).cast("bigint"))
+        drop, carried = _appended(base, last), None
+    load = wh.write_load(table, rows, spec.part_col, carried, wh.columns(base), window=True)
+    try:
+        new = next_watermark(spec.slot_empty, load.rows, mx, last, opts.stall_safe)
+    except EmptyBatchError:
+        wh.discard(table, load)
+        raise
+    if load.rows or new != last:
+        wh.publish(table, base, load, drop, new, extra=extra)
+    else:
+        wh.discard(table, load)
+    return load.rows, new
 
 
 def slot_sync_job(src, wh: Warehouse, opts: SyncOptions | None = None, tables: list[str] | None = None
@@ -211,6 +210,9 @@ def slot_sync_job(src, wh: Warehouse, opts: SyncOptions | None = None, tables: l
             except EmptyBatchError:  # W-07 "fail": this table stops, its watermark stays
                 out.append((table, r["round"], last, last, 0, "failed_empty"))
                 break
+            except CommitConflict:  # another job loads this table; what it published stays
+                out.append((table, r["round"], last, wh.watermark(table)[0], 0, "conflict"))
+                break
             out.append((table, r["round"], last, new, rows, "loaded" if rows else "empty"))
             last = new
         return out
@@ -270,13 +272,14 @@ def epoch_sync_job(src, wh: Warehouse, opts: SyncOptions | None = None, tables:
             epochs = ready
         if not epochs:
             return report
-        stage = extract_epochs(src, table, epochs, opts)
-        rows = wh.write_stage(stage, table, part_col=spec.part_col)
-        loaded = wh.partitions(wh.staging(table, "stage"), spec.part_col) if rows else set()
+        base = wh.state(table)
+        load = wh.write_load(table, _with_batch(extract_epochs(src, table, epochs, opts), table), spec.part_col, columns=wh.columns(base))
+        loaded = load.epochs()
         done = epochs_done(spec, epochs, loaded)
-        merge_epochs(wh, table, loaded | set(done))  # a done epoch without rows loses what it held
-        if done:
-            wh.set_watermark(table, epoch=done[-1])
+        try:  # a done epoch without rows loses what it held
+            wh.publish(table, base, load, _of_epochs(base, loaded | set(done)), epoch=done[-1] if done else None)
+        except CommitConflict:
+            return report + [(table, e, None, "conflict") for e in epochs]
         report += [(table, e, None, "loaded" if e in loaded else "empty") for e in epochs]
         return report
 
@@ -292,77 +295,179 @@ def _with_batch(df: DataFrame, table: str) -> DataFrame:
 
 
 def backfill_by_epoch(src, wh: Warehouse, table: str, start: int | None = None, opts: SyncOptions | None = None,
-                      stop_at_gap: bool = False) -> tuple[int, list[int]]:
+                      stop_at_gap: bool = False, ends: Mapping[int, int] | None = None) -> tuple[int, list[int]]:
     """B-01: all epochs of the table from ``start`` (None: the first); returns the rows and the epochs left out.
 
     Target epochs before ``start`` stay. ``stop_at_gap`` ends at the first epoch without rows, as the
-    reference deployment does; target epochs beyond it stay too.
+    reference deployment does; target epochs beyond it stay too. With ``ends`` (last slot by epoch) the
+    watermark comes with the rows.
     """
-    spec = TABLES[table]
+    spec, base = TABLES[table], wh.state(table)
     rows = _with_batch(derive(src, table, opts=opts), table)
-    if start is None and not stop_at_gap:
-        return wh.overwrite(table, rows, spec.part_col), []
     if start is not None:
         rows = rows.where(F.col(spec.part_col) >= start)
-    wh.write_stage(rows, table, part_col=spec.part_col)
-    present = sorted(wh.partitions(wh.staging(table, "stage"), spec.part_col))
+    load = wh.write_load(table, rows, spec.part_col)
+    if start is None and not stop_at_gap:
+        _publish_backfill(wh, table, base, load, base.leaves, ends)
+        return load.rows, []
+    present = sorted(load.epochs())
     epochs = present
     if stop_at_gap:
         first = start if start is not None else min(present, default=0)
         epochs = [e for i, e in enumerate(present) if e == first + i]
-    staged = wh.read_stage(table).where(F.col(spec.part_col).isin(epochs)) if present else rows.where(F.lit(False))
-    gone = {p for p in wh.partitions(wh.path(table), spec.part_col) if start is None or p >= start} - set(present)
-    n = wh.merge_partitions(table, staged, spec.part_col, gone=set() if stop_at_gap else gone)
-    return n, [e for e in present if e not in epochs]
+    left = [leaf for leaf in load.leaves if leaf.part not in {str(e) for e in epochs}]
+    load.leaves -= frozenset(left)
+    gone = set(epochs) if stop_at_gap else {e for e in base.epochs() if start is None or e >= start}
+    loaded = max(epochs, default=None)
+    _publish_backfill(wh, table, base, load, _of_epochs(base, gone), ends, loaded if stop_at_gap else None, frozenset((x.load, x.part) for x in left))
+    for leaf in left:  # written, but never part of the table
+        wh.delete(f"{wh.path(table)}/_v={leaf.load}/{spec.part_col}={leaf.part}")
+    return load.rows, [e for e in present if e not in epochs]
+
+
+def _publish_backfill(wh: Warehouse, table: str, base: TableState, load: Load, drop, ends: Mapping[int, int] | None,
+                      last: int | None = None, cut: frozenset = frozenset()) -> None:
+    """The watermark becomes the last epoch there (or ``last``) and the last slot of that epoch."""
+    epochs = {int(x.part) for x in (base.leaves - frozenset(drop)) | load.leaves if x.part.lstrip("-").isdigit()}
+    epoch = last if last is not None else max(epochs, default=None)
+    if ends is None or epoch is None or not load.part_col:
+        wh.publish(table, base, load, drop, cut=cut)
+    else:
+        wh.publish(table, base, load, drop, ends.get(epoch), epoch, cut=cut)
 
 
-def backfill_full(src, wh: Warehouse, table: str, opts: SyncOptions | None = None) -> int:
+def backfill_full(src, wh: Warehouse, table: str, opts: SyncOptions | None = None, ends: Mapping[int, int] | None = None) -> int:
     """B-02: the whole table in one go."""
-    return wh.overwrite(table, _with_batch(derive(src, table, opts=opts), table), TABLES[table].part_col)
+    base = wh.state(table)
+    load = wh.write_load(table, _with_batch(derive(src, table, opts=opts), table), TABLES[table].part_col)
+    _publish_backfill(wh, table, base, load, base.leaves, ends)
+    return load.rows
+
+
+def backfill_in_groups(src, wh: Warehouse, table: str, size: int, ends: Mapping[int, int], opts: SyncOptions | None, run: str) -> int:
+    """B-01 with one version per ``size`` epochs, in ascending order; an interrupted run goes on behind its last version.
+
+    ``run`` names the backfill: the first group of a run replaces the whole table.
+    """
+    spec, epochs = TABLES[table], sorted(ends)
+    groups = [epochs[k : k + size] for k in range(0, len(epochs), size)]
+    for k, group in enumerate(groups):
+        base = wh.state(table)
+        done = base.extra.get("backfill", {}) if base.extra.get("backfill", {}).get("run") == run else {"groups": 0, "rows": 0}
+        if k < done["groups"]:
+            continue
+        if table in OWN_EPOCH:  # rows of epochs that no block has go with the group around them
+            low = F.lit(True) if k == 0 else F.col("epoch_no") >= group[0]
+            high = F.lit(True) if k == len(groups) - 1 else F.col("epoch_no") < groups[k + 1][0]
+            rows = derive(src, table, opts=opts).where(low & high)
+        else:
+            rows = derive(src, table, F.col("epoch_no").between(group[0], group[-1]), opts)
+        load = wh.write_load(table, _with_batch(rows, table), spec.part_col)
+        mark = {"run": run, "groups": k + 1, "rows": done["rows"] + load.rows}
+        loaded = max(load.epochs(), default=base.epoch if k else None)
+        wh.publish(table, base, load, base.leaves if k == 0 else (), None if loaded is None else ends.get(loaded), loaded, {"backfill": mark})
+    state = wh.state(table)
+    return state.extra.get("backfill", {}).get("rows", 0)
+
+
+class BoundedCatalog(Mapping):
+    """A source as it was when its head was ``slot`` in ``epoch``: later blocks don't exist, nor what hangs on them."""
+
+    def __init__(self, src, slot: int, epoch: int):
+        self.src, self.slot, self.epoch = src, slot, epoch
+
+    def __getitem__(self, name: str) -> DataFrame:
+        df = self.src[name]
+        if name == "block":
+            return df.where(F.col("slot_no") <= self.slot)
+        if name in EPOCH_RELATIONS:
+            return df.where(F.coalesce(F.col(EPOCH_RELATIONS[name]) <= self.epoch, F.lit(True)))
+        return df
+
+    def __iter__(self):
+        return iter(self.src)
+
+    def __len__(self) -> int:
+        return len(self.src)
+
+
+#: Relations that hang on an epoch and on no block, with its column.
+EPOCH_RELATIONS = {"epoch_param": "epoch_no", "param_proposal": "epoch_no", "ada_pots": "epoch_no", "epoch_stake": "epoch_no", "reward": "earned_epoch"}
+LEDGER = "_backfill"
 
 
 def backfill_job(src, wh: Warehouse, starts: dict[str, int] | None = None, opts: SyncOptions | None = None,
-                 tables: list[str] | None = None, stop_at_gap: bool = False) -> DataFrame:
+                 tables: list[str] | None = None, stop_at_gap: bool = False, epochs_per_load: int | None = None) -> DataFrame:
     """B-03: every table in full, or from the epoch that ``starts`` gives it (``registry.BACKFILL_START`` lists the
     reference deployment's resume points; they presuppose that earlier epochs are loaded). The report names the
     epochs that ``stop_at_gap`` left out.
 
-    The watermarks become the last loaded epoch and the last slot of that epoch
-    in the source, so that the sync jobs continue where the backfill stopped.
+    The head of the source is read once, before the first load, and bounds all of them: blocks that arrive
+    meanwhile are the sync jobs' business. Watermarks, published with the rows, are the last loaded epoch and its
+    last slot below that head, so that the sync jobs continue where the backfill stopped. A ledger
+    holds the head and the finished tables; the same call after a failure takes the same head and
+    skips them. With ``epochs_per_load`` tables that are loaded from their first epoch get a version per so many epochs, and a
+    rerun skips those too.
     """
     starts = starts or {}
     tables = tables or (list(BACKFILL_START) + BACKFILL_FULL)
     opts = opts or SyncOptions()
+    asked = {"tables": tables, "starts": starts, "stop_at_gap": stop_at_gap, "epochs_per_load": epochs_per_load}
+    ledger = wh.state(LEDGER).extra.get("run")
+    if ledger is None or ledger["finished"] or ledger["asked"] != asked:
+        head = source_head(src["block"]).first()
+        ledger = {"id": uuid.uuid4().hex, "asked": asked, "slot": head["head_slot_no"], "epoch": head["head_epoch_no"], "finished": False, "done": {}}
+        wh.annotate(LEDGER, lambda s: replace(s, extra={"run": ledger}))
+    if ledger["slot"] is None:
+        raise ValueError("the source has no blocks")
+    bounded = BoundedCatalog(src, ledger["slot"], ledger["epoch"])
+    ends = {r[0]: r[1] for r in bounded["block"].groupBy("epoch_no").agg(F.max("slot_no")).collect()}  # one row per epoch
 
     def one_table(table: str) -> tuple[str, int, list[int]]:
-        if table in starts or (stop_at_gap and TABLES[table].part_col and table in BACKFILL_START):
-            return table, *backfill_by_epoch(src, wh, table, starts.get(table), opts, stop_at_gap)
-        return table, backfill_full(src, wh, table, opts), []
+        if table in ledger["done"]:
+            return table, *ledger["done"][table]
+        part, skipped = TABLES[table].part_col, []
+        if table in starts or (stop_at_gap and part and table in BACKFILL_START):
+            rows, skipped = backfill_by_epoch(bounded, wh, table, starts.get(table), opts, stop_at_gap, ends)
+        elif epochs_per_load and part:
+            rows = backfill_in_groups(bounded, wh, table, epochs_per_load, ends, opts, ledger["id"])
+        else:
+            rows = backfill_full(bounded, wh, table, opts, ends)
+        wh.annotate(LEDGER, lambda s: replace(s, extra={"run": s.extra["run"] | {"done": s.extra["run"]["done"] | {table: [rows, skipped]}}}))
+        return table, rows, skipped
 
     with ThreadPoolExecutor(max_workers=max(1, opts.parallel_tables)) as pool:
         report = list(pool.map(one_table, tables))
-    loaded = [t for t in tables if TABLES[t].part_col and wh.has(t)]
-    if loaded:
-        ends = src["block"].groupBy("epoch_no").agg(F.max("slot_no").alias("last_slot_no"))
-        marks = None
-        skipped = {t: min(e) for t, _, e in report if e}
-        for t in loaded:
-            rows, part = wh.read(t, hidden=True), TABLES[t].part_col
-            if t in skipped:  # what lies beyond a gap was not loaded now
-                rows = rows.where(F.col(part) < skipped[t])
-            m = rows.agg(F.max(part).alias("last_epoch_no")).select(F.lit(t).alias("tablename"), "last_epoch_no")
-            marks = m if marks is None else marks.unionByName(m)
-        marks = marks.join(ends.withColumnRenamed("epoch_no", "last_epoch_no"), "last_epoch_no", "left")
-        wh.set_watermarks(marks.select("tablename", "last_slot_no", "last_epoch_no"))
+    wh.annotate(LEDGER, lambda s: replace(s, extra={"run": s.extra["run"] | {"finished": True}}))
     return wh.spark.createDataFrame(report, "tablename STRING, rows BIGINT, skipped_epochs ARRAY<BIGINT>")
 
 
-def freshness(wh_or_tables, head: DataFrame, tables: list[str]) -> DataFrame:
-    """V-11: per target table ``max(slot_no)``, ``max(epoch_no)`` and the lag behind the source head."""
+def freshness(source: Warehouse | Callable[[str], DataFrame], head: DataFrame, tables: list[str]) -> DataFrame:
+    """V-11: per table ``max(slot_no)``, ``max(epoch_no)`` and the lag behind the source head.
+
+    Of target tables (``source`` is a warehouse) the newest epoch is a folder name, and the last slot is looked up in the
+    highest slot bucket alone. ``tx_consumed_output``, whose ``epoch_no`` isn't its folder's, is read in that column.
+    """
     parts = []
     for t in tables:
-        df = wh_or_tables(t)
         slot = "consumed_in_slot_no" if t == "tx_consumed_output" else "slot_no"
+        if isinstance(source, Warehouse):
+            state = source.state(t)
+            columns, by_folder = state.schema.names, state.part_col == "epoch_no"
+            top = max((leaf.bucket for leaf in state.leaves), default=None)
+            df = source.read_leaves(t, state, [leaf for leaf in state.leaves if TABLES[t].slot_col is None or leaf.bucket == top])
+            epoch = F.lit(max(state.epochs(), default=None)) if by_folder else F.max("epoch_no") if "epoch_no" in columns else F.lit(None)
+            if not by_folder and "epoch_no" in columns:
+                whole = source.read(t).agg(F.max("epoch_no").cast("bigint").alias("max_epoch_no"))
+                slots = df.agg(F.max(slot).cast("bigint").alias("max_slot_no"))
+                parts.append(slots.crossJoin(whole).select(F.lit(t).alias("tablename"), "max_slot_no", "max_epoch_no"))  # one row each
+                continue
+            if slot not in columns:
+                parts.append(source.spark.range(1).select(F.lit(t).alias("tablename"), F.lit(None).cast("bigint").alias("max_slot_no"), epoch.cast("bigint").alias("max_epoch_no")))
+                continue
+            parts.append(df.agg(F.max(slot).cast("bigint").alias("max_slot_no")).select(F.lit(t).alias("tablename"), "max_slot_no", epoch.cast("bigint").alias("max_epoch_no")))
+            continue
+        df = source(t)
         parts.append(df.agg(
             F.lit(t).alias("tablename"),
             (F.max(slot) if slot in df.columns else F.lit(None)).cast("bigint").alias("max_slot_no"),
