@@ -14,13 +14,16 @@ from __future__ import annotations
 
 import json
 import re
+import sys
+from array import array
 
 import numpy as np
 
 LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
 NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
 SPACES = "\\t-\\r \x85\xa0"
-CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
+#: Tried after letters and numbers, which begin otherwise.
+CONTRACTIONS = "'(?:s|t|re|ve|m|ll|d)"
 
 #: Entries a worker remembers at most; past it the memory is dropped and filled anew.
 REMEMBERED = 600_000
@@ -45,10 +48,14 @@ class _Known(dict):
     """pre-token -> little-endian ids."""
 
     def __init__(self, model, dtype):
-        self.tokenize, self.dtype, self.symbols = model.tokenize, dtype, _latin1_symbols()
+        self.tokenize, self.symbols, self.kind = model.tokenize, _latin1_symbols(), {2: "H", 4: "I"}[dtype.itemsize]
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array([t.id for t in self.tokenize(word.translate(self.symbols))], dtype=self.dtype).tobytes()
+        symbols = word if word.isalnum() and word.isascii() else word.translate(self.symbols)  # ASCII letters and digits stand for themselves
+        ids = array(self.kind, [t.id for t in self.tokenize(symbols)])
+        if sys.byteorder == "big":
+            ids.byteswap()
+        ids = ids.tobytes()
         if len(word) <= LONGEST:
             if len(self) >= REMEMBERED:
                 self.clear()
@@ -83,7 +90,7 @@ class Encoder:
             return None
         other = f"[^{SPACES}{LETTERS}{NUMBERS}]+"
         if pre.get("type") == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"] and norm is None:
-            return re.compile(f"{CONTRACTIONS}| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?{other}|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
+            return re.compile(f" ?[{LETTERS}]+| ?[{NUMBERS}]+|{CONTRACTIONS}| ?{other}|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
         parts = pre.get("pretokenizers", [])
         if (
             [p["type"] for p in parts] == ["Split", "ByteLevel"]
@@ -92,7 +99,7 @@ class Encoder:
             and [n["type"] for n in (norm or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
         ):
             self.lower = True  # Latin-1 text is in NFC already, and its lower case stays in Latin-1
-            return re.compile(f"{CONTRACTIONS}|[{LETTERS}]+|[{NUMBERS}]|{other}")
+            return re.compile(f"[{LETTERS}]+|[{NUMBERS}]|{CONTRACTIONS}|{other}")
         return None
 
     def encode(self, text: str) -> bytes:

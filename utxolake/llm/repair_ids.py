@@ -50,23 +50,54 @@ def _replaceable(at: np.ndarray) -> np.ndarray:
     return at[(np.arange(len(at)) - run_start) % 2 == 0]
 
 
+def _slots(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return ((left * np.uint32(0x9E3779B1)) ^ (right * np.uint32(0x85EBCA77))) >> np.uint32(32 - _BITS)
+
+
+def _count(by: np.ufunc, slots: np.ndarray, at: np.ndarray) -> None:
+    if len(at) < len(slots) >> 3:
+        by.at(slots, at, 1)
+    else:
+        by(slots, np.bincount(at, minlength=len(slots)), out=slots)
+
+
+def _shortened(seq: np.ndarray, slot: np.ndarray, slots: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sequence without the places after ``keep``, whose symbols are new, and its pairs' slots. Only pairs next
+    to a change leave and enter the counts of ``slots``."""
+    stays, changed = np.ones(len(seq), bool), np.zeros(len(seq), bool)  # changed: the pair that begins there
+    stays[keep + 1] = False
+    changed[keep] = changed[keep + 1] = True
+    changed[np.maximum(keep - 1, 0)] = True
+    _count(np.subtract, slots, slot[changed[:-1]])
+    seq, changed = seq[stays], changed[stays][:-1]
+    slot = slot[stays[:-1]][: len(seq) - 1]
+    at = np.flatnonzero(changed)
+    slot[at] = _slots(seq[at], seq[at + 1])
+    _count(np.add, slots, slot[at])
+    return seq, slot
+
+
 def compress(ids: np.ndarray, min_count: int = MIN_COUNT) -> bytes:
     """Re-Pair of one block of ids."""
-    terminals, seq = np.unique(ids, return_inverse=True)
-    seq = seq.astype(np.uint32)
+    if len(ids) and int(ids.max()) < 1 << _BITS:  # a table of the ids instead of a sort
+        there = np.zeros(int(ids.max()) + 1, bool)
+        there[ids] = True
+        terminals, seq = np.flatnonzero(there), (np.cumsum(there, dtype=np.uint32) - np.uint32(1))[ids]
+    else:
+        terminals, seq = np.unique(ids, return_inverse=True)
+        seq = seq.astype(np.uint32)
     n_terminals, rules = len(terminals), []
     n_symbols, bound = n_terminals, None
+    slot = _slots(seq[:-1], seq[1:])  # of the pair that begins at each place; at least the count of any pair of a slot
+    slots = np.bincount(slot, minlength=1 << _BITS)
     while len(seq) > 1:
-        a, b = seq[:-1], seq[1:]
-        slot = ((a * np.uint32(0x9E3779B1)) ^ (b * np.uint32(0x85EBCA77))) >> np.uint32(32 - _BITS)
-        slots = np.bincount(slot, minlength=1 << _BITS)  # at least the count of any pair in the slot
         most = int(slots.max())
         bound = most if bound is None else min(most, bound)
         least = max(min_count, bound // 2)
         if most < min_count:
             break
-        at = np.flatnonzero(slots[slot] >= least)
-        pairs = (a[at].astype(np.uint64) << np.uint64(32)) | b[at]
+        at = np.flatnonzero((slots >= least)[slot])
+        pairs = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
         order = np.sort(pairs)
         new = np.flatnonzero(np.concatenate(([True], order[1:] != order[:-1])))
         counts, found = np.diff(np.append(new, len(order))), order[new]
@@ -78,10 +109,9 @@ def compress(ids: np.ndarray, min_count: int = MIN_COUNT) -> bytes:
             keep = _replaceable(at[hit])
             rule_of = where[hit][np.searchsorted(at[hit], keep)]
             rules.append(chosen)
-            seq = seq.copy()
             seq[keep] = (n_symbols + rule_of).astype(np.uint32)
             n_symbols += len(chosen)
-            seq = np.delete(seq, keep + 1)
+            seq, slot = _shortened(seq, slot, slots, keep)
         elif least == min_count:
             break  # pairs with new nonterminals have been looked at too
     flat = np.concatenate(rules) if rules else np.zeros(0, np.uint64)
