@@ -84,13 +84,31 @@ def test_quality_of_held_out_documents(llm):
     assert (pairs > 0).mean() + 0.5 * (pairs == 0).mean() > 0.95
 
 
+@pytest.mark.parametrize("size", [256, 4_000, 1 << 18])
+def test_quality_score_does_not_depend_on_segments(size, monkeypatch):
+    """Texts of about one segment, and of several, against one segment for all."""
+    gen = np.random.default_rng(5)
+    model = quality_cnn.fit([b"fine words here", b"*** $$$ %%%"] * 20, [1, 0] * 20)
+    words = [b"fine ", b"words ", b"here. ", b"*** ", b"aaaaaaaaaaaaaaaaaaaaaaaa", b"\x00\x00", b"xyxyxyxyxyxyxyxyxyxyxyxyxyxyxyxy"]
+    long = b"".join(words[k] for k in gen.integers(0, len(words), 300_000))[: 1 << 20]
+    texts = [long[k : k + size + d] for k in (0, 77) for d in (-9, -1, 0, 1, 7, 8, 9, 25)] + [long, long[:50_000], b""]
+    monkeypatch.setattr(quality_cnn, "SEGMENT", 1 << 21)
+    whole = [quality_cnn._pooled(model, [(bytes(quality_cnn.LAGS), t, b"")]) for t in texts]
+    want = quality_cnn.score(model, texts)
+    monkeypatch.setattr(quality_cnn, "SEGMENT", size)
+    assert np.allclose(quality_cnn.score(model, texts), want, atol=1e-5)
+    for text, pooled in zip(texts, whole, strict=True):
+        parts = np.maximum.reduce([quality_cnn._pooled(model, [s]) for s in quality_cnn._segments(text)])
+        assert np.allclose(parts, pooled, atol=1e-4)
+
+
 def test_quality_scores_do_not_depend_on_company(monkeypatch):
     gen = np.random.default_rng(4)
     texts = [bytes(gen.integers(0, 256, n, dtype=np.uint8)) for n in (0, 1, 7, 8, 9, 100, 5000, 300_000)]
     model = quality_cnn.fit([b"fine words here", b"*** $$$ %%%"] * 20, [1, 0] * 20)
     alone = [quality_cnn.score(model, [t])[0] for t in texts]
     assert np.allclose(quality_cnn.score(model, texts), alone, atol=1e-5)
-    data, firsts, inside = quality_cnn.lay_out(texts)
+    data, firsts, inside, _ = quality_cnn.lay_out([(bytes(quality_cnn.LAGS), t, b"") for t in texts])
     assert inside.sum() == sum(max(1, -(-len(t) // 8)) for t in texts)
     good, bad = quality_cnn.score(model, [b"fine words here", b"*** $$$ %%%"])
     assert good > 0.7 > 0.3 > bad
@@ -103,7 +121,7 @@ def test_quality_gradients():
     model.filters += gen.normal(0, 0.05, model.filters.shape).astype(np.float32)
 
     def loss():
-        p = quality_cnn._probability(model, quality_cnn._pooled(model, texts))
+        p = quality_cnn._probability(model, quality_cnn._pooled(model, [(bytes(quality_cnn.LAGS), t, b"") for t in texts]))
         return -np.mean(target * np.log(p) + (1 - target) * np.log(1 - p))
 
     grads = quality_cnn._gradients(model, texts, target, 2)

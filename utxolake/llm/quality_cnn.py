@@ -9,8 +9,9 @@ logistic output.
 The network is fitted on the driver to at most ``TRAIN_DOCS`` labelled documents of
 ``SEGMENT`` bytes at most, and ``TRAIN_BYTES`` of text in all (in the order of a hash of
 the id), and applied to every
-document in the tasks that read them. Texts are taken in segments of ``SEGMENT`` bytes,
-overlapping by ``OVERLAP``; a document's responses are the maxima over its segments.
+document in the tasks that read them. Texts are taken in segments of ``SEGMENT`` bytes, each with the
+bytes around it that its chunks look at; a document's responses are the maxima over its segments, which are
+those of the whole text.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ HELD_OUT_OF = 5
 
 BLOCK, EMBED, LAGS, FILTERS = 8, 8, 24, 16
 WIDTH = EMBED * BLOCK + LAGS
-SEGMENT, OVERLAP, BATCH = 1 << 18, 64, 1 << 18
+SEGMENT, BATCH = 1 << 18, 1 << 18
 MINIBATCH, RATE, SEED = 32, 0.01, 7
 #: Passes over the training documents, and minibatches at least.
 EPOCHS, STEPS = 12, 1_000
@@ -51,24 +52,28 @@ class Model:
         return [self.embed, self.filters, self.bias, self.out, self.base]
 
 
-def lay_out(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Texts in one byte array, each after LAGS zero bytes and filled up to whole blocks and one
-    at least; the first block of each text's chunks, and which blocks begin a chunk."""
-    parts, firsts, blocks, at = [], [], [], 0
-    lead = bytes(LAGS)
-    for text in texts:
+def lay_out(pieces: list[tuple[bytes, bytes, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pieces of text in one byte array, each between what comes before it (LAGS bytes; zeros at a text's start) and
+    after it (one block, or nothing at a text's end), filled up to whole blocks and one at least. Gives the first block of
+    each piece, which blocks hold text, and which begin a chunk: those of the pieces themselves."""
+    parts, firsts, blocks, after, at = [], [], [], [], 0
+    for before, text, following in pieces:
         n = max(1, -(-len(text) // BLOCK))
-        parts += [lead, text, bytes(n * BLOCK - len(text))]
+        parts += [before, text, bytes(n * BLOCK - len(text)), following]
         firsts.append(at + LAGS // BLOCK)
         blocks.append(n)
-        at += LAGS // BLOCK + n
-    parts.append(lead)  # the block after the last one
-    data = np.frombuffer(b"".join(parts), np.uint8)
-    firsts = np.array(firsts)
-    inside = np.zeros(at + LAGS // BLOCK + 1, np.int64)
-    inside[firsts] += 1
-    inside[firsts + np.array(blocks)] -= 1
-    return data, firsts, np.cumsum(inside)[:-1] > 0
+        after.append(len(following) // BLOCK)
+        at += LAGS // BLOCK + n + after[-1]
+    parts.append(bytes(LAGS))  # the block after the last one
+    firsts, blocks = np.array(firsts), np.array(blocks)
+
+    def covered(ends: np.ndarray) -> np.ndarray:
+        edge = np.zeros(at + LAGS // BLOCK + 1, np.int64)
+        edge[firsts] += 1
+        np.subtract.at(edge, ends, 1)
+        return np.cumsum(edge)[:-1] > 0
+
+    return np.frombuffer(b"".join(parts), np.uint8), firsts, covered(firsts + blocks + np.array(after)), covered(firsts + blocks)
 
 
 def block_inputs(model: Model, data: np.ndarray, inside: np.ndarray) -> np.ndarray:
@@ -87,18 +92,18 @@ def block_inputs(model: Model, data: np.ndarray, inside: np.ndarray) -> np.ndarr
     return x
 
 
-def responses(model: Model, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def responses(model: Model, pieces: list[tuple[bytes, bytes, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Filter responses of every chunk (blocks - 1, FILTERS), with inputs, bytes and first blocks."""
-    data, firsts, inside = lay_out(texts)
+    data, firsts, inside, begins = lay_out(pieces)
     x = block_inputs(model, data, inside)
     both = x @ np.concatenate([model.filters[:WIDTH], model.filters[WIDTH:]], axis=1)
     y = both[:-1, :FILTERS] + both[1:, FILTERS:]
-    y[~inside[:-1]] = -np.inf
+    y[~begins[:-1]] = -np.inf
     return y, x, data, firsts
 
 
-def _pooled(model: Model, texts: list[bytes]) -> np.ndarray:
-    y, _, _, firsts = responses(model, texts)
+def _pooled(model: Model, pieces: list[tuple[bytes, bytes, bytes]]) -> np.ndarray:
+    y, _, _, firsts = responses(model, pieces)
     return np.maximum.reduceat(y, firsts, axis=0)
 
 
@@ -107,10 +112,15 @@ def _probability(model: Model, pooled: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def _segments(text: bytes) -> list[bytes]:
-    if len(text) <= SEGMENT:
-        return [text]
-    return [text[at : at + SEGMENT + OVERLAP] for at in range(0, len(text), SEGMENT)]
+def _segments(text: bytes) -> list[tuple[bytes, bytes, bytes]]:
+    """Pieces of SEGMENT bytes with the bytes around them, so that every chunk is what it is in the whole text."""
+    size, lead = SEGMENT // BLOCK * BLOCK, bytes(LAGS)
+    out = []
+    for at in range(0, max(len(text), 1), size):
+        following = text[at + size : at + size + BLOCK]
+        following += bytes(-len(following) % BLOCK)
+        out.append(((lead + text[max(0, at - LAGS) : at])[-LAGS:], text[at : at + size], following))
+    return out
 
 
 def score(model: Model | None, texts: list[bytes]) -> np.ndarray:
@@ -130,7 +140,7 @@ def score(model: Model | None, texts: list[bytes]) -> np.ndarray:
         for segment in _segments(text):
             batch.append(segment)
             owner.append(i)
-            held += len(segment) + LAGS
+            held += len(segment[1]) + LAGS
             if held >= BATCH:
                 flush()
     flush()
@@ -181,7 +191,7 @@ def _by_size(rows: np.ndarray, texts: list[bytes]) -> Iterator[np.ndarray]:
 
 def _gradients(model: Model, texts: list[bytes], target: np.ndarray, of: int) -> list[np.ndarray]:
     """The share that ``texts`` have in the gradients of a minibatch of ``of``."""
-    y, x, data, firsts = responses(model, texts)
+    y, x, data, firsts = responses(model, [(bytes(LAGS), text, b"") for text in texts])
     pooled = np.maximum.reduceat(y, firsts, axis=0)
     hidden = np.maximum(pooled + model.bias, 0).astype(np.float64)
     wrong = (_probability(model, pooled) - target) / of
