@@ -381,3 +381,24 @@ def test_license_scan(llm, make_docs):
     ])
     assert license_scan.scan(make_docs([]), license_scan.known_licenses(llm)).count() == 0
     assert license_scan.scan(make_docs(rows), license_scan.known_licenses(llm).limit(0)).where("license_id is not null or n_notices > 0").count() == 0
+
+
+def test_private_data_in_other_forms(make_docs):
+    """Whole values go, whatever their length, quotes, blanks or grouping; what is no private data stays."""
+    private = [
+        ('{"password": "%s"}', "abc12345xyz"), ("password:      %s", "s3cretvalue"), ("password=%s", "p@ss!w0rd99x"), ("password: %s", "correcthorsebattery"),
+        ("AWS_SECRET_ACCESS_KEY=%s", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"), ("mail %s now", "l" * 70 + "@corp.org"), ("mail %s.", "a@" + "b." * 11 + "org"),
+        ("from %s on", "2001:db8:0:0:0:ff00:42:8329"), ("from %s.", "fe80::1ff:fe23:4567:890a"), ("Dr. %s came", "Anna Weiss"), ("Prof. %s came", "Weiss"),
+        ("card %s.", "3782 822463 10005"), ("call %s now", "13812345678"), ("call %s now", "614 555 8001"), ("Mrs. %s came", "A" + "b" * 60),
+    ]
+    clean = ["at 12:30:45 on 2024-01-02", "std::vector and a secret: everything", "password: short", "token ring 12345678", "version 1.2.3 of 100 200 300"]
+    docs = [(i, form % value) for i, (form, value) in enumerate(private)] + [(100 + i, t) for i, t in enumerate(clean)]
+    got = {r["doc_id"]: r for r in pii.pseudonymise(make_docs(docs), count_col="n").collect()}
+    for i, (form, value) in enumerate(private):
+        before, after = form.split("%s")
+        assert got[i]["n"] == 1 and got[i]["text"].startswith(before) and got[i]["text"].endswith(after), got[i]
+        new = got[i]["text"][len(before) : len(got[i]["text"]) - len(after)]
+        assert value not in got[i]["text"] and new != value and not any(value[k : k + 8] in new for k in range(len(value) - 7)), got[i]
+    assert re.fullmatch("[0-9a-f:]+", got[7]["text"].split()[1]) and got[7]["text"].count(":") == 7
+    for i, text in enumerate(clean):
+        assert (got[100 + i]["text"], got[100 + i]["n"]) == (text, 0)

@@ -4,7 +4,8 @@ Entities are found by patterns. Each distinct one, in its canonical form (case a
 aside), gets one surrogate drawn from a keyed hash: digits become digits, letters letters
 of the same script and case, hexadecimal strings stay hexadecimal, a card number keeps its
 Luhn validity, mail domains end in the reserved ``example`` and are shared by the addresses of one
-domain, names follow the gender of their title. So mentions of one entity stay one,
+domain, names follow the gender of their title. A secret is what follows a name such as password or token, with
+40 blanks at most on either side of the sign between them. So mentions of one entity stay one,
 in any document and any spelling.
 
 Surrogates are checked over the whole corpus: one that another entity of the type holds, or that is an
@@ -29,39 +30,51 @@ KEY = "surrogates"
 OWN_LENGTH_DRAWS = 4
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-_NAME = r"\p{Lu}[\p{L}'\-]{1,40}"
+_NAME = r"\p{Lu}[\p{L}'\-]+"
 _FEMALE = "Mrs|Ms|Miss|Frau|Mme|Madame|Señora|Sra|Госпожа"
 _MALE = "Mr|Herr|Monsieur|Señor|Sr|Господин"
+_PERSON = "Dr|Prof|Professor|Доктор|Профессор"
+_TITLES = (("female", _FEMALE), ("male", _MALE), ("person", _PERSON))
+_MAIL = r"[\p{L}\p{N}._%+\-]+@(?:[A-Za-z0-9\-]+\.)+[A-Za-z]{2,}"
+_HEX = r"[0-9A-Fa-f]{1,4}"
+_IP6 = rf"(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}:){{1,6}}(?::{_HEX}){{1,6}}"
+_CARD = r"\d{13,19}|\d{4}(?:[ \-]\d{4}){3}|\d{4}[ \-]\d{6}[ \-]\d{5}"
+#: Names of values that are secret whatever they are, and of those that are if they hold a digit.
+_PASSWORD, _SECRET = "password|passwd|pwd|passphrase", r"secret|token|api[_\-]?key|access[_\-]?key|private[_\-]?key"
+_GIVEN = r"(?<=[=: \t\"'])(?<=(?i:{})[\"']?[ \t]{{0,40}}[=:][ \t]{{0,40}}[\"']?)"
+_VALUE = r"[A-Za-z0-9_\-!@#$%^*+/=~?.]{7,}[A-Za-z0-9_\-=]"
 # Kinds of entities and their patterns, tried in this order at each place.
 PATTERNS = (
-    ("secret", r"(?<=(?i:password|passwd|pwd|secret|token|api_key|apikey)[ \t]{0,3}[=:][ \t]{0,3}[\"']{0,1})(?=[A-Za-z_\-]*+\d)[A-Za-z0-9_\-]{8,}+"),
+    ("secret", _GIVEN.format(_PASSWORD) + _VALUE),
+    ("secret", _GIVEN.format(_SECRET) + r"(?=[A-Za-z_\-!@#$%^*+/=~?.]*+\d)" + _VALUE),
     ("key", r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])"),
-    ("email", r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]{1,64}@[A-Za-z0-9\-]{1,63}(?:\.[A-Za-z0-9\-]{1,63}){0,8}\.[A-Za-z]{2,24}(?![A-Za-z0-9])"),
+    ("email", rf"(?<![\p{{L}}\p{{N}}._%+\-]){_MAIL}(?![A-Za-z0-9])"),
     ("ip", rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)"),
+    ("ip6", rf"(?<![\p{{L}}\p{{N}}:])(?:{_IP6})(?![\p{{L}}\p{{N}}:])"),
     ("ssn", r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])"),
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
-    ("card", r"(?<![\d\-])(?:\d{13,19}|\d{4}(?:[ \-]\d{4}){3})(?![\d\-])"),
-    ("phone", r"(?<![\d+])(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\) ?|\d{3}[.\-])\d{3,4}[ .\-]?\d{3,4}(?!\d)|(?<![\d+])\+\d{1,3}(?:[ .\-]?\d{2,4}){2,4}(?!\d)"),
-    ("female", rf"(?<=(?<!\p{{L}})(?:{_FEMALE})[.]? )(?:{_NAME})(?: {_NAME}){{0,2}}"),
-    ("male", rf"(?<=(?<!\p{{L}})(?:{_MALE})[.]? )(?:{_NAME})(?: {_NAME}){{0,2}}"),
+    ("card", rf"(?<![\d\-])(?:{_CARD})(?![\d\-])"),
+    ("phone", r"(?<![\d+])(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\) ?|\d{3}[.\-])\d{3,4}[ .\-]?\d{3,4}(?!\d)|(?<![\d+])\+\d{1,3}(?:[ .\-]?\d{2,4}){2,4}(?!\d)"
+              r"|(?<![\d+.\-])\d{3} \d{3} \d{4}(?![\d.\-])|(?<![\p{L}\d+.\-])1[3-9]\d{9}(?![\p{L}\d.\-])"),
+    *((kind, rf"(?<=(?<!\p{{L}})(?:{titles})[.]? ){_NAME}(?: {_NAME}){{0,2}}") for kind, titles in _TITLES),
 )
 ENTITY = "|".join(f"(?:{p})" for _, p in PATTERNS)
 #: Without one of these a text holds no entity.
-HINT = rf"[0-9@]|AKIA|{_FEMALE}|{_MALE}"
+HINT = rf"[0-9@]|AKIA|::|(?i:{_PASSWORD})|{_FEMALE}|{_MALE}|{_PERSON}"
 _DIGITS = ("ssn", "card", "phone")
-_NAMES = ("female", "male")
+_NAMES = ("female", "male", "person")
 _SYLLABLES = {
     "latin": "ba be bi da de do fa ga ka ke ki la le li lo ma me mi na ne ni no pa ra re ri ro sa se si ta te ti to va ve vi".split(),
     "cyrillic": "ба бе би да де до га ка ке ки ла ле ли ло ма ме ми на не ни но па ра ре ри ро са се си та те ти то ва ве ви".split(),
 }
-_ENDINGS = {("female", "latin"): "na", ("male", "latin"): "ton", ("female", "cyrillic"): "на", ("male", "cyrillic"): "тон"}
+_ENDINGS = {("person", "latin"): "el", ("person", "cyrillic"): "ел", ("female", "latin"): "na", ("male", "latin"): "ton", ("female", "cyrillic"): "на", ("male", "cyrillic"): "тон"}
 
 
 def _kind(entity: Column) -> Column:
     """The first kind whose whole pattern, without its surroundings, an entity found has."""
-    hexadecimal = entity.rlike(r"^AKIA[A-Z0-9]{16}$")
-    out = F.when(entity.contains("@"), "email").when(hexadecimal, "key").when(entity.rlike(rf"^(?:{_OCTET}\.){{3}}{_OCTET}$"), "ip")
-    out = out.when(entity.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn").when(entity.rlike(r"^\d{13,19}$|^\d{4}(?:[ \-]\d{4}){3}$"), "card")
+    key = entity.rlike(r"^AKIA[A-Z0-9]{16}$")
+    out = F.when(entity.rlike(rf"^{_MAIL}$"), "email").when(key, "key").when(entity.rlike(rf"^(?:{_OCTET}\.){{3}}{_OCTET}$"), "ip").when(entity.rlike(rf"^(?:{_IP6})$"), "ip6")
+    out = out.when(entity.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn").when(entity.rlike(rf"^(?:{_CARD})$"), "card")
     out = out.when(entity.rlike(r"^[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?$"), "iban")
     return out.when(entity.rlike(r"^[\d+(]") & entity.rlike(r"^[\d+() .\-]+$"), "phone").when(entity.rlike(r"\d"), "secret").otherwise("name")
 
@@ -128,8 +141,9 @@ def _surrogate(key: str, kind: Column, value: Column, stream: Column) -> Column:
     card = F.concat(F.substring(drawn, F.lit(1), F.length(value) - 1), last.cast("string"))
     domain = _stream(F.lit(key), F.lit("domain"), F.regexp_extract(value, "@(.*)$", 1))
     mail = F.concat(_by_class(F.regexp_extract(value, "^([^@]*)@", 1), stream), F.lit("@"), _by_class(F.regexp_extract(value, "@(.*)[.][^.]*$", 1), domain), F.lit(".example"))
+    groups = F.array_join(F.transform(F.split(value, "(?<=.)(?=.)"), lambda c, i: F.when(c == ":", c).otherwise(_pick("0123456789abcdef", _draw(stream, i, 16)))), "")
     phone = F.concat(F.substring(value, 1, 1), F.substring(classed, F.lit(2), F.length(value)))
-    out = F.when(kind == "email", mail).when(kind == "ip", octets).when(kind == "card", card).when(kind == "phone", phone)
+    out = F.when(kind == "email", mail).when(kind == "ip", octets).when(kind == "ip6", groups).when(kind == "card", card).when(kind == "phone", phone)
     out = out.when(kind == "ssn", F.concat(F.lit("9"), F.substring(classed, F.lit(2), F.length(value)))).when(kind == "key", F.concat(F.lit("AKIA"), F.substring(classed, F.lit(5), F.length(value))))
     out = out.when(kind == "iban", F.concat(F.substring(value, 1, 2), F.substring(classed, F.lit(3), F.length(value))))
     out = out.when((kind == "secret") & value.rlike("^[0-9a-f]+$"), hexadecimal)
@@ -184,11 +198,18 @@ def surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
 
 def _found(text: Column) -> Column:
     """Entities of a text in order, each with its kind."""
-    # the gender is in the title before a name
+    # what stands before an entity without a digit tells a person's title, or that it is a password
     entities = F.regexp_extract_all(text, F.lit(ENTITY), 0)
-    titles = F.split(text, ENTITY, -1)
-    gender = lambda i: F.when(F.element_at(titles, i + 1).rlike(rf"(?:{_FEMALE})[.]? $"), "female").otherwise("male")
-    return F.transform(entities, lambda e, i: F.struct(F.when(_kind(e) == "name", gender(i)).otherwise(_kind(e)).alias("kind"), e.alias("entity")))
+    before = F.split(text, ENTITY, -1)
+
+    def titled(i: Column) -> Column:
+        out = None
+        for kind, titles in _TITLES:
+            found = F.element_at(before, i + 1).rlike(rf"(?:{titles})[.]? $")
+            out = F.when(found, kind) if out is None else out.when(found, kind)
+        return out.otherwise("secret")
+
+    return F.transform(entities, lambda e, i: F.struct(F.when(_kind(e) == "name", titled(i)).otherwise(_kind(e)).alias("kind"), e.alias("entity")))
 
 
 def pseudonymise(docs: DataFrame, *, text_col: str = "text", key: str = KEY, count_col: str | None = None, length_col: str | None = None) -> DataFrame:
