@@ -14,7 +14,7 @@ delete 10, file chunk 500; the target of the merge tests is cut at slot 1500
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -733,6 +733,45 @@ def q_backfill_job(spark, sf_dir):
     return landed.where("rows = n_rows").drop("rows").join(li, "tablename", "left")
 
 
+class _Growing(Mapping):
+    """A source that shows blocks up to ``CUT_SLOT`` when first asked, and all of them afterwards."""
+
+    def __init__(self, src):
+        self.src, self.asked = src, 0
+
+    def __getitem__(self, name: str) -> DataFrame:
+        self.asked += name == "block"
+        return self.src[name].where(F.col("slot_no") <= CUT_SLOT) if name == "block" and self.asked == 1 else self.src[name]
+
+    def __iter__(self):
+        return iter(self.src)
+
+    def __len__(self) -> int:
+        return len(self.src)
+
+
+def q_backfill_growing(spark, sf_dir):
+    """B-03: blocks arrive while the backfill runs; the slot sync that follows finds them all, none twice."""
+    wh = scratch(spark)
+    src = _mat(spark, sf_dir, wh)
+    backfill_job(_Growing(src), wh, opts=TEST, tables=FORK_TABLES)
+    started = {r["tablename"]: r["last_slot_no"] for r in wh.last_index().collect()}  # one row per table
+    slot_sync_job(src, wh, TEST, FORK_TABLES)
+    loaded = spark.createDataFrame([(t, started[t]) for t in FORK_TABLES], "tablename STRING, backfilled_to BIGINT")
+    return _contents(wh.read, FORK_TABLES).join(loaded, "tablename").join(wh.last_index().select("tablename", "last_slot_no"), "tablename")
+
+
+def _duck_backfill_growing() -> str:
+    end = f"(SELECT max(slot_no) FROM block) - {TEST.window.grace}"
+    parts = []
+    for t in FORK_TABLES:
+        rows = (f"SELECT * FROM ({_body(t)[1]}) w WHERE slot_no <= {end}" if TABLES[t].slot_mode == "replace" else _windowed(t, f"slot_no <= {end}"))
+        early = (f"SELECT * FROM ({_body(t)[1]}) w WHERE slot_no <= {CUT_SLOT}" if TABLES[t].slot_mode == "replace" else _windowed(t, f"slot_no <= {CUT_SLOT}"))
+        last = f"(SELECT max(slot_no) FROM block WHERE epoch_no = (SELECT max(epoch_no) FROM ({early}) l) AND slot_no <= {CUT_SLOT})"
+        parts.append(f"SELECT r.*, {last} AS backfilled_to, {end} AS last_slot_no FROM ({_duck_contents(t, rows)}) r")
+    return _with(FORK_TABLES) + " UNION ALL ".join(parts)
+
+
 def _duck_backfill_job() -> str:
     parts = []
     for t in list(BACKFILL_START) + BACKFILL_FULL:
@@ -797,6 +836,8 @@ def sync_backfill() -> tuple[dict[str, Query], dict[str, str]]:
     o["b_backfill_stop_at_gap"] = _with(["tx_hash"]) + _duck_prefix(th, BACKFILL_FROM)
     q["b_backfill_full"] = q_backfill_full
     o["b_backfill_full"] = _with(["pool_update"]) + _body("pool_update")[1]
+    q["b_backfill_growing"] = q_backfill_growing
+    o["b_backfill_growing"] = _duck_backfill_growing()
     q["b_backfill_job"] = q_backfill_job
     o["b_backfill_job"] = _duck_backfill_job()
     return q, o
