@@ -205,6 +205,60 @@ def q_deep_compare(spark, sf_dir):
         *[F.count_if(F.col("status") == s).alias(f"n_{s}") for s in ("equal", "differ", "left_only", "right_only")])
 
 
+# A target of tx that went wrong in five ways, each in epochs of its own.
+WRONG_FEE, LOST_ROWS, DOUBLED_ROWS, LOST_EPOCH, STRAY_EPOCH = 40, 50, 60, 70, 999
+
+
+def _wrong_target(spark, sf_dir) -> tuple[MaterializedCatalog, Warehouse]:
+    wh = scratch(spark)
+    src = _mat(spark, sf_dir, wh)
+    e, tx = F.col("epoch_no"), derive(src, "tx")
+    bad = tx.where((e != LOST_EPOCH) & ((e != LOST_ROWS) | (F.col("slot_no") % 3 != 0)))
+    bad = bad.withColumn("fee", F.when((e == WRONG_FEE) & (F.col("txidx") == 0), F.col("fee") + 1).otherwise(F.col("fee")))
+    stray = tx.where(e == 1).withColumn("epoch_no", F.lit(STRAY_EPOCH).cast("bigint"))
+    wh.overwrite("tx", bad.unionByName(tx.where(e == DOUBLED_ROWS)).unionByName(stray), "epoch_no")
+    return src, wh
+
+
+WRONG_TX_SQL = (
+    f"SELECT * REPLACE (CASE WHEN epoch_no = {WRONG_FEE} AND txidx = 0 THEN fee + 1 ELSE fee END AS fee) FROM ({_body('tx')[1]}) a "
+    f"WHERE epoch_no <> {LOST_EPOCH} AND (epoch_no <> {LOST_ROWS} OR slot_no % 3 <> 0) "
+    f"UNION ALL SELECT * FROM ({_body('tx')[1]}) b WHERE epoch_no = {DOUBLED_ROWS} "
+    f"UNION ALL SELECT * REPLACE (CAST({STRAY_EPOCH} AS BIGINT) AS epoch_no) FROM ({_body('tx')[1]}) c WHERE epoch_no = 1")
+DIGEST_BUCKETS = 64
+
+
+def q_drill_down(spark, sf_dir):
+    """V-08 to V-09: the rows in which a target of tx with altered, lost, doubled and stray rows differs from its source."""
+    from .plans.validate import drill_down_job
+    return drill_down_job(*_wrong_target(spark, sf_dir), "tx", buckets=DIGEST_BUCKETS)
+
+
+def _duck_drill_down() -> str:
+    from .oracle import row_text_sql
+    bucket = f"CAST('0x' || substr(sha256({row_text_sql('tx')}), 1, 4) AS BIGINT) % {DIGEST_BUCKETS} AS bucket"
+    tx, bad = f"(SELECT * FROM ({_body('tx')[1]}) t)", f"(SELECT * FROM ({WRONG_TX_SQL}) w)"
+    return _with(["tx"]) + (f"SELECT *, {bucket}, 'left_only' AS side FROM ({tx} EXCEPT ALL {bad}) l "
+                            f"UNION ALL SELECT *, {bucket}, 'right_only' AS side FROM ({bad} EXCEPT ALL {tx}) r")
+
+
+def q_deep_compare_differs(spark, sf_dir):
+    """V-12: every epoch of the wrong target of tx."""
+    from .plans.validate import deep_compare_job
+    cmp = deep_compare_job(*_wrong_target(spark, sf_dir), ["tx"], epochs="all")
+    return cmp.select("epoch_no", "left_rows", "right_rows", "status")
+
+
+def _duck_deep_compare_differs() -> str:
+    tx, bad = f"(SELECT * FROM ({_body('tx')[1]}) t)", f"(SELECT * FROM ({WRONG_TX_SQL}) w)"
+    differ = f"SELECT epoch_no FROM ({tx} EXCEPT ALL {bad}) x UNION SELECT epoch_no FROM ({bad} EXCEPT ALL {tx}) y"
+    return _with(["tx"]) + (
+        f"SELECT coalesce(l.epoch_no, r.epoch_no) AS epoch_no, l.n AS left_rows, r.n AS right_rows, CASE WHEN l.n IS NULL THEN 'right_only' "
+        f"WHEN r.n IS NULL THEN 'left_only' WHEN coalesce(l.epoch_no, r.epoch_no) IN ({differ}) THEN 'differ' ELSE 'equal' END AS status "
+        f"FROM (SELECT epoch_no, count(*) AS n FROM {tx} a GROUP BY 1) l FULL JOIN (SELECT epoch_no, count(*) AS n FROM {bad} b GROUP BY 1) r "
+        "ON l.epoch_no = r.epoch_no")
+
+
 def _duck_fp_groups(t: str) -> str:
     return f"SELECT '{t}' AS tablename, count(*) AS n_equal FROM ({fingerprint_sql(t, CLUSTER)}) f"
 
@@ -274,6 +328,10 @@ def validation() -> tuple[dict[str, Query], dict[str, str]]:
     o["v_freshness"] = (_with(fresh_tables) + "SELECT f.*, h.*, h.head_slot_no - f.max_slot_no AS slot_lag, "
                         "h.head_epoch_no - f.max_epoch_no AS epoch_lag FROM (" + " UNION ALL ".join(fparts) +
                         f") f, {DUCK_HEAD} h")
+    q["v_drill_down"] = q_drill_down
+    o["v_drill_down"] = _duck_drill_down()
+    q["v_deep_compare_differs"] = q_deep_compare_differs
+    o["v_deep_compare_differs"] = _duck_deep_compare_differs()
     q["v_deep_compare"] = q_deep_compare
     o["v_deep_compare"] = ("SELECT tablename, n_equal, CAST(0 AS BIGINT) AS n_differ, CAST(0 AS BIGINT) AS n_left_only, "
                            "CAST(0 AS BIGINT) AS n_right_only FROM (" +

@@ -7,13 +7,14 @@ All epochs of a table are fingerprinted in one aggregation per side and joined
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.derive import DERIVE
-from ..operators.fingerprint import SPECS, fingerprint_compare, fingerprint_table
+from ..operators.fingerprint import SPECS, fingerprint_compare, fingerprint_table, row_diff, row_text
 from ..sources.sinks import HIDDEN, Warehouse
 from .registry import OWN_EPOCH, TABLES
 from .windows import source_head
@@ -95,3 +96,60 @@ def deep_compare_job(src, wh: Warehouse, tables: list[str] | None = None, epochs
             out, f"derive({{table}}){which}", f"SELECT * FROM parquet.`{wh.root}/{{table}}`{which}",
             start, datetime.now(timezone.utc)), None)
     return out
+
+
+def _digest_bucket(df: DataFrame, table: str, buckets: int) -> tuple[Column, Column]:
+    """Bucket of a row, from its text's hash, and 48 bits of that hash."""
+    digest = F.sha2(row_text(df, SPECS[table]), 256)
+    return (F.conv(F.substring(digest, 1, 4), 16, 10).cast("bigint") % buckets), F.conv(F.substring(digest, 5, 12), 16, 10).cast("bigint")
+
+
+def drill_down(table: str, left: Callable[[list[int] | None], DataFrame], right: Callable[[list[int] | None], DataFrame],
+               buckets: int = 64, epochs: list[int] | None = None) -> DataFrame:
+    """V-08 down to V-09: the rows of ``table`` in which two sides differ, with their ``bucket`` and ``side``.
+
+    A side is called with epochs (None: all) and gives their rows. Both are first summed up by epoch and bucket of the
+    row's hash (count, sum and exclusive or of 48-bit hashes, combined map-side). Only epochs with a bucket that
+    differs are asked for again, and only their differing buckets compared row by row. What comes to the driver is
+    bounded by epochs times buckets.
+    """
+    def with_bucket(df: DataFrame) -> DataFrame:
+        bucket, bits = _digest_bucket(df, table, buckets)
+        return df.withColumn("bucket", bucket).withColumn("_bits", bits)
+
+    def summed(df: DataFrame, side: str) -> DataFrame:
+        sums = with_bucket(df).groupBy("epoch_no", "bucket").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("_bits").cast("decimal(38,0)")).alias("s"), F.bit_xor("_bits").alias("x"))
+        return sums.select(F.coalesce("epoch_no", F.lit(-1)).alias("epoch"), "bucket", F.struct("n", "s", "x").alias(side))
+
+    compared = summed(left(epochs), "l").join(summed(right(epochs), "r"), ["epoch", "bucket"], "full_outer").where(~F.col("l").eqNullSafe(F.col("r")))
+    differing = compared.select("epoch", "bucket").collect()  # epochs x buckets at most
+    chosen = sorted({r["epoch"] for r in differing})
+    spark = compared.sparkSession
+    places = spark.createDataFrame([tuple(r) for r in differing], "_epoch bigint, _bucket bigint")
+
+    def rows(side: Callable[[list[int] | None], DataFrame]) -> DataFrame:
+        df = with_bucket(side(chosen if -1 not in chosen else epochs)).drop("_bits")
+        here = (F.coalesce(df["epoch_no"], F.lit(-1)) == F.col("_epoch")) & (df["bucket"] == F.col("_bucket"))
+        return df.join(F.broadcast(places), here, "left_semi")  # epochs x buckets rows
+
+    return row_diff(rows(left), rows(right))
+
+
+def drill_down_job(src, wh: Warehouse, table: str, epochs: list[int] | None = None, derive_kw: dict | None = None, buckets: int = 64) -> DataFrame:
+    """The rows in which a target table and the source's derivation differ. Only differing epochs are derived a second
+    time; of the target only their partitions are read."""
+    kw, part = derive_kw or {}, TABLES[table].part_col
+    if part != "epoch_no":
+        raise ValueError(f"{table} is not partitioned by its epoch")
+
+    def left(chosen: list[int] | None) -> DataFrame:
+        if chosen is None:
+            return DERIVE[table](src, **kw)
+        here = F.col("epoch_no").isin(chosen)
+        return DERIVE[table](src, **kw).where(here) if table in OWN_EPOCH else DERIVE[table](src, here, **kw)
+
+    def right(chosen: list[int] | None) -> DataFrame:
+        df = wh.read(table)
+        return df if chosen is None else df.where(F.col("epoch_no").isin(chosen))
+
+    return drill_down(table, left, right, buckets, epochs)
