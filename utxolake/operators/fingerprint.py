@@ -15,9 +15,9 @@ task: rows go to ``n`` buckets by their hash, each bucket is digested in hash
 order, the epoch digest is the hash over the bucket digests. Both copies must
 use the same ``n``; the result is then independent of partitioning.
 
-``mode="multiset"`` needs no list at all: each row's sha256 is read as eight
-32-bit limbs and the limbs are summed per group modulo 2^32 (an additive
-multiset hash). It is a plain ``sum`` with map-side combine, so no task holds
+``mode="multiset"`` needs no list at all: each row's sha256 is read as ten
+24-bit parts and one of 16, and the parts are summed per group, each modulo its
+width (an additive multiset hash). It is a plain ``sum`` with map-side combine, so no task holds
 more than one partial sum per group, whatever the skew; any changed, missing or
 extra row changes it except with negligible probability. Both copies must use
 the same mode.
@@ -193,7 +193,11 @@ _PARTS = [6] * 10 + [4]
 
 
 def _multiset(h: DataFrame, by: list[str]) -> DataFrame:
-    parts = [F.conv(F.substring("row_sha", 6 * i + 1, n), 16, 10).cast("bigint") for i, n in enumerate(_PARTS)]
+    # two parts are read as one number and split by its bits; reading digits is what costs
+    pairs = [F.conv(F.substring("row_sha", 12 * k + 1, 12), 16, 10).cast("bigint").alias(f"_w{k}") for k in range(5)]
+    h = h.select(*by, *pairs, F.conv(F.substring("row_sha", 61, 4), 16, 10).cast("bigint").alias("_p10"))
+    low = (1 << 24) - 1
+    parts = [F.shiftright(f"_w{i // 2}", 24) if i % 2 == 0 else F.col(f"_w{i // 2}").bitwiseAND(F.lit(low)) for i in range(10)] + [F.col("_p10")]
     sums = [F.sum(c).alias(f"_s{i}") for i, c in enumerate(parts)]
     agg = (h.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), *sums) if by
            else h.agg(F.count(F.lit(1)).alias("n_rows"), *sums))
