@@ -16,6 +16,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -791,6 +792,29 @@ def q_backfill_job(spark, sf_dir):
     return landed.where("rows = n_rows").drop("rows").join(li, "tablename", "left")
 
 
+LOST_FEE_SLOT = 1700
+
+
+def q_guarded_load(spark, sf_dir):
+    """S-02 in W-08: fees of one slot's transactions are lost in the source; the load of tx is refused whole, that of tx_hash not."""
+    wh = scratch(spark)
+    src = _mat(spark, sf_dir, wh)
+    fee = F.when(F.col("block_id") >= LOST_FEE_SLOT, F.lit(None)).otherwise(F.col("fee"))
+    broken = {n: src[n] for n in ["block", *DELIVERED]} | {"tx": src["tx"].withColumn("fee", fee)}
+    for t in ("tx", "tx_hash"):
+        wh.overwrite(t, derive(src, t).where(F.col("slot_no") <= CUT_SLOT), "epoch_no", slot=CUT_SLOT, epoch=CUT_EPOCH)
+    report = slot_sync_job(broken, wh, replace(TEST, enforce=True), ["tx", "tx_hash"])
+    last = report.groupBy("tablename").agg(F.max_by("status", "round").alias("status"), F.max("last_slot_no").alias("last_slot_no"))
+    return _contents(wh.read, ["tx", "tx_hash"]).join(last, "tablename")
+
+
+def _duck_guarded_load() -> str:
+    end = f"(SELECT max(slot_no) FROM block) - {TEST.window.grace}"
+    tx, hashes = (_duck_contents(t, f"SELECT * FROM ({_body(t)[1]}) w WHERE slot_no <= {top}") for t, top in (("tx", str(CUT_SLOT)), ("tx_hash", end)))
+    return _with(["tx", "tx_hash"]) + (f"SELECT a.*, 'refused' AS status, CAST({CUT_SLOT} AS BIGINT) AS last_slot_no FROM ({tx}) a "
+                                       f"UNION ALL SELECT b.*, 'loaded', {end} FROM ({hashes}) b")
+
+
 class _Growing(Mapping):
     """A source that shows blocks up to ``CUT_SLOT`` when first asked, and all of them afterwards."""
 
@@ -894,6 +918,8 @@ def sync_backfill() -> tuple[dict[str, Query], dict[str, str]]:
     o["b_backfill_stop_at_gap"] = _with(["tx_hash"]) + _duck_prefix(th, BACKFILL_FROM)
     q["b_backfill_full"] = q_backfill_full
     o["b_backfill_full"] = _with(["pool_update"]) + _body("pool_update")[1]
+    q["s_guarded_load"] = q_guarded_load
+    o["s_guarded_load"] = _duck_guarded_load()
     q["b_backfill_growing"] = q_backfill_growing
     o["b_backfill_growing"] = _duck_backfill_growing()
     q["b_backfill_job"] = q_backfill_job

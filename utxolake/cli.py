@@ -44,6 +44,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--parallel-tables", type=int, default=4)
     p.add_argument("--max-list", type=int, help="split delegation / minting lists into rows of at most N")
     p.add_argument("--reload-open", default="", help="next-mode tables whose last epoch is reloaded (e.g. reward)")
+    p.add_argument("--enforce", action="store_true", help="refuse loads with rows that the target schema forbids")
     p.add_argument("--buckets", type=int, help="two-level exact fingerprints (deep-compare)")
     p.add_argument("--fingerprint", choices=["multiset", "exact"], default="multiset")
     a = p.parse_args(argv)
@@ -52,7 +53,7 @@ def main(argv: list[str] | None = None) -> None:
     src = (load_source(spark, fmt="jdbc", jdbc_url=a.jdbc_url) if a.jdbc_url else load_source(spark, a.source))
     wh = Warehouse(spark, a.target)
     opts = SyncOptions(window=SlotWindowConfig(a.cap, a.grace, a.delete, a.rounds), cluster_size=a.cluster_size,
-                       parallel_tables=a.parallel_tables, max_list=a.max_list,
+                       parallel_tables=a.parallel_tables, max_list=a.max_list, enforce=a.enforce,
                        reload_open=tuple(t for t in a.reload_open.split(",") if t))
     tables = a.tables.split(",") if a.tables else None
     if a.job == "slot-sync":

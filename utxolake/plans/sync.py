@@ -26,7 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.derive import DERIVE
-from ..sources.sinks import CommitConflict, Leaf, Load, TableState, Warehouse
+from ..sources.schemas import TARGET_DDL, SchemaViolation, watch_schema
+from ..sources.sinks import HIDDEN, CommitConflict, Leaf, Load, TableState, Warehouse
 from .registry import BACKFILL_FULL, BACKFILL_START, EPOCH_CLOSED, EPOCH_ORDER, OWN_EPOCH, SLOT_ORDER, TABLES
 from .windows import SlotWindowConfig, plan_epochs, plan_slot_windows, source_head
 
@@ -44,6 +45,7 @@ class SyncOptions:
     parallel_tables: int = 4  # independent tables run as concurrent Spark jobs
     max_list: int | None = None  # split delegation / minting lists longer than this into rows (off: as upstream)
     transforms: dict[str, Callable[[DataFrame], DataFrame]] = field(default_factory=dict)  # per table, on what is loaded
+    enforce: bool = False  # S-02: refuse a load with rows that the target schema forbids
     reload_open: tuple[str, ...] = ()  # Q17: next-mode tables whose last loaded epoch is reloaded too
 
 
@@ -86,6 +88,18 @@ def extract_epochs(src, table: str, epochs: list[int], opts: SyncOptions | None
     return derive(src, table, cond, opts)
 
 
+def _load(wh: Warehouse, table: str, rows: DataFrame, opts: SyncOptions | None, **kw) -> Load:
+    """Write a load; with ``enforce`` one that the target schema forbids is discarded (``SchemaViolation``)."""
+    if opts is None or not opts.enforce or table not in TARGET_DDL:
+        return wh.write_load(table, rows, TABLES[table].part_col, **kw)
+    watched, problems = watch_schema(rows, table, HIDDEN)
+    load = wh.write_load(table, watched, TABLES[table].part_col, **kw)
+    if found := problems():
+        wh.discard(table, load)
+        raise SchemaViolation(table, found)
+    return load
+
+
 def _replaced(wh: Warehouse, table: str, base: TableState, clean: int) -> tuple[list[Leaf], DataFrame | None]:
     """W-05: the leaves that can hold rows with ``slot >= clean``, and their rows below it (None: they have none)."""
     first = clean // wh.bucket_slots
@@ -168,7 +182,7 @@ def load_window(src, wh: Warehouse, table: str, last: int, clean: int, mx: int,
     else:
         rows = extract_append(src, table, last, mx, opts).withColumn("_batch", F.lit(mx).cast("bigint"))
         drop, carried = _appended(base, last), None
-    load = wh.write_load(table, rows, spec.part_col, carried, wh.columns(base), window=True)
+    load = _load(wh, table, rows, opts, carried=carried, columns=wh.columns(base), window=True)
     try:
         new = next_watermark(spec.slot_empty, load.rows, mx, last, opts.stall_safe)
     except EmptyBatchError:
@@ -213,6 +227,9 @@ def slot_sync_job(src, wh: Warehouse, opts: SyncOptions | None = None, tables: l
             except CommitConflict:  # another job loads this table; what it published stays
                 out.append((table, r["round"], last, wh.watermark(table)[0], 0, "conflict"))
                 break
+            except SchemaViolation:  # S-02: nothing of the load became part of the table
+                out.append((table, r["round"], last, last, 0, "refused"))
+                break
             out.append((table, r["round"], last, new, rows, "loaded" if rows else "empty"))
             last = new
         return out
@@ -273,7 +290,7 @@ def epoch_sync_job(src, wh: Warehouse, opts: SyncOptions | None = None, tables:
         if not epochs:
             return report
         base = wh.state(table)
-        load = wh.write_load(table, _with_batch(extract_epochs(src, table, epochs, opts), table), spec.part_col, columns=wh.columns(base))
+        load = _load(wh, table, _with_batch(extract_epochs(src, table, epochs, opts), table), opts, columns=wh.columns(base))
         loaded = load.epochs()
         done = epochs_done(spec, epochs, loaded)
         try:  # a done epoch without rows loses what it held
@@ -306,7 +323,7 @@ def backfill_by_epoch(src, wh: Warehouse, table: str, start: int | None = None,
     rows = _with_batch(derive(src, table, opts=opts), table)
     if start is not None:
         rows = rows.where(F.col(spec.part_col) >= start)
-    load = wh.write_load(table, rows, spec.part_col)
+    load = _load(wh, table, rows, opts)
     if start is None and not stop_at_gap:
         _publish_backfill(wh, table, base, load, base.leaves, ends)
         return load.rows, []
@@ -339,7 +356,7 @@ def _publish_backfill(wh: Warehouse, table: str, base: TableState, load: Load, d
 def backfill_full(src, wh: Warehouse, table: str, opts: SyncOptions | None = None, ends: Mapping[int, int] | None = None) -> int:
     """B-02: the whole table in one go."""
     base = wh.state(table)
-    load = wh.write_load(table, _with_batch(derive(src, table, opts=opts), table), TABLES[table].part_col)
+    load = _load(wh, table, _with_batch(derive(src, table, opts=opts), table), opts)
     _publish_backfill(wh, table, base, load, base.leaves, ends)
     return load.rows
 
@@ -362,7 +379,7 @@ def backfill_in_groups(src, wh: Warehouse, table: str, size: int, ends: Mapping[
             rows = derive(src, table, opts=opts).where(low & high)
         else:
             rows = derive(src, table, F.col("epoch_no").between(group[0], group[-1]), opts)
-        load = wh.write_load(table, _with_batch(rows, table), spec.part_col)
+        load = _load(wh, table, _with_batch(rows, table), opts)
         mark = {"run": run, "groups": k + 1, "rows": done["rows"] + load.rows}
         loaded = max(load.epochs(), default=base.epoch if k else None)
         wh.publish(table, base, load, base.leaves if k == 0 else (), None if loaded is None else ends.get(loaded), loaded, {"backfill": mark})

@@ -8,7 +8,11 @@ NOT NULL. ``block`` has no schema file upstream; it follows its view.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+from collections.abc import Callable, Iterable
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -167,14 +171,63 @@ def target_schema(table: str) -> T.StructType:
     return T._parse_datatype_string(TARGET_DDL[table])
 
 
+class SchemaViolation(ValueError):
+    """A load that the target schema refuses: column and kind of each problem, with its number of rows."""
+
+    def __init__(self, table: str, problems: dict[tuple[str, str], int | None]):
+        self.table, self.problems = table, problems
+        super().__init__(f"{table}: " + ", ".join(f"{c} {k}" + (f" ({n} rows)" if n is not None else "") for (c, k), n in sorted(problems.items())))
+
+
+def watch_schema(df: DataFrame, table: str, hidden: Iterable[str] = ()) -> tuple[DataFrame, Callable[[], dict[tuple[str, str], int | None]]]:
+    """``df`` with counters of what its table's schema forbids, and a function that gives the problems once it was written.
+
+    Problems are ``missing`` and ``unknown`` columns, values that don't ``cast`` to the declared type, and ``null`` in NOT NULL
+    columns. Values stay in the type they come in. ``hidden`` columns are storage extras.
+    """
+    schema, have = target_schema(table), set(df.columns) - set(hidden)
+    static = {(f.name, "missing"): None for f in schema.fields if f.name not in have} | {(c, "unknown"): None for c in have - set(schema.names)}
+    counters: dict[tuple[str, str], Column] = {}
+    for f in schema.fields:
+        if f.name not in have:
+            continue
+        source, kind = F.col(f.name), df.schema[f.name].dataType
+        if kind != f.dataType:
+            binary = isinstance(f.dataType, T.BinaryType) and isinstance(kind, T.StringType)
+            cast = F.try_to_binary(source, F.lit("base64")) if binary else source.try_cast(f.dataType)
+            counters[f.name, "cast"] = F.count_if(source.isNotNull() & cast.isNull())
+        if not f.nullable:
+            counters[f.name, "null"] = F.count_if(source.isNull())
+    if not counters:
+        return df, lambda: static
+    names, obs = list(counters), Observation(f"{table}-schema-{uuid.uuid4().hex[:8]}")
+    watched = df.observe(obs, *[counters[n].alias(f"c{i}") for i, n in enumerate(names)])
+
+    def problems() -> dict[tuple[str, str], int | None]:
+        found = observed(obs)
+        return static | {n: found[f"c{i}"] for i, n in enumerate(names) if found.get(f"c{i}")}
+
+    return watched, problems
+
+
+def observed(obs: Observation) -> dict:
+    """What a write observed. Where the adaptive plan found no rows it leaves the observing node out; then nothing."""
+    try:
+        return obs.get
+    except Py4JJavaError as e:
+        if e.java_exception.getClass().getSimpleName() == "AssertionError":
+            return {}
+        raise
+
+
 def enforce_schema(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
     """Cast ``df`` to the target schema in declared order and report violations.
 
     Returns ``(typed, violations)``; ``violations`` has one row per problem kind
     and column: ``missing`` / ``unknown`` columns, values that do not ``cast``,
     and ``null`` in a NOT NULL column (``n_bad`` rows each), all counted in one
-    aggregation pass. Spark's Parquet writer does not enforce NOT NULL, so a
-    load refuses the batch when ``violations`` is not empty.
+    aggregation pass. Spark's Parquet writer does not enforce NOT NULL; ``watch_schema``
+    counts the same in the pass that writes a load.
     """
     schema = target_schema(table)
     have = set(df.columns)
