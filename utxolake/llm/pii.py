@@ -5,7 +5,7 @@ aside), gets one surrogate drawn from a keyed hash: digits become digits, letter
 of the same script and case, hexadecimal strings stay hexadecimal, a card number keeps its
 Luhn validity, mail domains end in the reserved ``example`` and are shared by the addresses of one
 domain, names follow the gender of their title. A secret is what follows a name such as password or token, with
-40 blanks at most on either side of the sign between them. So mentions of one entity stay one,
+ten blanks at most on either side of the sign between them. So mentions of one entity stay one,
 in any document and any spelling.
 
 Surrogates are checked over the whole corpus: one that another entity of the type holds, or that is an
@@ -35,13 +35,13 @@ _FEMALE = "Mrs|Ms|Miss|Frau|Mme|Madame|Señora|Sra|Госпожа"
 _MALE = "Mr|Herr|Monsieur|Señor|Sr|Господин"
 _PERSON = "Dr|Prof|Professor|Доктор|Профессор"
 _TITLES = (("female", _FEMALE), ("male", _MALE), ("person", _PERSON))
-_MAIL = r"[\p{L}\p{N}._%+\-]+@(?:[A-Za-z0-9\-]+\.)+[A-Za-z]{2,}"
+_MAIL = r"[\p{L}\p{N}._%+\-]++@(?:[A-Za-z0-9\-]+\.)+[A-Za-z]{2,}"
 _HEX = r"[0-9A-Fa-f]{1,4}"
 _IP6 = rf"(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}:){{1,6}}(?::{_HEX}){{1,6}}"
 _CARD = r"\d{13,19}|\d{4}(?:[ \-]\d{4}){3}|\d{4}[ \-]\d{6}[ \-]\d{5}"
 #: Names of values that are secret whatever they are, and of those that are if they hold a digit.
 _PASSWORD, _SECRET = "password|passwd|pwd|passphrase", r"secret|token|api[_\-]?key|access[_\-]?key|private[_\-]?key"
-_GIVEN = r"(?<=[=: \t\"'])(?<=(?i:{})[\"']?[ \t]{{0,40}}[=:][ \t]{{0,40}}[\"']?)"
+_GIVEN = r"(?=[A-Za-z0-9_\-!@#$%^*+/=~?.]{{8}})(?<=[=:][ \t]{{0,10}}[\"']?)(?<=(?i:{})[\"']?[ \t]{{0,10}}[=:][ \t]{{0,10}}[\"']?)"
 _VALUE = r"[A-Za-z0-9_\-!@#$%^*+/=~?.]{7,}[A-Za-z0-9_\-=]"
 # Kinds of entities and their patterns, tried in this order at each place.
 PATTERNS = (
@@ -56,7 +56,7 @@ PATTERNS = (
     ("card", rf"(?<![\d\-])(?:{_CARD})(?![\d\-])"),
     ("phone", r"(?<![\d+])(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\) ?|\d{3}[.\-])\d{3,4}[ .\-]?\d{3,4}(?!\d)|(?<![\d+])\+\d{1,3}(?:[ .\-]?\d{2,4}){2,4}(?!\d)"
               r"|(?<![\d+.\-])\d{3} \d{3} \d{4}(?![\d.\-])|(?<![\p{L}\d+.\-])1[3-9]\d{9}(?![\p{L}\d.\-])"),
-    *((kind, rf"(?<=(?<!\p{{L}})(?:{titles})[.]? ){_NAME}(?: {_NAME}){{0,2}}") for kind, titles in _TITLES),
+    *((kind, rf"(?=\p{{Lu}})(?<= )(?<=(?<!\p{{L}})(?:{titles})[.]? ){_NAME}(?: {_NAME}){{0,2}}") for kind, titles in _TITLES),
 )
 ENTITY = "|".join(f"(?:{p})" for _, p in PATTERNS)
 #: Without one of these a text holds no entity.
