@@ -31,6 +31,7 @@ from .plans.sync import (EmptyBatchError, SyncOptions, backfill_by_epoch, backfi
                          epoch_sync_job, epochs_done, extract_append, extract_epoch, extract_replace, freshness,
                          load_window, merge_append, merge_epoch, next_watermark, slot_sync_job, sync_table_slots)
 from .plans.windows import SlotWindowConfig, plan_epochs, plan_slot_windows, source_head
+from .plans.zones import HANG_ON_TX, ZONES, refresh_zones
 from .session import ensure_checkpoint_dir
 from .sources.csv_stage import read_stage_csv, write_stage_csv
 from .sources.loader import MaterializedCatalog, export_source, load_source
@@ -39,8 +40,9 @@ from .sources.sinks import LAST_INDEX_SCHEMA, Warehouse, watermark_upsert
 from .sources.standin import StandIn, duck_with
 
 CLUSTER = 5
-TEST = SyncOptions(window=SlotWindowConfig(cap=600, grace=3, delete=10, rounds=3), cluster_size=CLUSTER)
+TEST = SyncOptions(window=SlotWindowConfig(cap=600, grace=3, delete=10, rounds=3), cluster_size=CLUSTER, zone_slots=100)
 CUT_SLOT, CUT_EPOCH, RELOAD_EPOCH = 1500, 40, 50
+ZONE_SLOTS = 100
 CHUNK = 500
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -713,6 +715,26 @@ def _duck_slot_sync_job() -> str:
             " UNION ALL ".join(parts) + ") c")
 
 
+def q_zone_map(spark, sf_dir):
+    """Zone map of source ids: built up to slot 1500 as the head was then, extended to the head in a second run."""
+    wh = scratch(spark)
+    src = _mat(spark, sf_dir, wh)
+    head = source_head(src["block"]).first()["head_slot_no"]
+    for top in (CUT_SLOT, head):
+        refresh_zones(src, wh, 0, top, top, TEST.window, ZONE_SLOTS)
+    return wh.read(ZONES).select("slot_no", "relation", "first_id", "last_id")
+
+
+def _duck_zone_map() -> str:
+    zone = f"CAST(floor(b.slot_no / {ZONE_SLOTS}) * {ZONE_SLOTS} AS BIGINT) AS slot_no"
+    of_tx = "JOIN tx t ON t.id = x.{tx} JOIN block b ON b.id = t.block_id"
+    parts = [("block", "b.id", "block b"), ("tx", "t.id", "tx t JOIN block b ON b.id = t.block_id")]
+    parts += [(name, f"x.{key}", f"{relation} x {of_tx.format(tx=tx)}") for name, (relation, key, tx) in HANG_ON_TX.items()]
+    return duck_with(["block", "tx", *sorted({r for r, _, _ in HANG_ON_TX.values()})]) + " UNION ALL ".join(
+        f"(SELECT {zone}, '{name}' AS relation, CAST(min({key}) AS BIGINT) AS first_id, CAST(max({key}) AS BIGINT) AS last_id "
+        f"FROM {rows} WHERE b.slot_no >= 0 AND {key} IS NOT NULL GROUP BY 1)" for name, key, rows in parts)
+
+
 def q_epoch_sync_job(spark, sf_dir):
     """P-06: the 11 epoch tables cut at epoch 40, then one epoch job."""
     wh = scratch(spark)
@@ -908,6 +930,8 @@ def sync_backfill() -> tuple[dict[str, Query], dict[str, str]]:
                                  f"WHERE epoch_no <= {CUT_EPOCH + 1}")
     q["w_slot_sync_job"] = q_slot_sync_job
     o["w_slot_sync_job"] = _duck_slot_sync_job()
+    q["w_zone_map"] = q_zone_map
+    o["w_zone_map"] = _duck_zone_map()
     q["p_epoch_sync_job"] = q_epoch_sync_job
     o["p_epoch_sync_job"] = _duck_epoch_sync_job()
     q["b_backfill_by_epoch"] = q_backfill_epoch

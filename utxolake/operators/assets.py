@@ -20,7 +20,7 @@ def ma_minting(src: Catalog, where: Column | None = None, max_list: int | None =
     from .outputs import clustered
 
     ptr = tx_pointer(src, where)
-    rows = (in_window(src["ma_tx_mint"], "tx_id", ptr, where).select("id", "ident", "quantity", "tx_id")
+    rows = (in_window(src, "ma_tx_mint", "tx_id", ptr, where).select("id", "ident", "quantity", "tx_id")
             .join(ptr, "tx_id"))
     keys = ["epoch_no", "ident"]
     if max_list:

@@ -13,9 +13,7 @@ from .common import Catalog, blocks, in_window, restrict, tx_block, tx_pointer
 def block(src: Catalog, where: Column | None = None) -> DataFrame:
     """D-01: one row per block that holds transactions (empty blocks drop out)."""
     b = blocks(src, where)
-    txs = src["tx"]
-    if where is not None:
-        txs = restrict(txs, "block_id", b, ids_key="id")
+    txs = restrict(src, "tx", "block_id", None if where is None else b, ids_key="id", of="block")
     # eager aggregation: one partial row per block and map task is shuffled, not every tx
     per_block = txs.groupBy("block_id").agg(
         F.sum("fee").cast("decimal(38,0)").alias("sum_tx_fee"),
@@ -45,9 +43,9 @@ def tx(src: Catalog, where: Column | None = None) -> DataFrame:
     """D-03: transactions with input / output counts (0 when none)."""
     t = tx_block(src, where)
     ids = t.select("tx_id") if where is not None else None
-    n_in = restrict(src["tx_in"], "tx_in_id", ids).groupBy(F.col("tx_in_id").alias("tx_id")).agg(
+    n_in = restrict(src, "tx_in", "tx_in_id", ids).groupBy(F.col("tx_in_id").alias("tx_id")).agg(
         F.count(F.lit(1)).alias("count_inputs"))
-    n_out = restrict(src["tx_out"], "tx_id", ids).groupBy("tx_id").agg(F.count(F.lit(1)).alias("count_outputs"))
+    n_out = restrict(src, "tx_out", "tx_id", ids).groupBy("tx_id").agg(F.count(F.lit(1)).alias("count_outputs"))
     return (
         t.join(n_in, "tx_id", "left")
         .join(n_out, "tx_id", "left")
@@ -80,7 +78,7 @@ def tx_in_out(src: Catalog, where: Column | None = None) -> DataFrame:
 
     spent = tx_pointer(src, prefix="in_")
     inputs = (
-        restrict(src["tx_in"], "tx_in_id", ids)
+        restrict(src, "tx_in", "tx_in_id", ids)
         .join(spent, F.col("tx_out_id") == F.col("in_tx_id"))
         .groupBy(F.col("tx_in_id").alias("tx_id"))
         .agg(ordered_list(
@@ -89,10 +87,10 @@ def tx_in_out(src: Catalog, where: Column | None = None) -> DataFrame:
         ).alias("inputs"))
     )
 
-    outs = restrict(src["tx_out"], "tx_id", ids)
+    outs = restrict(src, "tx_out", "tx_id", ids)
     assets = src["multi_asset"].select(F.col("id").alias("ident"), "fingerprint")
     ma = (
-        restrict(src["ma_tx_out"], "tx_out_id", outs.select(F.col("id").alias("tx_id")))
+        restrict(src, "ma_tx_out", "tx_out_id", None if where is None else outs, ids_key="id", of="tx_out")
         .join(assets, "ident")
         .groupBy("tx_out_id")
         .agg(ordered_list([F.col("fingerprint"), F.col("quantity")],
@@ -128,7 +126,7 @@ def tx_consumed_output(src: Catalog, where: Column | None = None, with_epoch: bo
         F.col("txidx").alias("consumed_in_txidx"), F.col("epoch_no").alias("consumed_in_epoch_no"))
     cols = ["slot_no", "txidx", F.col("tx_out_index").alias("index"), "consumed_in_slot_no", "consumed_in_txidx"]
     return (
-        in_window(src["tx_in"], "tx_in_id", consumer, where, "tx_in_id").join(consumer, "tx_in_id")
+        in_window(src, "tx_in", "tx_in_id", consumer, where, "tx_in_id").join(consumer, "tx_in_id")
         .join(producer, "tx_out_id")
         .select(*cols, *(["consumed_in_epoch_no"] if with_epoch else []))
     )
@@ -142,7 +140,7 @@ def tx_metadata(src: Catalog, where: Column | None = None) -> DataFrame:
     """
     t = tx_block(src, where)
     ids = t.select("tx_id") if where is not None else None
-    md = restrict(src["tx_metadata"], "tx_id", ids)
+    md = restrict(src, "tx_metadata", "tx_id", ids)
     item = F.concat(F.lit('{"index":'), F.col("key").cast("string"), F.lit(',"meta":'),
                     F.coalesce(canonical_json("json"), F.lit("null")), F.lit("}"))
     per_tx = md.groupBy("tx_id").agg(
@@ -157,7 +155,7 @@ def collateral(src: Catalog, where: Column | None = None) -> DataFrame:
     spender = tx_pointer(src, where).withColumnRenamed("tx_id", "tx_in_id")
     spent = tx_pointer(src, prefix="o_").withColumnRenamed("o_tx_id", "tx_out_id")
     return (
-        in_window(src["collateral_tx_in"], "tx_in_id", spender, where, "tx_in_id").join(spender, "tx_in_id")
+        in_window(src, "collateral_tx_in", "tx_in_id", spender, where, "tx_in_id").join(spender, "tx_in_id")
         .join(spent, "tx_out_id")
         .select("epoch_no", "slot_no", "txidx", F.col("o_epoch_no").alias("epoch_no_out"),
                 F.col("o_slot_no").alias("slot_no_out"), F.col("o_txidx").alias("txidx_out"), "tx_out_index")

@@ -57,7 +57,7 @@ def _output_list() -> Column:
 
 def _outputs(src: Catalog, where: Column | None) -> DataFrame:
     ptr = tx_pointer(src, where)
-    return in_window(src["tx_out"], "tx_id", ptr, where).join(ptr, "tx_id").withColumnRenamed("index", "idx")
+    return in_window(src, "tx_out", "tx_id", ptr, where).join(ptr, "tx_id").withColumnRenamed("index", "idx")
 
 
 def rel_addr_txout(src: Catalog, where: Column | None = None, cluster_size: int = CLUSTER_SIZE) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.encoding import b64_text, hex_text, json_text
-from .common import Catalog, tx_block
+from .common import Catalog, tx_block, zoned
 
 
 def _pools(src: Catalog, key: str) -> DataFrame:
@@ -28,7 +28,7 @@ def pool_update(src: Catalog, where: Column | None = None) -> DataFrame:
         F.col("registered_tx_id").alias("meta_tx_id"))
     meta_tx = src["tx"].select(F.col("id").alias("meta_tx_id"), hex_text("hash").alias("m_tx_hash"))  # only its hash: no block
     return (
-        src["pool_update"]
+        zoned(src, "pool_update", "registered_tx_id")
         .join(stake, "reward_addr_id")
         .join(_pools(src, "hash_id"), "hash_id")
         .join(pmr, "meta_id")
@@ -46,7 +46,7 @@ def pool_update(src: Catalog, where: Column | None = None) -> DataFrame:
 def pool_retire(src: Catalog, where: Column | None = None) -> DataFrame:
     """D-23."""
     return (
-        src["pool_retire"].join(_pools(src, "hash_id"), "hash_id")
+        zoned(src, "pool_retire", "announced_tx_id").join(_pools(src, "hash_id"), "hash_id")
         .join(_tx(src, "announced_tx_id", where), "announced_tx_id")
         .select("pool_hash", "retiring_epoch", "epoch_no", "cert_index",
                 F.col("tx_hash").alias("announced_tx_hash"), "slot_no", F.col("txidx").alias("announced_txidx"))
@@ -55,10 +55,10 @@ def pool_retire(src: Catalog, where: Column | None = None) -> DataFrame:
 
 def pool_owner(src: Catalog, where: Column | None = None) -> DataFrame:
     """D-24."""
-    pu = src["pool_update"].select(F.col("id").alias("pool_update_id"), "hash_id", "registered_tx_id")
+    pu = zoned(src, "pool_update", "registered_tx_id").select(F.col("id").alias("pool_update_id"), "hash_id", "registered_tx_id")
     owners = src["stake_address"].select(F.col("id").alias("addr_id"), hex_text("hash_raw").alias("addr_hash"))
     return (
-        src["pool_owner"].select("addr_id", "pool_update_id")
+        zoned(src, "pool_owner", "pool_update_id", "pool_update").select("addr_id", "pool_update_id")
         .join(pu, "pool_update_id")
         .join(_pools(src, "hash_id"), "hash_id")
         .join(owners, "addr_id")
@@ -82,11 +82,11 @@ def pool_offline_data(src: Catalog, where: Column | None = None, full_json: bool
         projected = F.to_json(doc)
     else:
         projected = json_text(F.struct(*[F.try_variant_get(doc, f"$.{k}", "variant").alias(k) for k in OFFLINE_KEYS]))
-    pmr = src["pool_metadata_ref"].select(
+    pmr = zoned(src, "pool_metadata_ref", "registered_tx_id").select(
         F.col("id").alias("pmr_id"), F.col("url").alias("metadata_url"), b64_text("hash").alias("metadata_hash"),
         "registered_tx_id")
     return (
-        src["pool_offline_data"].select("pool_id", "ticker_name", "pmr_id", projected.alias("json"))
+        zoned(src, "pool_offline_data", "pmr_id", "pool_metadata_ref").select("pool_id", "ticker_name", "pmr_id", projected.alias("json"))
         .join(pmr, "pmr_id")
         .join(_pools(src, "pool_id"), "pool_id")
         .join(_tx(src, "registered_tx_id", where), "registered_tx_id")

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from ..functions.encoding import b64_text, hex_text, json_text
 from ..functions.lists import ordered_list
-from .common import Catalog, in_window, tx_pointer
+from .common import Catalog, in_window, tx_pointer, zoned
 
 
 def datum(src: Catalog, where: Column | None = None) -> DataFrame:
     """D-09."""
     ptr = tx_pointer(src, where)
-    return in_window(src["datum"], "tx_id", ptr, where).join(ptr, "tx_id").select(
+    return in_window(src, "datum", "tx_id", ptr, where).join(ptr, "tx_id").select(
         "epoch_no", "slot_no", "txidx", hex_text("hash").alias("datum_hash"), b64_text("bytes").alias("bytes"),
         "value")
 
@@ -21,7 +21,7 @@ def datum(src: Catalog, where: Column | None = None) -> DataFrame:
 def script(src: Catalog, where: Column | None = None) -> DataFrame:
     """D-10."""
     ptr = tx_pointer(src, where)
-    return in_window(src["script"], "tx_id", ptr, where).join(ptr, "tx_id").select(
+    return in_window(src, "script", "tx_id", ptr, where).join(ptr, "tx_id").select(
         "epoch_no", "slot_no", "txidx", hex_text("hash").alias("script_hash"), F.col("type").cast("string"),
         "json", b64_text("bytes").alias("bytes"), "serialised_size")
 
@@ -32,7 +32,7 @@ def redeemer(src: Catalog, where: Column | None = None) -> DataFrame:
     The list is ordered by purpose, index (the source leaves it unordered);
     ``redeemer_data_value`` is embedded as a JSON value (variant), not as text.
     """
-    rd = src["redeemer_data"].select(
+    rd = zoned(src, "redeemer_data", "id", "redeemer_data").select(
         F.col("id").alias("redeemer_data_id"), b64_text("bytes").alias("byte"),
         F.parse_json("value").alias("redeemer_data_value"), hex_text("hash").alias("redeemer_hash"))
     # elements are serialized before sorting: a variant field is not orderable
@@ -40,7 +40,7 @@ def redeemer(src: Catalog, where: Column | None = None) -> DataFrame:
                               hex_text("script_hash").alias("script_hash"), "unit_mem", "unit_steps"))
     ptr = tx_pointer(src, where)
     per_tx = (
-        in_window(src["redeemer"], "tx_id", ptr, where).join(ptr, "tx_id")
+        in_window(src, "redeemer", "tx_id", ptr, where).join(ptr, "tx_id")
         .join(rd, "redeemer_data_id")
         .groupBy("tx_id", "epoch_no", "slot_no", "txidx")
         .agg(F.count(F.lit(1)).alias("count"),

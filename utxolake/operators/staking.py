@@ -23,7 +23,7 @@ def rel_stake_hash(src: Catalog, where: Column | None = None) -> DataFrame:
     """D-14: stake address text <-> hash, one row per registration."""
     ptr = tx_pointer(src, where)
     return (
-        in_window(src["stake_registration"], "tx_id", ptr, where).select("addr_id", "tx_id")
+        in_window(src, "stake_registration", "tx_id", ptr, where).select("addr_id", "tx_id")
         .join(ptr, "tx_id").join(_stake(src), "addr_id")
         .select("epoch_no", "slot_no", "stake_address", hex_text("stake_raw").alias("stake_addr_hash"))
     )
@@ -42,7 +42,7 @@ def delegation(src: Catalog, where: Column | None = None, max_list: int | None =
     item = F.struct("active_epoch_no", "cert_index", "pool_hash", "slot_no", "txidx")
     ptr = tx_pointer(src, where).drop("slot_no")
     rows = (
-        in_window(src["delegation"], "tx_id", ptr, where)
+        in_window(src, "delegation", "tx_id", ptr, where)
         .select("id", "addr_id", "pool_hash_id", "tx_id", "active_epoch_no", "cert_index", "slot_no")
         .join(ptr, "tx_id")
         .join(_stake(src), "addr_id")
@@ -65,7 +65,7 @@ def delegation(src: Catalog, where: Column | None = None, max_list: int | None =
 def _certificates(src: Catalog, table: str, where: Column | None) -> DataFrame:
     ptr = tx_pointer(src, where)
     return (
-        in_window(src[table], "tx_id", ptr, where)
+        in_window(src, table, "tx_id", ptr, where)
         .select(F.col("epoch_no").alias("cert_epoch_no"), "addr_id", "cert_index", "tx_id")
         .join(ptr, "tx_id")
         .join(_stake(src), "addr_id")
@@ -102,7 +102,7 @@ def withdrawal(src: Catalog, where: Column | None = None) -> DataFrame:
     """D-20."""
     ptr = tx_pointer(src, where)
     return (
-        in_window(src["withdrawal"], "tx_id", ptr, where).select("addr_id", "amount", "tx_id")
+        in_window(src, "withdrawal", "tx_id", ptr, where).select("addr_id", "amount", "tx_id")
         .join(ptr, "tx_id").join(_stake(src), "addr_id")
         .select("epoch_no", hex_text("stake_raw").alias("stake_addr_hash"), F.col("amount").cast("bigint"),
                 "slot_no", "txidx")

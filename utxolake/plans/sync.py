@@ -30,6 +30,7 @@ from ..sources.schemas import TARGET_DDL, SchemaViolation, watch_schema
 from ..sources.sinks import HIDDEN, CommitConflict, Leaf, Load, TableState, Warehouse
 from .registry import BACKFILL_FULL, BACKFILL_START, EPOCH_CLOSED, EPOCH_ORDER, OWN_EPOCH, SLOT_ORDER, TABLES
 from .windows import SlotWindowConfig, plan_epochs, plan_slot_windows, source_head
+from .zones import ZoneMap, zones_for
 
 
 class EmptyBatchError(RuntimeError):
@@ -45,6 +46,7 @@ class SyncOptions:
     parallel_tables: int = 4  # independent tables run as concurrent Spark jobs
     max_list: int | None = None  # split delegation / minting lists longer than this into rows (off: as upstream)
     transforms: dict[str, Callable[[DataFrame], DataFrame]] = field(default_factory=dict)  # per table, on what is loaded
+    zone_slots: int | None = 1000  # slots per zone of the map of source ids (None: ids are looked up per window)
     enforce: bool = False  # S-02: refuse a load with rows that the target schema forbids
     reload_open: tuple[str, ...] = ()  # Q17: next-mode tables whose last loaded epoch is reloaded too
 
@@ -197,7 +199,8 @@ def load_window(src, wh: Warehouse, table: str, last: int, clean: int, mx: int,
 
 def slot_sync_job(src, wh: Warehouse, opts: SyncOptions | None = None, tables: list[str] | None = None
                   ) -> DataFrame:
-    """W-08: every due table, up to ``rounds`` rounds, then the source-head row."""
+    """W-08: every due table, up to ``rounds`` rounds, then the source-head row. The windows' id ranges come from the
+    zone map, which is brought up to the planned windows first."""
     opts = opts or SyncOptions()
     spark = wh.spark
     tables = tables or SLOT_ORDER
@@ -209,6 +212,11 @@ def slot_sync_job(src, wh: Warehouse, opts: SyncOptions | None = None, tables: l
     for r in plan_slot_windows(due, head_row, opts.window).collect():  # tables x rounds
         planned.setdefault(r["tablename"], []).append(r)
 
+    windows = [(r["clean_slot_no"], r["max_slot_no"]) for rs in planned.values() for r in rs]
+    zones = ZoneMap(0)
+    if opts.zone_slots and windows:
+        zones = zones_for(src, wh, windows, head["head_slot_no"], opts.window, opts.zone_slots)
+
     def one_table(table: str) -> list[tuple]:
         last = marks.get(table)
         if last is None:
@@ -220,7 +228,8 @@ def slot_sync_job(src, wh: Warehouse, opts: SyncOptions | None = None, tables: l
             if r["last_slot_no"] != last:  # the round before did not move the watermark
                 break
             try:
-                rows, new = load_window(src, wh, table, last, r["clean_slot_no"], r["max_slot_no"], opts)
+                source = zones.window(src, r["clean_slot_no"], r["max_slot_no"])
+                rows, new = load_window(source, wh, table, last, r["clean_slot_no"], r["max_slot_no"], opts)
             except EmptyBatchError:  # W-07 "fail": this table stops, its watermark stays
                 out.append((table, r["round"], last, last, 0, "failed_empty"))
                 break
