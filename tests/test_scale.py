@@ -1,11 +1,13 @@
 """What keeps jobs within memory, shuffles and time: relations written once, broadcasts shared out, one comparison at a time."""
 
 from utxolake.plans.validate import deep_compare_job
+from utxolake.session import shared_broadcasts
 from utxolake.sources.loader import MaterializedCatalog
 from utxolake.sources.sinks import Warehouse
 from utxolake.sources.standin import StandIn
 
 SF = "/root/testdata/sf0.001"
+LIMIT = "spark.sql.autoBroadcastJoinThreshold"
 
 
 def _plan(df) -> str:
@@ -32,3 +34,20 @@ def test_deep_compare_compares_table_by_table(spark, tmp_path):
     assert sorted(staged) == ["result_block_hash", "result_tx_hash"]
     assert {r[0] for r in out.select("status").distinct().collect()} == {"equal"}
     assert wh.read("log_deep_comparison").count() == out.count()
+
+
+def test_jobs_at_once_share_the_broadcast_limit(spark):
+    before = spark.conf.get(LIMIT)
+    spark.conf.set(LIMIT, "8m")
+    try:
+        with shared_broadcasts(spark, 4):
+            assert spark.conf.get(LIMIT) == str(2 << 20)
+            with shared_broadcasts(spark, 8):  # a job within a job doesn't share again
+                assert spark.conf.get(LIMIT) == str(2 << 20)
+            assert spark.conf.get(LIMIT) == str(2 << 20)
+        assert spark.conf.get(LIMIT) == "8m"
+        spark.conf.set(LIMIT, "-1")
+        with shared_broadcasts(spark, 4):
+            assert spark.conf.get(LIMIT) == "-1"
+    finally:
+        spark.conf.set(LIMIT, before)
