@@ -1,5 +1,8 @@
 """What keeps jobs within memory, shuffles and time: relations written once, broadcasts shared out, one comparison at a time."""
 
+from pyspark.sql import functions as F
+
+from utxolake.operators.outputs import rel_addr_txout
 from utxolake.plans.validate import deep_compare_job
 from utxolake.session import shared_broadcasts
 from utxolake.sources.loader import MaterializedCatalog
@@ -51,3 +54,11 @@ def test_jobs_at_once_share_the_broadcast_limit(spark):
             assert spark.conf.get(LIMIT) == "-1"
     finally:
         spark.conf.set(LIMIT, before)
+
+
+def test_hashes_are_grouped_as_bytes(spark):
+    src = StandIn(spark, SF)
+    df = rel_addr_txout(src, cluster_size=5)
+    plan = _plan(df)
+    assert "lower(hex(" in plan and "lower(hex(" not in plan[plan.index("collect_list"):]
+    assert df.where(F.length("payment_cred") != 64).isEmpty()
