@@ -821,8 +821,9 @@ def q_guarded_load(spark, sf_dir):
     """S-02 in W-08: fees of one slot's transactions are lost in the source; the load of tx is refused whole, that of tx_hash not."""
     wh = scratch(spark)
     src = _mat(spark, sf_dir, wh)
+    from .streaming.block_stream import _Overlay
     fee = F.when(F.col("block_id") >= LOST_FEE_SLOT, F.lit(None)).otherwise(F.col("fee"))
-    broken = {n: src[n] for n in ["block", *DELIVERED]} | {"tx": src["tx"].withColumn("fee", fee)}
+    broken = _Overlay(src, tx=src["tx"].withColumn("fee", fee))
     for t in ("tx", "tx_hash"):
         wh.overwrite(t, derive(src, t).where(F.col("slot_no") <= CUT_SLOT), "epoch_no", slot=CUT_SLOT, epoch=CUT_EPOCH)
     report = slot_sync_job(broken, wh, replace(TEST, enforce=True), ["tx", "tx_hash"])
