@@ -466,7 +466,7 @@ def _duck_plan_epochs() -> str:
 
 def q_next_watermark(spark, sf_dir):
     """W-07: rows staged per table in its first planned window and the watermark that follows."""
-    src = _q(spark, sf_dir)
+    src = _mat(spark, sf_dir, scratch(spark))
     plan = {r["tablename"]: r for r in q_plan_slots(spark, sf_dir).where("round = 1").collect()}  # 23 rows
     parts = []
     for t in SLOT_ORDER:
@@ -515,7 +515,7 @@ def _duck_next_watermark() -> str:
 
 def q_epoch_next_watermark(spark, sf_dir):
     """P-05: rows of each epoch table in its first due epoch and the epoch watermark that follows."""
-    src = _q(spark, sf_dir)
+    src = _mat(spark, sf_dir, scratch(spark))
     first = {r["tablename"]: r["e"] for r in
              q_plan_epochs(spark, sf_dir).groupBy("tablename").agg(F.min("epoch_no").alias("e")).collect()}
     parts = [extract_epoch(src, t, first[t], TEST).agg(F.lit(t).alias("tablename"), F.lit(first[t]).cast("bigint")
