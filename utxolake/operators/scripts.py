@@ -33,15 +33,18 @@ def redeemer(src: Catalog, where: Column | None = None) -> DataFrame:
     ``redeemer_data_value`` is embedded as a JSON value (variant), not as text.
     """
     rd = zoned(src, "redeemer_data", "id", "redeemer_data").select(
-        F.col("id").alias("redeemer_data_id"), b64_text("bytes").alias("byte"),
-        F.parse_json("value").alias("redeemer_data_value"), hex_text("hash").alias("redeemer_hash"))
+        F.col("id").alias("redeemer_data_id"), "bytes", "value", F.col("hash").alias("data_hash"))
     # elements are serialized before sorting: a variant field is not orderable
-    item = json_text(F.struct("byte", "fee", "index", "purpose", "redeemer_data_value", "redeemer_hash",
-                              hex_text("script_hash").alias("script_hash"), "unit_mem", "unit_steps"))
+    item = json_text(F.struct(
+        b64_text("bytes").alias("byte"), "fee", "index", "purpose", F.parse_json("value").alias("redeemer_data_value"),
+        hex_text("data_hash").alias("redeemer_hash"), hex_text("script_hash").alias("script_hash"), "unit_mem", "unit_steps"))
     ptr = tx_pointer(src, where)
     per_tx = (
         in_window(src, "redeemer", "tx_id", ptr, where).join(ptr, "tx_id")
         .join(rd, "redeemer_data_id")
+        .select("tx_id", "epoch_no", "slot_no", "txidx", "id", "purpose", "index", "fee", "unit_mem", "unit_steps",
+                "script_hash", "data_hash", "bytes", "value")
+        .repartition("tx_id")  # rows go to their group as they are; their text is several times as long
         .groupBy("tx_id", "epoch_no", "slot_no", "txidx")
         .agg(F.count(F.lit(1)).alias("count"),
              ordered_list([F.col("purpose"), F.col("index"), F.col("id")], item).alias("items"))
