@@ -62,3 +62,51 @@ def test_hashes_are_grouped_as_bytes(spark):
     plan = _plan(df)
     assert "lower(hex(" in plan and "lower(hex(" not in plan[plan.index("collect_list"):]
     assert df.where(F.length("payment_cred") != 64).isEmpty()
+
+
+def _lines(spark, tmp_path, keys):
+    """A source of lineitem rows alone; they differ in their order keys only."""
+    rows = [(k, i % 5, i, i, float(i), float(i), 0.0, 0.0, "A", "F") for i, k in enumerate(keys)]
+    df = spark.createDataFrame(rows, "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+                                     "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING")
+    df.withColumn("l_shipdate", F.lit("1995-03-01").cast("timestamp_ntz")).coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    return StandIn(spark, str(tmp_path))
+
+
+def test_inputs_follow_from_the_number_of_outputs(spark, tmp_path, monkeypatch):
+    """tx_in orders a row per transaction, not one per output, and joins nothing."""
+    from utxolake.sources import standin
+    monkeypatch.setattr(standin, "_TX_BUCKET", 8)  # looks back into the bucket before
+    counts = {None: 4, -5: 1, 2: 1, 3: 12, 4: 1, 5: 1, 9: 2, 11: 1, 12: 1, 13: 1, 14: 1, 15: 1, 16: 1, 17: 1, 18: 9, 400: 7, 401: 3}
+    src = _lines(spark, tmp_path, [k for k, n in counts.items() for _ in range(n)])
+    places = [(k, i) for k, n in counts.items() for i in range(n)]
+    want = sorted((a * 100 + i, a, b, j) for (a, i), (b, j) in zip(places[7:], places) if a is not None and b is not None and a > b)
+    assert sorted(map(tuple, src["tx_in"].collect())) == want
+    assert "Join" not in _plan(src["tx_in"]).split("RepartitionByExpression")[0]
+
+
+def test_redeemers_are_written_out_in_their_group(spark):
+    from utxolake.operators.scripts import redeemer
+    src = StandIn(spark, SF)
+    above, below = _plan(redeemer(src)).split("RepartitionByExpression", 1)
+    assert "to_json" in above and "to_json" not in below and "parse_json" not in below
+    twice = {**{n: src[n] for n in ("block", "tx", "redeemer_data")}, "redeemer": src["redeemer"].unionAll(src["redeemer"])}
+    one, two = redeemer(src).agg(F.sum("count")).first()[0], redeemer(twice).agg(F.sum("count")).first()[0]
+    assert two == 2 * one > 0
+
+
+def test_lists_of_inputs_and_outputs_are_made_behind_their_shuffle(spark):
+    from utxolake.operators.chain import tx_in_out
+    assert _plan(tx_in_out(StandIn(spark, SF))).count("RepartitionByExpression [tx_id") == 2
+    rows = [(1, 7, 0, "b", 5), (1, 7, 0, "a", 6), (2, 7, 1, "c", 1), (None, 7, 2, "d", 2)]  # ids and indexes may repeat
+    cat = {"block": spark.sql("SELECT 1L id, 10L slot_no, 0L epoch_no, TIMESTAMP'2020-01-01' time"),
+           "tx": spark.sql("SELECT 7L id, 1L block_id, 3L block_index"),
+           "tx_out": spark.createDataFrame(rows, "id BIGINT, tx_id BIGINT, index BIGINT, address STRING, value BIGINT"),
+           "tx_in": spark.sql("SELECT 1L id, 7L tx_in_id, 7L tx_out_id, 1L tx_out_index UNION ALL SELECT 2, 7, 7, 0"),
+           "ma_tx_out": spark.sql("SELECT 1L id, 1L ident, 4L quantity, 1L tx_out_id UNION ALL SELECT 2, 1, 3, 1"),
+           "multi_asset": spark.sql("SELECT 1L id, 'f' fingerprint")}
+    got = tx_in_out(cat).collect()
+    ma = '"out_ma":[{"fingerprint":"f","quantity":3},{"fingerprint":"f","quantity":4}]'
+    assert [tuple(r) for r in got] == [(0, 10, 3, '[{"in_idx":0,"in_slot_no":10,"in_txidx":3},{"in_idx":1,"in_slot_no":10,"in_txidx":3}]',
+        f'[{{"out_address":"a","out_idx":0,{ma},"out_value":6}},{{"out_address":"b","out_idx":0,{ma},"out_value":5}},'
+        '{"out_address":"c","out_idx":1,"out_ma":null,"out_value":1},{"out_address":"d","out_idx":2,"out_ma":null,"out_value":2}]')]
