@@ -102,9 +102,9 @@ def _q(spark: SparkSession, sf_dir: str) -> StandIn:
     return StandIn(spark, sf_dir)
 
 
-def _mat(spark: SparkSession, sf_dir: str, wh: Warehouse) -> MaterializedCatalog:
+def _mat(spark: SparkSession, sf_dir: str, wh: Warehouse, columns: Mapping[str, list[str]] | None = None) -> MaterializedCatalog:
     """The stand-in source written once to the job's shared folder (what a source export is)."""
-    return MaterializedCatalog(StandIn(spark, sf_dir), f"{wh.root}/source")
+    return MaterializedCatalog(StandIn(spark, sf_dir), f"{wh.root}/source", columns)
 
 
 def _quote(names) -> str:
@@ -997,6 +997,8 @@ def q_stream_append(spark, sf_dir):
 FORK_SLOT, FORK_STEP, FIRST_PART = 2100, 3, 1200
 STREAM = SyncOptions(window=SlotWindowConfig(cap=2000, grace=3, delete=10, rounds=3), cluster_size=CLUSTER, parallel_tables=8)
 FORK_TABLES = ["block_hash", "tx", "pool_update"]
+#: They count inputs and outputs and read nothing else of them.
+FORK_COLUMNS = {"tx_out": ["tx_id"], "tx_in": ["tx_in_id"]}
 #: The column by which a source relation hangs on a transaction; the others are delivered whole.
 TX_LINK = {"tx_out": "tx_id", "tx_in": "tx_in_id", "collateral_tx_in": "tx_in_id", "delegation": "tx_id", "ma_tx_mint": "tx_id",
            "tx_metadata": "tx_id", "datum": "tx_id", "script": "tx_id", "redeemer": "tx_id", "stake_registration": "tx_id",
@@ -1016,7 +1018,7 @@ def q_stream_fork(spark, sf_dir):
     """W-09: blocks arrive as one file per ten epochs, two files a batch; then a fork that leaves slots empty."""
     from .streaming.block_stream import stream_sync
     wh = scratch(spark)
-    src = _mat(spark, sf_dir, wh)
+    src = _mat(spark, sf_dir, wh, FORK_COLUMNS)
     blocks, block_dir = src["block"], f"{wh.root}/incoming_blocks"
     for e in range(0, blocks.agg(F.max("epoch_no")).first()[0] + 1, 10):
         blocks.where(F.col("epoch_no").between(e, e + 9)).coalesce(1).write.mode("append").parquet(block_dir)

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.encoding import hex_text, json_text
-from ..functions.lists import ordered_list
+from ..functions.lists import sorted_structs
 from .common import Catalog, in_window, tx_pointer
 
 CLUSTER_SIZE = 1000
@@ -51,8 +51,7 @@ def clustered(rows: DataFrame, keys: list[str], cluster_size: int, base: DataFra
 
 
 def _output_list() -> Column:
-    return ordered_list([F.col("slot_no"), F.col("txidx"), F.col("idx")],
-                        F.struct("idx", "slot_no", "txidx"))
+    return sorted_structs(["slot_no", "txidx", "idx"], ["idx", "slot_no", "txidx"])
 
 
 def _outputs(src: Catalog, where: Column | None) -> DataFrame:

@@ -6,7 +6,8 @@ publish a version of the table that has the new rows, lacks those they replace (
 P-04) and carries the new watermark (S-08). A failure before that leaves the table as it was.
 
 * Replace tables give up the slot buckets from ``clean`` on; of the one that ``clean`` lies in, the
-  rows before it are carried over. So what a window writes doesn't depend on the epoch's size.
+  rows before it in the epochs that reach it are carried over. So what a window writes doesn't depend on the epoch's
+  size, nor on how many epochs a bucket spans.
 * Append tables carry ``_batch`` (the window end) and have a bucket per batch; batches beyond the
   watermark give way.
 * Epoch loads replace whole epochs.
@@ -104,13 +105,25 @@ def _load(wh: Warehouse, table: str, rows: DataFrame, opts: SyncOptions | None,
 
 
 def _replaced(wh: Warehouse, table: str, base: TableState, clean: int) -> tuple[list[Leaf], DataFrame | None]:
-    """W-05: the leaves that can hold rows with ``slot >= clean``, and their rows below it (None: they have none)."""
-    first = clean // wh.bucket_slots
+    """W-05: the leaves that can hold rows with ``slot >= clean``, and their rows below it (None: they have none).
+
+    Of the bucket that ``clean`` lies in, epochs without such rows stay as they are. If it holds several, a small job
+    over their slots tells which.
+    """
+    first, slot = clean // wh.bucket_slots, F.col(TABLES[table].slot_col)
     leaves = [leaf for leaf in base.leaves if leaf.bucket >= first]
     edge = [leaf for leaf in leaves if leaf.bucket == first]
     if not edge or clean % wh.bucket_slots == 0:
         return leaves, None
-    return leaves, wh.read_leaves(table, base, edge).where(F.col(TABLES[table].slot_col) < clean)
+    held = wh.read_leaves(table, base, edge)
+    if len({leaf.part for leaf in edge}) > 1:
+        reached = {str(r[0]) for r in held.where(slot >= clean).select(base.part_col).distinct().collect()}  # epochs of one bucket
+        stay = {leaf for leaf in edge if leaf.part not in reached and leaf.part.lstrip("-").isdigit()}
+        leaves, edge = [leaf for leaf in leaves if leaf not in stay], [leaf for leaf in edge if leaf not in stay]
+        if not edge:
+            return leaves, None
+        held = wh.read_leaves(table, base, edge)
+    return leaves, held.where(slot < clean)
 
 
 def _appended(base: TableState, last: int) -> list[Leaf]:

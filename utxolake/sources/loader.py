@@ -74,12 +74,14 @@ class MaterializedCatalog(Mapping):
     Parquet instead of recomputing the relation each time) and survives the
     loss of executors: the files live on shared storage. ``block`` is written
     sorted by slot so that slot windows skip row groups. A source that can (``StandIn.over``) computes
-    relations from those written here: what many hang on is computed once.
+    relations from those written here: what many hang on is computed once. ``columns`` names, per relation, the only
+    ones that are asked for, if not all are; every row is written.
     """
 
     SORT = {"block": ["slot_no"], "tx": ["block_id"]}
 
-    def __init__(self, src: Mapping[str, DataFrame], root: str):
+    def __init__(self, src: Mapping[str, DataFrame], root: str, columns: Mapping[str, list[str]] | None = None):
+        self.columns = dict(columns or {})
         self.src, self.root = src.over(self) if hasattr(src, "over") else src, root.rstrip("/")
         self._cache: dict[str, DataFrame] = {}
         self._lock = threading.RLock()  # parallel table jobs ask for the same relations
@@ -91,6 +93,8 @@ class MaterializedCatalog(Mapping):
     def _get(self, name: str) -> DataFrame:
         if name not in self._cache:
             df = self.src[name]
+            if name in self.columns:
+                df = df.select(*self.columns[name])
             if name in self.SORT:
                 df = df.sortWithinPartitions(*self.SORT[name])
             path = f"{self.root}/{name}"
