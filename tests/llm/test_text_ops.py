@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import sys
 import zlib
 from collections import Counter
 
@@ -53,6 +54,27 @@ def test_suffix_array_and_common_prefixes():
             assert prefixes[i] == n
 
 
+def test_suffix_array_has_no_loop_over_entries():
+    gen = np.random.default_rng(2)
+    passages = gen.integers(1, 5, (20, 60))
+    t = np.append(passages[gen.integers(0, 20, 300)].ravel(), 0)
+    text, lines = bytes(t.tolist()), 0
+
+    def trace(frame, event, arg):
+        nonlocal lines
+        lines += event == "line"
+        return trace
+
+    old = sys.gettrace()
+    sys.settrace(trace)
+    try:
+        sa = suffix_array(t, 300)
+    finally:
+        sys.settrace(old)
+    assert sa.tolist() == sorted(range(len(text)), key=lambda i: text[i:])
+    assert lines < len(t)
+
+
 def brute_removal(texts, length):
     texts = [(t or "").encode() for t in texts]
     count = Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))

@@ -1,8 +1,8 @@
 """Suffix arrays by induced sorting, and permuted common prefixes, of one shard.
 
-The outer level has a byte alphabet: its two induction scans run bucket by bucket, all entries
+The text has a byte alphabet: the two induction scans run bucket by bucket, all entries
 of a bucket's part at once (an entry may only fill later buckets, or later places of its own).
-Reduced strings, whose alphabet is as large as they are long, are scanned entry by entry.
+The reduced string, whose alphabet is as large as it is long, is sorted by prefix doubling.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ def _classify(t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     s = np.empty(n, bool)
     s[-1] = True
     differs = np.flatnonzero(t[:-1] != t[1:])  # equal neighbours take the type of what follows
-    nxt = differs[np.minimum(np.searchsorted(differs, np.arange(n - 1)), len(differs) - 1)]
+    nxt = np.repeat(differs, np.diff(differs, prepend=-1))  # the last two differ
     s[:-1] = t[nxt] < t[nxt + 1]
     return s, np.flatnonzero(s[1:] & ~s[:-1]) + 1
 
@@ -76,37 +76,30 @@ def _induce(t: np.ndarray, s: np.ndarray, lms: np.ndarray, size: int) -> np.ndar
     return sa
 
 
-def _induce_long(t: list[int], s: list[bool], lms: list[int], size: int) -> list[int]:
-    """The same, entry by entry."""
-    n = len(t)
-    count = [0] * size
-    for c in t:
-        count[c] += 1
-    start, end, total = [0] * size, [0] * size, 0
-    for c in range(size):
-        start[c] = total
-        total += count[c]
-        end[c] = total
-    sa = [-1] * n
-    fill = end[:]
-    for i in reversed(lms):
-        fill[t[i]] -= 1
-        sa[fill[t[i]]] = i
-    fill = start[:]
-    for i in range(n):
-        j = sa[i] - 1
-        if j >= 0 and not s[j]:
-            c = t[j]
-            sa[fill[c]] = j
-            fill[c] += 1
-    fill = end[:]
-    for i in range(n - 1, -1, -1):
-        j = sa[i] - 1
-        if j >= 0 and s[j]:
-            c = t[j]
-            fill[c] -= 1
-            sa[fill[c]] = j
-    return sa
+def _doubled(order: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """Suffix array of a string whose entries ``order`` lists by character, and ``names`` gives their characters. Its
+    last character is its only smallest.
+
+    Suffixes that agree in their first ``depth`` characters are sorted by the rank of what follows these. None of them
+    reaches the end there, since its character would set it apart.
+    """
+    order = order.astype(np.int64)
+    key, place = names, np.arange(len(order))  # of the entries that still have an equal
+    rank = np.empty(len(order), np.int64)
+    depth = 0
+    while True:
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        count = np.diff(np.append(first, len(key)))
+        rank[order[place]] = np.repeat(place[first], count)
+        place = place[np.repeat(count > 1, count)]
+        if not len(place):
+            return order
+        depth = 2 * depth or 1
+        entries = order[place]
+        key = rank[entries] * len(order) + rank[entries + depth]
+        by = np.argsort(key)
+        key = key[by]
+        order[place] = entries[by]
 
 
 def _same_substrings(t: np.ndarray, order: np.ndarray, lms: np.ndarray) -> np.ndarray:
@@ -127,28 +120,22 @@ def _same_substrings(t: np.ndarray, order: np.ndarray, lms: np.ndarray) -> np.nd
     return np.cumsum(new) - 1
 
 
-def suffix_array(t: np.ndarray, size: int, outer: bool = True) -> np.ndarray:
+def suffix_array(t: np.ndarray, size: int) -> np.ndarray:
     """Suffix array of ``t`` over 0..size-1, whose last character is its only 0."""
     n = len(t)
     if n == 1:
         return np.zeros(1, np.int32)
     s, lms = _classify(t)
-    if outer:
-        sa = _induce(t, s, lms, size)
-    else:
-        tl, sl = t.tolist(), s.tolist()
-        sa = np.array(_induce_long(tl, sl, lms.tolist(), size), np.int32)
+    sa = _induce(t, s, lms, size)
     is_lms = np.zeros(n, bool)
     is_lms[lms] = True
     order = sa[is_lms[sa]]
     names = _same_substrings(t, order, lms)
     if names[-1] + 1 < len(lms):
-        name_of = np.empty(n, np.int64)
-        name_of[order] = names
-        order = lms[suffix_array(name_of[lms], int(names[-1]) + 1, False)]
-    if outer:
-        return _induce(t, s, order, size)
-    return np.array(_induce_long(tl, sl, order.tolist(), size), np.int32)
+        index = np.empty(n, np.int32)
+        index[lms] = np.arange(len(lms))
+        order = lms[_doubled(index[order], names)]
+    return _induce(t, s, order, size)
 
 
 def permuted_common_prefixes(t: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
