@@ -1,10 +1,12 @@
 """What keeps jobs within memory, shuffles and time: relations written once, broadcasts shared out, one comparison at a time."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from utxolake.operators.outputs import rel_addr_txout
 from utxolake.plans.validate import deep_compare_job
-from utxolake.session import shared_broadcasts
+from utxolake.session import shared_broadcasts, shuffles_dropped
 from utxolake.sources.loader import MaterializedCatalog
 from utxolake.sources.sinks import Warehouse
 from utxolake.sources.standin import StandIn
@@ -56,6 +58,35 @@ def test_jobs_at_once_share_the_broadcast_limit(spark):
         spark.conf.set(LIMIT, before)
 
 
+def _shuffle_files(spark) -> set[str]:
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = {files.apply(i).getName() for i in range(files.size())}
+    return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+
+def test_written_queries_leave_no_shuffle_files(spark, tmp_path):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, wh = spark.conf.get(setting), Warehouse(spark, str(tmp_path))
+    rows = spark.range(1000).selectExpr("id % 7 AS epoch_no", "id AS slot_no").groupBy("epoch_no").count()
+    there = _shuffle_files(spark)
+    spark.conf.set(setting, "false")
+    try:
+        wh.overwrite("t", rows, "epoch_no")
+        wh.write_stage(rows, "t")
+        written = MaterializedCatalog({"r": rows}, f"{tmp_path}/source")["r"]
+        with shuffles_dropped(spark), shuffles_dropped(spark):
+            assert rows.count() == 7
+        assert spark.conf.get(setting) == "false"
+    finally:
+        spark.conf.set(setting, before)
+    for _ in range(50):  # they go in the background
+        if _shuffle_files(spark) <= there:
+            break
+        time.sleep(0.1)
+    assert _shuffle_files(spark) <= there
+    assert wh.read("t").count() == wh.read_stage("t").count() == written.count() == 7
+
+
 def test_hashes_are_grouped_as_bytes(spark):
     src = StandIn(spark, SF)
     df = rel_addr_txout(src, cluster_size=5)
