@@ -95,6 +95,63 @@ def test_hashes_are_grouped_as_bytes(spark):
     assert df.where(F.length("payment_cred") != 64).isEmpty()
 
 
+def _outputs_source(spark):
+    """Twelve addresses in four epochs, one of them null and one with most outputs; datum 3 comes twice, script 4 with another hash too."""
+    block = spark.createDataFrame([(s, s, s // 3, s) for s in range(12)], "id BIGINT, slot_no BIGINT, epoch_no BIGINT, time BIGINT")
+    tx = spark.createDataFrame([(t, t % 12, t // 12) for t in range(60)], "id BIGINT, block_id BIGINT, block_index BIGINT")
+    outs = [(t, i, None if (t + i) % 13 == 0 else "hot" if (t * 3 + i) % 2 else f"a{(t + i) % 10}", (t * i) % 6 or None, (t + i) % 7 - 2 if (t + i) % 7 > 3 else None)
+            for t in range(60) for i in range(t % 5 + 1)]
+    tx_out = spark.createDataFrame(outs, "tx_id BIGINT, index BIGINT, address STRING, inline_datum_id BIGINT, reference_script_id BIGINT")
+    tx_out = tx_out.selectExpr("*", "address = 'a1' AS address_has_script", "CAST(address AS BINARY) AS payment_cred", "CAST(NULL AS BINARY) AS data_hash",
+                               "CASE WHEN tx_id % 3 > 0 THEN tx_id % 4 END AS stake_address_id")
+    hashes = "id BIGINT, hash BINARY"
+    stakes = spark.createDataFrame([(0, "s0"), (1, "s1"), (2, "s1"), (None, "s4"), (3, None)], "id BIGINT, view STRING")
+    return {"block": block, "tx": tx, "tx_out": tx_out, "datum": spark.createDataFrame([(1, b"x"), (2, b"y"), (3, b"z"), (3, b"z")], hashes),
+            "script": spark.createDataFrame([(2, b"r"), (4, b"s"), (4, b"t")], hashes), "stake_address": stakes}
+
+
+def test_lists_of_hot_and_other_addresses_are_alike(spark, monkeypatch):
+    """Addresses are ranked in one task or, if hot, slot by slot: the lists are those of ``clustered`` over all rows, as before."""
+    from utxolake.operators import outputs
+    src = _outputs_source(spark)
+    ptr = outputs.tx_pointer(src)
+    outs = src["tx_out"].join(ptr, "tx_id").withColumnRenamed("index", "idx")
+    hashes = {n: src[n].select(F.col("id").alias(k), F.col("hash").alias(v)) for n, k, v in
+              (("datum", "inline_datum_id", "inline_datum"), ("script", "reference_script_id", "reference_script"))}
+    rows = outs.join(hashes["datum"], "inline_datum_id", "left").join(hashes["script"], "reference_script_id", "left")
+    attrs = ["address_has_script", "payment_cred", "data_hash", "inline_datum", "reference_script"]
+    keys = ["epoch_no", "address"]
+
+    def lists(ranked, by):
+        return sorted((repr(r[:-1]), r[-1]) for r in map(tuple, ranked.groupBy(*by, "cluster_no").agg(F.sort_array(F.collect_list(F.struct("slot_no", "txidx", "idx"))).alias("o"))
+                      .select(*by, F.expr("to_json(transform(o, x -> struct(x.idx AS idx, x.slot_no AS slot_no, x.txidx AS txidx)))")).collect()))
+
+    want = lists(outputs.clustered(rows, ["address"], 3, base=outs), keys + attrs)
+    stakes = src["stake_address"].select(F.col("id").alias("stake_address_id"), F.col("view").alias("address"))
+    want_stake = lists(outputs.clustered(outs.drop("address").join(stakes, "stake_address_id"), ["address"], 3), keys)
+    for most in (0, 8, 30, 10**6):
+        monkeypatch.setattr(outputs, "HOT", most)
+        got = outputs.rel_addr_txout(src, cluster_size=3)
+        unhexed = [F.unhex(c).alias(c) if c in attrs[1:] else c for c in got.columns]
+        assert sorted((repr(r[:-1]), r[-1]) for r in map(tuple, got.select(*unhexed).collect())) == want, most
+        assert sorted((repr(r[:-1]), r[-1]) for r in map(tuple, outputs.rel_stake_txout(src, cluster_size=3).collect())) == want_stake, most
+
+
+def test_outputs_go_to_their_address_once(spark):
+    """Of addresses that aren't hot: ranking and lists need one shuffle, and only outputs with a datum or script are shuffled for it."""
+    from utxolake.operators import outputs
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = spark.range(40).selectExpr("id % 2 AS epoch_no", "CAST(id % 5 AS STRING) AS address", "id AS slot_no", "id AS txidx", "id AS idx", "true AS _counts", "IF(id < 0, id, NULL) AS _cluster")
+        plan = outputs._lists(rows, [], 3)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and plan.count("Sort [") <= 2, plan  # by slot, and by cluster if it groups by sorting
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    plan = _plan(rel_addr_txout(_outputs_source(spark)))
+    assert "(isnotnull(inline_datum_id" in plan and "OR isnotnull(reference_script_id" in plan
+
+
 def _lines(spark, tmp_path, keys):
     """A source of lineitem rows alone; they differ in their order keys only."""
     rows = [(k, i % 5, i, i, float(i), float(i), 0.0, 0.0, "A", "F") for i, k in enumerate(keys)]
