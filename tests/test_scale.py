@@ -95,6 +95,21 @@ def test_hashes_are_grouped_as_bytes(spark):
     assert df.where(F.length("payment_cred") != 64).isEmpty()
 
 
+def test_newest_rows_of_deliveries_are_found_without_pruning_subqueries(spark, tmp_path):
+    """Pruning folders by a join on ``delivery`` would hold a row per id on the driver."""
+    from utxolake.streaming.chain import DeliveredCatalog
+    root, schema = f"{tmp_path}/in", "id BIGINT, tx_id BIGINT"
+    rows = {1: [(i, 1) for i in range(40)] + [(None, 1)], 2: [(i, 2) for i in (*range(30, 60), 35, 35)], 10: [(33, 10), (33, 10), (70, 10), (None, 10)]}
+    for d, r in rows.items():
+        spark.createDataFrame(r, schema).write.parquet(f"{root}/tx_out/delivery={d}/upto_slot={d}")
+    df = DeliveredCatalog(Warehouse(spark, f"{tmp_path}/wh"), root, spark.range(1), ["tx_out"])["tx_out"]
+    newest = {i: d for d in sorted(rows) for i, _ in rows[d] if i is not None}
+    want = [(i, d) for d in rows for i, _ in rows[d] if i is None or newest[i] == d]
+    key = lambda r: (r[0] is None, r)
+    assert sorted(map(tuple, df.collect()), key=key) == sorted(want, key=key)
+    assert "dynamicpruning" not in _plan(df)
+
+
 def _outputs_source(spark):
     """Twelve addresses in four epochs, one of them null and one with most outputs; datum 3 comes twice, script 4 with another hash too."""
     block = spark.createDataFrame([(s, s, s // 3, s) for s in range(12)], "id BIGINT, slot_no BIGINT, epoch_no BIGINT, time BIGINT")
